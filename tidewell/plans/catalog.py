@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.operators import blocks, corpus, entities, spans
+from tidewell.model import FIELDS
+from tidewell.operators import blocks, corpus, entities, index, search, spans
 from tidewell.plans import fixtures as fx
-from tidewell.session import prepare, scratch_path
+from tidewell.session import materialize, prepare, scratch_path
 from tidewell.sources import manifest, scan, sinks, tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -252,3 +253,169 @@ def article_text(spark, sf_dir):
 @query
 def article_or_visible(spark, sf_dir):
     return blocks.article_or_visible(fx.page_items(spark, sf_dir))
+
+
+# --- index ------------------------------------------------------------------
+
+SHARDS = 4
+POSTING_FIELDS = [f"tf_{name.lower()}" for name in FIELDS]
+
+
+@query
+def term_stream(spark, sf_dir):
+    return index.term_stream(fx.items(spark, sf_dir)).drop("stream_id")
+
+
+@query
+def stopword_filter(spark, sf_dir):
+    words = index.term_frequencies(fx.items(spark, sf_dir)).select("doc_id", "term", "tf")
+    return index.remove_stopwords(words, fx.stopwords(spark))
+
+
+@query
+def inverted_index(spark, sf_dir):
+    postings = index.inverted_index(fx.items(spark, sf_dir))
+    return postings.select("term", "doc_id", "tf", *POSTING_FIELDS, F.array_join(
+        F.transform("positions", lambda p: p.cast("string")), ",").alias("positions"))
+
+
+def _frequencies(spark, sf_dir):
+    return index.term_frequencies(fx.items(spark, sf_dir))
+
+
+@query
+def lexicon(spark, sf_dir):
+    return index.lexicon(_frequencies(spark, sf_dir))
+
+
+@query
+def doc_lengths(spark, sf_dir):
+    return index.doc_lengths(fx.items(spark, sf_dir)).drop("stream_id")
+
+
+@query
+def meta_index(spark, sf_dir):
+    return index.meta_index(fx.items(spark, sf_dir))
+
+
+@query
+def collection_stats(spark, sf_dir):
+    stats = index.collection_stats(_frequencies(spark, sf_dir), index.doc_lengths(fx.items(spark, sf_dir)))
+    return stats.withColumn("avg_len", F.round("avg_len", 4))
+
+
+@query
+def index_by_letter(spark, sf_dir):
+    path = scratch_path(spark, "by-letter")
+    sinks.sink(index.by_letter(_frequencies(spark, sf_dir)), path, by="letter", key="term", partitions=26)
+    stored = spark.read.schema("term string, tf int, letter string").parquet(path)
+    return index.vocabulary(stored, "letter")
+
+
+@query
+def index_by_shard(spark, sf_dir):
+    return index.vocabulary(index.by_shard(_frequencies(spark, sf_dir), SHARDS), "shard")
+
+
+@query
+def index_merge(spark, sf_dir):
+    path = scratch_path(spark, "shards")
+    sinks.sink(index.vocabulary(index.by_shard(_frequencies(spark, sf_dir), SHARDS), "shard"), path, by="shard", key="term")
+    stored = spark.read.schema("term string, df long, cf long, shard int").parquet(path)
+    return index.merge_vocabularies(*[stored.filter(F.col("shard") == n) for n in range(SHARDS)])
+
+
+@query
+def vocab_conflate(spark, sf_dir):
+    return index.vocab_conflate(index.vocabulary(_frequencies(spark, sf_dir)))
+
+
+@query
+def direct_index(spark, sf_dir):
+    pairs = F.transform("terms", lambda t: F.concat_ws(":", t["term"], t["n"].cast("string")))
+    return index.direct_index(fx.items(spark, sf_dir)).select("doc_id", F.array_join(pairs, " ").alias("terms"))
+
+
+# --- retrieval --------------------------------------------------------------
+
+SITE = "7.example.com"
+SCOPE = "a"
+FIELD_WEIGHTS = {"Lemma": 1.0, "title": 2.0, "body": 1.0, "Serif_PER": 0.5}
+
+
+def _topic_terms(spark, sf_dir):
+    return search.topic_terms(fx.topics(spark, sf_dir), fx.stopwords(spark))
+
+
+@query
+def topics(spark, sf_dir):
+    return search.topic_terms(fx.topics(spark, sf_dir)).select("number", "place", "term")
+
+
+def _lengths(spark, sf_dir):
+    return index.doc_lengths(fx.items(spark, sf_dir))
+
+
+def _scored(spark, sf_dir):
+    terms = _topic_terms(spark, sf_dir)
+    postings = search.matching(_frequencies(spark, sf_dir), terms)
+    return search.scores(postings, search.query_weights(terms), _lengths(spark, sf_dir))
+
+
+RESULT = ["number", "doc_id", "rank", "score"]
+
+
+@query
+def ranked_topk(spark, sf_dir):
+    return search.ranked(_scored(spark, sf_dir)).select(RESULT)
+
+
+@query
+def ranked_site(spark, sf_dir):
+    scored = search.on_site(_scored(spark, sf_dir), index.meta_index(fx.items(spark, sf_dir)), SITE)
+    return search.ranked(scored).select(RESULT)
+
+
+@query
+def ranked_scope(spark, sf_dir):
+    return search.ranked(search.in_scope(_scored(spark, sf_dir), SCOPE), start=1, end=5).select(RESULT)
+
+
+@query
+def ranked_decorated(spark, sf_dir):
+    found = search.ranked(_scored(spark, sf_dir))
+    return search.decorate(found, index.meta_index(fx.items(spark, sf_dir))).select(*RESULT, "url", "type", "time")
+
+
+@query
+def ranked_qe(spark, sf_dir):
+    terms = _topic_terms(spark, sf_dir)
+    weights = search.query_weights(terms)
+    frequencies, lengths = _frequencies(spark, sf_dir), _lengths(spark, sf_dir)
+    scored = search.scores(search.matching(frequencies, terms), weights, lengths)
+    feedback = materialize(search.feedback_docs(search.ranked(scored)))
+    named = feedback.select("stream_id").distinct()
+    pool = materialize(index.term_frequencies(fx.items(spark, sf_dir).join(named, "stream_id", "left_semi")))
+    wider = materialize(search.expanded_weights(feedback, pool, weights, frequencies, lengths))
+    return search.ranked(search.scores(search.matching(frequencies, wider), wider, lengths)).select(RESULT)
+
+
+@query
+def ranked_proximity(spark, sf_dir):
+    terms = _topic_terms(spark, sf_dir)
+    lengths = _lengths(spark, sf_dir)
+    postings = search.matching(index.inverted_index(fx.items(spark, sf_dir), fields=()), terms)
+    pairs = search.adjacent_pairs(terms)
+    single = search.scores(postings, search.query_weights(terms), lengths)
+    phrases = materialize(search.pair_postings(postings, pairs))
+    both = search.add_scores(single, search.scores(phrases, search.pair_weights(pairs), lengths))
+    return search.ranked(both).select(RESULT)
+
+
+@query
+def ranked_fields(spark, sf_dir):
+    terms = _topic_terms(spark, sf_dir)
+    postings = search.matching(index.inverted_index(fx.items(spark, sf_dir), fields=tuple(FIELD_WEIGHTS)), terms)
+    scored = search.scores(
+        postings, search.query_weights(terms), _lengths(spark, sf_dir), search.weighted_tf(FIELD_WEIGHTS))
+    return search.ranked(scored).select(RESULT)

@@ -271,3 +271,165 @@ oracle("article_or_visible", f"""
 SELECT '0-' || doc_id AS stream_id, coalesce(nullif(article, ''), {_PLAIN.format('seen')}) AS text
 FROM article_rows WHERE {_PLAIN.format('seen')} <> ''
 """)
+
+# --- index ------------------------------------------------------------------
+
+part("section_rows", f"""
+SELECT r.doc_id, 'body' AS section, 1 AS section_no, r.tagger_rank, r.sent_no, r.tok_no, r.token, r.entity_type FROM tagged_rows r
+UNION ALL
+SELECT r.doc_id, 'title', 0, r.tagger_rank, r.sent_no, r.tok_no, r.token, r.entity_type
+FROM tagged_rows r JOIN (SELECT doc_id FROM token_rows WHERE sent_no = 0 GROUP BY doc_id
+                         HAVING count(*) <= {fx.TITLE_WORDS}) t ON t.doc_id = r.doc_id
+WHERE r.sent_no = 0
+""")
+
+part("placed_rows", """
+SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY section_no, tagger_rank, sent_no, tok_no) - 1 AS pos,
+       CASE WHEN tagger_rank = 1 THEN 'Serif_' ELSE 'Lingpipe_' END || entity_type AS entity_field
+FROM section_rows
+""")
+
+part("term_rows", """
+SELECT doc_id, pos, 0 AS surface, lower(token) AS term, 'Lemma' AS fields
+FROM placed_rows WHERE length(token) > 1 OR lower(token) = 'i'
+UNION ALL
+SELECT doc_id, pos, 1, token,
+       concat_ws(',', CASE WHEN tagger_rank = 1 THEN section END,
+                 CASE WHEN entity_type IN ('PER', 'ORG', 'LOC', 'MISC') THEN entity_field END)
+FROM placed_rows
+""")
+
+part("freq_rows", "SELECT doc_id, term, count(*) AS tf FROM term_rows GROUP BY doc_id, term")
+part("length_rows", """
+SELECT c.doc_id, count(t.term) AS doc_len FROM corpus_rows c LEFT JOIN term_rows t ON t.doc_id = c.doc_id GROUP BY c.doc_id
+""")
+part("vocab_rows", "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM freq_rows GROUP BY term")
+
+oracle("term_stream", """
+SELECT doc_id, term, CAST(pos AS INTEGER) AS pos, CAST(surface AS INTEGER) AS surface, fields FROM term_rows
+""")
+oracle("stopword_filter", f"SELECT doc_id, term, CAST(tf AS INTEGER) AS tf FROM freq_rows WHERE term NOT IN ({_quoted(fx.STOPWORDS)})")
+oracle("inverted_index", """
+SELECT term, doc_id, CAST(count(*) AS INTEGER) AS tf, """ + ",\n".join(
+    f"CAST(count(*) FILTER (WHERE list_contains(string_split(fields, ','), '{f}')) AS INTEGER) AS tf_{f.lower()}"
+    for f in ("Lemma", "title", "body", "Serif_PER", "Serif_ORG", "Serif_LOC", "Serif_MISC",
+              "Lingpipe_PER", "Lingpipe_ORG", "Lingpipe_LOC", "Lingpipe_MISC")) + """,
+       string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions
+FROM term_rows GROUP BY doc_id, term
+""")
+oracle("lexicon", "SELECT term, df, cf, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab_rows")
+oracle("doc_lengths", "SELECT doc_id, CAST(doc_len AS INTEGER) AS doc_len FROM length_rows")
+oracle("meta_index", """
+SELECT left(stream_id, 320) AS stream_id, left(doc_id, 200) AS docno, left(schost, 500) AS url,
+       left(src, 140) AS type, left(zulu, 50) AS time FROM corpus_rows
+""")
+oracle("collection_stats", """
+SELECT count(*) AS docs, CAST(sum(doc_len) AS BIGINT) AS tokens, round(avg(doc_len), 4) AS avg_len,
+       (SELECT count(*) FROM vocab_rows) AS unique_terms FROM length_rows
+""")
+oracle("index_by_letter", """
+SELECT CASE WHEN term[1] BETWEEN 'a' AND 'z' THEN term[1] ELSE '_' END AS letter, term, df, cf FROM vocab_rows
+""")
+oracle("index_by_shard", """
+SELECT CAST(('0x' || substr(md5(c.stream_id), 1, 4))::INTEGER % 4 AS INTEGER) AS shard, f.term,
+       count(*) AS df, CAST(sum(f.tf) AS BIGINT) AS cf
+FROM freq_rows f JOIN corpus_rows c ON c.doc_id = f.doc_id GROUP BY 1, 2
+""")
+oracle("index_merge", "SELECT term, df, cf, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab_rows")
+oracle("vocab_conflate", """
+SELECT regexp_replace(word, '([aeiouy].*)y$', '\\1i') AS stem, count(*) AS forms,
+       CAST(sum(df) AS BIGINT) AS df_sum, CAST(sum(cf) AS BIGINT) AS cf_sum
+FROM (SELECT df, cf, CASE WHEN regexp_matches(w, '[aeiouy].*ing$') THEN regexp_replace(w, '([aeiouy].*)ing$', '\\1')
+                          WHEN regexp_matches(w, '[aeiouy].*ed$') THEN regexp_replace(w, '([aeiouy].*)ed$', '\\1') ELSE w END AS word
+      FROM (SELECT df, cf, CASE WHEN l LIKE '%sses' THEN left(l, length(l) - 2) WHEN l LIKE '%ies' THEN left(l, length(l) - 2)
+                                WHEN regexp_matches(l, '[^s]s$') THEN left(l, length(l) - 1) ELSE l END AS w
+            FROM (SELECT lower(term) AS l, df, cf FROM vocab_rows)))
+GROUP BY 1
+""")
+oracle("direct_index", """
+SELECT c.doc_id, coalesce(string_agg(f.term || ':' || CAST(f.tf AS VARCHAR), ' ' ORDER BY f.term), '') AS terms
+FROM corpus_rows c LEFT JOIN freq_rows f ON f.doc_id = c.doc_id GROUP BY c.doc_id
+""")
+
+# --- retrieval --------------------------------------------------------------
+
+part("topic_words", f"""
+SELECT item_id AS number, unnest(list_slice({_words('text')}, 1, 8)) AS word,
+       generate_subscripts(list_slice({_words('text')}, 1, 8), 1) - 1 AS place
+FROM benchmark
+""")
+part("topic_rows", f"""
+SELECT number, place, lower(word) AS term FROM topic_words WHERE lower(word) NOT IN ({_quoted(fx.STOPWORDS)})
+""")
+part("weight_rows", "SELECT number, term, count(*) AS weight FROM topic_rows GROUP BY number, term")
+part("totals", "SELECT count(*) AS n, avg(doc_len) AS mean FROM length_rows")
+
+
+def _bm25(weights: str, postings: str, tf: str, df: str) -> str:
+    """Scored documents per topic from tables of weights, postings and document frequencies."""
+    return f"""
+SELECT q.number, p.doc_id,
+       round(sum(q.weight * ln((t.n - d.df + 0.5) / (d.df + 0.5) + 1) * {tf} * 2.2
+                 / ({tf} + 1.2 * (0.25 + 0.75 * l.doc_len / t.mean))), 4) AS score
+FROM {weights} q JOIN {postings} p ON p.term = q.term JOIN {df} d ON d.term = q.term
+JOIN length_rows l ON l.doc_id = p.doc_id CROSS JOIN totals t GROUP BY q.number, p.doc_id"""
+
+
+def _top(scored: str, start: int = 0, end: int = 9) -> str:
+    return f"""
+SELECT number, doc_id, CAST(place - 1 AS INTEGER) AS rank, score
+FROM (SELECT *, row_number() OVER (PARTITION BY number ORDER BY score DESC, doc_id) AS place FROM {scored})
+WHERE place BETWEEN {start + 1} AND {end + 1}"""
+
+
+part("score_rows", _bm25("weight_rows", "freq_rows", "p.tf", "vocab_rows"))
+part("top_rows", _top("score_rows"))
+
+oracle("topics", "SELECT number, CAST(place AS INTEGER) AS place, lower(word) AS term FROM topic_words")
+oracle("ranked_topk", "SELECT * FROM top_rows")
+oracle("ranked_site", _top("(SELECT s.* FROM score_rows s JOIN corpus_rows c ON c.doc_id = s.doc_id WHERE c.schost LIKE '%7.example.com')"))
+oracle("ranked_scope", _top("(SELECT * FROM score_rows WHERE doc_id LIKE 'a%')", 1, 5))
+oracle("ranked_decorated", """
+SELECT t.*, c.schost AS url, c.src AS type, c.zulu AS time FROM top_rows t JOIN corpus_rows c ON c.doc_id = t.doc_id
+""")
+
+part("bo1_rows", """
+SELECT number, term, round(tf * log2((1 + p) / p) + log2(1 + p), 6) AS bo1
+FROM (SELECT r.number, f.term, sum(f.tf) AS tf, any_value(v.cf) / any_value(t.n) AS p
+      FROM top_rows r JOIN freq_rows f ON f.doc_id = r.doc_id JOIN vocab_rows v ON v.term = f.term CROSS JOIN totals t
+      WHERE r.rank < 3 GROUP BY r.number, f.term)
+""")
+part("wider_rows", """
+SELECT number, term, round(sum(w), 6) AS weight
+FROM (SELECT number, term, bo1 / max(bo1) OVER (PARTITION BY number) AS w
+      FROM (SELECT *, row_number() OVER (PARTITION BY number ORDER BY bo1 DESC, term) AS place FROM bo1_rows) WHERE place <= 10
+      UNION ALL SELECT number, term, weight / max(weight) OVER (PARTITION BY number) FROM weight_rows)
+GROUP BY number, term
+""")
+part("wider_scores", _bm25("wider_rows", "freq_rows", "p.tf", "vocab_rows"))
+oracle("ranked_qe", _top("wider_scores"))
+
+part("spot_positions", "SELECT DISTINCT doc_id, term, pos FROM term_rows WHERE term IN (SELECT term FROM topic_rows)")
+part("neighbour_rows", """
+SELECT a.number, a.term AS t1, b.term AS t2 FROM topic_rows a JOIN topic_rows b ON b.number = a.number AND b.place = a.place + 1
+""")
+part("phrase_rows", """
+SELECT n.t1 || ' ' || n.t2 AS term, x.doc_id, count(*) AS tf
+FROM (SELECT DISTINCT t1, t2 FROM neighbour_rows) n JOIN spot_positions x ON x.term = n.t1
+JOIN spot_positions y ON y.term = n.t2 AND y.doc_id = x.doc_id AND y.pos = x.pos + 1 GROUP BY 1, 2
+""")
+part("phrase_weights", "SELECT number, t1 || ' ' || t2 AS term, count(*) AS weight FROM neighbour_rows GROUP BY 1, 2")
+part("phrase_df", "SELECT term, count(*) AS df FROM phrase_rows GROUP BY term")
+part("phrase_scores", _bm25("phrase_weights", "phrase_rows", "p.tf", "phrase_df"))
+oracle("ranked_proximity", _top("""(SELECT number, doc_id, round(sum(score), 4) AS score
+    FROM (SELECT * FROM score_rows UNION ALL SELECT * FROM phrase_scores) GROUP BY number, doc_id)"""))
+
+part("field_rows", """
+SELECT doc_id, term, sum(CASE WHEN fields = 'Lemma' THEN 1.0 ELSE 0 END
+    + CASE WHEN list_contains(string_split(fields, ','), 'title') THEN 2.0 ELSE 0 END
+    + CASE WHEN list_contains(string_split(fields, ','), 'body') THEN 1.0 ELSE 0 END
+    + CASE WHEN list_contains(string_split(fields, ','), 'Serif_PER') THEN 0.5 ELSE 0 END)::DOUBLE AS wtf
+FROM term_rows WHERE term IN (SELECT term FROM topic_rows) GROUP BY doc_id, term
+""")
+part("field_scores", _bm25("weight_rows", "field_rows", "p.wtf", "vocab_rows"))
+oracle("ranked_fields", _top("field_scores"))
