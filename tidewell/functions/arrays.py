@@ -82,17 +82,15 @@ def running_totals(df: DataFrame, values: str, out: str, block: int = 64) -> Dat
     block sums, and then added together.
     """
     n = F.size(F.col(values))
-    return (
-        df.withColumn("_blocks", F.transform(
-            indexes(F.ceil(n / block).cast("int")),
-            lambda b: _scan(part_of(F.col(values), b * block, F.least((b + 1) * block, n)))))
-        .withColumn("_bases", _scan(F.transform("_blocks", lambda b: F.element_at(b, -1))))
-        .withColumn(out, F.flatten(F.transform(
-            "_blocks",
-            lambda b, i: F.transform(
-                F.slice(b, 2, F.lit(block)), lambda x: x + F.get(F.col("_bases"), i)))))
-        .drop("_blocks", "_bases")
-    )
+    blocked = df.withColumn("_blocks", F.transform(
+        indexes(F.ceil(n / block).cast("int")),
+        lambda b: _scan(part_of(F.col(values), b * block, F.least((b + 1) * block, n)))))
+    # ``let``: a column used once, inside a lambda, would be put there and evaluated each time.
+    totals = let(
+        _scan(F.transform("_blocks", lambda b: F.element_at(b, -1))),
+        lambda bases: F.flatten(F.transform("_blocks", lambda b, i: F.transform(
+            F.slice(b, 2, F.lit(block)), lambda x: x + F.get(bases, i)))))
+    return blocked.withColumn(out, totals).drop("_blocks")
 
 
 def unnest(df: DataFrame, keep: list[str], items: Column | str, *fields: str, place: str | None = None) -> DataFrame:

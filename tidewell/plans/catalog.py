@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.model import FIELDS
-from tidewell.operators import blocks, corpus, entities, index, search, spans
+from tidewell.operators import annotations, blocks, corpus, entities, hooks, index, linking, search, spans, spotting
 from tidewell.plans import fixtures as fx
 from tidewell.session import materialize, prepare, scratch_path
 from tidewell.sources import manifest, scan, sinks, tsv
@@ -419,3 +419,175 @@ def ranked_fields(spark, sf_dir):
     scored = search.scores(
         postings, search.query_weights(terms), _lengths(spark, sf_dir), search.weighted_tf(FIELD_WEIGHTS))
     return search.ranked(scored).select(RESULT)
+
+
+# --- entity linking ---------------------------------------------------------
+
+KEY = ["doc_id"]
+
+
+def _stats(spark, sf_dir):
+    return spotting.spot_stats(fx.anchors(spark, sf_dir), fx.page_texts(spark, sf_dir), KEY)
+
+
+def _dictionary(spark, sf_dir):
+    """The mention dictionary, written once: several steps of a query read it."""
+    return materialize(spotting.dictionary(_stats(spark, sf_dir)))
+
+
+@query
+def spot_stats(spark, sf_dir):
+    return _stats(spark, sf_dir).withColumn("link_probability", F.round("link_probability", 4))
+
+
+@query
+def spot_lp_filter(spark, sf_dir):
+    return spotting.likely_spots(_stats(spark, sf_dir)).select(
+        "spot", F.round("link_probability", 4).alias("link_probability")).distinct()
+
+
+@query
+def link_prior(spark, sf_dir):
+    return spotting.link_prior(_stats(spark, sf_dir)).select(
+        "spot", "target", F.round("commonness", 4).alias("commonness"), "rank")
+
+
+def _mentions(spark, sf_dir, spots):
+    return spotting.doc_mentions(fx.texts(spark, sf_dir), spots, KEY)
+
+
+@query
+def spot_mentions(spark, sf_dir):
+    found = _mentions(spark, sf_dir, _dictionary(spark, sf_dir))
+    return spotting.mention_rows(found, KEY).select("doc_id", "spot", "start", "end")
+
+
+@query
+def spot_overlap_filter(spark, sf_dir):
+    found = spotting.without_overlaps(_mentions(spark, sf_dir, _dictionary(spark, sf_dir)))
+    return spotting.mention_rows(found, KEY).select("doc_id", "spot", "start", "end")
+
+
+@query
+def candidates(spark, sf_dir):
+    found = spotting.without_overlaps(_mentions(spark, sf_dir, _dictionary(spark, sf_dir)))
+    return spotting.candidates(found, KEY).withColumn("commonness", F.round("commonness", 4))
+
+
+@query
+def link_graph(spark, sf_dir):
+    return linking.link_graph(fx.anchors(spark, sf_dir))
+
+
+@query
+def link_degrees(spark, sf_dir):
+    return linking.link_degrees(linking.link_graph(fx.anchors(spark, sf_dir)))
+
+
+def _graph(spark, sf_dir):
+    return materialize(linking.link_graph(fx.anchors(spark, sf_dir))), fx.table(spark, sf_dir, "pages").select("page_id")
+
+
+@query
+def relatedness(spark, sf_dir):
+    spots = _dictionary(spark, sf_dir)
+    found = spotting.without_overlaps(_mentions(spark, sf_dir, spots))
+    pairs = materialize(linking.candidate_pairs(found, spots, KEY))
+    return linking.relatedness(pairs, *_graph(spark, sf_dir)).withColumn("relatedness", F.round("relatedness", 4))
+
+
+def _clean_mentions(spark, sf_dir, spots):
+    return spotting.without_overlaps(_mentions(spark, sf_dir, spots))
+
+
+def _annotated(spark, sf_dir):
+    found = _clean_mentions(spark, sf_dir, _dictionary(spark, sf_dir))
+    return annotations.top_annotations(linking.disambiguate(found, KEY, "prior"))
+
+
+@query
+def annot_topk(spark, sf_dir):
+    return annotations.annotation_rows(_annotated(spark, sf_dir), KEY)
+
+
+@query
+def annot_list(spark, sf_dir):
+    listed = annotations.annot_list(_annotated(spark, sf_dir), KEY)
+    parts = F.transform("entities", lambda e: F.concat_ws("=", e["entity"], F.round(e["score"].cast("double"), 4).cast("string")))
+    return listed.select("doc_id", F.array_join(parts, "|").alias("entities"))
+
+
+@query
+def annot_lines(spark, sf_dir):
+    return annotations.annot_lines(fx.texts(spark, sf_dir), _annotated(spark, sf_dir), KEY)
+
+
+@query
+def annot_mentions(spark, sf_dir):
+    return annotations.annot_mentions(fx.texts(spark, sf_dir), _annotated(spark, sf_dir), KEY)
+
+
+@query
+def annot_render(spark, sf_dir):
+    return annotations.annot_render(fx.texts(spark, sf_dir), _annotated(spark, sf_dir), KEY)
+
+
+@query
+def entity_label(spark, sf_dir):
+    rows = annotations.annotation_rows(_annotated(spark, sf_dir), KEY)
+    labels = fx.entity_labels(fx.anchors(spark, sf_dir))
+    return annotations.entity_label(rows, labels).select("doc_id", "start", "entity", "label")
+
+
+@query
+def link_tagme(spark, sf_dir):
+    spots = _dictionary(spark, sf_dir)
+    graph, pages = _graph(spark, sf_dir)
+    found = linking.disambiguate(
+        _clean_mentions(spark, sf_dir, spots), KEY, "tagme", spots=spots, graph=graph, pages=pages)
+    return annotations.annotation_rows(found, KEY)
+
+
+@query
+def link_features(spark, sf_dir):
+    spots = _dictionary(spark, sf_dir)
+    rows = linking.link_features(_clean_mentions(spark, sf_dir, spots), spots, *_graph(spark, sf_dir), KEY)
+    return rows.select("doc_id", "start", "end", "spot", "entity", *[F.round(c, 4).alias(c) for c in linking.FEATURES])
+
+
+@query
+def link_mlscore(spark, sf_dir):
+    """The scorer learns from the pages: a candidate is right where the page itself links the spot to it."""
+    spots = _dictionary(spark, sf_dir)
+    graph, pages = _graph(spark, sf_dir)
+    on_pages = spotting.without_overlaps(spotting.doc_mentions(fx.page_texts(spark, sf_dir), spots, KEY))
+    links = fx.anchors(spark, sf_dir).select(
+        F.col("page").alias("doc_id"), "spot", F.col("target").alias("entity"), F.lit(1.0).alias("label")).distinct()
+    features = linking.link_features(on_pages, spots, graph, pages, KEY).join(
+        links, ["doc_id", "spot", "entity"], "left").na.fill(0.0, ["label"])
+    model = linking.fit_scorer(materialize(features))
+    found = linking.disambiguate(_clean_mentions(spark, sf_dir, spots), KEY, "wikiminer",
+                                 spots=spots, graph=graph, pages=pages, model=model)
+    return annotations.annotation_rows(annotations.top_annotations(found), KEY)
+
+
+@query
+def article_link(spark, sf_dir):
+    articles = blocks.article_or_visible(fx.page_items(spark, sf_dir))
+    found = spotting.without_overlaps(spotting.doc_mentions(articles, _dictionary(spark, sf_dir), ["stream_id"]))
+    best = annotations.top_annotations(linking.disambiguate(found, ["stream_id"], "prior"))
+    return annotations.annot_mentions(articles, best, ["stream_id"])
+
+
+@query
+def annotate_hook(spark, sf_dir):
+    """A toy model that marks long words, loaded once per task."""
+    def load():
+        import re
+        return re.compile(r"[A-Za-z]{12,}")
+
+    return hooks.annotate(
+        fx.texts(spark, sf_dir), "doc_id", ["text"], "key string, values array<string>", load=load,
+        contents=lambda text: [text] if text else None,
+        annotate_text=lambda model, text: model.findall(text),
+    ).select(F.col("key").alias("doc_id"), F.size("values").alias("n"), F.array_join("values", " ").alias("found"))

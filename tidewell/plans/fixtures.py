@@ -172,3 +172,13 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topics ``(number, title)`` from the first eight words of the benchmark passages."""
     title = F.array_join(F.transform(F.slice(words(F.col("text")), 1, 8), F.lower), " ")
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("number"), title.alias("title"))
+
+
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, text)`` of the pages' visible text."""
+    return page_items(spark, sf_dir).select("doc_id", F.col("body.clean_visible").alias("text"))
+
+
+def entity_labels(stats: DataFrame) -> DataFrame:
+    """``(entity, label)`` of every link target."""
+    return stats.select(F.col("target").alias("entity")).distinct().withColumn("label", F.concat(F.lit("Page "), "entity"))

@@ -433,3 +433,199 @@ FROM term_rows WHERE term IN (SELECT term FROM topic_rows) GROUP BY doc_id, term
 """)
 part("field_scores", _bm25("weight_rows", "field_rows", "p.wtf", "vocab_rows"))
 oracle("ranked_fields", _top("field_scores"))
+
+# --- entity linking ---------------------------------------------------------
+
+part("link_rows", r"""
+SELECT page, target, spot FROM (
+  SELECT md5(CAST(page_id AS VARCHAR)) AS page, unnest(regexp_extract_all(html, '(?is)<a href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS target,
+         lower(trim(regexp_replace(unnest(regexp_extract_all(html, '(?is)<a href="([^"]*)"[^>]*>(.*?)</a>', 2)), '[^A-Za-z]+', ' ', 'g'))) AS spot
+  FROM pages) WHERE spot <> ''
+""")
+
+MAX_WORDS = 5
+
+
+def _gram_parts(name: str, source: str) -> None:
+    """Word sequences of a table ``(doc_id, tx)`` with their offsets."""
+    part(f"{name}_words", f"""
+SELECT doc_id, tok, w, sum(length(w) + length(g)) OVER (PARTITION BY doc_id ORDER BY tok) AS w_end
+FROM (SELECT doc_id, unnest(regexp_extract_all(tx, '[A-Za-z]+')) AS w,
+             unnest(string_split_regex(tx, '[A-Za-z]+')[1:len(regexp_extract_all(tx, '[A-Za-z]+'))]) AS g,
+             generate_subscripts(regexp_extract_all(tx, '[A-Za-z]+'), 1) - 1 AS tok FROM {source})
+""")
+    unions = []
+    for n in range(1, MAX_WORDS + 1):
+        gram = " || ' ' || ".join(["lower(w)"] + [f"lower(lead(w, {k}) OVER o)" for k in range(1, n)])
+        last = "w_end" if n == 1 else f"lead(w_end, {n - 1}) OVER o"
+        unions.append(f"SELECT doc_id, tok, {n} AS n, {gram} AS gram, w_end - length(w) AS c_start, {last} AS c_end "
+                      f"FROM {name}_words WINDOW o AS (PARTITION BY doc_id ORDER BY tok)")
+    part(f"{name}_grams", "SELECT * FROM (\n" + "\nUNION ALL\n".join(unions)
+         + "\n) WHERE gram IN (SELECT spot FROM link_rows)")
+
+
+part("visible_rows", f"SELECT doc_id, {_PLAIN.format('seen')} AS tx FROM page_rows")
+_gram_parts("visible", "visible_rows")
+
+part("stat_rows", """
+SELECT p.spot, p.target, p.links, s.spot_links, s.link_docs, greatest(coalesce(f.doc_freq, 0), s.link_docs) AS doc_freq,
+       s.link_docs / greatest(coalesce(f.doc_freq, 0), s.link_docs) AS lp
+FROM (SELECT spot, target, count(*) AS links FROM link_rows GROUP BY spot, target) p
+JOIN (SELECT spot, count(*) AS spot_links, count(DISTINCT page) AS link_docs FROM link_rows GROUP BY spot) s ON s.spot = p.spot
+LEFT JOIN (SELECT gram, count(DISTINCT doc_id) AS doc_freq FROM visible_grams GROUP BY gram) f ON f.gram = p.spot
+""")
+part("choice_rows", """
+SELECT spot, target AS entity, lp, links / spot_links AS commonness FROM stat_rows
+WHERE lp >= 0.02 AND links / spot_links >= 0.005
+""")
+part("spot_rows", "SELECT spot, min(lp) AS lp, count(*) AS n_cand FROM choice_rows GROUP BY spot")
+
+part("doc_rows", "SELECT md5(CAST(doc_id AS VARCHAR)) AS doc_id, text AS tx FROM documents")
+_gram_parts("doc", "doc_rows")
+part("article_texts", f"""
+SELECT '0-' || doc_id AS doc_id, coalesce(nullif(article, ''), {_PLAIN.format('seen')}) AS tx
+FROM article_rows WHERE {_PLAIN.format('seen')} <> ''
+""")
+_gram_parts("article", "article_texts")
+
+
+def _link_parts(name: str) -> None:
+    """Mentions, mentions without overlaps, and the best annotations by prior."""
+    part(f"{name}_hits", f"""
+SELECT g.doc_id, g.tok, g.n, g.c_start, g.c_end, g.gram AS spot, s.lp FROM {name}_grams g JOIN spot_rows s ON s.spot = g.gram
+""")
+    part(f"{name}_clean", f"""
+SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tok, n) - 1 AS ord FROM {name}_hits a
+WHERE NOT EXISTS (
+  SELECT 1 FROM {name}_hits b WHERE b.doc_id = a.doc_id AND b.tok < a.tok + a.n AND a.tok < b.tok + b.n
+  AND (b.c_end - b.c_start > a.c_end - a.c_start OR (b.c_end - b.c_start = a.c_end - a.c_start AND b.c_start < a.c_start)))
+""")
+    part(f"{name}_prior", f"""
+SELECT m.doc_id, m.c_start, m.c_end, m.spot, c.entity, round(m.lp * c.commonness, 4) AS score
+FROM {name}_clean m JOIN (SELECT spot, entity, commonness,
+       row_number() OVER (PARTITION BY spot ORDER BY commonness DESC, entity) AS place FROM choice_rows) c
+  ON c.spot = m.spot AND c.place = 1
+""")
+    part(f"{name}_best", f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c_start, c_end) AS place FROM {name}_prior)
+WHERE place <= 50 AND score >= 0.1
+""")
+
+
+_link_parts("doc")
+_link_parts("article")
+
+oracle("spot_stats", """
+SELECT spot, target, links, CAST(spot_links AS BIGINT) AS spot_links, link_docs, doc_freq, round(lp, 4) AS link_probability FROM stat_rows
+""")
+oracle("spot_lp_filter", "SELECT DISTINCT spot, round(lp, 4) AS link_probability FROM stat_rows WHERE lp >= 0.02")
+oracle("link_prior", """
+SELECT spot, target, round(links / spot_links, 4) AS commonness,
+       CAST(row_number() OVER (PARTITION BY spot ORDER BY links / spot_links DESC, target) AS INTEGER) AS rank
+FROM stat_rows WHERE links / spot_links >= 0.005
+""")
+_PLACE = 'CAST(c_start AS INTEGER) AS start, CAST(c_end AS INTEGER) AS "end"'
+oracle("spot_mentions", f"SELECT doc_id, spot, {_PLACE} FROM doc_hits")
+oracle("spot_overlap_filter", f"SELECT doc_id, spot, {_PLACE} FROM doc_clean")
+oracle("candidates", f"""
+SELECT m.doc_id, {_PLACE}, m.spot, c.entity, round(c.commonness, 4) AS commonness
+FROM doc_clean m JOIN choice_rows c ON c.spot = m.spot
+""")
+oracle("link_graph", "SELECT DISTINCT page, target FROM link_rows")
+oracle("link_degrees", """
+SELECT target AS node, count(DISTINCT page) AS degree, 'in' AS direction FROM link_rows GROUP BY target
+UNION ALL SELECT page, count(DISTINCT target), 'out' FROM link_rows GROUP BY page
+""")
+oracle("annot_topk", f"SELECT doc_id, {_PLACE}, spot, entity, score FROM doc_best")
+oracle("annot_list", """
+SELECT doc_id, string_agg(entity || '=' || CAST(score AS VARCHAR), '|' ORDER BY place) AS entities FROM doc_best GROUP BY doc_id
+""")
+oracle("annot_lines", """
+SELECT d.doc_id, d.doc_id || coalesce(string_agg(chr(9) || b.entity || ',' || CAST(b.score AS VARCHAR), '' ORDER BY b.place), '') AS line
+FROM doc_rows d LEFT JOIN doc_best b ON b.doc_id = d.doc_id GROUP BY d.doc_id
+""")
+
+
+def _mention_lines(name: str, source: str, key: str) -> str:
+    return f"""
+SELECT d.doc_id AS {key}, d.doc_id || coalesce(string_agg(
+         chr(9) || b.spot || ',' || CAST(CAST(b.c_start AS INTEGER) AS VARCHAR) || ',' || b.entity || ',' || CAST(b.score AS VARCHAR),
+         '' ORDER BY b.place), '') AS line
+FROM {source} d LEFT JOIN {name}_best b ON b.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+oracle("annot_mentions", _mention_lines("doc", "doc_rows", "doc_id"))
+oracle("article_link", _mention_lines("article", "article_texts", "stream_id"))
+oracle("annot_render", """
+SELECT d.doc_id, coalesce(r.parts, '') || substr(d.tx, CAST(coalesce(r.done, 0) AS BIGINT) + 1) AS rendered
+FROM doc_rows d LEFT JOIN (
+  SELECT doc_id, max(c_end) AS done, string_agg(
+      substr(tx, CAST(last_end AS BIGINT) + 1, CAST(c_start - last_end AS BIGINT)) || '<a href="#" onmouseover=''manage(' || entity || ')'' >'
+      || substr(tx, CAST(c_start AS BIGINT) + 1, CAST(c_end - c_start AS BIGINT)) || '</a>', '' ORDER BY c_start) AS parts
+  FROM (SELECT b.*, d.tx, coalesce(lag(b.c_end) OVER (PARTITION BY b.doc_id ORDER BY b.c_start), 0) AS last_end
+        FROM doc_best b JOIN doc_rows d ON d.doc_id = b.doc_id) GROUP BY doc_id) r ON r.doc_id = d.doc_id
+""")
+oracle("entity_label", """
+SELECT doc_id, CAST(c_start AS INTEGER) AS start, entity, 'Page ' || entity AS label FROM doc_best
+""")
+
+part("near_rows", """
+SELECT a.doc_id, a.ord, a.spot, b.spot AS other, b.lp AS other_lp FROM doc_clean a JOIN doc_clean b
+  ON b.doc_id = a.doc_id AND b.ord BETWEEN a.ord - 30 AND a.ord + 30 AND b.ord <> a.ord
+""")
+part("near_choices", """
+SELECT p.spot, p.other, x.entity, y.entity AS other_entity, y.commonness, s.n_cand
+FROM (SELECT DISTINCT spot, other FROM near_rows) p JOIN choice_rows x ON x.spot = p.spot
+JOIN choice_rows y ON y.spot = p.other JOIN spot_rows s ON s.spot = p.other
+""")
+part("edge_rows", "SELECT DISTINCT page, target FROM link_rows")
+part("in_rows", "SELECT target, count(*) AS n FROM edge_rows GROUP BY target")
+part("related_rows", """
+SELECT q.a, q.b, coalesce(s.c, 0) AS shared,
+       CASE WHEN s.c IS NULL THEN 0.0 WHEN least(x.n, y.n) = w.n THEN 1.0
+            ELSE greatest(0.0, 1 - (ln(greatest(x.n, y.n)) - ln(s.c)) / (ln(w.n) - ln(least(x.n, y.n)))) END AS rel
+FROM (SELECT DISTINCT least(entity, other_entity) AS a, greatest(entity, other_entity) AS b
+      FROM near_choices WHERE entity <> other_entity) q
+JOIN in_rows x ON x.target = q.a JOIN in_rows y ON y.target = q.b
+LEFT JOIN (SELECT e.target AS a, f.target AS b, count(*) AS c FROM edge_rows e JOIN edge_rows f ON f.page = e.page AND e.target < f.target
+           GROUP BY 1, 2) s ON s.a = q.a AND s.b = q.b
+CROSS JOIN (SELECT count(*) AS n FROM pages) w
+""")
+oracle("relatedness", "SELECT a, b, CAST(shared AS BIGINT) AS shared, round(rel, 4) AS relatedness FROM related_rows")
+
+part("given_rows", """
+SELECT n.spot, n.other, n.entity, sum(v.rel * n.commonness) / max(n.n_cand) AS vote,
+       max(v.rel) AS rel, max(n.n_cand) = 1 AS certain
+FROM near_choices n JOIN (SELECT a, b, rel FROM related_rows UNION ALL SELECT b, a, rel FROM related_rows
+                          UNION ALL SELECT DISTINCT entity, entity, 1.0 FROM choice_rows) v
+  ON v.a = n.entity AND v.b = n.other_entity GROUP BY n.spot, n.other, n.entity
+""")
+part("received_rows", """
+SELECT m.doc_id, m.ord, m.c_start, m.c_end, m.spot, m.lp, c.entity, c.commonness,
+       round(coalesce(r.votes, 0), 6) AS votes, round(coalesce(r.related, 0), 6) AS related,
+       coalesce(k.n_context, 0) AS n_context, round(coalesce(k.weight, 0), 6) AS weight
+FROM doc_clean m JOIN choice_rows c ON c.spot = m.spot
+LEFT JOIN (SELECT n.doc_id, n.ord, g.entity, sum(g.vote) AS votes,
+                  sum(CASE WHEN g.certain THEN g.rel * n.other_lp ELSE 0 END) AS related
+           FROM near_rows n JOIN given_rows g ON g.spot = n.spot AND g.other = n.other GROUP BY n.doc_id, n.ord, g.entity) r
+  ON r.doc_id = m.doc_id AND r.ord = m.ord AND r.entity = c.entity
+LEFT JOIN (SELECT n.doc_id, n.ord, count(*) AS n_context, sum(CASE WHEN s.n_cand = 1 THEN n.other_lp ELSE 0 END) AS weight
+           FROM near_rows n JOIN spot_rows s ON s.spot = n.other GROUP BY n.doc_id, n.ord) k ON k.doc_id = m.doc_id AND k.ord = m.ord
+""")
+oracle("link_tagme", f"""
+SELECT doc_id, {_PLACE}, spot, entity,
+       round((lp + CASE WHEN n_context > 0 THEN votes / n_context ELSE 0 END) / 2, 4) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, ord ORDER BY commonness DESC, entity) AS place
+      FROM (SELECT *, max(votes) OVER (PARTITION BY doc_id, ord) AS top FROM received_rows)
+      WHERE votes >= round(top * (1 - 0.7::DOUBLE), 6))
+WHERE place = 1
+""")
+oracle("link_features", f"""
+SELECT doc_id, {_PLACE}, spot, entity, round(lp, 4) AS link_probability, round(commonness, 4) AS commonness,
+       round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 4) AS context_relatedness, round(weight, 4) AS context_weight
+FROM received_rows
+""")
+oracle("annotate_hook", """
+SELECT doc_id, CAST(len(f) AS INTEGER) AS n, array_to_string(f, ' ') AS found
+FROM (SELECT doc_id, regexp_extract_all(tx, '[A-Za-z]{12,}') AS f FROM doc_rows) WHERE len(f) > 0
+""")
