@@ -139,7 +139,7 @@ def _with_received(mentions: DataFrame, votes: DataFrame, keys: list[str]) -> Da
 
     return joined.withColumn("received", F.transform("candidates", lambda c: F.struct(
         c["entity"].alias("entity"), c["commonness"].alias("commonness"),
-        F.round(of(c["entity"], "votes"), 6).alias("votes"), F.round(of(c["entity"], "related"), 6).alias("related"),
+        of(c["entity"], "votes").alias("votes"), of(c["entity"], "related").alias("related"),
     ))).drop("_sums")
 
 
@@ -154,7 +154,7 @@ def by_prior(docs: DataFrame, keys: list[str]) -> DataFrame:
     return docs.select(*keys, F.transform("mentions", lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), m["spot"].alias("spot"),
         F.get(m["candidates"], 0)["entity"].alias("entity"),
-        F.round(m["link_probability"] * F.get(m["candidates"], 0)["commonness"], 4).alias("score"),
+        F.round(m["link_probability"] * F.get(m["candidates"], 0)["commonness"], 6).alias("score"),
     )).alias("annotations"))
 
 
@@ -172,10 +172,10 @@ def by_votes(
     floor = F.array_max(F.transform("received", lambda c: c["votes"])) * F.lit(1 - epsilon)
     # Compared with six digits, so that equal sums in another order stay equal.
     chosen = received.withColumn("_floor", F.round(floor, 6)).withColumn(
-        "_chosen", F.get(F.filter("received", lambda c: c["votes"] >= F.col("_floor")), 0))
+        "_chosen", F.get(F.filter("received", lambda c: F.round(c["votes"], 6) >= F.col("_floor")), 0))
     coherence = F.when(F.size("context") > 0, F.col("_chosen.votes") / F.size("context")).otherwise(0.0)
     rows = chosen.select(*keys, "start", "end", "spot", F.col("_chosen.entity").alias("entity"),
-                         F.round((F.col("link_probability") + coherence) / 2, 4).alias("score"))
+                         F.round((F.col("link_probability") + coherence) / 2, 6).alias("score"))
     return _collected(rows, keys)
 
 
@@ -185,8 +185,8 @@ def link_features(
     """Per mention and candidate: commonness, relatedness to the certain neighbours, and their weight."""
     mentions = materialize(_with_context(docs, keys, window))
     received = _with_received(mentions, _votes(mentions, spots, graph, pages), keys).withColumn(
-        "context_weight", F.round(F.aggregate(
-            F.filter("context", lambda c: c["certain"]), F.lit(0.0), lambda t, c: t + c["weight"]), 6))
+        "context_weight", F.aggregate(
+            F.filter("context", lambda c: c["certain"]), F.lit(0.0), lambda t, c: t + c["weight"]))
     rows = unnest(received, [*keys, "start", "end", "spot", "link_probability", "context_weight"], "received",
                   "entity", "commonness", "related")
     return rows.select(
@@ -210,7 +210,7 @@ def scored_by(model, features: DataFrame) -> DataFrame:
     """Add the model's probability as ``score``."""
     from pyspark.ml.functions import vector_to_array
 
-    return model.transform(features).withColumn("score", F.round(F.get(vector_to_array("_probability"), 1), 4)).drop(
+    return model.transform(features).withColumn("score", F.round(F.get(vector_to_array("_probability"), 1), 6)).drop(
         "_vector", "_probability", "rawPrediction", "prediction")
 
 

@@ -83,9 +83,9 @@ def mention_list(items: DataFrame) -> DataFrame:
     return unnest(with_mentions(items), ["doc_id"], "mentions", "mention", "entity_type")
 
 
-def _mention_groups(items: DataFrame) -> DataFrame:
+def _mention_groups(items: DataFrame, *keep: str) -> DataFrame:
     """Per record, its short mentions grouped by text, each group in reading order."""
-    short = with_mentions(items).select("stream_id", "doc_id", F.sort_array(F.transform(
+    short = with_mentions(items).select("stream_id", "doc_id", *keep, F.sort_array(F.transform(
         F.filter("mentions", lambda m: F.length(m["mention"]) < MAX_MENTION),
         lambda m, i: F.struct(
             m["mention"].alias("entity"), i.alias("place"), m["tagger_rank"].alias("tagger_rank"),
@@ -98,8 +98,8 @@ def _as_map(entries: Column) -> Column:
     return F.map_from_entries(entries)
 
 
-def doc_entity_map(items: DataFrame) -> DataFrame:
-    """``(stream_id, doc_id, entities)`` with the count of each mention text; the map may be empty.
+def doc_entity_map(items: DataFrame, *keep: str) -> DataFrame:
+    """``(stream_id, doc_id, *keep, entities)`` with the count of each mention text; the map may be empty.
 
     A text first seen with the first tagger, or first seen at the end of a sentence, counts each
     time. One first seen later and in mid-sentence counts once there, and after that only at
@@ -110,7 +110,7 @@ def doc_entity_map(items: DataFrame) -> DataFrame:
         ends = F.size(F.filter(group["items"], lambda m: m["is_end"]))
         return F.when((first["tagger_rank"] == 1) | first["is_end"], F.size(group["items"])).otherwise(1 + ends)
 
-    return drop_null(_mention_groups(items).select("stream_id", "doc_id", _as_map(F.transform(
+    return drop_null(_mention_groups(items, *keep).select("stream_id", "doc_id", *keep, _as_map(F.transform(
         "groups", lambda g: F.struct(g["entity"].alias("entity"), count(g).alias("cnt")))).alias("entities")), "entities")
 
 
@@ -153,8 +153,9 @@ def retagged_map(labelled: DataFrame) -> DataFrame:
 
 
 def explode_map(maps: DataFrame, key: str = "entity", value: str = "cnt") -> DataFrame:
-    """Rows ``(stream_id, doc_id, key, value)`` of the entity maps."""
-    rows = maps.select("stream_id", "doc_id", F.explode_outer("entities").alias(key, value))
+    """One row ``(key, value)`` per entry of the ``entities`` maps, with their other columns."""
+    others = [c for c in maps.columns if c != "entities"]
+    rows = maps.select(*others, F.explode_outer("entities").alias(key, value))
     return rows.filter(F.col(key).isNotNull())
 
 

@@ -11,7 +11,8 @@ from tidewell.model import FIELDS
 from tidewell.operators import annotations, blocks, corpus, entities, hooks, index, linking, search, spans, spotting
 from tidewell.plans import fixtures as fx
 from tidewell.session import materialize, prepare, scratch_path
-from tidewell.sources import manifest, scan, sinks, tsv
+from tidewell.sources import chunks, manifest, scan, sinks, tsv
+from tidewell.streaming import counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +57,16 @@ def tsv_roundtrip(spark, sf_dir):
     return tsv.decode_lines(tsv.encode_lines(fx.texts(spark, sf_dir), "doc_id", "text"))
 
 
+@query
+def ingest_xz(spark, sf_dir):
+    """Write the documents as xz chunks of JSON lines, one per source, and read them back."""
+    path = scratch_path(spark, "chunks")
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    chunks.write_chunks(docs, path, "source").agg(F.sum("lines")).first()
+    stored = chunks.read_chunks(spark, path, "doc_id long, text string")
+    return stored.select(F.substring_index("chunk", "-", 1).alias("source"), "doc_id", F.length("text").alias("chars"))
+
+
 def _entity_maps(spark, sf_dir):
     return spans.doc_entity_map(fx.items(spark, sf_dir))
 
@@ -437,19 +448,19 @@ def _dictionary(spark, sf_dir):
 
 @query
 def spot_stats(spark, sf_dir):
-    return _stats(spark, sf_dir).withColumn("link_probability", F.round("link_probability", 4))
+    return _stats(spark, sf_dir).withColumn("link_probability", F.round("link_probability", 6))
 
 
 @query
 def spot_lp_filter(spark, sf_dir):
     return spotting.likely_spots(_stats(spark, sf_dir)).select(
-        "spot", F.round("link_probability", 4).alias("link_probability")).distinct()
+        "spot", F.round("link_probability", 6).alias("link_probability")).distinct()
 
 
 @query
 def link_prior(spark, sf_dir):
     return spotting.link_prior(_stats(spark, sf_dir)).select(
-        "spot", "target", F.round("commonness", 4).alias("commonness"), "rank")
+        "spot", "target", F.round("commonness", 6).alias("commonness"), "rank")
 
 
 def _mentions(spark, sf_dir, spots):
@@ -471,7 +482,7 @@ def spot_overlap_filter(spark, sf_dir):
 @query
 def candidates(spark, sf_dir):
     found = spotting.without_overlaps(_mentions(spark, sf_dir, _dictionary(spark, sf_dir)))
-    return spotting.candidates(found, KEY).withColumn("commonness", F.round("commonness", 4))
+    return spotting.candidates(found, KEY).withColumn("commonness", F.round("commonness", 6))
 
 
 @query
@@ -493,7 +504,7 @@ def relatedness(spark, sf_dir):
     spots = _dictionary(spark, sf_dir)
     found = spotting.without_overlaps(_mentions(spark, sf_dir, spots))
     pairs = materialize(linking.candidate_pairs(found, spots, KEY))
-    return linking.relatedness(pairs, *_graph(spark, sf_dir)).withColumn("relatedness", F.round("relatedness", 4))
+    return linking.relatedness(pairs, *_graph(spark, sf_dir)).withColumn("relatedness", F.round("relatedness", 6))
 
 
 def _clean_mentions(spark, sf_dir, spots):
@@ -513,7 +524,7 @@ def annot_topk(spark, sf_dir):
 @query
 def annot_list(spark, sf_dir):
     listed = annotations.annot_list(_annotated(spark, sf_dir), KEY)
-    parts = F.transform("entities", lambda e: F.concat_ws("=", e["entity"], F.round(e["score"].cast("double"), 4).cast("string")))
+    parts = F.transform("entities", lambda e: F.concat_ws("=", e["entity"], F.round(e["score"].cast("double"), 6).cast("string")))
     return listed.select("doc_id", F.array_join(parts, "|").alias("entities"))
 
 
@@ -552,7 +563,7 @@ def link_tagme(spark, sf_dir):
 def link_features(spark, sf_dir):
     spots = _dictionary(spark, sf_dir)
     rows = linking.link_features(_clean_mentions(spark, sf_dir, spots), spots, *_graph(spark, sf_dir), KEY)
-    return rows.select("doc_id", "start", "end", "spot", "entity", *[F.round(c, 4).alias(c) for c in linking.FEATURES])
+    return rows.select("doc_id", "start", "end", "spot", "entity", *[F.round(c, 6).alias(c) for c in linking.FEATURES])
 
 
 @query
@@ -591,3 +602,23 @@ def annotate_hook(spark, sf_dir):
         contents=lambda text: [text] if text else None,
         annotate_text=lambda model, text: model.findall(text),
     ).select(F.col("key").alias("doc_id"), F.size("values").alias("n"), F.array_join("values", " ").alias("found"))
+
+
+# --- streaming --------------------------------------------------------------
+
+@query
+def stream_docs_per_day(spark, sf_dir):
+    return counts.docs_per_day(counts.timed_stream(spark, sf_dir), scratch_path(spark, "stream-days"))
+
+
+@query
+def stream_entity_day(spark, sf_dir):
+    return counts.entities_per_day(counts.timed_stream(spark, sf_dir), scratch_path(spark, "stream-entities"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Every chunk is delivered twice."""
+    delivered = counts.timed_stream(spark, sf_dir).select("stream_id", "doc_id", "ts").unionByName(
+        counts.timed_stream(spark, sf_dir).select("stream_id", "doc_id", "ts"))
+    return counts.first_seen(delivered, scratch_path(spark, "stream-first")).select("stream_id", "doc_id")

@@ -61,8 +61,8 @@ def timed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(docs.join(events, "doc_id"))
 
 
-def records(joined: DataFrame) -> DataFrame:
-    """Flat columns of the corpus records from documents with a time."""
+def records(joined: DataFrame, *keep: str) -> DataFrame:
+    """Flat columns of the corpus records from documents with a time, and the ``keep`` columns."""
     epoch = F.unix_seconds("ts")
     key = F.md5(F.col("doc_id").cast("string"))
     host = F.concat("source", F.lit(".example.com"))
@@ -75,6 +75,7 @@ def records(joined: DataFrame) -> DataFrame:
         F.concat(F.lit("http://"), host, F.lit("/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
         "source", "text",
         F.concat_ws("-", "source", F.concat(F.date_format("ts", "yyyyMMdd"), F.lit(".parquet"))).alias("src_file"),
+        *keep,
     )
 
 

@@ -181,6 +181,7 @@ oracle("scan_items", "SELECT 'documents.parquet' AS chunk, md5(CAST(doc_id AS VA
 oracle("manifest_scan", "SELECT 'documents.parquet' AS chunk, lang, count(*) AS records FROM documents GROUP BY lang")
 oracle("quarantine", "SELECT 'no_such_chunk.parquet' AS path, 'missing' AS error")
 oracle("tsv_roundtrip", "SELECT md5(CAST(doc_id AS VARCHAR)) AS doc_id, text FROM documents")
+oracle("ingest_xz", "SELECT source, doc_id, CAST(length(text) AS INTEGER) AS chars FROM documents")
 oracle("entity_map_roundtrip", """
 SELECT c.doc_id, CAST(count(r.entity) AS INTEGER) AS n_entities, CAST(coalesce(sum(r.cnt), 0) AS INTEGER) AS mentions
 FROM corpus_rows c LEFT JOIN count_rows r ON r.doc_id = c.doc_id GROUP BY c.doc_id
@@ -501,7 +502,7 @@ WHERE NOT EXISTS (
   AND (b.c_end - b.c_start > a.c_end - a.c_start OR (b.c_end - b.c_start = a.c_end - a.c_start AND b.c_start < a.c_start)))
 """)
     part(f"{name}_prior", f"""
-SELECT m.doc_id, m.c_start, m.c_end, m.spot, c.entity, round(m.lp * c.commonness, 4) AS score
+SELECT m.doc_id, m.c_start, m.c_end, m.spot, c.entity, round(m.lp * c.commonness, 6) AS score
 FROM {name}_clean m JOIN (SELECT spot, entity, commonness,
        row_number() OVER (PARTITION BY spot ORDER BY commonness DESC, entity) AS place FROM choice_rows) c
   ON c.spot = m.spot AND c.place = 1
@@ -516,11 +517,11 @@ _link_parts("doc")
 _link_parts("article")
 
 oracle("spot_stats", """
-SELECT spot, target, links, CAST(spot_links AS BIGINT) AS spot_links, link_docs, doc_freq, round(lp, 4) AS link_probability FROM stat_rows
+SELECT spot, target, links, CAST(spot_links AS BIGINT) AS spot_links, link_docs, doc_freq, round(lp, 6) AS link_probability FROM stat_rows
 """)
-oracle("spot_lp_filter", "SELECT DISTINCT spot, round(lp, 4) AS link_probability FROM stat_rows WHERE lp >= 0.02")
+oracle("spot_lp_filter", "SELECT DISTINCT spot, round(lp, 6) AS link_probability FROM stat_rows WHERE lp >= 0.02")
 oracle("link_prior", """
-SELECT spot, target, round(links / spot_links, 4) AS commonness,
+SELECT spot, target, round(links / spot_links, 6) AS commonness,
        CAST(row_number() OVER (PARTITION BY spot ORDER BY links / spot_links DESC, target) AS INTEGER) AS rank
 FROM stat_rows WHERE links / spot_links >= 0.005
 """)
@@ -528,7 +529,7 @@ _PLACE = 'CAST(c_start AS INTEGER) AS start, CAST(c_end AS INTEGER) AS "end"'
 oracle("spot_mentions", f"SELECT doc_id, spot, {_PLACE} FROM doc_hits")
 oracle("spot_overlap_filter", f"SELECT doc_id, spot, {_PLACE} FROM doc_clean")
 oracle("candidates", f"""
-SELECT m.doc_id, {_PLACE}, m.spot, c.entity, round(c.commonness, 4) AS commonness
+SELECT m.doc_id, {_PLACE}, m.spot, c.entity, round(c.commonness, 6) AS commonness
 FROM doc_clean m JOIN choice_rows c ON c.spot = m.spot
 """)
 oracle("link_graph", "SELECT DISTINCT page, target FROM link_rows")
@@ -591,7 +592,7 @@ LEFT JOIN (SELECT e.target AS a, f.target AS b, count(*) AS c FROM edge_rows e J
            GROUP BY 1, 2) s ON s.a = q.a AND s.b = q.b
 CROSS JOIN (SELECT count(*) AS n FROM pages) w
 """)
-oracle("relatedness", "SELECT a, b, CAST(shared AS BIGINT) AS shared, round(rel, 4) AS relatedness FROM related_rows")
+oracle("relatedness", "SELECT a, b, CAST(shared AS BIGINT) AS shared, round(rel, 6) AS relatedness FROM related_rows")
 
 part("given_rows", """
 SELECT n.spot, n.other, n.entity, sum(v.rel * n.commonness) / max(n.n_cand) AS vote,
@@ -602,8 +603,8 @@ FROM near_choices n JOIN (SELECT a, b, rel FROM related_rows UNION ALL SELECT b,
 """)
 part("received_rows", """
 SELECT m.doc_id, m.ord, m.c_start, m.c_end, m.spot, m.lp, c.entity, c.commonness,
-       round(coalesce(r.votes, 0), 6) AS votes, round(coalesce(r.related, 0), 6) AS related,
-       coalesce(k.n_context, 0) AS n_context, round(coalesce(k.weight, 0), 6) AS weight
+       coalesce(r.votes, 0) AS votes, coalesce(r.related, 0) AS related,
+       coalesce(k.n_context, 0) AS n_context, coalesce(k.weight, 0) AS weight
 FROM doc_clean m JOIN choice_rows c ON c.spot = m.spot
 LEFT JOIN (SELECT n.doc_id, n.ord, g.entity, sum(g.vote) AS votes,
                   sum(CASE WHEN g.certain THEN g.rel * n.other_lp ELSE 0 END) AS related
@@ -614,18 +615,27 @@ LEFT JOIN (SELECT n.doc_id, n.ord, count(*) AS n_context, sum(CASE WHEN s.n_cand
 """)
 oracle("link_tagme", f"""
 SELECT doc_id, {_PLACE}, spot, entity,
-       round((lp + CASE WHEN n_context > 0 THEN votes / n_context ELSE 0 END) / 2, 4) AS score
+       round((lp + CASE WHEN n_context > 0 THEN votes / n_context ELSE 0 END) / 2, 6) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, ord ORDER BY commonness DESC, entity) AS place
       FROM (SELECT *, max(votes) OVER (PARTITION BY doc_id, ord) AS top FROM received_rows)
-      WHERE votes >= round(top * (1 - 0.7::DOUBLE), 6))
+      WHERE round(votes, 6) >= round(top * (1 - 0.7::DOUBLE), 6))
 WHERE place = 1
 """)
 oracle("link_features", f"""
-SELECT doc_id, {_PLACE}, spot, entity, round(lp, 4) AS link_probability, round(commonness, 4) AS commonness,
-       round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 4) AS context_relatedness, round(weight, 4) AS context_weight
+SELECT doc_id, {_PLACE}, spot, entity, round(lp, 6) AS link_probability, round(commonness, 6) AS commonness,
+       round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 6) AS context_relatedness, round(weight, 6) AS context_weight
 FROM received_rows
 """)
 oracle("annotate_hook", """
 SELECT doc_id, CAST(len(f) AS INTEGER) AS n, array_to_string(f, ' ') AS found
 FROM (SELECT doc_id, regexp_extract_all(tx, '[A-Za-z]{12,}') AS f FROM doc_rows) WHERE len(f) > 0
 """)
+
+# --- streaming --------------------------------------------------------------
+
+oracle("stream_docs_per_day", ORACLE["docs_per_day"])
+oracle("stream_entity_day", """
+SELECT CAST(left(strftime(to_timestamp(c.ticks) AT TIME ZONE 'UTC', '%Y%m%d'), 8) AS INTEGER) AS day, r.entity, CAST(sum(r.cnt) AS BIGINT) AS total
+FROM count_rows r JOIN corpus_rows c ON c.doc_id = r.doc_id GROUP BY 1, 2
+""")
+oracle("stream_dedup", "SELECT stream_id, doc_id FROM corpus_rows")
