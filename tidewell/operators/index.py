@@ -28,42 +28,76 @@ def _entity_bit(tagger: str, kind: Column) -> Column:
     return bit
 
 
-def _pass(sentences: Column, tagger: str, section_bit: Column) -> Column:
-    """Tokens of one tagger's pass over a section, empty when the tagger is missing."""
-    tokens = F.flatten(F.transform(
-        F.coalesce(F.element_at(sentences, tagger), F.array()), lambda s: F.coalesce(s["tokens"], F.array())))
-    return F.transform(tokens, lambda t: F.struct(
-        t["token"].alias("token"), t["lemma"].alias("lemma"),
-        section_bit.bitwiseOR(_entity_bit(tagger, t["entity_type"])).alias("bits")))
+def _passes(part: str) -> list[tuple[Column, str, Column]]:
+    """``(tokens, tagger, bit of the section's field)`` of each pass over the title or the body.
 
-
-def _section(sentences: Column, name: str) -> Column:
-    """Passes of all taggers over a section; the section's own field goes to the first of them."""
-    first, second = TAGGERS
-    later = F.when(F.element_at(sentences, first).isNotNull(), 0).otherwise(BIT[name])
-    passes = F.concat(_pass(sentences, first, F.lit(BIT[name])), _pass(sentences, second, later))
-    return F.coalesce(passes, F.array())
+    A pass's tokens are empty when its tagger, or the section, is missing. The section's own field
+    goes to the first tagger that is there.
+    """
+    if part == "title":
+        title = F.element_at("other_content", "title")
+        sentences = F.when(F.length(title["clean_visible"]) > 0, title["sentences"])
+    else:
+        sentences = F.col("body.sentences")
+    first, second = (F.element_at(sentences, name) for name in TAGGERS)
+    later = F.when(first.isNotNull(), 0).otherwise(BIT[part])
+    tokens = [F.flatten(F.transform(F.coalesce(s, F.array()), lambda x: F.coalesce(x["tokens"], F.array())))
+              for s in (first, second)]
+    return [(tokens[0], TAGGERS[0], F.lit(BIT[part])), (tokens[1], TAGGERS[1], later)]
+
+
+def _with_passes(items: DataFrame) -> tuple[DataFrame, list[tuple[Column, str, Column]]]:
+    """Keys and one array of tokens per pass; the passes with their column, tagger and section bit."""
+    passes = _passes("title") + _passes("body")
+    read = with_text(items).select("stream_id", "doc_id", *[
+        tokens.alias(f"_pass{i}") for i, (tokens, _, _) in enumerate(passes)], *[
+        bit.alias(f"_field{i}") for i, (_, _, bit) in enumerate(passes)])
+    return read, [(F.col(f"_pass{i}"), tagger, F.col(f"_field{i}")) for i, (_, tagger, _) in enumerate(passes)]
+
+
+def _flat_terms(items: DataFrame) -> DataFrame:
+    """Keys and the flat arrays ``_tokens`` and ``_lemmas`` of the term stream."""
+    read, passes = _with_passes(items)
+    return read.select(
+        "stream_id", "doc_id",
+        F.concat(*[tokens["token"] for tokens, _, _ in passes]).alias("_tokens"),
+        F.concat(*[tokens["lemma"] for tokens, _, _ in passes]).alias("_lemmas"))
+
+
+def _placed_terms(items: DataFrame) -> DataFrame:
+    """Keys and ``terms: array<struct<term, pos, surface, bits>>``, lemmas before surface forms."""
+    read, passes = _with_passes(items)
+
+    def terms_of(tokens: Column, tagger: str, field: Column, before: Column) -> tuple[Column, Column]:
+        lemmas = F.filter(F.transform(tokens, lambda t, i: F.struct(
+            t["lemma"].alias("term"), (i + before).alias("pos"), F.lit(0).alias("surface"),
+            F.lit(BIT["Lemma"]).alias("bits"))), lambda x: _is_lemma(x["term"]))
+        surfaces = F.transform(tokens, lambda t, i: F.struct(
+            t["token"].alias("term"), (i + before).alias("pos"), F.lit(1).alias("surface"),
+            field.bitwiseOR(_entity_bit(tagger, t["entity_type"])).alias("bits")))
+        return lemmas, surfaces
+
+    parts, before = [], F.lit(0)
+    for tokens, tagger, field in passes:
+        parts.extend(terms_of(tokens, tagger, field, before))
+        before = before + F.size(tokens)
+    return read.select("stream_id", "doc_id", F.concat(*parts).alias("terms"))
+
+
+def _is_lemma(lemma: Column) -> Column:
+    """A lemma is indexed when it has more than one letter, or is ``i``."""
+    return (F.length(lemma) > 1) | (lemma == "i")
 
 
-def with_terms(items: DataFrame) -> DataFrame:
-    """Add ``terms``, the document's term stream: title, then body, in each one pass per tagger.
+def term_stream(items: DataFrame) -> DataFrame:
+    """The terms of each document in order: title, then body, in each one pass per tagger.
 
-    Each token gives its lemma, when that has more than one letter or is ``i``, and then its surface
-    form. ``pos`` is the token's number in the document; a lemma and its surface form share it.
+    Each token gives its lemma (see :func:`_is_lemma`), with ``surface`` 0 and the field ``Lemma``,
+    and then its surface form with ``surface`` 1 and its fields. ``pos`` is the token's number in the
+    document; a lemma and its surface form share it.
     """
-    title = F.element_at("other_content", "title")
-    tokens = F.concat(
-        F.when(F.length(title["clean_visible"]) > 0, _section(title["sentences"], "title")).otherwise(F.array()),
-        _section(F.col("body.sentences"), "body"))
-    read = with_text(items).withColumn("_tokens", tokens)
-    terms = F.flatten(F.transform("_tokens", lambda t, i: F.concat(
-        F.when((F.length(t["lemma"]) > 1) | (t["lemma"] == "i"), F.array(F.struct(
-            t["lemma"].alias("term"), i.alias("pos"), F.lit(0).alias("surface"), F.lit(BIT["Lemma"]).alias("bits"))))
-        .otherwise(F.array()),
-        F.array(F.struct(
-            t["token"].alias("term"), i.alias("pos"), F.lit(1).alias("surface"), t["bits"].alias("bits"))),
-    )))
-    return read.withColumn("terms", terms).drop("_tokens")
+    rows = unnest(_placed_terms(items), ["stream_id", "doc_id"], "terms", "term", "pos", "surface", "bits")
+    return rows.withColumn("fields", field_names(F.col("bits"))).drop("bits")
 
 
 def field_names(bits: Column) -> Column:
@@ -71,11 +105,6 @@ def field_names(bits: Column) -> Column:
     return F.concat_ws(",", *[F.when(bits.bitwiseAND(bit) != 0, name) for name, bit in BIT.items()])
 
 
-def term_stream(items: DataFrame) -> DataFrame:
-    rows = unnest(with_terms(items), ["stream_id", "doc_id"], "terms", "term", "pos", "surface", "bits")
-    return rows.withColumn("fields", field_names(F.col("bits"))).drop("bits")
-
-
 def remove_stopwords(terms: DataFrame, stop: DataFrame) -> DataFrame:
     """Rows whose ``term`` is not in the one-column table ``stop``.
 
@@ -84,10 +113,16 @@ def remove_stopwords(terms: DataFrame, stop: DataFrame) -> DataFrame:
     return spread_join(terms, stop.select("term").distinct(), "term", [c for c in terms.columns if c != "term"], "left_anti")
 
 
-def _grouped(items: DataFrame, sized: bool) -> DataFrame:
-    rows = with_terms(items).select(
-        "stream_id", "doc_id", F.size("terms").alias("doc_len"), F.sort_array("terms").alias("sorted"))
-    return (group_sizes if sized else group_sorted)(rows, "sorted", "term", "groups").drop("sorted")
+def _doc_len() -> Column:
+    """Number of terms of a document."""
+    return F.size("_tokens") + F.size(F.filter("_lemmas", _is_lemma))
+
+
+def _counted(items: DataFrame) -> DataFrame:
+    """Keys, ``doc_len`` and ``groups: array<struct<term, n>>``, the document's terms in order."""
+    rows = _flat_terms(items).select("stream_id", "doc_id", _doc_len().alias("doc_len"), F.transform(
+        F.sort_array(F.concat("_tokens", F.filter("_lemmas", _is_lemma))), lambda t: F.struct(t.alias("term"))).alias("sorted"))
+    return group_sizes(rows, "sorted", "term", "groups").drop("sorted")
 
 
 def field_tf(field: str) -> Column:
@@ -97,8 +132,11 @@ def field_tf(field: str) -> Column:
 
 def occurrences(items: DataFrame) -> DataFrame:
     """One row per document and term with the term's ``occurrences`` in order."""
-    rows = unnest(_grouped(items, sized=False), ["stream_id", "doc_id", "doc_len"], "groups", "term", "items")
-    return rows.withColumnRenamed("items", "occurrences")
+    rows = _placed_terms(items).select(
+        "stream_id", "doc_id", F.size("terms").alias("doc_len"), F.sort_array("terms").alias("sorted"))
+    keep = ["stream_id", "doc_id", "doc_len"]
+    found = unnest(group_sorted(rows, "sorted", "term", "groups"), keep, "groups", "term", "items")
+    return found.withColumnRenamed("items", "occurrences")
 
 
 def inverted_index(items: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
@@ -113,17 +151,17 @@ def inverted_index(items: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFr
 
 def term_frequencies(items: DataFrame) -> DataFrame:
     """Postings without positions: ``(term, stream_id, doc_id, doc_len, tf)``."""
-    rows = unnest(_grouped(items, sized=True), ["stream_id", "doc_id", "doc_len"], "groups", "term", "n")
+    rows = unnest(_counted(items), ["stream_id", "doc_id", "doc_len"], "groups", "term", "n")
     return rows.withColumnRenamed("n", "tf")
 
 
 def direct_index(items: DataFrame) -> DataFrame:
     """Terms per document, in term order, with their frequencies."""
-    return _grouped(items, sized=True).select("stream_id", "doc_id", F.col("groups").alias("terms"))
+    return _counted(items).select("stream_id", "doc_id", F.col("groups").alias("terms"))
 
 
 def doc_lengths(items: DataFrame) -> DataFrame:
-    return with_terms(items).select("stream_id", "doc_id", F.size("terms").alias("doc_len"))
+    return _flat_terms(items).select("stream_id", "doc_id", _doc_len().alias("doc_len"))
 
 
 def vocabulary(postings: DataFrame, *by: str) -> DataFrame:

@@ -11,35 +11,44 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.arrays import drop_null, group_sizes, group_sorted, let, part_of, run_starts, unnest
+from tidewell.functions.arrays import drop_null, group_sizes, group_sorted, indexes, part_of, unnest
 from tidewell.model import MAX_MENTION, MENTION_TYPES, RETAGGED_CODES, RETAGGED_LENGTH, TAGGERS, TYPE_CODES
 
 
-def _runs(tokens: Column, label: str, text: Callable[[Column, Column], Column]) -> Column:
-    """Runs of equal ``label`` in one sentence, null runs without text."""
-    n = F.size(tokens)
-    return let(
-        run_starts(tokens, lambda t: t[label]),
-        lambda starts: F.transform(starts, lambda s, k: let(
-            F.struct(F.coalesce(F.get(starts, k + 1), n).alias("stop"), F.get(tokens, s)[label].alias("type")),
-            lambda run: F.struct(
-                s.alias("start"),
-                run["type"].alias("entity_type"),
-                (run["stop"] == n).alias("is_end"),
-                F.when(run["type"].isNotNull(), text(
-                    part_of(tokens, s, run["stop"], lambda t: t["token"]), run["type"],
-                )).alias("mention"),
-            ))))
+def _with_runs(rows: DataFrame, label: str, breaks: tuple[str, ...], emitted: Callable[[Column, Column], Column]) -> DataFrame:
+    """Add ``_runs``, the runs ``struct(start, stop, is_end)`` of equal labels in the flat array ``label``.
 
+    ``breaks`` are flat arrays at whose changes a sentence ends. ``emitted`` chooses the runs to keep
+    from their label and whether their sentence ends with them; null labels make no run.
+    """
+    labels, marks = F.col(label), [F.col(b) for b in breaks]
+    n = F.size(labels)
+
+    def sentence_changes(i: Column, j: Column) -> Column:
+        test = F.lit(False)
+        for mark in marks:
+            test = test | (F.get(mark, i) != F.get(mark, j))
+        return test
+
+    started = rows.withColumn("_starts", F.filter(indexes(n), lambda i: (
+        (i == 0) | ~F.get(labels, i).eqNullSafe(F.get(labels, i - 1)) | sentence_changes(i, i - 1))))
+    bounded = started.withColumn("_bounds", F.transform("_starts", lambda s, k: F.struct(
+        s.alias("start"), F.coalesce(F.get(F.col("_starts"), k + 1), n).alias("stop"))))
 
-def _spaced(tokens: Column, _type: Column) -> Column:
-    """Each token followed by one space."""
-    return F.concat(F.array_join(tokens, " "), F.lit(" "))
+    def is_end(run: Column) -> Column:
+        return (run["stop"] == n) | sentence_changes(run["stop"], run["start"])
 
+    runs = F.filter("_bounds", lambda r: emitted(F.get(labels, r["start"]), is_end(r)))
+    return bounded.withColumn("_runs", F.transform(runs, lambda r: F.struct(
+        r["start"].alias("start"), r["stop"].alias("stop"), is_end(r).alias("is_end")))).drop("_starts", "_bounds")
 
-def _is_emitted(run: Column) -> Column:
-    """A run ended by another type needs a mention type; one ended by the sentence any type."""
-    return run["mention"].isNotNull() & (run["is_end"] | run["entity_type"].isin(*MENTION_TYPES))
+
+def _joined(tokens: Column, run: Column) -> Column:
+    """The run's tokens, each followed by one space."""
+    one = run["stop"] - run["start"] == 1
+    text = F.when(one, F.get(tokens, run["start"])).otherwise(
+        F.array_join(part_of(tokens, run["start"], run["stop"]), " "))
+    return F.concat(text, F.lit(" "))
 
 
 def tagger_rank(tagger: Column) -> Column:
@@ -50,45 +59,66 @@ def tagger_rank(tagger: Column) -> Column:
     return rank
 
 
-def with_mentions(items: DataFrame) -> DataFrame:
-    """Add ``mentions``, a record's emitted runs in the order tagger, sentence, token.
+def flat_tokens(items: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the record's tokens as flat arrays, in the order tagger, sentence, token.
 
-    It is null for records without a body or without sentences.
+    ``_tokens`` and ``_types`` hold a value for each token, ``_ranks`` and ``_sents`` its tagger's rank
+    and its sentence's number. All are null for records without a body or without sentences.
     """
     by_tagger = F.array_sort(F.transform(
         F.map_entries("body.sentences"),
-        lambda e: F.struct(tagger_rank(e["key"]).alias("rank"), e["key"].alias("tagger"), e["value"].alias("sentences")),
-    ))
-    found = F.flatten(F.transform(by_tagger, lambda g: F.flatten(F.transform(
-        F.coalesce(g["sentences"], F.array()),
-        lambda sentence, no: F.transform(
-            F.filter(
-                _runs(F.coalesce(sentence["tokens"], F.array()), "entity_type", _spaced), _is_emitted),
-            lambda run: F.struct(
-                g["rank"].alias("tagger_rank"), g["tagger"].alias("tagger"), no.alias("sent_no"),
-                run["start"].alias("start"), run["mention"].alias("mention"),
-                run["entity_type"].alias("entity_type"), run["is_end"].alias("is_end"),
-            ))))))
-    return items.withColumn("mentions", F.when(F.size("body.sentences") > 0, found))
+        lambda e: F.struct(tagger_rank(e["key"]).alias("rank"), e["key"].alias("tagger"), e["value"].alias("sentences"))))
+    taggers = items.select(*keep, F.when(F.size("body.sentences") > 0, by_tagger).alias("_taggers"))
+
+    def flat(value: Callable[[Column, Column, Column], Column]) -> Column:
+        return F.flatten(F.flatten(F.transform("_taggers", lambda g: F.transform(
+            F.coalesce(g["sentences"], F.array()),
+            lambda s, no: F.coalesce(value(g, s["tokens"], no), F.array())))))
+
+    return taggers.select(
+        *keep, F.transform("_taggers", lambda g: g["tagger"]).alias("_names"),
+        flat(lambda g, tokens, no: tokens["token"]).alias("_tokens"),
+        flat(lambda g, tokens, no: tokens["entity_type"]).alias("_types"),
+        flat(lambda g, tokens, no: F.array_repeat(g["rank"], F.size(tokens))).alias("_ranks"),
+        flat(lambda g, tokens, no: F.array_repeat(no, F.size(tokens))).alias("_sents"),
+    )
+
+
+def with_mentions(items: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``mentions``, a record's emitted runs in the order tagger, sentence, token.
+
+    A run ended by another type needs a mention type, one ended by the sentence any type. ``mentions``
+    is null for records without a body or without sentences.
+    """
+    runs = _with_runs(
+        flat_tokens(items, list(keep)), "_types", ("_ranks", "_sents"),
+        lambda kind, end: kind.isNotNull() & (end | kind.isin(*MENTION_TYPES)))
+    return runs.select(*keep, "_names", F.transform("_runs", lambda r: F.struct(
+        F.get(F.col("_ranks"), r["start"]).alias("tagger_rank"),
+        F.get(F.col("_sents"), r["start"]).alias("sent_no"),
+        r["start"].alias("place"), r["stop"].alias("stop"), r["is_end"].alias("is_end"),
+        F.get(F.col("_types"), r["start"]).alias("entity_type"),
+        _joined(F.col("_tokens"), r).alias("mention"),
+    )).alias("mentions"))
 
 
 def ne_spans(items: DataFrame) -> DataFrame:
-    """One row per mention with its place."""
-    return unnest(with_mentions(items), ["stream_id", "doc_id"], "mentions",
-                  "tagger", "sent_no", "start", "mention", "entity_type", "is_end")
+    """One row per mention with its tagger's rank, its sentence and its first token in the record's stream."""
+    return unnest(with_mentions(items, "stream_id", "doc_id"), ["stream_id", "doc_id"], "mentions",
+                  "tagger_rank", "sent_no", "place", "mention", "entity_type", "is_end")
 
 
 def mention_list(items: DataFrame) -> DataFrame:
     """Text and type of every mention of all taggers, uncounted."""
-    return unnest(with_mentions(items), ["doc_id"], "mentions", "mention", "entity_type")
+    return unnest(with_mentions(items, "doc_id"), ["doc_id"], "mentions", "mention", "entity_type")
 
 
 def _mention_groups(items: DataFrame, *keep: str) -> DataFrame:
     """Per record, its short mentions grouped by text, each group in reading order."""
-    short = with_mentions(items).select("stream_id", "doc_id", *keep, F.sort_array(F.transform(
+    short = with_mentions(items, "stream_id", "doc_id", *keep).select("stream_id", "doc_id", *keep, F.sort_array(F.transform(
         F.filter("mentions", lambda m: F.length(m["mention"]) < MAX_MENTION),
-        lambda m, i: F.struct(
-            m["mention"].alias("entity"), i.alias("place"), m["tagger_rank"].alias("tagger_rank"),
+        lambda m: F.struct(
+            m["mention"].alias("entity"), m["place"].alias("place"), m["tagger_rank"].alias("tagger_rank"),
             m["is_end"].alias("is_end"), m["entity_type"].alias("entity_type")),
     )).alias("sorted"))
     return group_sorted(short, "sorted", "entity", "groups").drop("sorted")
@@ -136,17 +166,23 @@ def retagged_map(labelled: DataFrame) -> DataFrame:
     Only runs of the three coded labels count; the text ends in the label's digit, and its length is
     checked with the digit.
     """
-    def text(tokens: Column, label: Column) -> Column:
-        digit = F.lit(None).cast("string")
+    def digit(label: Column) -> Column:
+        out = F.lit(None).cast("string")
         for name, number in RETAGGED_CODES.items():
-            digit = F.when(label == name, str(number)).otherwise(digit)
-        return F.concat(F.array_join(tokens, " "), F.lit(" "), digit)
+            out = F.when(label == name, str(number)).otherwise(out)
+        return out
 
     low, high = RETAGGED_LENGTH
-    found = F.flatten(F.transform(
-        "sentences", lambda s: F.transform(_runs(s, "label", text), lambda r: r["mention"])))
-    kept = F.filter(found, lambda m: m.isNotNull() & (F.length(m) > low) & (F.length(m) < high))
-    rows = labelled.select("stream_id", "doc_id", F.sort_array(
+    flat = labelled.select(
+        "stream_id", "doc_id",
+        F.flatten(F.transform("sentences", lambda s: s["token"])).alias("_tokens"),
+        F.flatten(F.transform("sentences", lambda s: s["label"])).alias("_labels"),
+        F.flatten(F.transform("sentences", lambda s, no: F.array_repeat(no, F.size(s)))).alias("_sents"))
+    runs = _with_runs(flat, "_labels", ("_sents",), lambda label, end: label.isin(*RETAGGED_CODES))
+    found = F.transform("_runs", lambda r: F.concat(
+        _joined(F.col("_tokens"), r), digit(F.get(F.col("_labels"), r["start"]))))
+    kept = F.filter(found, lambda m: (F.length(m) > low) & (F.length(m) < high))
+    rows = runs.select("stream_id", "doc_id", F.sort_array(
         F.transform(kept, lambda m: F.struct(m.alias("entity")))).alias("sorted"))
     return group_sizes(rows, "sorted", "entity", "groups").select(
         "stream_id", "doc_id", _as_map(F.col("groups")).alias("entities"))

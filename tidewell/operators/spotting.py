@@ -21,32 +21,73 @@ def longest(spots: DataFrame) -> Column:
     return spots.agg(F.max(F.size(F.split("spot", " "))).alias("n")).scalar()
 
 
-def _with_grams(texts: DataFrame, keys: list[str], longest_spot: Column) -> DataFrame:
-    """Keys and ``grams``, the text's word sequences of every length up to the longest spot's."""
+# Dictionaries of at most this many spots are given to every task.
+FEW_SPOTS = 500_000
+
+
+def _with_words(texts: DataFrame, keys: list[str], longest_spot: Column) -> DataFrame:
+    """Keys, the text's ``_lower`` words, their ``_ends`` in the text, and ``_most`` words of a spot."""
     read = texts.select(*keys, words(F.col("text")).alias("_words"), F.split("text", "[A-Za-z]+").alias("_gaps"))
     # There is one gap more than words; the last total is not used.
     read = read.withColumn("_widths", F.zip_with(
         "_words", "_gaps", lambda w, g: F.coalesce(F.length(w), F.lit(0)) + F.length(g)))
-    read = running_totals(read, "_widths", "_ends").select(
-        *keys, "_words", "_ends", F.transform("_words", F.lower).alias("_lower"), F.coalesce(longest_spot, F.lit(0)).alias("_most"))
-    grams = F.flatten(F.transform("_words", lambda w, i: F.transform(
-        indexes(F.least(F.col("_most"), F.size("_words") - i)),
+    return running_totals(read, "_widths", "_ends").select(
+        *keys, F.transform("_words", F.lower).alias("_lower"), "_ends", F.coalesce(longest_spot, F.lit(0)).alias("_most"))
+
+
+def _grams_by_text(read: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, spot, items)``: each distinct word sequence of a text with its places, grouped in the row."""
+    grams = F.flatten(F.transform("_lower", lambda w, i: F.transform(
+        indexes(F.least(F.col("_most"), F.size("_lower") - i)),
         lambda k: F.struct(
-            F.when(k == 0, F.get(F.col("_lower"), i)).otherwise(
-                F.array_join(part_of(F.col("_lower"), i, i + k + 1), " ")).alias("spot"),
+            F.when(k == 0, w).otherwise(F.array_join(part_of(F.col("_lower"), i, i + k + 1), " ")).alias("spot"),
             i.alias("tok"), (k + 1).alias("n"),
             (F.get(F.col("_ends"), i) - F.length(w)).alias("start"),
             F.get(F.col("_ends"), i + k).alias("end"),
         ))))
-    return read.select(*keys, grams.alias("grams"))
-
-
-def spot_frequency(texts: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
+    grouped = group_sorted(read.select(*keys, F.sort_array(grams).alias("grams")), "grams", "spot", "found")
+    return unnest(grouped, keys, "found", "spot", "items")
+
+
+def _grams(read: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, spot, tok, n, start, end)``: each word sequence of a text."""
+    at = read.select("*", F.posexplode_outer("_lower").alias("tok", "_word")).filter(F.col("_word").isNotNull())
+    rows = at.select("*", F.explode_outer(F.sequence(F.lit(1), F.col("_most"))).alias("n")).filter(
+        F.col("tok") + F.col("n") <= F.size("_lower"))
+    return rows.select(
+        *keys,
+        F.when(F.col("n") == 1, F.col("_word")).otherwise(
+            F.array_join(F.slice("_lower", F.col("tok") + 1, F.col("n")), " ")).alias("spot"),
+        "tok", "n",
+        (F.get(F.col("_ends"), F.col("tok")) - F.length("_word")).alias("start"),
+        F.get(F.col("_ends"), F.col("tok") + F.col("n") - 1).alias("end"))
+
+
+def find_spots(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
+    """Mentions of the ``spots`` (unique, with any further columns): ``(keys, spot, ..., items)``.
+
+    ``items`` are places ``struct(tok, n, start, end)``; a text and spot may have several rows. A
+    dictionary counted to be small goes to all tasks, and word sequences outside it are dropped as
+    they come out of the text. For a large one, each text's equal sequences are grouped in its row
+    first, so the shuffle moves one row per text and distinct sequence.
+    """
+    if few is None:
+        few = spots.limit(FEW_SPOTS + 1).count() <= FEW_SPOTS
+    read = _with_words(texts, keys, longest(spots))
+    place = F.struct("tok", "n", "start", "end")
+    if few:
+        return _grams(read, keys).join(F.broadcast(spots), "spot").withColumn("items", F.array(place)).drop(
+            "tok", "n", "start", "end")
+    hits = spread_join(_grams_by_text(read, keys), spots, "spot", keys)
+    return hits.withColumn("items", F.transform("items", lambda g: F.struct(
+        *[g[f].alias(f) for f in ("tok", "n", "start", "end")])))
+
+
+def spot_frequency(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
     """``(spot, doc_freq)``: number of texts in which each spot occurs."""
     known = spots.select("spot").distinct()
-    grams = _with_grams(texts, keys, longest(known))
-    rows = unnest(grams, keys, F.array_distinct(F.transform("grams", lambda g: g["spot"]))).withColumnRenamed("item", "spot")
-    return spread_join(rows, known, "spot", keys, "left_semi").groupBy("spot").agg(F.count(F.lit(1)).alias("doc_freq"))
+    hits = find_spots(texts, known, keys, few)
+    return hits.select(*keys, "spot").distinct().groupBy("spot").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
 def spot_stats(anchors: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,16 +127,13 @@ def dictionary(stats: DataFrame) -> DataFrame:
         c["target"].alias("entity"), c["commonness"].alias("commonness"))).alias("candidates"))
 
 
-def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
+def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
     """Keys and ``mentions``, all dictionary mentions of a text in order of place.
 
     Texts without a mention have no row. A text's mentions are grouped by its key and are at most as
     many as it has word sequences.
     """
-    grams = _with_grams(texts, keys, longest(spots)).withColumn("grams", F.sort_array("grams"))
-    grouped = group_sorted(grams, "grams", "spot", "found")
-    rows = unnest(grouped, keys, "found", "spot", "items")
-    hits = spread_join(rows, spots, "spot", keys)
+    hits = find_spots(texts, spots, keys, few)
     collected = hits.groupBy(*keys).agg(F.collect_list(F.struct("spot", "link_probability", "candidates", "items")).alias("hits"))
     return collected.select(*keys, F.sort_array(F.flatten(F.transform("hits", lambda h: F.transform(
         h["items"], lambda g: F.struct(

@@ -166,7 +166,7 @@ def docs_per_day(spark, sf_dir):
 
 @query
 def ne_spans(spark, sf_dir):
-    return spans.ne_spans(fx.items(spark, sf_dir)).drop("stream_id")
+    return spans.ne_spans(fx.items(spark, sf_dir)).drop("stream_id", "place")
 
 
 @query

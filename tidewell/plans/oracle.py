@@ -218,8 +218,7 @@ FROM documents d JOIN events e ON d.doc_id = e.event_id GROUP BY 1
 # --- mentions and entities --------------------------------------------------
 
 oracle("ne_spans", """
-SELECT doc_id, tagger, CAST(sent_no AS INTEGER) AS sent_no, CAST(first_tok AS INTEGER) AS start,
-       mention, entity_type, is_end FROM mention_rows
+SELECT doc_id, tagger_rank, CAST(sent_no AS INTEGER) AS sent_no, mention, entity_type, is_end FROM mention_rows
 """)
 oracle("mention_list", "SELECT doc_id, mention, entity_type FROM mention_rows")
 oracle("ne_doc_counts", "SELECT doc_id, entity, cnt FROM count_rows")
