@@ -23,3 +23,21 @@ def spread_join(
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(fanout)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(fanout - 1))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+# Rows of a lookup table that every task may hold.
+SMALL_LOOKUP = 500_000
+
+
+def is_small(lookup: DataFrame, most: int = SMALL_LOOKUP) -> bool:
+    """Whether a table has at most ``most`` rows; counts no further than that."""
+    return lookup.limit(most + 1).count() <= most
+
+
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, on: list[str] | str, spread_on: list[str] | str, how: str = "inner",
+) -> DataFrame:
+    """Join with a stored lookup table: given to all tasks when counted to be small, else spread."""
+    if is_small(lookup):
+        return facts.join(F.broadcast(lookup), on, how)
+    return spread_join(facts, lookup, on, spread_on, how)

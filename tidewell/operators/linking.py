@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.arrays import unnest
 from tidewell.model import VOTE_EPSILON, VOTE_WINDOW
-from tidewell.operators.joins import spread_join
+from tidewell.operators.joins import lookup_join, spread_join
 from tidewell.session import materialize
 
 FEATURES = ("link_probability", "commonness", "context_relatedness", "context_weight")
@@ -55,36 +55,38 @@ def relatedness(pairs: DataFrame, graph: DataFrame, pages: DataFrame) -> DataFra
 
 
 def _with_context(docs: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """Mention rows with ``context``, the spots of the mentions at most ``window`` away."""
-    placed = docs.select(*keys, F.transform("mentions", lambda m, i: F.struct(
-        i.alias("ord"), *[m[f].alias(f) for f in ("start", "end", "spot", "link_probability", "candidates")],
-        F.transform(
-            F.filter(
-                F.sequence(F.greatest(i - window, F.lit(0)), F.least(i + window, F.size("mentions") - 1)),
-                lambda j: j != i),
-            lambda j: F.struct(
-                F.get(F.col("mentions"), j)["spot"].alias("spot"),
-                F.get(F.col("mentions"), j)["link_probability"].alias("weight"),
-                (F.size(F.get(F.col("mentions"), j)["candidates"]) == 1).alias("certain")),
-        ).alias("context"),
-    )).alias("placed"))
-    return unnest(placed, keys, "placed", "ord", "start", "end", "spot", "link_probability", "candidates", "context")
+    """Mention rows with ``context``, the spot ids of the mentions at most ``window`` away."""
+    read = docs.withColumn("_ids", F.col("mentions")["spot_id"]).select("*", F.posexplode_outer("mentions").alias("ord", "m"))
+    rows = read.filter(F.col("m").isNotNull())
+    place = F.col("ord")
+    context = F.concat(
+        F.slice("_ids", F.greatest(place - window, F.lit(0)) + 1, F.least(place, F.lit(window))),
+        F.slice("_ids", place + 2, F.lit(window)))
+    return rows.select(
+        *keys, "ord", *[F.col(f"m.{f}") for f in ("start", "end", "spot", "spot_id", "link_probability", "candidates")],
+        context.alias("context"))
 
 
 def _spot_pairs(mentions: DataFrame) -> DataFrame:
-    """Distinct ``(spot, other)`` of spots in each other's context."""
-    rows = unnest(mentions.select("spot", F.array_distinct("context").alias("context")), ["spot"], "context", "spot")
-    return rows.toDF("spot", "other").distinct()
+    """Distinct ``(spot_id, other_id)`` of spots in each other's context."""
+    rows = unnest(mentions.select("spot_id", F.array_distinct("context").alias("context")), ["spot_id"], "context")
+    return rows.toDF("spot_id", "other_id").distinct()
 
 
 def _entity_pairs(spot_pairs: DataFrame, spots: DataFrame) -> DataFrame:
-    """``(spot, other, entity, other_entity, other_commonness, other_n)`` of candidates in context."""
-    mine = spots.select("spot", F.col("candidates").alias("_mine"))
-    theirs = spots.select(F.col("spot").alias("other"), F.col("candidates").alias("_theirs"))
-    both = spread_join(spread_join(spot_pairs, mine, "spot", "other"), theirs, "other", "spot")
-    rows = unnest(both, ["spot", "other", "_theirs"], "_mine", "entity")
-    return unnest(rows.withColumn("other_n", F.size("_theirs")), ["spot", "other", "entity", "other_n"], "_theirs",
-                  "entity", "commonness").toDF("spot", "other", "entity", "other_n", "other_entity", "other_commonness")
+    """Candidates in each other's context.
+
+    ``(spot_id, other_id, entity, other_n, other_weight, other_entity, other_commonness)``
+    """
+    mine = spots.select("spot_id", F.col("candidates").alias("_mine"))
+    theirs = spots.select(
+        F.col("spot_id").alias("other_id"), F.col("link_probability").alias("other_weight"), F.col("candidates").alias("_theirs"))
+    both = lookup_join(lookup_join(spot_pairs, mine, "spot_id", "other_id"), theirs, "other_id", "spot_id")
+    rows = unnest(both, ["spot_id", "other_id", "other_weight", "_theirs"], "_mine", "entity").withColumn(
+        "other_n", F.size("_theirs"))
+    keep = ["spot_id", "other_id", "entity", "other_n", "other_weight"]
+    return unnest(rows, keep, "_theirs").select(
+        *keep, F.col("item.entity").alias("other_entity"), F.col("item.commonness").alias("other_commonness"))
 
 
 def _distinct_pairs(entity_pairs: DataFrame) -> DataFrame:
@@ -98,32 +100,31 @@ def candidate_pairs(docs: DataFrame, spots: DataFrame, keys: list[str], window:
 
 
 def _votes(mentions: DataFrame, spots: DataFrame, graph: DataFrame, pages: DataFrame) -> DataFrame:
-    """``(spot, other, entity, vote, related)``: what a neighbour's spot gives to a candidate.
+    """``(spot_id, other_id, votes)``: what a neighbour's spot gives to a spot's candidates.
 
     A vote depends on the two spots alone, so it is worked out once per pair of spots and not once
-    per place. ``related`` is the relatedness to the neighbour's first candidate.
+    per place. An entry is ``struct(entity, vote, related)``; ``related`` is the relatedness to a
+    neighbour with one candidate, times its weight, and 0 for other neighbours.
     """
     pairs = materialize(_entity_pairs(_spot_pairs(mentions), spots))
-    related = relatedness(materialize(_distinct_pairs(pairs)), graph, pages).filter(F.col("relatedness") > 0)
+    related = materialize(relatedness(materialize(_distinct_pairs(pairs)), graph, pages).filter(F.col("relatedness") > 0))
     keyed = pairs.withColumn("a", F.least("entity", "other_entity")).withColumn("b", F.greatest("entity", "other_entity"))
-    joined = spread_join(keyed, related.select("a", "b", "relatedness"), ["a", "b"], ["spot", "other"], "left")
+    joined = lookup_join(keyed, related.select("a", "b", "relatedness"), ["a", "b"], ["spot_id", "other_id"], "left")
     value = F.when(F.col("entity") == F.col("other_entity"), 1.0).otherwise(F.coalesce("relatedness", F.lit(0.0)))
-    votes = joined.withColumn("_r", value).filter(F.col("_r") > 0).groupBy("spot", "other", "entity").agg(
+    votes = joined.withColumn("_r", value).filter(F.col("_r") > 0).groupBy("spot_id", "other_id", "entity").agg(
         (F.sum(F.col("_r") * F.col("other_commonness")) / F.max("other_n")).alias("vote"),
-        F.max("_r").alias("related"))
-    return votes.groupBy("spot", "other").agg(F.collect_list(F.struct("entity", "vote", "related")).alias("votes"))
+        F.max(F.when(F.col("other_n") == 1, F.col("_r") * F.col("other_weight")).otherwise(0.0)).alias("related"))
+    return materialize(votes.groupBy("spot_id", "other_id").agg(
+        F.collect_list(F.struct("entity", "vote", "related")).alias("votes")))
 
 
 def _received(mentions: DataFrame, votes: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum of votes, and of weighted relatedness to certain neighbours, per mention and candidate."""
+    """Sums of votes and of weighted relatedness per mention and candidate; candidates without any are left out."""
     place = [*keys, "ord"]
-    neighbours = unnest(mentions.select(*place, F.col("spot").alias("_spot"), "context"), [*place, "_spot"], "context",
-                        "spot", "weight", "certain").toDF(*place, "spot", "other", "weight", "certain")
-    given = spread_join(neighbours, votes, ["spot", "other"], place)
-    rows = unnest(given, [*place, "weight", "certain"], "votes", "entity", "vote", "related")
-    return rows.groupBy(*place, "entity").agg(
-        F.sum("vote").alias("votes"),
-        F.sum(F.when(F.col("certain"), F.col("related") * F.col("weight")).otherwise(0.0)).alias("related"))
+    neighbours = unnest(mentions.select(*place, "spot_id", "context"), [*place, "spot_id"], "context")
+    given = lookup_join(neighbours.withColumnRenamed("item", "other_id"), votes, ["spot_id", "other_id"], place)
+    rows = unnest(given, place, "votes", "entity", "vote", "related")
+    return rows.groupBy(*place, "entity").agg(F.sum("vote").alias("votes"), F.sum("related").alias("related"))
 
 
 def _with_received(mentions: DataFrame, votes: DataFrame, keys: list[str]) -> DataFrame:
@@ -131,7 +132,7 @@ def _with_received(mentions: DataFrame, votes: DataFrame, keys: list[str]) -> Da
     place = [*keys, "ord"]
     sums = _received(mentions, votes, keys).groupBy(*place).agg(
         F.collect_list(F.struct("entity", "votes", "related")).alias("_sums"))
-    joined = mentions.join(sums, place, "left")
+    joined = mentions.withColumn("n_context", F.size("context")).drop("context").join(sums, place, "left")
 
     def of(entity: Column, field: str) -> Column:
         found = F.filter(F.coalesce("_sums", F.array()), lambda s: s["entity"] == entity)
@@ -167,13 +168,14 @@ def by_votes(
     A neighbour's vote is the mean over its candidates of relatedness times commonness. The score is
     the mean of the link probability and of the chosen candidate's average vote.
     """
-    mentions = materialize(_with_context(docs, keys, window))
+    # Stored without the contexts, which are many times larger and quickly made.
+    mentions = _with_context(materialize(docs), keys, window)
     received = _with_received(mentions, _votes(mentions, spots, graph, pages), keys)
     floor = F.array_max(F.transform("received", lambda c: c["votes"])) * F.lit(1 - epsilon)
     # Compared with six digits, so that equal sums in another order stay equal.
     chosen = received.withColumn("_floor", F.round(floor, 6)).withColumn(
         "_chosen", F.get(F.filter("received", lambda c: F.round(c["votes"], 6) >= F.col("_floor")), 0))
-    coherence = F.when(F.size("context") > 0, F.col("_chosen.votes") / F.size("context")).otherwise(0.0)
+    coherence = F.when(F.col("n_context") > 0, F.col("_chosen.votes") / F.col("n_context")).otherwise(0.0)
     rows = chosen.select(*keys, "start", "end", "spot", F.col("_chosen.entity").alias("entity"),
                          F.round((F.col("link_probability") + coherence) / 2, 6).alias("score"))
     return _collected(rows, keys)
@@ -183,10 +185,14 @@ def link_features(
     docs: DataFrame, spots: DataFrame, graph: DataFrame, pages: DataFrame, keys: list[str], window: int = VOTE_WINDOW,
 ) -> DataFrame:
     """Per mention and candidate: commonness, relatedness to the certain neighbours, and their weight."""
-    mentions = materialize(_with_context(docs, keys, window))
-    received = _with_received(mentions, _votes(mentions, spots, graph, pages), keys).withColumn(
-        "context_weight", F.aggregate(
-            F.filter("context", lambda c: c["certain"]), F.lit(0.0), lambda t, c: t + c["weight"]))
+    weighted = materialize(docs.withColumn("_weights", F.transform("mentions", lambda m, i: F.aggregate(
+        F.filter(
+            F.sequence(F.greatest(i - window, F.lit(0)), F.least(i + window, F.size("mentions") - 1)),
+            lambda j: (j != i) & (F.size(F.get(F.col("mentions"), j)["candidates"]) == 1)),
+        F.lit(0.0), lambda total, j: total + F.get(F.col("mentions"), j)["link_probability"]))))
+    mentions = _with_context(weighted, [*keys, "_weights"], window).withColumn(
+        "context_weight", F.get("_weights", "ord")).drop("_weights")
+    received = _with_received(mentions, _votes(mentions, spots, graph, pages), keys)
     rows = unnest(received, [*keys, "start", "end", "spot", "link_probability", "context_weight"], "received",
                   "entity", "commonness", "related")
     return rows.select(

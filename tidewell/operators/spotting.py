@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from tidewell.functions.arrays import group_sorted, indexes, part_of, running_totals, unnest
 from tidewell.functions.text import words
 from tidewell.model import MIN_COMMONNESS, MIN_LINK_PROBABILITY
-from tidewell.operators.joins import spread_join
+from tidewell.operators.index import number_in_order
+from tidewell.operators.joins import is_small, spread_join
+from tidewell.session import materialize
 
 
 def longest(spots: DataFrame) -> Column:
@@ -21,10 +23,6 @@ def longest(spots: DataFrame) -> Column:
     return spots.agg(F.max(F.size(F.split("spot", " "))).alias("n")).scalar()
 
 
-# Dictionaries of at most this many spots are given to every task.
-FEW_SPOTS = 500_000
-
-
 def _with_words(texts: DataFrame, keys: list[str], longest_spot: Column) -> DataFrame:
     """Keys, the text's ``_lower`` words, their ``_ends`` in the text, and ``_most`` words of a spot."""
     read = texts.select(*keys, words(F.col("text")).alias("_words"), F.split("text", "[A-Za-z]+").alias("_gaps"))
@@ -72,7 +70,7 @@ def find_spots(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool |
     first, so the shuffle moves one row per text and distinct sequence.
     """
     if few is None:
-        few = spots.limit(FEW_SPOTS + 1).count() <= FEW_SPOTS
+        few = is_small(spots)
     read = _with_words(texts, keys, longest(spots))
     place = F.struct("tok", "n", "start", "end")
     if few:
@@ -117,14 +115,18 @@ def link_prior(stats: DataFrame, least: float = MIN_COMMONNESS) -> DataFrame:
 
 
 def dictionary(stats: DataFrame) -> DataFrame:
-    """``(spot, link_probability, candidates)``, the candidates best first."""
+    """``(spot, spot_id, link_probability, candidates)``, the candidates best first.
+
+    The ids are dense; the table is stored in the shared folder, as every step of linking reads it.
+    """
     common = likely_spots(stats).withColumn("commonness", F.col("links") / F.col("spot_links")).filter(
         F.col("commonness") >= MIN_COMMONNESS)
     grouped = common.groupBy("spot").agg(
         F.min("link_probability").alias("link_probability"),
         F.sort_array(F.collect_list(F.struct((-F.col("commonness")).alias("_order"), "target", "commonness"))).alias("c"))
-    return grouped.select("spot", "link_probability", F.transform("c", lambda c: F.struct(
-        c["target"].alias("entity"), c["commonness"].alias("commonness"))).alias("candidates"))
+    numbered = number_in_order(grouped, "spot", "spot_id")
+    return materialize(numbered.select("spot", F.col("spot_id").cast("int").alias("spot_id"), "link_probability", F.transform(
+        "c", lambda c: F.struct(c["target"].alias("entity"), c["commonness"].alias("commonness"))).alias("candidates")))
 
 
 def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
@@ -134,11 +136,12 @@ def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool
     many as it has word sequences.
     """
     hits = find_spots(texts, spots, keys, few)
-    collected = hits.groupBy(*keys).agg(F.collect_list(F.struct("spot", "link_probability", "candidates", "items")).alias("hits"))
+    collected = hits.groupBy(*keys).agg(F.collect_list(F.struct(
+        "spot", "spot_id", "link_probability", "candidates", "items")).alias("hits"))
     return collected.select(*keys, F.sort_array(F.flatten(F.transform("hits", lambda h: F.transform(
         h["items"], lambda g: F.struct(
             g["tok"].alias("tok"), g["n"].alias("n"), g["start"].alias("start"), g["end"].alias("end"),
-            h["spot"].alias("spot"), h["link_probability"].alias("link_probability"),
+            h["spot"].alias("spot"), h["spot_id"].alias("spot_id"), h["link_probability"].alias("link_probability"),
             h["candidates"].alias("candidates")))))).alias("mentions"))
 
 

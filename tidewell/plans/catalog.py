@@ -442,8 +442,7 @@ def _stats(spark, sf_dir):
 
 
 def _dictionary(spark, sf_dir):
-    """The mention dictionary, written once: several steps of a query read it."""
-    return materialize(spotting.dictionary(_stats(spark, sf_dir)))
+    return spotting.dictionary(_stats(spark, sf_dir))
 
 
 @query
