@@ -18,8 +18,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def indexes(n: Column) -> Column:
-    """``[0 .. n-1]``, empty for ``n = 0``."""
-    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    """``[0 .. n-1]``, empty for ``n <= 0`` and null for a null ``n``."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).when(n <= 0, F.array().cast("array<int>"))
 
 
 def part_of(items: Column, start: Column, stop: Column, value: Callable[[Column], Column] = lambda x: x) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.model import STREAM_ITEM
 
@@ -14,7 +15,7 @@ SPLIT_BYTES = 32 * 1024 * 1024
 
 def read_items(spark: SparkSession, *paths: str, fmt: str = "parquet") -> DataFrame:
     """Every record of every chunk, with the chunk's base name in ``src_file``."""
-    schema = STREAM_ITEM[[f.name for f in STREAM_ITEM if f.name != "src_file"]]
+    schema = T.StructType([f for f in STREAM_ITEM if f.name != "src_file"])
     return (
         spark.read.schema(schema).format(fmt).load(list(paths))
         .withColumn("src_file", F.col("_metadata.file_name"))
