@@ -63,7 +63,7 @@ def _with_context(docs: DataFrame, keys: list[str], window: int) -> DataFrame:
         F.slice("_ids", F.greatest(place - window, F.lit(0)) + 1, F.least(place, F.lit(window))),
         F.slice("_ids", place + 2, F.lit(window)))
     return rows.select(
-        *keys, "ord", *[F.col(f"m.{f}") for f in ("start", "end", "spot", "spot_id", "link_probability", "candidates")],
+        *keys, "ord", *[F.col(f"m.{f}") for f in ("start", "end", "spot", "spot_id", "link_probability")],
         context.alias("context"))
 
 
@@ -127,12 +127,13 @@ def _received(mentions: DataFrame, votes: DataFrame, keys: list[str]) -> DataFra
     return rows.groupBy(*place, "entity").agg(F.sum("vote").alias("votes"), F.sum("related").alias("related"))
 
 
-def _with_received(mentions: DataFrame, votes: DataFrame, keys: list[str]) -> DataFrame:
+def _with_received(mentions: DataFrame, votes: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
     """Mention rows with ``received: array<struct<entity, commonness, votes, related>>``, best prior first."""
     place = [*keys, "ord"]
     sums = _received(mentions, votes, keys).groupBy(*place).agg(
         F.collect_list(F.struct("entity", "votes", "related")).alias("_sums"))
     joined = mentions.withColumn("n_context", F.size("context")).drop("context").join(sums, place, "left")
+    joined = lookup_join(joined, spots.select("spot_id", "candidates"), "spot_id", place)
 
     def of(entity: Column, field: str) -> Column:
         found = F.filter(F.coalesce("_sums", F.array()), lambda s: s["entity"] == entity)
@@ -154,8 +155,7 @@ def by_prior(docs: DataFrame, keys: list[str]) -> DataFrame:
     """Best candidate by commonness; its score is the chance that the spot is a link to it."""
     return docs.select(*keys, F.transform("mentions", lambda m: F.struct(
         m["start"].alias("start"), m["end"].alias("end"), m["spot"].alias("spot"),
-        F.get(m["candidates"], 0)["entity"].alias("entity"),
-        F.round(m["link_probability"] * F.get(m["candidates"], 0)["commonness"], 6).alias("score"),
+        m["entity"].alias("entity"), F.round(m["link_probability"] * m["commonness"], 6).alias("score"),
     )).alias("annotations"))
 
 
@@ -170,7 +170,7 @@ def by_votes(
     """
     # Stored without the contexts, which are many times larger and quickly made.
     mentions = _with_context(materialize(docs), keys, window)
-    received = _with_received(mentions, _votes(mentions, spots, graph, pages), keys)
+    received = _with_received(mentions, _votes(mentions, spots, graph, pages), spots, keys)
     floor = F.array_max(F.transform("received", lambda c: c["votes"])) * F.lit(1 - epsilon)
     # Compared with six digits, so that equal sums in another order stay equal.
     chosen = received.withColumn("_floor", F.round(floor, 6)).withColumn(
@@ -188,11 +188,11 @@ def link_features(
     weighted = materialize(docs.withColumn("_weights", F.transform("mentions", lambda m, i: F.aggregate(
         F.filter(
             F.sequence(F.greatest(i - window, F.lit(0)), F.least(i + window, F.size("mentions") - 1)),
-            lambda j: (j != i) & (F.size(F.get(F.col("mentions"), j)["candidates"]) == 1)),
+            lambda j: (j != i) & (F.get(F.col("mentions"), j)["n_candidates"] == 1)),
         F.lit(0.0), lambda total, j: total + F.get(F.col("mentions"), j)["link_probability"]))))
     mentions = _with_context(weighted, [*keys, "_weights"], window).withColumn(
         "context_weight", F.get("_weights", "ord")).drop("_weights")
-    received = _with_received(mentions, _votes(mentions, spots, graph, pages), keys)
+    received = _with_received(mentions, _votes(mentions, spots, graph, pages), spots, keys)
     rows = unnest(received, [*keys, "start", "end", "spot", "link_probability", "context_weight"], "received",
                   "entity", "commonness", "related")
     return rows.select(

@@ -14,7 +14,7 @@ from tidewell.functions.arrays import group_sorted, indexes, part_of, running_to
 from tidewell.functions.text import words
 from tidewell.model import MIN_COMMONNESS, MIN_LINK_PROBABILITY
 from tidewell.operators.index import number_in_order
-from tidewell.operators.joins import is_small, spread_join
+from tidewell.operators.joins import is_small, lookup_join, spread_join
 from tidewell.session import materialize
 
 
@@ -23,6 +23,10 @@ def longest(spots: DataFrame) -> Column:
     return spots.agg(F.max(F.size(F.split("spot", " "))).alias("n")).scalar()
 
 
+PLACE = ("tok", "n", "start", "end")
+MENTION = (*PLACE, "spot", "spot_id", "link_probability", "entity", "commonness", "n_candidates")
+
+
 def _with_words(texts: DataFrame, keys: list[str], longest_spot: Column) -> DataFrame:
     """Keys, the text's ``_lower`` words, their ``_ends`` in the text, and ``_most`` words of a spot."""
     read = texts.select(*keys, words(F.col("text")).alias("_words"), F.split("text", "[A-Za-z]+").alias("_gaps"))
@@ -62,23 +66,19 @@ def _grams(read: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def find_spots(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
-    """Mentions of the ``spots`` (unique, with any further columns): ``(keys, spot, ..., items)``.
+    """Mentions of the ``spots`` (unique, with any further columns): ``(keys, spot, ..., tok, n, start, end)``.
 
-    ``items`` are places ``struct(tok, n, start, end)``; a text and spot may have several rows. A
-    dictionary counted to be small goes to all tasks, and word sequences outside it are dropped as
+    A dictionary counted to be small goes to all tasks, and word sequences outside it are dropped as
     they come out of the text. For a large one, each text's equal sequences are grouped in its row
     first, so the shuffle moves one row per text and distinct sequence.
     """
     if few is None:
         few = is_small(spots)
     read = _with_words(texts, keys, longest(spots))
-    place = F.struct("tok", "n", "start", "end")
     if few:
-        return _grams(read, keys).join(F.broadcast(spots), "spot").withColumn("items", F.array(place)).drop(
-            "tok", "n", "start", "end")
+        return _grams(read, keys).join(F.broadcast(spots), "spot")
     hits = spread_join(_grams_by_text(read, keys), spots, "spot", keys)
-    return hits.withColumn("items", F.transform("items", lambda g: F.struct(
-        *[g[f].alias(f) for f in ("tok", "n", "start", "end")])))
+    return unnest(hits, [c for c in hits.columns if c != "items"], "items", *PLACE)
 
 
 def spot_frequency(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
@@ -132,17 +132,15 @@ def dictionary(stats: DataFrame) -> DataFrame:
 def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
     """Keys and ``mentions``, all dictionary mentions of a text in order of place.
 
-    Texts without a mention have no row. A text's mentions are grouped by its key and are at most as
+    A mention (see :data:`MENTION`) has its spot's best candidate and number of candidates. Texts without a mention have no row. A text's mentions are grouped by its key and are at most as
     many as it has word sequences.
     """
-    hits = find_spots(texts, spots, keys, few)
-    collected = hits.groupBy(*keys).agg(F.collect_list(F.struct(
-        "spot", "spot_id", "link_probability", "candidates", "items")).alias("hits"))
-    return collected.select(*keys, F.sort_array(F.flatten(F.transform("hits", lambda h: F.transform(
-        h["items"], lambda g: F.struct(
-            g["tok"].alias("tok"), g["n"].alias("n"), g["start"].alias("start"), g["end"].alias("end"),
-            h["spot"].alias("spot"), h["spot_id"].alias("spot_id"), h["link_probability"].alias("link_probability"),
-            h["candidates"].alias("candidates")))))).alias("mentions"))
+    best = F.get("candidates", 0)
+    slim = spots.select(
+        "spot", "spot_id", "link_probability", best["entity"].alias("entity"), best["commonness"].alias("commonness"),
+        F.size("candidates").alias("n_candidates"))
+    return find_spots(texts, slim, keys, few).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(*MENTION))).alias("mentions"))
 
 
 def without_overlaps(docs: DataFrame) -> DataFrame:
@@ -154,7 +152,8 @@ def without_overlaps(docs: DataFrame) -> DataFrame:
     def beats(other: Column, one: Column) -> Column:
         overlap = (other["tok"] < one["tok"] + one["n"]) & (one["tok"] < other["tok"] + other["n"])
         gain = (other["end"] - other["start"]) - (one["end"] - one["start"])
-        return overlap & ((gain > 0) | ((gain == 0) & (other["start"] < one["start"])))
+        # One word alone beats nothing: what shares that word is longer.
+        return (other["n"] > 1) & overlap & ((gain > 0) | ((gain == 0) & (other["start"] < one["start"])))
 
     widest = F.array_max(F.transform("mentions", lambda m: m["n"]))
     reach = docs.withColumn("_reach", widest * widest)
@@ -166,9 +165,11 @@ def without_overlaps(docs: DataFrame) -> DataFrame:
 
 def mention_rows(docs: DataFrame, keys: list[str]) -> DataFrame:
     """One row per mention."""
-    return unnest(docs, keys, "mentions", "tok", "n", "start", "end", "spot", "link_probability", "candidates", place="ord")
+    return unnest(docs, keys, "mentions", *MENTION, place="ord")
 
 
-def candidates(docs: DataFrame, keys: list[str]) -> DataFrame:
+def candidates(docs: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
     """One row per mention and candidate entity."""
-    return unnest(mention_rows(docs, keys), [*keys, "start", "end", "spot"], "candidates", "entity", "commonness")
+    rows = mention_rows(docs, keys).select(*keys, "start", "end", "spot", "spot_id")
+    known = lookup_join(rows, spots.select("spot_id", "candidates"), "spot_id", keys)
+    return unnest(known, [*keys, "start", "end", "spot"], "candidates", "entity", "commonness")

@@ -480,8 +480,9 @@ def spot_overlap_filter(spark, sf_dir):
 
 @query
 def candidates(spark, sf_dir):
-    found = spotting.without_overlaps(_mentions(spark, sf_dir, _dictionary(spark, sf_dir)))
-    return spotting.candidates(found, KEY).withColumn("commonness", F.round("commonness", 6))
+    spots = _dictionary(spark, sf_dir)
+    found = spotting.without_overlaps(_mentions(spark, sf_dir, spots))
+    return spotting.candidates(found, spots, KEY).withColumn("commonness", F.round("commonness", 6))
 
 
 @query
