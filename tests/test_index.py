@@ -92,3 +92,10 @@ def test_rank_range_and_phrases(spark, corpus):
     pairs = search.adjacent_pairs(terms)
     found = search.pair_postings(postings, pairs).collect()
     assert [(r.doc_id, r.term) for r in found] == [("a", "red car")]
+
+
+def test_stopword_file(spark, tmp_path):
+    (tmp_path / "stop.txt").write_text("the\n of \n\n")
+    terms = spark.createDataFrame([("d", "the", 3), ("d", "The", 1), ("d", "car", 2)], "doc_id string, term string, tf int")
+    left = index.remove_stopwords(terms, index.read_stopwords(spark, str(tmp_path / "stop.txt")))
+    assert {r.term for r in left.collect()} == {"The", "car"}

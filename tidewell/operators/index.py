@@ -6,14 +6,14 @@ the only shuffles are those by term, of one row per document and term.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.arrays import group_sizes, group_sorted, unnest
 from tidewell.functions.text import shard_of
 from tidewell.model import FIELDS, META_LENGTHS, TAGGERS
 from tidewell.operators.corpus import doc_props, with_text
-from tidewell.operators.joins import spread_join
+from tidewell.operators.joins import lookup_join
 from tidewell.session import materialize
 from tidewell.sources.sinks import sink
 
@@ -108,9 +108,14 @@ def field_names(bits: Column) -> Column:
 def remove_stopwords(terms: DataFrame, stop: DataFrame) -> DataFrame:
     """Rows whose ``term`` is not in the one-column table ``stop``.
 
-    Stop words are the most frequent terms, so the rows are spread over sub-keys.
+    Stop words are the most frequent terms: a list too long for all tasks is joined over sub-keys.
     """
-    return spread_join(terms, stop.select("term").distinct(), "term", [c for c in terms.columns if c != "term"], "left_anti")
+    return lookup_join(terms, stop.select("term").distinct(), "term", [c for c in terms.columns if c != "term"], "left_anti")
+
+
+def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
+    """A stop-word file with one word a line."""
+    return spark.read.text(path).select(F.trim("value").alias("term")).filter(F.col("term") != "").distinct()
 
 
 def _doc_len() -> Column:

@@ -166,7 +166,7 @@ def lemma_table(entities: DataFrame) -> DataFrame:
 
 
 def stopwords(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOPWORDS], "term string")
+    return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in STOPWORDS])).alias("term"))
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:

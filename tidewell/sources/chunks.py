@@ -84,9 +84,10 @@ def broken_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    """Paths under ``path``, one file to a partition while there are files enough."""
+    """Paths under ``path``, dealt out over many tasks; the contents are not loaded here."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    return listing.repartition(max(1, len(listing.inputFiles())))
+    most = 16 * spark.sparkContext.defaultParallelism
+    return listing.repartition(max(1, min(len(listing.inputFiles()), most)))
 
 
 def write_chunks(df: DataFrame, path: str, chunk: str, compress: bool = True) -> DataFrame:

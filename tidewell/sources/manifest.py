@@ -75,7 +75,6 @@ def quarantine(spark: SparkSession, paths: DataFrame, base: str = "", tasks: int
                     found.append((path, f"unreadable: {type(error).__name__}"))
             yield pd.DataFrame(found, columns=["path", "error"])
 
-    listed = paths.select("path").distinct()
-    if tasks:
-        listed = listed.repartition(tasks, "path")
+    # A count of its own: a path list is small, and would be merged into one task by its size.
+    listed = paths.select("path").distinct().repartition(tasks or 4 * spark.sparkContext.defaultParallelism)
     return listed.mapInPandas(check, "path string, error string")
