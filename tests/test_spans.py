@@ -91,3 +91,18 @@ def test_kb_join_is_inner(spark):
     docs = spark.createDataFrame([("s", "d", "us", 2), ("s", "d", "zz", 1)], "stream_id string, doc_id string, norm string, cnt int")
     kb = spark.createDataFrame([("kb:1", "us", 9)], "kb_id string, norm string, score int")
     assert [tuple(r) for r in entities.entity_kb_join(docs, kb).collect()] == [("us", "kb:1", 9, "d", 2)]
+
+
+def test_a_lone_tagger_is_the_first(corpus):
+    df = corpus(item(taggers={"lingpipecounter": sentences("Bob/PER x Bob/PER y")}))
+    assert counts(df) == {("d", "Bob "): 2}
+
+
+def test_runs_of_two_unknown_taggers_stay_apart(corpus):
+    df = corpus(item(taggers={"one": sentences("Ann/PER"), "two": sentences("Lee/PER")}))
+    assert counts(df) == {("d", "Ann "): 1, ("d", "Lee "): 1}
+
+
+def test_sentences_without_tokens(corpus):
+    df = corpus(item(taggers={"serif": [{"tokens": None}, {"tokens": []}, *sentences("Ann/PER x")]}))
+    assert counts(df) == {("d", "Ann "): 1}

@@ -51,7 +51,7 @@ def _joined(tokens: Column, run: Column) -> Column:
     return F.concat(text, F.lit(" "))
 
 
-def tagger_rank(tagger: Column) -> Column:
+def tagger_order(tagger: Column) -> Column:
     """Known taggers in their fixed order, others after them."""
     rank = F.lit(len(TAGGERS) + 1)
     for place, name in reversed(list(enumerate(TAGGERS, start=1))):
@@ -62,25 +62,26 @@ def tagger_rank(tagger: Column) -> Column:
 def flat_tokens(items: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` and the record's tokens as flat arrays, in the order tagger, sentence, token.
 
-    ``_tokens`` and ``_types`` hold a value for each token, ``_ranks`` and ``_sents`` its tagger's rank
-    and its sentence's number. All are null for records without a body or without sentences.
+    ``_tokens`` and ``_types`` hold a value for each token, ``_ranks`` and ``_sents`` its tagger's place
+    among the record's taggers, from 1, and its sentence's number. All are null for records without a
+    body or without sentences.
     """
     by_tagger = F.array_sort(F.transform(
         F.map_entries("body.sentences"),
-        lambda e: F.struct(tagger_rank(e["key"]).alias("rank"), e["key"].alias("tagger"), e["value"].alias("sentences"))))
+        lambda e: F.struct(tagger_order(e["key"]), e["key"].alias("tagger"), e["value"].alias("sentences"))))
     taggers = items.select(*keep, F.when(F.size("body.sentences") > 0, by_tagger).alias("_taggers"))
 
     def flat(value: Callable[[Column, Column, Column], Column]) -> Column:
-        return F.flatten(F.flatten(F.transform("_taggers", lambda g: F.transform(
+        return F.flatten(F.flatten(F.transform("_taggers", lambda g, place: F.transform(
             F.coalesce(g["sentences"], F.array()),
-            lambda s, no: F.coalesce(value(g, s["tokens"], no), F.array())))))
+            lambda s, no: F.coalesce(value(place + 1, s["tokens"], no), F.array())))))
 
     return taggers.select(
-        *keep, F.transform("_taggers", lambda g: g["tagger"]).alias("_names"),
-        flat(lambda g, tokens, no: tokens["token"]).alias("_tokens"),
-        flat(lambda g, tokens, no: tokens["entity_type"]).alias("_types"),
-        flat(lambda g, tokens, no: F.array_repeat(g["rank"], F.size(tokens))).alias("_ranks"),
-        flat(lambda g, tokens, no: F.array_repeat(no, F.size(tokens))).alias("_sents"),
+        *keep,
+        flat(lambda rank, tokens, no: tokens["token"]).alias("_tokens"),
+        flat(lambda rank, tokens, no: tokens["entity_type"]).alias("_types"),
+        flat(lambda rank, tokens, no: F.array_repeat(rank, F.size(tokens))).alias("_ranks"),
+        flat(lambda rank, tokens, no: F.array_repeat(no, F.size(tokens))).alias("_sents"),
     )
 
 
@@ -93,7 +94,7 @@ def with_mentions(items: DataFrame, *keep: str) -> DataFrame:
     runs = _with_runs(
         flat_tokens(items, list(keep)), "_types", ("_ranks", "_sents"),
         lambda kind, end: kind.isNotNull() & (end | kind.isin(*MENTION_TYPES)))
-    return runs.select(*keep, "_names", F.transform("_runs", lambda r: F.struct(
+    return runs.select(*keep, F.transform("_runs", lambda r: F.struct(
         F.get(F.col("_ranks"), r["start"]).alias("tagger_rank"),
         F.get(F.col("_sents"), r["start"]).alias("sent_no"),
         r["start"].alias("place"), r["stop"].alias("stop"), r["is_end"].alias("is_end"),
@@ -131,7 +132,7 @@ def _as_map(entries: Column) -> Column:
 def doc_entity_map(items: DataFrame, *keep: str) -> DataFrame:
     """``(stream_id, doc_id, *keep, entities)`` with the count of each mention text; the map may be empty.
 
-    A text first seen with the first tagger, or first seen at the end of a sentence, counts each
+    A text first seen with the record's first tagger, or first seen at the end of a sentence, counts each
     time. One first seen later and in mid-sentence counts once there, and after that only at
     sentence ends.
     """

@@ -608,17 +608,17 @@ def annotate_hook(spark, sf_dir):
 
 @query
 def stream_docs_per_day(spark, sf_dir):
-    return counts.docs_per_day(counts.timed_stream(spark, sf_dir), scratch_path(spark, "stream-days"))
+    return counts.docs_per_day(fx.timed_stream(spark, sf_dir), scratch_path(spark, "stream-days"))
 
 
 @query
 def stream_entity_day(spark, sf_dir):
-    return counts.entities_per_day(counts.timed_stream(spark, sf_dir), scratch_path(spark, "stream-entities"))
+    return counts.entities_per_day(fx.stream_items(fx.timed_stream(spark, sf_dir)), scratch_path(spark, "stream-entities"))
 
 
 @query
 def stream_dedup(spark, sf_dir):
     """Every chunk is delivered twice."""
-    delivered = counts.timed_stream(spark, sf_dir).select("stream_id", "doc_id", "ts").unionByName(
-        counts.timed_stream(spark, sf_dir).select("stream_id", "doc_id", "ts"))
+    delivered = fx.timed_stream(spark, sf_dir).select("stream_id", "doc_id", "ts").unionByName(
+        fx.timed_stream(spark, sf_dir).select("stream_id", "doc_id", "ts"))
     return counts.first_seen(delivered, scratch_path(spark, "stream-first")).select("stream_id", "doc_id")

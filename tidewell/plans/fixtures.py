@@ -183,3 +183,16 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_labels(stats: DataFrame) -> DataFrame:
     """``(entity, label)`` of every link target."""
     return stats.select(F.col("target").alias("entity")).distinct().withColumn("label", F.concat(F.lit("Page "), "entity"))
+
+
+EVENTS = "event_id long, ts timestamp_ntz"
+
+
+def timed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat corpus records with their ``ts`` as a stream: arriving events with the documents they announce."""
+    events = (
+        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        .select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"))
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return records(events.join(docs, "doc_id"), "ts")

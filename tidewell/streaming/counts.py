@@ -6,26 +6,11 @@ writes to a folder of its own number, so one that is repeated after a failure re
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import day_key
 from tidewell.operators.spans import doc_entity_map, explode_map
-from tidewell.plans import fixtures as fx
-
-EVENTS = "event_id long, ts timestamp_ntz"
-
-
-def timed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus records as a stream: arriving events with the documents they announce."""
-    events = (
-        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-        .select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"))
-    )
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    joined = events.join(docs, "doc_id")
-    return fx.records(joined, "ts")
-
 
 def _run(stream: DataFrame, path: str, mode: str, write) -> None:
     query = (
@@ -53,16 +38,19 @@ def docs_per_day(stream: DataFrame, path: str, lateness: str = "1 day") -> DataF
     return _append_batches(days, path, "update").groupBy("day").agg(F.max_by("docs", "batch").alias("docs"))
 
 
-def entities_per_day(stream: DataFrame, path: str) -> DataFrame:
-    """Entity totals per day. Counts add up, so each micro-batch writes its own and keeps no state."""
+def entities_per_day(items: DataFrame, path: str) -> DataFrame:
+    """Entity totals per day of a stream of corpus records.
+
+    Counts add up, so each micro-batch writes its own and no state is kept.
+    """
     def write(rows: DataFrame, batch: int) -> None:
-        dated = fx.stream_items(rows).withColumn("day", day_key(F.col("stream_time.epoch_ticks")))
+        dated = rows.withColumn("day", day_key(F.col("stream_time.epoch_ticks")))
         found = explode_map(doc_entity_map(dated, "day"))
         found.groupBy("day", "entity").agg(F.sum("cnt").cast("long").alias("total")).write.mode("overwrite").parquet(
             f"{path}/table/batch={batch}")
 
-    _run(stream, path, "append", write)
-    stored = stream.sparkSession.read.schema("day int, entity string, total long").parquet(f"{path}/table")
+    _run(items, path, "append", write)
+    stored = items.sparkSession.read.schema("day int, entity string, total long").parquet(f"{path}/table")
     return stored.groupBy("day", "entity").agg(F.sum("total").alias("total"))
 
 
