@@ -36,15 +36,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: ``spark.checkpoint.dir``, else a folder for local runs only."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder all executors can reach: the one in ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session gets a new temporary folder; on a cluster it is an error.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base:
         return base
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = tempfile.mkdtemp(prefix="tidewell-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewell-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -52,9 +55,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from the files, with its partitions as they are."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and go on from the files.
+
+    Unlike a checkpoint of rows, the files keep their sizes for the planner and are read column by column.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
