@@ -36,14 +36,17 @@ def text_batches(df: DataFrame, rows: int = BATCH_ROWS) -> None:
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, count: str, how: str = "inner") -> DataFrame:
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, key: str, count: str, how: str = "inner", total: int | None = None,
+) -> DataFrame:
     """Join ``facts`` with a stored ``lookup``, one row per ``key``, of which ``count`` facts have the key.
 
     Hot keys, of which there are at most :data:`HOT_KEYS` by their definition, are broadcast; their
     facts stay where they are. The rest is an ordinary join, in which no key holds many rows.
-    ``count`` is dropped.
+    ``count`` is dropped. ``total`` is the sum of the counts, where it is known.
     """
-    total = lookup.agg(F.sum(count)).first()[0] or 0
+    if total is None:
+        total = lookup.agg(F.sum(count)).first()[0] or 0
     is_hot = F.col(count) * HOT_KEYS >= F.lit(max(total, 1))
     hot, rest = lookup.filter(is_hot), lookup.filter(~is_hot).drop(count)
     near = facts.join(F.broadcast(hot.drop(count)), key, "inner")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import batched_bpe, packing, token_counts
+from tidewell.llm import batched_bpe, packing, quality_rules, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op2_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rate(_table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op4_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -38,6 +43,7 @@ def op7_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_mcd_quality": op2_mcd_quality,
     "op4_online_packing": op4_online_packing,
     "op7_batched_bpe": op7_batched_bpe,
 }
