@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import batched_bpe, packing, quality_rules, token_counts
+from tidewell.llm import batched_bpe, packing, quality_rules, token_counts, url_rules, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op2_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op3_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -41,11 +46,18 @@ def op7_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mcd_quality": op2_mcd_quality,
+    "op3_warc_revisit": op3_warc_revisit,
     "op4_online_packing": op4_online_packing,
     "op7_batched_bpe": op7_batched_bpe,
+    "op9_url_rules": op9_url_rules,
 }
 
-ORACLE: dict[str, str] = {}
+
