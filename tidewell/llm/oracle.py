@@ -46,10 +46,10 @@ with u as (
   select k, said, [t] as tokens from t
   union all select a.k, a.said, [a.t, b.t] from t a join t b on a.k = b.k and a.t < b.t
 ), f as (
-  select tokens, said, count(*) as both, sum(count(*)) over (partition by tokens) as one from c group by tokens, said
+  select tokens, said, count(*) as together, sum(count(*)) over (partition by tokens) as one from c group by tokens, said
 ), m as (
-  select tokens, said, both / one as confidence, both / n as support, array_to_string(tokens, chr(31)) as id
-  from f, n where both >= least and both / one >= 0.9
+  select tokens, said, together / one as confidence, together / n as support, array_to_string(tokens, chr(31)) as id
+  from f, n where together >= least and together / one >= 0.9
 ), b as (
   select v.k, m.said, row_number() over (partition by v.k order by confidence desc, support desc, id, m.said) as place
   from v join m on list_has_all(v.tokens, m.tokens) where v.said is null

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import batched_bpe, packing, quality_rules, token_counts, url_rules, warc
+from tidewell.llm import batched_bpe, packing, pairwise_quality, pii, quality_rules, token_counts, url_rules, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,18 +46,40 @@ def op7_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op8_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pairwise_quality.train(docs, _table(spark, sf_dir, "labels"))
+    return pairwise_quality.with_score(docs, model).select(
+        "doc_id", pairwise_quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= pairwise_quality.LIMIT).cast("int").alias("predicted"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select(
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    listed = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
+        ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda i: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == i))).cast("long")
+    return found.select(
+        "row.doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mcd_quality": op2_mcd_quality,
     "op3_warc_revisit": op3_warc_revisit,
     "op4_online_packing": op4_online_packing,
     "op7_batched_bpe": op7_batched_bpe,
+    "op8_pairwise_quality": op8_pairwise_quality,
     "op9_url_rules": op9_url_rules,
+    "op10_pii": op10_pii,
 }
 
 
