@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,32 +72,56 @@ def block_pairs(df: DataFrame, size: Column, member: Column, block: int = BLOCK)
     )
 
 
-def sweep(df: DataFrame, keys: list[str], work: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
-    """Call ``work`` with the rows of each group of ``keys``; one pass over sorted partitions.
+Arrays = dict[str, np.ndarray]
+
+
+def sweep(df: DataFrame, keys: list[str], work: Callable[[Arrays], Arrays | None], schema: str) -> DataFrame:
+    """Call ``work`` with the columns of each group of ``keys`` of two rows or more; one pass over sorted partitions.
 
     Groups are expected to be bounded, as :func:`block_pairs` makes them; a task holds one group and
     one batch at a time.
     """
+    names = list(df.columns)
 
     def groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
+        held: Arrays | None = None
         for frame in frames:
-            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            held, done = None, []
-            changed = (frame[keys] != frame[keys].shift()).any(axis=1).to_numpy().nonzero()[0].tolist()
-            for start, stop in zip(changed, [*changed[1:], None], strict=True):
-                if stop is None:
-                    held = frame.iloc[start:]
-                elif stop - start > 1 and (out := work(frame.iloc[start:stop])) is not None:
+            if frame.empty:
+                continue
+            columns = {c: frame[c].to_numpy() for c in names}
+            if held is not None:
+                columns = {c: np.concatenate([held[c], columns[c]]) for c in names}
+            change = np.zeros(len(columns[keys[0]]), bool)
+            change[0] = True
+            for key in keys:
+                change[1:] |= columns[key][1:] != columns[key][:-1]
+            starts = np.flatnonzero(change)
+            done = []
+            for start, stop in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                if stop - start > 1 and (out := work({c: columns[c][start:stop] for c in names})) is not None:
                     done.append(out)
+            held = {c: columns[c][starts[-1]:] for c in names}
             if done:
-                yield pd.concat(done, ignore_index=True)
-        if held is not None and len(held) > 1 and (out := work(held)) is not None:
-            yield out
+                yield pd.DataFrame({c: np.concatenate([out[c] for out in done]) for c in done[0]})
+        if held is not None and len(held[keys[0]]) > 1 and (out := work(held)) is not None:
+            yield pd.DataFrame(out)
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(groups, schema)
 
 
+def stars(linked: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node to the least node of its component in the symmetric matrix ``linked``."""
+    root = node.copy()
+    top = np.iinfo(node.dtype).max
+    while True:
+        least = np.minimum(root, np.where(linked, root[None, :], top).min(axis=1))
+        if (least == root).all():
+            break
+        root = least
+    far = root != node
+    return node[far], root[far]
+
+
 def shared_buckets(slim: DataFrame) -> DataFrame:
     """Rows ``(bucket, member)`` of buckets with two members or more, with the bucket's ``size``."""
     sizes = materialize(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import batched_bpe, packing, pairwise_quality, pii, quality_rules, token_counts, url_rules, warc
+from tidewell.llm import batched_bpe, binary_codes, packing, pairwise_quality, pii, quality_rules, token_counts, url_rules, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op4_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_codes.link(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = batched_bpe.encode_documents(_table(spark, sf_dir, "documents"), _vocabulary())
     return coded.select(
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mcd_quality": op2_mcd_quality,
     "op3_warc_revisit": op3_warc_revisit,
     "op4_online_packing": op4_online_packing,
+    "op5_rotation_codes": op5_rotation_codes,
     "op7_batched_bpe": op7_batched_bpe,
     "op8_pairwise_quality": op8_pairwise_quality,
     "op9_url_rules": op9_url_rules,
