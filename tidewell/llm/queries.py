@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import batched_bpe, binary_codes, packing, pairwise_quality, pii, quality_rules, token_counts, url_rules, warc
+from tidewell.llm import batched_bpe, binary_codes, ngram_join, packing, pairwise_quality, pii, quality_rules, token_counts, url_rules, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op5_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_codes.link(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents")).drop("class")
+
+
 def op7_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = batched_bpe.encode_documents(_table(spark, sf_dir, "documents"), _vocabulary())
     return coded.select(
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_revisit": op3_warc_revisit,
     "op4_online_packing": op4_online_packing,
     "op5_rotation_codes": op5_rotation_codes,
+    "op6_ngram_join": op6_ngram_join,
     "op7_batched_bpe": op7_batched_bpe,
     "op8_pairwise_quality": op8_pairwise_quality,
     "op9_url_rules": op9_url_rules,
