@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
@@ -114,25 +114,30 @@ def minhash(grams: np.ndarray, bands: Bands, block: int = 4096) -> np.ndarray:
 
 
 def _signed(rows: DataFrame, bands: Bands) -> DataFrame:
-    """``member, class, grams, bands, sketch`` of the rows that have words."""
+    """``member, text_key, class, grams, bands, sketch`` of every row; a null class without words."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for member, text in zip(frame["member"], frame["text"], strict=True):
+            for member, key, text in zip(frame["member"], frame["text_key"], frame["text"], strict=True):
                 grams = shingles(text)
                 if not len(grams):
-                    out.append((member, None, 0, None, None))
+                    out.append((member, key, None, 0, None, None))
                     continue
                 least = minhash(grams, bands)
                 cut = least.reshape(bands.count, bands.rows)
                 keys = [xxhash.xxh3_64_intdigest(row.tobytes(), seed=i) - (1 << 63) for i, row in enumerate(cut)]
                 out.append((
-                    member, xxhash.xxh3_128_hexdigest(grams.tobytes()), len(grams), np.array(keys, np.int64),
+                    member, key, xxhash.xxh3_128_hexdigest(grams.tobytes()), len(grams), np.array(keys, np.int64),
                     (least & np.uint64(255)).astype(np.uint8).tobytes()))
-            yield pd.DataFrame(out, columns=["member", "class", "grams", "bands", "sketch"]).astype({"member": "Int64"})
+            yield pd.DataFrame(out, columns=["member", "text_key", "class", "grams", "bands", "sketch"]).astype({"member": "Int64"})
 
-    return rows.mapInPandas(run, "member long, class string, grams long, bands array<long>, sketch binary")
+    return rows.mapInPandas(run, "member long, text_key long, class string, grams long, bands array<long>, sketch binary")
+
+
+def text_key(text: Column) -> Column:
+    """Tells the texts of rows that repeat an id apart."""
+    return F.xxhash64(text)
 
 
 def likely(block: common.Arrays, bands: Bands, limit: float) -> np.ndarray:
@@ -179,17 +184,17 @@ def verified(block: common.Arrays, limit: float, chunk: int = 8192) -> np.ndarra
 
 
 def join(docs: DataFrame, limit: float = LIMIT, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, class, n_links, component_id, kept`` of every row.
+    """``doc_id, text_key, n_links, component_id, kept`` of every row.
 
     Two documents link when their sets of word 5-grams have a Jaccard similarity of ``limit`` or more; a text with
     fewer words is one n-gram. ``n_links`` counts other rows linked directly, copies each; ``component_id`` is the
     least id that links reach; ``kept`` is true for that document. Null ids, null texts and texts without words link
-    with nothing and are kept, under a null ``class``. Rows that repeat an id and text are copies of one document:
+    with nothing and are kept. Rows that repeat an id and text are copies of one document:
     they are kept or not together. Other columns are not read.
     """
     bands = choose(limit)
     common.text_batches(docs)
-    source = docs.select(F.col(doc).cast("long").alias("member"), F.col(text).alias("text"))
+    source = docs.select(F.col(doc).cast("long").alias("member"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key"))
     signed = materialize(_signed(source, bands), "signed")
     facts = signed.filter("member is not null and class is not null")
     classes = materialize(facts.groupBy("class").agg(
@@ -213,11 +218,11 @@ def join(docs: DataFrame, limit: float = LIMIT, doc: str = "doc_id", text: str =
         classes.select("class", "member", "copies").join(linked, "member", "left").select(
             "class", F.col("copies").alias("n"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("component", "member").alias("component_id")), "answer")
-    joined = common.lookup_join(facts.select("member", "class"), answer, "class", "n").select(
-        F.col("member").alias("doc_id"), "class", "n_links", "component_id",
+    joined = common.lookup_join(facts.select("member", "text_key", "class"), answer, "class", "n").select(
+        F.col("member").alias("doc_id"), "text_key", "n_links", "component_id",
         (F.col("member") == F.col("component_id")).alias("kept"))
     alone = signed.filter("member is null or class is null").select(
-        F.col("member").alias("doc_id"), F.lit(None).cast("string").alias("class"), F.lit(0).cast("long").alias("n_links"),
+        F.col("member").alias("doc_id"), "text_key", F.lit(0).cast("long").alias("n_links"),
         F.col("member").alias("component_id"), F.lit(True).alias("kept"))
     return joined.unionByName(alone)
 

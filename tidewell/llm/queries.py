@@ -43,7 +43,7 @@ def op5_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(_table(spark, sf_dir, "documents")).drop("class")
+    return ngram_join.join(_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op7_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
