@@ -25,7 +25,9 @@ def test_missing_and_corrupt_files_are_told_and_skipped(spark, tmp_path):
     paths = spark.createDataFrame([(good,), (str(bad),), (str(tmp_path / "gone.parquet"),)], "path string")
     told = {os.path.basename(r.path): r.error.split(":")[0] for r in manifest.quarantine(spark, paths).collect()}
     assert told == {"bad.parquet": "unreadable", "gone.parquet": "missing"}
-    assert manifest.scan_manifest(spark, paths, "id long").count() == 5
+    assert manifest.scan_manifest(spark, paths, "id long", tolerant=True).count() == 5
+    with pytest.raises(Exception, match="gone.parquet|not a Parquet|CANNOT_READ"):
+        manifest.scan_manifest(spark, paths, "id long").count()
     assert scan.read_tolerant(spark, [good, str(bad)], "id long").count() == 5
 
 
@@ -44,12 +46,53 @@ def test_xz_plain_and_broken_chunks(spark, tmp_path):
     (tmp_path / "one.json.xz").write_bytes(lzma.compress(lines))
     (tmp_path / "two.json").write_bytes(lines.replace(b'"id": 1', b'"id": 3').rstrip(b"\n"))
     (tmp_path / "bad.json.xz").write_bytes(b"no xz")
-    rows = chunks.read_chunks(spark, str(tmp_path), "id long, t string").collect()
+    with pytest.raises(Exception, match="cannot be read to its end"):
+        chunks.read_chunks(spark, str(tmp_path), "id long, t string").collect()
+    rows = chunks.read_chunks(spark, str(tmp_path), "id long, t string", strict=False).collect()
     assert sorted((r.chunk, r.id, r.t) for r in rows) == [
         ("one.json.xz", 1, "a"), ("one.json.xz", 2, "bé"), ("two.json", 2, "bé"), ("two.json", 3, "a")]
     assert [(r.chunk, r.lines) for r in chunks.broken_chunks(spark, str(tmp_path)).collect()] == [("bad.json.xz", 0)]
 
 
+def test_damaged_data_pages_are_reported_and_left_out(spark, tmp_path):
+    spark.range(200_000).selectExpr("id", "md5(cast(id as string)) t").coalesce(1).write.parquet(str(tmp_path / "p"))
+    file = glob.glob(str(tmp_path / "p" / "*.parquet"))[0]
+    data = bytearray(open(file, "rb").read())
+    middle = len(data) // 2
+    data[middle:middle + 200_000] = bytes(200_000)
+    open(str(tmp_path / "damaged.parquet"), "wb").write(data)
+    paths = spark.createDataFrame([(file,), (str(tmp_path / "damaged.parquet"),)], "path string")
+    report = {os.path.basename(r.path): r for r in manifest.file_report(spark, paths).collect()}
+    good, bad = report[os.path.basename(file)], report["damaged.parquet"]
+    assert (good.expected, good.rows, good.error) == (200_000, 200_000, None)
+    assert bad.error and (bad.expected or 0) != bad.rows
+    assert manifest.scan_manifest(spark, paths, "id long", tolerant=True).count() == 200_000
+
+
+def test_lines_without_a_record_are_reported(spark, tmp_path):
+    (tmp_path / "a.json").write_bytes(b'{"id": 1}\n\noops\n{"id": 2\n{"id": 3}')
+    assert sorted(r.id for r in chunks.read_chunks(spark, str(tmp_path), "id long").collect()) == [1, 3]
+    told = chunks.rejected_lines(spark, str(tmp_path), "id long").collect()
+    assert sorted(map(tuple, told)) == [("a.json", 3, "oops"), ("a.json", 4, '{"id": 2')]
+
+
+def test_records_without_a_chunk_are_written(spark, tmp_path):
+    df = spark.createDataFrame([("x", 1), (None, 2), (None, 3)], "c string, id long")
+    assert chunks.write_chunks(df, str(tmp_path / "c"), "c").agg({"lines": "sum"}).first()[0] == 3
+    assert sorted(r.id for r in chunks.read_chunks(spark, str(tmp_path / "c"), "id long").collect()) == [1, 2, 3]
+
+
+def test_a_key_is_whole_in_one_file_and_counts_are_kept(spark, tmp_path):
+    df = spark.range(400).selectExpr("cast(if(id < 300, 0, id % 5) as string) k", "id v")
+    sinks.sink(df, str(tmp_path / "k"), key="k", partitions=4)
+    files = [{r.k for r in spark.read.parquet(f).collect()} for f in glob.glob(str(tmp_path / "k" / "*.parquet"))]
+    assert sum(map(len, files)) == 5
+    sinks.sink(df, str(tmp_path / "s"), key="k", partitions=4, spread=4)
+    assert sum("0" in {r.k for r in spark.read.parquet(f).collect()} for f in glob.glob(str(tmp_path / "s" / "*.parquet"))) > 1
+    sinks.sink(df.coalesce(1), str(tmp_path / "n"), partitions=6)
+    assert len(glob.glob(str(tmp_path / "n" / "*.parquet"))) == 6
+
+
 def test_chunks_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("x", i, "é\n\"" * i) for i in range(50)] + [("y", 99, None)], "c string, id long, t string")
     assert chunks.write_chunks(df, str(tmp_path / "c"), "c").agg({"lines": "sum"}).first()[0] == 51

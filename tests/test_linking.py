@@ -23,18 +23,27 @@ def mentions(docs):
     return {(r.doc_id, r.spot, r.start, r.end) for r in spotting.mention_rows(docs, KEY).collect()}
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_mentions_have_character_offsets(spark, few):
-    docs = spotting.doc_mentions(texts_of(spark, a="été, New  York; new!", b="nothing", c=""), spots_of(spark, "new", "new york"), KEY, few)
+def test_mentions_have_character_offsets(spark):
+    docs = spotting.doc_mentions(texts_of(spark, a="été, New  York; new!", b="nothing", c=""), spots_of(spark, "new", "new york"), KEY)
     assert mentions(docs) == {("a", "new", 5, 8), ("a", "new york", 5, 14), ("a", "new", 16, 19)}
 
 
-def test_both_ways_of_spotting_agree(spark):
+def test_broadcast_and_shuffled_dictionaries_agree(spark):
     pick = random.Random(5)
     text = {f"d{i}": " ".join(pick.choice(["aa", "b", "cc,", "d.", "é"]) for _ in range(pick.randint(0, 60))) for i in range(30)}
     spots = spots_of(spark, "aa", "b", "aa b", "b aa", "cc d aa", "d")
-    small, large = (mentions(spotting.doc_mentions(texts_of(spark, **text), spots, KEY, few)) for few in (True, False))
-    assert small == large and small
+    key, found = "spark.sql.autoBroadcastJoinThreshold", []
+    before = spark.conf.get(key)
+    for most in (before, "-1"):
+        spark.conf.set(key, most)
+        found.append(mentions(spotting.doc_mentions(texts_of(spark, **text), spots, KEY)))
+    spark.conf.set(key, before)
+    assert found[0] == found[1] and found[0]
+
+
+def test_words_of_any_script_are_whole(spark):
+    docs = spotting.doc_mentions(texts_of(spark, a="in München heute, für Müller"), spots_of(spark, "münchen", "müller", "ller"), KEY)
+    assert mentions(docs) == {("a", "münchen", 3, 10), ("a", "müller", 22, 28)}
 
 
 def test_overlapping_mentions_keep_the_longest(spark):

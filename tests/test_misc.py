@@ -1,4 +1,6 @@
+import datetime
 import random
+import time
 
 from conftest import SF, item
 from hypothesis import HealthCheck, given, settings
@@ -9,6 +11,7 @@ from tidewell.functions import arrays, text
 from tidewell.operators import blocks, corpus as ops, hooks, joins
 from tidewell.plans.catalog import QUERIES
 from tidewell.plans.oracle import ORACLE
+from tidewell.streaming import counts
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -30,15 +33,13 @@ def test_groups_of_sorted_arrays(spark):
     assert got == {1: [("a", [1, 2]), ("b", [3])], 2: []}
 
 
-def test_spread_join_equals_join(spark):
+def test_lookup_join_equals_join(spark):
     pick = random.Random(1)
     facts = spark.createDataFrame([(i, "hot" if pick.random() < .5 else f"k{i % 9}") for i in range(200)], "i int, k string")
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k1", 3)], "k string, v int")
     for how in ("inner", "left", "left_semi", "left_anti"):
         want = sorted(map(tuple, facts.join(lookup, "k", how).select("i", "k").collect()))
-        assert sorted(map(tuple, joins.spread_join(facts, lookup, "k", "i", how).select("i", "k").collect())) == want
-        assert sorted(map(tuple, joins.lookup_join(facts, lookup, "k", "i", how).select("i", "k").collect())) == want
-    assert joins.is_small(lookup, 3) and not joins.is_small(lookup, 2)
+        assert sorted(map(tuple, joins.lookup_join(facts, lookup, "k", how).select("i", "k").collect())) == want
 
 
 def test_records_without_text_or_url(corpus):
@@ -97,9 +98,33 @@ def test_annotate_hook_loads_once_per_task(spark):
     assert {r.key: list(r["values"]) for r in out.collect()} == {"a": ["x0", "yy1"], "c": ["z2"]}
 
 
-def test_every_query_has_sql_but_the_learned_one():
-    assert set(QUERIES) - set(ORACLE) == {"link_mlscore"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def _late_stream(spark, folder, batches):
+    for n, rows in enumerate(batches):
+        frame = spark.createDataFrame(rows, "stream_id string, ts timestamp")
+        frame.coalesce(1).write.mode("append").parquet(str(folder))
+        time.sleep(0.05)
+    return spark.readStream.schema("stream_id string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def test_late_rows_are_counted_and_kept(spark, tmp_path):
+    day = lambda d: datetime.datetime(2024, 1, d)
+    batches = [[("a", day(1)), ("b", day(2))], [("c", day(9)), ("d", day(9)), ("a", day(1))], [("e", day(1)), ("f", day(1)), ("d", day(9))]]
+    stream = _late_stream(spark, tmp_path / "in", batches)
+    got = counts.docs_per_day(stream, str(tmp_path / "days")).collect()
+    assert {r.day: r.docs for r in got} == {20240101: 4, 20240102: 1, 20240109: 3}
+    got = counts.first_seen(stream, str(tmp_path / "first")).collect()
+    assert sorted(r.stream_id for r in got) == list("abcdef")
+
+
+def test_an_empty_stream_gives_an_empty_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("stream_id string, ts timestamp").parquet(str(tmp_path / "in"))
+    assert counts.docs_per_day(stream, str(tmp_path / "days")).count() == 0
+    assert counts.first_seen(stream, str(tmp_path / "first")).count() == 0
 
 
 def test_streams_give_the_batch_results(spark):

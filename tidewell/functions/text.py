@@ -46,8 +46,8 @@ def norm_form(name: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Runs of ASCII letters."""
-    return F.filter(F.split(text, "[^A-Za-z]+"), lambda w: w != "")
+    """Runs of letters, of any script."""
+    return F.filter(F.split(text, r"[^\pL]+"), lambda w: w != "")
 
 
 def shard_of(key: Column, shards: int) -> Column:

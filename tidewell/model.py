@@ -79,6 +79,3 @@ LINK_CLOSE = "</a>"
 # Query expansion: documents read and terms added.
 EXPANSION_DOCS = 3
 EXPANSION_TERMS = 10
-
-# Default number of output files.
-OUTPUT_PARTITIONS = 24

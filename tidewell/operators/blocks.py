@@ -6,28 +6,53 @@ page is worked out without a shuffle.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.arrays import let, unnest
 from tidewell.operators.corpus import has_text
 
-# Tags that end a block, and the character references that are decoded.
+# HTML's tags that end a block.
 BLOCK_TAGS = (
-    "p", "div", "h1", "li", "ul", "article", "nav", "footer", "br", "td", "tr", "table", "title", "body", "head", "html",
+    "address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog", "dir", "div",
+    "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
+    "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "select", "summary", "table",
+    "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
 )
-REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
 
 UNSEEN = r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->"
 BLOCK_BREAK = rf"(?i)</?({'|'.join(BLOCK_TAGS)})(\s[^>]*)?/?>"
 ANCHOR_TEXT = r"(?is)<a\s[^>]*>(.*?)</a>"
 
 
+def _character(reference: Column) -> Column:
+    """What a character reference stands for; itself where it stands for nothing. Fixed spaces are plain ones."""
+    names = {name: chr(code) for name, code in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
+    named = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    body = F.substring(reference, F.lit(2), F.length(reference) - 2)
+    number = F.when(body.startswith("#x") | body.startswith("#X"), F.conv(F.substring(body, 3, 6), 16, 10)).otherwise(
+        F.substring(body, 2, 7)).cast("int")
+    usable = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.coalesce(
+        F.when(body.startswith("#"), F.when(number == 160, F.lit(" ")).when(usable, char)).otherwise(F.try_element_at(named, body)),
+        reference)
+
+
+def decode_references(text: Column) -> Column:
+    """Text with its character references decoded, once: ``&amp;lt;`` becomes ``&lt;``."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)))
+    others = F.array_remove(found, "&amp;")
+    decoded = F.aggregate(others, text, lambda out, r: F.replace(out, r, _character(r)))
+    return F.when(F.instr(text, "&") == 0, text).otherwise(F.replace(decoded, F.lit("&amp;"), F.lit("&")))
+
+
 def plain_text(markup: Column) -> Column:
     """Text of a piece of markup: no tags, references decoded, single spaces."""
-    text = F.regexp_replace(markup, "<[^>]*>", " ")
-    for reference, char in REFERENCES:
-        text = F.replace(text, F.lit(reference), F.lit(char))
+    text = decode_references(F.regexp_replace(markup, "<[^>]*>", " "))
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 

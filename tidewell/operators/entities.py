@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import norm_form
-from tidewell.operators.joins import spread_join
+from tidewell.operators.joins import lookup_join
 
 
 def entity_total(counts: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def entity_kb_join(doc_norms: DataFrame, kb: DataFrame) -> DataFrame:
 
     A popular name may hold a large part of the document side, so its rows are spread.
     """
-    return spread_join(doc_norms, kb, "norm", "stream_id").select("norm", "kb_id", "score", "doc_id", "cnt")
+    return lookup_join(doc_norms, kb, "norm").select("norm", "kb_id", "score", "doc_id", "cnt")
 
 
 def lemma_lookup(entities: DataFrame, lemmas: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def lemma_lookup(entities: DataFrame, lemmas: DataFrame) -> DataFrame:
     """
     parts = entities.select("entity").distinct().select(
         "entity", F.posexplode(F.split(F.trim("entity"), " ")).alias("place", "form"))
-    known = spread_join(parts, lemmas, "form", "entity", how="left")
+    known = lookup_join(parts, lemmas, "form", how="left")
     return known.groupBy("entity").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("place", F.coalesce("lemma", "form").alias("lemma")))),
         lambda w: w["lemma"]), " ").alias("lemmatised"))

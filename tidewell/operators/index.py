@@ -108,9 +108,9 @@ def field_names(bits: Column) -> Column:
 def remove_stopwords(terms: DataFrame, stop: DataFrame) -> DataFrame:
     """Rows whose ``term`` is not in the one-column table ``stop``.
 
-    Stop words are the most frequent terms: a list too long for all tasks is joined over sub-keys.
+    Stop words are the most frequent terms, so their keys are hot.
     """
-    return lookup_join(terms, stop.select("term").distinct(), "term", [c for c in terms.columns if c != "term"], "left_anti")
+    return lookup_join(terms, stop.select("term").distinct(), "term", "left_anti")
 
 
 def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
@@ -183,10 +183,9 @@ def number_in_order(rows: DataFrame, key: str, out: str) -> DataFrame:
     before. Only one row per range, not per key, goes through a single window.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(rows.repartitionByRange(parts, key).sortWithinPartitions(key))
-    placed = ranged.select(
+    placed = materialize(rows.repartitionByRange(parts, key).sortWithinPartitions(key).select(
         "*", F.spark_partition_id().alias("_range"),
-        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_place"))
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_place")))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
     starts = sizes.select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
@@ -264,13 +263,13 @@ def vocab_conflate(words: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("forms"), F.sum("df").alias("df_sum"), F.sum("cf").alias("cf_sum"))
 
 
-def write_index(items: DataFrame, path: str, partitions: int = 26, overwrite: bool = False) -> None:
+def write_index(items: DataFrame, path: str, partitions: int | None = None, overwrite: bool = False) -> None:
     """Write the index tables under ``path``; an existing index is an error unless ``overwrite``."""
     sink(by_letter(inverted_index(items)), f"{path}/inverted", by="letter", key="term",
          partitions=partitions, overwrite=overwrite)
     postings = items.sparkSession.read.parquet(f"{path}/inverted")
     sink(by_letter(lexicon(postings)), f"{path}/lexicon", by="letter", key="term",
-         partitions=partitions, overwrite=overwrite, spread=1)
+         partitions=partitions, overwrite=overwrite)
     sink(doc_lengths(items), f"{path}/document", partitions=partitions, overwrite=overwrite)
     sink(meta_index(items), f"{path}/meta", partitions=partitions, overwrite=overwrite)
 

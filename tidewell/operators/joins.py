@@ -3,41 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-FANOUT = 8
 
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str] | str, how: str = "inner") -> DataFrame:
+    """Join in which one key may hold a large part of ``facts``; ``facts`` stay on the left.
 
-def spread_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str] | str, spread_on: list[str] | str,
-    how: str = "inner", fanout: int = FANOUT,
-) -> DataFrame:
-    """Join in which one key may hold a large part of ``facts``.
-
-    Each key's facts are dealt out by a hash of ``spread_on`` to ``fanout`` sub-keys, and the lookup
-    row is given to all of them. No broadcast hint is set: Spark broadcasts the lookup when its
-    measured size is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+    No hint is set: Spark broadcasts the lookup when its measured bytes are below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise, and then splits a partition that
+    a hot key makes large (``spark.sql.adaptive.skewJoin``, forced in :mod:`tidewell.session`).
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    spread = [spread_on] if isinstance(spread_on, str) else list(spread_on)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(fanout)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(fanout - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
-# Rows of a lookup table that every task may hold.
-SMALL_LOOKUP = 500_000
-
-
-def is_small(lookup: DataFrame, most: int = SMALL_LOOKUP) -> bool:
-    """Whether a table has at most ``most`` rows; counts no further than that."""
-    return lookup.limit(most + 1).count() <= most
-
-
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str] | str, spread_on: list[str] | str, how: str = "inner",
-) -> DataFrame:
-    """Join with a stored lookup table: given to all tasks when counted to be small, else spread."""
-    if is_small(lookup):
-        return facts.join(F.broadcast(lookup), on, how)
-    return spread_join(facts, lookup, on, spread_on, how)
+    return facts.join(lookup, on, how)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.arrays import unnest
 from tidewell.model import VOTE_EPSILON, VOTE_WINDOW
-from tidewell.operators.joins import lookup_join, spread_join
+from tidewell.operators.joins import lookup_join
 from tidewell.session import materialize
 
 FEATURES = ("link_probability", "commonness", "context_relatedness", "context_weight")
@@ -35,14 +35,14 @@ def relatedness(pairs: DataFrame, graph: DataFrame, pages: DataFrame) -> DataFra
     looked up among the other's. The pages of a much linked entity are spread over sub-keys.
     """
     degree = graph.groupBy("target").agg(F.count(F.lit(1)).alias("degree"))
-    known = spread_join(pairs, degree.select(F.col("target").alias("a"), F.col("degree").alias("in_a")), "a", "b", "left")
-    known = spread_join(known, degree.select(F.col("target").alias("b"), F.col("degree").alias("in_b")), "b", "a", "left")
+    known = lookup_join(pairs, degree.select(F.col("target").alias("a"), F.col("degree").alias("in_a")), "a", "left")
+    known = lookup_join(known, degree.select(F.col("target").alias("b"), F.col("degree").alias("in_b")), "b", "left")
     known = known.na.fill(0, ["in_a", "in_b"])
     few = F.col("in_a") <= F.col("in_b")
     lookups = known.select(
         "a", "b", F.when(few, F.col("a")).otherwise(F.col("b")).alias("target"),
         F.when(few, F.col("b")).otherwise(F.col("a")).alias("other"))
-    reached = spread_join(graph, lookups, "target", "page").select("a", "b", "other", "page")
+    reached = lookup_join(graph, lookups, "target").select("a", "b", "other", "page")
     common = reached.join(graph.withColumnRenamed("target", "other"), ["other", "page"], "left_semi").groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("shared"))
     total = pages.agg(F.count(F.lit(1)).alias("n"))
@@ -81,7 +81,7 @@ def _entity_pairs(spot_pairs: DataFrame, spots: DataFrame) -> DataFrame:
     mine = spots.select("spot_id", F.col("candidates").alias("_mine"))
     theirs = spots.select(
         F.col("spot_id").alias("other_id"), F.col("link_probability").alias("other_weight"), F.col("candidates").alias("_theirs"))
-    both = lookup_join(lookup_join(spot_pairs, mine, "spot_id", "other_id"), theirs, "other_id", "spot_id")
+    both = lookup_join(lookup_join(spot_pairs, mine, "spot_id"), theirs, "other_id")
     rows = unnest(both, ["spot_id", "other_id", "other_weight", "_theirs"], "_mine", "entity").withColumn(
         "other_n", F.size("_theirs"))
     keep = ["spot_id", "other_id", "entity", "other_n", "other_weight"]
@@ -109,7 +109,7 @@ def _votes(mentions: DataFrame, spots: DataFrame, graph: DataFrame, pages: DataF
     pairs = materialize(_entity_pairs(_spot_pairs(mentions), spots))
     related = materialize(relatedness(materialize(_distinct_pairs(pairs)), graph, pages).filter(F.col("relatedness") > 0))
     keyed = pairs.withColumn("a", F.least("entity", "other_entity")).withColumn("b", F.greatest("entity", "other_entity"))
-    joined = lookup_join(keyed, related.select("a", "b", "relatedness"), ["a", "b"], ["spot_id", "other_id"], "left")
+    joined = lookup_join(keyed, related.select("a", "b", "relatedness"), ["a", "b"], "left")
     value = F.when(F.col("entity") == F.col("other_entity"), 1.0).otherwise(F.coalesce("relatedness", F.lit(0.0)))
     votes = joined.withColumn("_r", value).filter(F.col("_r") > 0).groupBy("spot_id", "other_id", "entity").agg(
         (F.sum(F.col("_r") * F.col("other_commonness")) / F.max("other_n")).alias("vote"),
@@ -122,7 +122,7 @@ def _received(mentions: DataFrame, votes: DataFrame, keys: list[str]) -> DataFra
     """Sums of votes and of weighted relatedness per mention and candidate; candidates without any are left out."""
     place = [*keys, "ord"]
     neighbours = unnest(mentions.select(*place, "spot_id", "context"), [*place, "spot_id"], "context")
-    given = lookup_join(neighbours.withColumnRenamed("item", "other_id"), votes, ["spot_id", "other_id"], place)
+    given = lookup_join(neighbours.withColumnRenamed("item", "other_id"), votes, ["spot_id", "other_id"])
     rows = unnest(given, place, "votes", "entity", "vote", "related")
     return rows.groupBy(*place, "entity").agg(F.sum("vote").alias("votes"), F.sum("related").alias("related"))
 
@@ -133,7 +133,7 @@ def _with_received(mentions: DataFrame, votes: DataFrame, spots: DataFrame, keys
     sums = _received(mentions, votes, keys).groupBy(*place).agg(
         F.collect_list(F.struct("entity", "votes", "related")).alias("_sums"))
     joined = mentions.withColumn("n_context", F.size("context")).drop("context").join(sums, place, "left")
-    joined = lookup_join(joined, spots.select("spot_id", "candidates"), "spot_id", place)
+    joined = lookup_join(joined, spots.select("spot_id", "candidates"), "spot_id")
 
     def of(entity: Column, field: str) -> Column:
         found = F.filter(F.coalesce("_sums", F.array()), lambda s: s["entity"] == entity)
@@ -220,6 +220,12 @@ def scored_by(model, features: DataFrame) -> DataFrame:
         "_vector", "_probability", "rawPrediction", "prediction")
 
 
+def scored_with(weights: Mapping[str, float], offset: float, features: DataFrame) -> DataFrame:
+    """Add ``score``, the logistic function of given weights of the features (rounded to six digits) and an offset."""
+    total = sum((F.lit(weight) * F.round(name, 6) for name, weight in weights.items()), F.lit(offset))
+    return features.withColumn("score", F.round(1 / (1 + F.exp(-total)), 6))
+
+
 def by_score(features: DataFrame, score: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
     """Best candidate of each mention by a learned score; ties by commonness, then entity."""
     rows = score(features).groupBy(*keys, "start", "end", "spot").agg(F.max(F.struct(
@@ -232,11 +238,15 @@ def disambiguate(
     docs: DataFrame, keys: list[str], method: str = "tagme", *, spots: DataFrame | None = None,
     graph: DataFrame | None = None, pages: DataFrame | None = None, model=None,
 ) -> DataFrame:
-    """Annotate with the method asked for: ``prior``, ``tagme`` (votes) or ``wikiminer`` (learned score)."""
+    """Annotate with the method asked for: ``prior``, ``tagme`` (votes) or ``wikiminer`` (learned score).
+
+    ``model`` is a fitted pipeline or a function that adds ``score`` to the features.
+    """
     if method == "prior":
         return by_prior(docs, keys)
     if method == "tagme":
         return by_votes(docs, spots, graph, pages, keys)
     if method == "wikiminer":
-        return by_score(link_features(docs, spots, graph, pages, keys), lambda f: scored_by(model, f), keys)
+        score = model if callable(model) else lambda f: scored_by(model, f)
+        return by_score(link_features(docs, spots, graph, pages, keys), score, keys)
     raise ValueError(f"unknown disambiguation method {method!r}")

@@ -1,8 +1,7 @@
 """Mention dictionary from page links, and its mentions in texts.
 
 ``texts`` are tables of key columns and a ``text``. Word offsets and word sequences are worked out in
-the text's row; a sequence that occurs many times in a text is one row with all its places, so the
-join with the dictionary moves one row per text and distinct sequence.
+the text's row.
 """
 
 from __future__ import annotations
@@ -10,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.functions.arrays import group_sorted, indexes, part_of, running_totals, unnest
+from tidewell.functions.arrays import running_totals, unnest
 from tidewell.functions.text import words
 from tidewell.model import MIN_COMMONNESS, MIN_LINK_PROBABILITY
 from tidewell.operators.index import number_in_order
-from tidewell.operators.joins import is_small, lookup_join, spread_join
+from tidewell.operators.joins import lookup_join
 from tidewell.session import materialize
 
 
@@ -29,7 +28,7 @@ MENTION = (*PLACE, "spot", "spot_id", "link_probability", "entity", "commonness"
 
 def _with_words(texts: DataFrame, keys: list[str], longest_spot: Column) -> DataFrame:
     """Keys, the text's ``_lower`` words, their ``_ends`` in the text, and ``_most`` words of a spot."""
-    read = texts.select(*keys, words(F.col("text")).alias("_words"), F.split("text", "[A-Za-z]+").alias("_gaps"))
+    read = texts.select(*keys, words(F.col("text")).alias("_words"), F.split("text", r"\pL+").alias("_gaps"))
     # There is one gap more than words; the last total is not used.
     read = read.withColumn("_widths", F.zip_with(
         "_words", "_gaps", lambda w, g: F.coalesce(F.length(w), F.lit(0)) + F.length(g)))
@@ -37,20 +36,6 @@ def _with_words(texts: DataFrame, keys: list[str], longest_spot: Column) -> Data
         *keys, F.transform("_words", F.lower).alias("_lower"), "_ends", F.coalesce(longest_spot, F.lit(0)).alias("_most"))
 
 
-def _grams_by_text(read: DataFrame, keys: list[str]) -> DataFrame:
-    """``(keys, spot, items)``: each distinct word sequence of a text with its places, grouped in the row."""
-    grams = F.flatten(F.transform("_lower", lambda w, i: F.transform(
-        indexes(F.least(F.col("_most"), F.size("_lower") - i)),
-        lambda k: F.struct(
-            F.when(k == 0, w).otherwise(F.array_join(part_of(F.col("_lower"), i, i + k + 1), " ")).alias("spot"),
-            i.alias("tok"), (k + 1).alias("n"),
-            (F.get(F.col("_ends"), i) - F.length(w)).alias("start"),
-            F.get(F.col("_ends"), i + k).alias("end"),
-        ))))
-    grouped = group_sorted(read.select(*keys, F.sort_array(grams).alias("grams")), "grams", "spot", "found")
-    return unnest(grouped, keys, "found", "spot", "items")
-
-
 def _grams(read: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, spot, tok, n, start, end)``: each word sequence of a text."""
     at = read.select("*", F.posexplode_outer("_lower").alias("tok", "_word")).filter(F.col("_word").isNotNull())
@@ -65,26 +50,19 @@ def _grams(read: DataFrame, keys: list[str]) -> DataFrame:
         F.get(F.col("_ends"), F.col("tok") + F.col("n") - 1).alias("end"))
 
 
-def find_spots(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
+def find_spots(texts: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
     """Mentions of the ``spots`` (unique, with any further columns): ``(keys, spot, ..., tok, n, start, end)``.
 
-    A dictionary counted to be small goes to all tasks, and word sequences outside it are dropped as
-    they come out of the text. For a large one, each text's equal sequences are grouped in its row
-    first, so the shuffle moves one row per text and distinct sequence.
+    Word sequences that are not in the dictionary are dropped by the join as they come out of the text, in the
+    same task while the dictionary's bytes allow it to be broadcast.
     """
-    if few is None:
-        few = is_small(spots)
-    read = _with_words(texts, keys, longest(spots))
-    if few:
-        return _grams(read, keys).join(F.broadcast(spots), "spot")
-    hits = spread_join(_grams_by_text(read, keys), spots, "spot", keys)
-    return unnest(hits, [c for c in hits.columns if c != "items"], "items", *PLACE)
+    return lookup_join(_grams(_with_words(texts, keys, longest(spots)), keys), spots, "spot")
 
 
-def spot_frequency(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
+def spot_frequency(texts: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
     """``(spot, doc_freq)``: number of texts in which each spot occurs."""
     known = spots.select("spot").distinct()
-    hits = find_spots(texts, known, keys, few)
+    hits = find_spots(texts, known, keys)
     return hits.select(*keys, "spot").distinct().groupBy("spot").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
@@ -99,7 +77,7 @@ def spot_stats(anchors: DataFrame, texts: DataFrame, keys: list[str]) -> DataFra
         F.sum("n").alias("spot_links"), F.count(F.lit(1)).alias("link_docs"))
     per_spot = linked.join(spot_frequency(texts, anchors, keys), "spot", "left").select(
         "spot", "spot_links", "link_docs", F.greatest(F.coalesce("doc_freq", F.lit(0)), "link_docs").alias("doc_freq"))
-    return spread_join(pairs, per_spot, "spot", "target").withColumn(
+    return lookup_join(pairs, per_spot, "spot").withColumn(
         "link_probability", F.col("link_docs") / F.col("doc_freq"))
 
 
@@ -129,7 +107,7 @@ def dictionary(stats: DataFrame) -> DataFrame:
         "c", lambda c: F.struct(c["target"].alias("entity"), c["commonness"].alias("commonness"))).alias("candidates")))
 
 
-def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool | None = None) -> DataFrame:
+def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
     """Keys and ``mentions``, all dictionary mentions of a text in order of place.
 
     A mention (see :data:`MENTION`) has its spot's best candidate and number of candidates. Texts without a mention have no row. A text's mentions are grouped by its key and are at most as
@@ -139,7 +117,7 @@ def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str], few: bool
     slim = spots.select(
         "spot", "spot_id", "link_probability", best["entity"].alias("entity"), best["commonness"].alias("commonness"),
         F.size("candidates").alias("n_candidates"))
-    return find_spots(texts, slim, keys, few).groupBy(*keys).agg(
+    return find_spots(texts, slim, keys).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(*MENTION))).alias("mentions"))
 
 
@@ -171,5 +149,5 @@ def mention_rows(docs: DataFrame, keys: list[str]) -> DataFrame:
 def candidates(docs: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
     """One row per mention and candidate entity."""
     rows = mention_rows(docs, keys).select(*keys, "start", "end", "spot", "spot_id")
-    known = lookup_join(rows, spots.select("spot_id", "candidates"), "spot_id", keys)
+    known = lookup_join(rows, spots.select("spot_id", "candidates"), "spot_id")
     return unnest(known, [*keys, "start", "end", "spot"], "candidates", "entity", "commonness")

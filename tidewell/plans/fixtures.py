@@ -12,13 +12,12 @@ from tidewell.functions.arrays import unnest
 from tidewell.functions.text import host_of, words
 from tidewell.model import TAGGERS
 from tidewell.operators.blocks import plain_text
-from tidewell.sources.scan import spread
+from tidewell.session import scratch_path
 
 # Word types of the two taggers, by word length.
 SERIF_TYPES = ("PER", "ORG", "LOC", "MISC", "VEH", "TIME")
 LINGPIPE_TYPES = ("PER", "ORG", "LOC", "MISC")
 RETAGGED = {"PER": "PERSON", "ORG": "ORGANIZATION", "LOC": "LOCATION"}
-TITLE_WORDS = 3
 
 STOPWORDS = (
     "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on",
@@ -57,7 +56,7 @@ def timed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the time of the event of the same number."""
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"))
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return records(docs.join(events, "doc_id"))
 
 
@@ -86,7 +85,6 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_items(flat: DataFrame) -> DataFrame:
     first = F.get(F.split("text", "\n"), 0)
-    title = F.size(words(first)).between(1, TITLE_WORDS)
     return flat.select(
         "stream_id", "doc_id",
         F.encode("url", "UTF-8").alias("abs_url"),
@@ -97,8 +95,8 @@ def stream_items(flat: DataFrame) -> DataFrame:
             F.lit(None).cast("string").alias("clean_html"),
             _sentence_map(F.col("text")).alias("sentences"),
         ).alias("body"),
-        F.when(title, F.create_map(F.lit("title"), F.struct(
-            first.alias("clean_visible"), _sentence_map(first).alias("sentences")))).alias("other_content"),
+        F.create_map(F.lit("title"), F.struct(
+            first.alias("clean_visible"), _sentence_map(first).alias("sentences"))).alias("other_content"),
         "src_file",
     )
 
@@ -122,7 +120,7 @@ def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web pages as records; they carry no time."""
     key = F.md5(F.col("page_id").cast("string"))
     unseen = F.regexp_replace("html", r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->", " ")
-    return spread(table(spark, sf_dir, "pages")).select(
+    return table(spark, sf_dir, "pages").select(
         F.concat(F.lit("0-"), key).alias("stream_id"),
         key.alias("doc_id"),
         F.encode("url", "UTF-8").alias("abs_url"),
@@ -133,19 +131,19 @@ def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)`` of the documents, without their time."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return table(spark, sf_dir, "documents").select("doc_id", "text").select(
         F.md5(F.col("doc_id").cast("string")).alias("doc_id"), "text")
 
 
 def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page, target, spot)`` of every link in the pages."""
     link = F.lit(r'(?is)<a href="([^"]*)"[^>]*>(.*?)</a>')
-    found = spread(table(spark, sf_dir, "pages")).select(
+    found = table(spark, sf_dir, "pages").select(
         F.md5(F.col("page_id").cast("string")).alias("page"),
         F.arrays_zip(
             F.regexp_extract_all("html", link, F.lit(1)).alias("target"),
             F.regexp_extract_all("html", link, F.lit(2)).alias("text")).alias("links"))
-    spot = F.lower(F.trim(F.regexp_replace("text", "[^A-Za-z]+", " ")))
+    spot = F.lower(F.trim(F.regexp_replace("text", r"[^\pL]+", " ")))
     return unnest(found, ["page"], "links", "target", "text").select("page", "target", spot.alias("spot")).filter(
         F.col("spot") != "")
 
@@ -170,8 +168,8 @@ def stopwords(spark: SparkSession) -> DataFrame:
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topics ``(number, title)`` from the first eight words of the benchmark passages."""
-    title = F.array_join(F.transform(F.slice(words(F.col("text")), 1, 8), F.lower), " ")
+    """Topics ``(number, title)`` from all words of the benchmark passages."""
+    title = F.array_join(F.transform(words(F.col("text")), F.lower), " ")
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("number"), title.alias("title"))
 
 
@@ -189,9 +187,14 @@ EVENTS = "event_id long, ts timestamp_ntz"
 
 
 def timed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat corpus records with their ``ts`` as a stream: arriving events with the documents they announce."""
+    """Flat corpus records with their ``ts`` as a stream: arriving events with the documents they announce.
+
+    The events come in four files, days mixed, a file to a micro-batch.
+    """
+    arrived = scratch_path(spark, "events")
+    table(spark, sf_dir, "events").select("event_id", "ts").repartition(4, "event_id").write.parquet(arrived)
     events = (
-        spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(arrived)
         .select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts"))
     )
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")

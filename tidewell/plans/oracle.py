@@ -34,7 +34,7 @@ def oracle(name: str, sql: str) -> None:
 
 
 def _words(text: str) -> str:
-    return f"list_filter(string_split_regex({text}, '[^A-Za-z]+'), lambda x: x <> '')"
+    return f"list_filter(string_split_regex({text}, '[^\\pL]+'), lambda x: x <> '')"
 
 
 def _quoted(values) -> str:
@@ -139,7 +139,8 @@ FROM (SELECT DISTINCT entity FROM retag_names)
 """)
 
 _PLAIN = "regexp_replace({}, '<[^>]*>', ' ', 'g')"
-for _ref, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+for _ref, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&copy;", "©"),
+                   ("&amp;", "&")):
     _PLAIN = f"replace({_PLAIN}, '{_ref}', '{_char}')"
 _PLAIN = f"trim(regexp_replace({_PLAIN}, '\\s+', ' ', 'g'))"
 
@@ -149,7 +150,7 @@ SELECT md5(CAST(page_id AS VARCHAR)) AS doc_id, url, html,
 FROM pages
 """)
 
-_BREAK = r"(?i)</?(p|div|h1|li|ul|article|nav|footer|br|td|tr|table|title|body|head|html)(\s[^>]*)?/?>"
+_BREAK = r"(?i)</?([dou]l|d[dt]|li|div|p|pre|br|hr|h[1-6r]|t(able|body|foot|head|itle|[drh])|html|head(er)?|body|main|nav|footer|aside|article|section|form|fig(ure|caption)|blockquote|address|caption|center|details|dialog|dir|fieldset|legend|menu|option|select|summary)(\s[^>]*)?/?>"
 part("block_rows", rf"""
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY piece_no) - 1 AS block_no, tx,
        len(string_split(tx, ' ')) AS words,
@@ -179,16 +180,20 @@ FROM page_rows p LEFT JOIN (SELECT doc_id, string_agg(tx, chr(10) ORDER BY block
 
 oracle("scan_items", "SELECT 'documents.parquet' AS chunk, md5(CAST(doc_id AS VARCHAR)) AS doc_id, source FROM documents")
 oracle("manifest_scan", "SELECT 'documents.parquet' AS chunk, lang, count(*) AS records FROM documents GROUP BY lang")
-oracle("quarantine", "SELECT 'no_such_chunk.parquet' AS path, 'missing' AS error")
+oracle("quarantine", """
+SELECT 'documents.parquet' AS path, count(*) AS expected, count(*) AS rows, NULL::VARCHAR AS error FROM documents
+UNION ALL SELECT 'no_such_chunk.parquet', NULL, NULL, 'missing'
+""")
 oracle("tsv_roundtrip", "SELECT md5(CAST(doc_id AS VARCHAR)) AS doc_id, text FROM documents")
-oracle("ingest_xz", "SELECT source, doc_id, CAST(length(text) AS INTEGER) AS chars FROM documents")
+oracle("ingest_xz", "SELECT source, doc_id, md5(text) AS digest FROM documents")
 oracle("entity_map_roundtrip", """
 SELECT c.doc_id, CAST(count(r.entity) AS INTEGER) AS n_entities, CAST(coalesce(sum(r.cnt), 0) AS INTEGER) AS mentions
 FROM corpus_rows c LEFT JOIN count_rows r ON r.doc_id = c.doc_id GROUP BY c.doc_id
 """)
 oracle("entity_map_dump", "SELECT doc_id, entity, cnt FROM count_rows")
-for _name in ("sink_codec", "sink_mode", "sink_partitions"):
-    oracle(_name, "SELECT md5(CAST(doc_id AS VARCHAR)) AS doc_id, CAST(length(text) AS INTEGER) AS chars FROM documents")
+for _name in ("sink_codec", "sink_mode"):
+    oracle(_name, "SELECT md5(CAST(doc_id AS VARCHAR)) AS doc_id, md5(text) AS digest FROM documents")
+oracle("sink_partitions", "SELECT md5(CAST(doc_id AS VARCHAR)) AS doc_id, md5(text) AS digest, 24 AS files FROM documents")
 oracle("sink_by_file", """
 SELECT src_file, count(*) AS records, CAST(sum(length(body_text)) AS BIGINT) AS chars FROM corpus_rows GROUP BY src_file
 """)
@@ -274,13 +279,11 @@ FROM article_rows WHERE {_PLAIN.format('seen')} <> ''
 
 # --- index ------------------------------------------------------------------
 
-part("section_rows", f"""
+part("section_rows", """
 SELECT r.doc_id, 'body' AS section, 1 AS section_no, r.tagger_rank, r.sent_no, r.tok_no, r.token, r.entity_type FROM tagged_rows r
 UNION ALL
 SELECT r.doc_id, 'title', 0, r.tagger_rank, r.sent_no, r.tok_no, r.token, r.entity_type
-FROM tagged_rows r JOIN (SELECT doc_id FROM token_rows WHERE sent_no = 0 GROUP BY doc_id
-                         HAVING count(*) <= {fx.TITLE_WORDS}) t ON t.doc_id = r.doc_id
-WHERE r.sent_no = 0
+FROM tagged_rows r WHERE r.sent_no = 0
 """)
 
 part("placed_rows", """
@@ -354,8 +357,8 @@ FROM corpus_rows c LEFT JOIN freq_rows f ON f.doc_id = c.doc_id GROUP BY c.doc_i
 # --- retrieval --------------------------------------------------------------
 
 part("topic_words", f"""
-SELECT item_id AS number, unnest(list_slice({_words('text')}, 1, 8)) AS word,
-       generate_subscripts(list_slice({_words('text')}, 1, 8), 1) - 1 AS place
+SELECT item_id AS number, unnest({_words('text')}) AS word,
+       generate_subscripts({_words('text')}, 1) - 1 AS place
 FROM benchmark
 """)
 part("topic_rows", f"""
@@ -439,20 +442,20 @@ oracle("ranked_fields", _top("field_scores"))
 part("link_rows", r"""
 SELECT page, target, spot FROM (
   SELECT md5(CAST(page_id AS VARCHAR)) AS page, unnest(regexp_extract_all(html, '(?is)<a href="([^"]*)"[^>]*>(.*?)</a>', 1)) AS target,
-         lower(trim(regexp_replace(unnest(regexp_extract_all(html, '(?is)<a href="([^"]*)"[^>]*>(.*?)</a>', 2)), '[^A-Za-z]+', ' ', 'g'))) AS spot
+         lower(trim(regexp_replace(unnest(regexp_extract_all(html, '(?is)<a href="([^"]*)"[^>]*>(.*?)</a>', 2)), '[^\pL]+', ' ', 'g'))) AS spot
   FROM pages) WHERE spot <> ''
 """)
 
-MAX_WORDS = 5
+MAX_WORDS = 8
 
 
 def _gram_parts(name: str, source: str) -> None:
     """Word sequences of a table ``(doc_id, tx)`` with their offsets."""
     part(f"{name}_words", f"""
 SELECT doc_id, tok, w, sum(length(w) + length(g)) OVER (PARTITION BY doc_id ORDER BY tok) AS w_end
-FROM (SELECT doc_id, unnest(regexp_extract_all(tx, '[A-Za-z]+')) AS w,
-             unnest(string_split_regex(tx, '[A-Za-z]+')[1:len(regexp_extract_all(tx, '[A-Za-z]+'))]) AS g,
-             generate_subscripts(regexp_extract_all(tx, '[A-Za-z]+'), 1) - 1 AS tok FROM {source})
+FROM (SELECT doc_id, unnest(regexp_extract_all(tx, '\\pL+')) AS w,
+             unnest(string_split_regex(tx, '\\pL+')[1:len(regexp_extract_all(tx, '\\pL+'))]) AS g,
+             generate_subscripts(regexp_extract_all(tx, '\\pL+'), 1) - 1 AS tok FROM {source})
 """)
     unions = []
     for n in range(1, MAX_WORDS + 1):
@@ -625,6 +628,15 @@ SELECT doc_id, {_PLACE}, spot, entity, round(lp, 6) AS link_probability, round(c
        round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 6) AS context_relatedness, round(weight, 6) AS context_weight
 FROM received_rows
 """)
+oracle("link_mlscore", f"""
+SELECT doc_id, {_PLACE}, spot, entity, score
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c_start, c_end) AS place
+      FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, ord ORDER BY score DESC, commonness DESC, entity DESC) AS best
+            FROM (SELECT *, round(1 / (1 + exp(-(-3.0 + 2.0 * round(lp, 6) + 3.0 * round(commonness, 6)
+                      + 1.5 * round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 6) + 0.1 * round(weight, 6)))), 6) AS score
+                  FROM received_rows)) WHERE best = 1)
+WHERE place <= 50 AND score >= 0.1
+""")
 oracle("annotate_hook", """
 SELECT doc_id, CAST(len(f) AS INTEGER) AS n, array_to_string(f, ' ') AS found
 FROM (SELECT doc_id, regexp_extract_all(tx, '[A-Za-z]{12,}') AS f FROM doc_rows) WHERE len(f) > 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_LINES = 4096
+UNNAMED = "unnamed"
 
 
 def _lines(path: str):
@@ -31,12 +32,10 @@ def _lines(path: str):
             yield tail
 
 
-def read_chunks(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Records of all chunk files under ``path``, with their ``chunk`` name.
+def _numbered(spark: SparkSession, path: str, strict: bool) -> DataFrame:
+    """``(chunk, number, line)`` of all lines under ``path``, numbered from 1.
 
     An xz file cannot be split, so a task reads whole files, as a stream in batches of lines.
-    Chunks that break off or cannot be decoded give the records read so far; see
-    :func:`broken_chunks`.
     """
     def read(batches):
         import pandas as pd
@@ -44,23 +43,47 @@ def read_chunks(spark: SparkSession, path: str, schema: T.StructType | str) -> D
         for batch in batches:
             for file in batch["path"]:
                 lines: list[str] = []
+                first = 1
+                name = os.path.basename(file)
                 try:
                     for line in _lines(file):
-                        lines.append(line.decode("utf-8"))
+                        lines.append(line.decode("utf-8", errors="strict" if strict else "replace"))
                         if len(lines) == BATCH_LINES:
-                            yield pd.DataFrame({"chunk": os.path.basename(file), "line": lines})
-                            lines = []
-                except Exception:
-                    pass
+                            yield _frame(pd, name, first, lines)
+                            first, lines = first + len(lines), []
+                except Exception as error:
+                    if strict:
+                        raise ValueError(f"chunk {name} cannot be read to its end; see broken_chunks") from error
                 if lines:
-                    yield pd.DataFrame({"chunk": os.path.basename(file), "line": lines})
+                    yield _frame(pd, name, first, lines)
+
+    return _files(spark, path).mapInPandas(read, "chunk string, number long, line string").filter(F.col("line") != "")
 
-    return (
-        _files(spark, path).mapInPandas(read, "chunk string, line string")
-        .filter(F.col("line") != "")
-        .select("chunk", F.from_json("line", schema).alias("r"))
-        .select("chunk", "r.*")
-    )
+
+def _frame(pd, name: str, first: int, lines: list[str]):
+    return pd.DataFrame({"chunk": name, "number": range(first, first + len(lines)), "line": lines})
+
+
+def _parsed(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """Lines with the record ``r`` they hold; ``r._bad`` is the line itself where it is no such record."""
+    with_bad = f"{schema}, _bad string" if isinstance(schema, str) else T.StructType(
+        [*schema.fields, T.StructField("_bad", T.StringType())])
+    return lines.withColumn("r", F.from_json("line", with_bad, {"columnNameOfCorruptRecord": "_bad"}))
+
+
+def read_chunks(spark: SparkSession, path: str, schema: T.StructType | str, strict: bool = True) -> DataFrame:
+    """Records of all chunk files under ``path``, with their ``chunk`` name.
+
+    A chunk that breaks off is an error; without ``strict`` it gives the records read so far and is listed by
+    :func:`broken_chunks`. Lines that hold no such record are listed by :func:`rejected_lines`.
+    """
+    good = _parsed(_numbered(spark, path, strict), schema).filter("r._bad is null")
+    return good.select("chunk", "r.*").drop("_bad")
+
+
+def rejected_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """``(chunk, number, line)`` of the lines that hold no record of the schema."""
+    return _parsed(_numbered(spark, path, False), schema).filter("r._bad is not null").select("chunk", "number", "line")
 
 
 def broken_chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -83,21 +106,25 @@ def broken_chunks(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInPandas(check, "chunk string, lines long, error string")
 
 
+#: Tasks that chunk files are dealt to, at most.
+MOST_TASKS = 10_000
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    """Paths under ``path``, dealt out over many tasks; the contents are not loaded here."""
+    """Paths under ``path``, one task each up to :data:`MOST_TASKS`; the contents are not loaded here."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    most = 16 * spark.sparkContext.defaultParallelism
-    return listing.repartition(max(1, min(len(listing.inputFiles()), most)))
+    return listing.repartition(max(1, min(len(listing.inputFiles()), MOST_TASKS)))
 
 
 def write_chunks(df: DataFrame, path: str, chunk: str, compress: bool = True) -> DataFrame:
     """Write records as JSON-lines chunk files and return ``(chunk, part, lines)`` per written file.
 
     Rows are put in order of ``chunk`` by range, so a large chunk is cut into several files instead
-    of going through one task. A file's name holds its task, so a repeated task overwrites its own.
+    of going through one task. A file's name holds its task, so a repeated task overwrites its own. Records
+    without a chunk go to :data:`UNNAMED`.
     """
     fields = [c for c in df.columns if c != chunk]
-    lines = df.select(F.col(chunk).alias("chunk"), F.to_json(F.struct(*fields)).alias("line"))
+    lines = df.select(F.coalesce(F.col(chunk), F.lit(UNNAMED)).alias("chunk"), F.to_json(F.struct(*fields)).alias("line"))
     ending = ".json.xz" if compress else ".json"
 
     def write(batches):

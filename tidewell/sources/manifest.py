@@ -22,42 +22,47 @@ def read_manifest(spark: SparkSession, manifest: str) -> DataFrame:
     return manifest_paths(spark.read.text(manifest))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def scan_manifest(
     spark: SparkSession, paths: DataFrame, schema: str | None = None, base: str = "",
-    fmt: str = "parquet", tolerant: bool = True,
+    fmt: str = "parquet", tolerant: bool = False,
 ) -> DataFrame:
     """All records of the listed files, with their ``chunk``.
 
-    Only the path list, which the file index holds on the driver in any case, is brought to the
-    driver; the files are read as usual, so pruning and splitting work.
+    A missing or damaged file is an error. With ``tolerant``, the Parquet files that :func:`file_report` finds
+    fault with are left out whole, never in part. Only the path list, which the file index holds on the driver in
+    any case, is brought to the driver; the files are read as usual, so pruning and splitting work.
     """
-    listed = [os.path.join(base, row.path) for row in paths.distinct().toLocalIterator()]
+    listed = paths.select("path").distinct()
     if tolerant:
-        listed = [p for p in listed if _exists(spark, p)]
+        listed = file_report(spark, listed, base).filter("error is null").select("path")
     reader = spark.read.format(fmt)
     if schema:
         reader = reader.schema(schema)
-    if tolerant:
-        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    return with_chunk(reader.load(sorted(listed)))
+    return with_chunk(reader.load(sorted(os.path.join(base, row.path) for row in listed.collect())))
 
 
-def quarantine(spark: SparkSession, paths: DataFrame, base: str = "", tasks: int | None = None) -> DataFrame:
-    """``(path, error)`` of the listed files that are missing or whose Parquet footer cannot be read.
+def file_report(spark: SparkSession, paths: DataFrame, base: str = "") -> DataFrame:
+    """``(path, expected, rows, error)`` of the listed Parquet files.
 
-    The check runs on the executors, one footer at a time, and reads no record data.
+    ``expected`` is the footer's row count, ``rows`` those that could be decoded, ``error`` is null where all were.
+    The files are read on the executors, one row group at a time.
     """
     def check(batches):
         import pandas as pd
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
 
+        def read(fs, inner):
+            with fs.open_input_file(inner) as source:
+                file = pq.ParquetFile(source)
+                expected, rows = file.metadata.num_rows, 0
+                for group in range(file.num_row_groups):
+                    try:
+                        rows += file.read_row_group(group).num_rows
+                    except Exception as error:
+                        return expected, rows, f"row group {group}: {type(error).__name__}"
+            return expected, rows, None if rows == expected else "rows missing"
+
         for batch in batches:
             found = []
             for path in batch["path"]:
@@ -68,13 +73,18 @@ def quarantine(spark: SparkSession, paths: DataFrame, base: str = "", tasks: int
                     else:
                         fs, inner = pafs.LocalFileSystem(), full.removeprefix("file:")
                     if fs.get_file_info(inner).type == pafs.FileType.NotFound:
-                        found.append((path, "missing"))
-                        continue
-                    pq.read_metadata(inner, filesystem=fs)
+                        found.append((path, None, None, "missing"))
+                    else:
+                        found.append((path, *read(fs, inner)))
                 except Exception as error:
-                    found.append((path, f"unreadable: {type(error).__name__}"))
-            yield pd.DataFrame(found, columns=["path", "error"])
+                    found.append((path, None, None, f"unreadable: {type(error).__name__}"))
+            yield pd.DataFrame(found, columns=["path", "expected", "rows", "error"]).astype({"expected": "Int64", "rows": "Int64"})
 
     # A count of its own: a path list is small, and would be merged into one task by its size.
-    listed = paths.select("path").distinct().repartition(tasks or 4 * spark.sparkContext.defaultParallelism)
-    return listed.mapInPandas(check, "path string, error string")
+    listed = paths.select("path").distinct().repartition(spark.sparkContext.defaultParallelism * 4, "path")
+    return listed.mapInPandas(check, "path string, expected long, rows long, error string")
+
+
+def quarantine(spark: SparkSession, paths: DataFrame, base: str = "") -> DataFrame:
+    """``(path, error)`` of the listed files that are missing or cannot be read whole."""
+    return file_report(spark, paths, base).filter("error is not null").select("path", "error")

@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from tidewell.model import STREAM_ITEM
 
-SPLIT_BYTES = 32 * 1024 * 1024
-
 
 def read_items(spark: SparkSession, *paths: str, fmt: str = "parquet") -> DataFrame:
     """Every record of every chunk, with the chunk's base name in ``src_file``."""
@@ -27,17 +25,6 @@ def with_chunk(df: DataFrame) -> DataFrame:
     return df.withColumn("chunk", F.col("_metadata.file_name"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small scan out to all cores.
-
-    A file with one row group is one task whatever its splits say. That matters only while the
-    input has fewer splits than there are cores; a larger input is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
-
-
 def read_tolerant(spark: SparkSession, paths: Iterable[str], schema: str, fmt: str = "parquet") -> DataFrame:
     """Read the listed files, going on when one is missing or cannot be read."""
     return (

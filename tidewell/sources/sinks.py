@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.model import OUTPUT_PARTITIONS
-
 # Names accepted for an output codec, and what Spark's writers call them.
 TEXT_CODECS = {"bz2": "bzip2", "bzip2": "bzip2", "gz": "gzip", "gzip": "gzip", "lz4": "lz4", "snappy": "snappy"}
 PARQUET_CODECS = {"gz": "gzip", "gzip": "gzip", "lz4": "lz4_raw", "snappy": "snappy"}
@@ -25,21 +23,28 @@ def codec_name(compression: str | None, fmt: str) -> str | None:
 
 def sink(
     df: DataFrame, path: str, *, fmt: str = "parquet", key: str | None = None,
-    partitions: int = OUTPUT_PARTITIONS, overwrite: bool = False, compression: str | None = None,
-    by: str | None = None, spread: int = 8,
+    partitions: int | None = None, overwrite: bool = False, compression: str | None = None,
+    by: str | None = None, spread: int = 1,
 ) -> None:
-    """Write ``df`` in ``partitions`` files, by hash of ``key`` and in key order within a file.
+    """Write ``df``, by hash of ``key`` and in key order within a file, in at most ``partitions`` files.
 
-    Without ``key`` and ``by`` the rows stay in the partitions they are in. ``by`` writes one folder
-    per value of that column (one output per input file, per letter, per shard). One value may hold
-    much of the data, so its rows go to up to ``spread`` tasks, by a hash of the whole row.
+    All rows of a key are in one file; ``spread`` above 1 lets the rows of a hot key go to that many files.
+    Without ``key`` and ``by`` the rows stay where they are, or are dealt to ``partitions`` files. ``by`` writes
+    one folder per value of that column (one output per input file, per letter, per shard); without ``partitions``
+    Spark chooses the number of files and splits a large value by its measured bytes.
     """
-    if key is not None or by is not None:
-        place = [F.col(c) for c in (by, key if by is None else None) if c is not None]
-        plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
-        salt = F.pmod(F.xxhash64(*plain), F.lit(spread))
-        df = df.repartition(partitions, *place, salt).sortWithinPartitions(
-            *[c for c in (by, key) if c is not None])
+    if by is not None and partitions is None:
+        df = df.hint("rebalance", by)
+    elif by is not None or key is not None:
+        place = [F.col(by if by is not None else key)]
+        if spread > 1:
+            plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
+            place.append(F.pmod(F.xxhash64(*plain), F.lit(spread)))
+        df = df.repartition(partitions, *place) if partitions else df.repartition(*place)
+    elif partitions is not None:
+        df = df.repartition(partitions)
+    if order := [c for c in (by, key) if c is not None]:
+        df = df.sortWithinPartitions(*order)
     writer = df.write.format(fmt).mode("overwrite" if overwrite else "errorifexists")
     if (codec := codec_name(compression, fmt)) is not None:
         writer = writer.option("compression", codec)

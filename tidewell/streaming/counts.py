@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.text import day_key
 from tidewell.operators.spans import doc_entity_map, explode_map
 
+
 def _run(stream: DataFrame, path: str, mode: str, write) -> None:
     query = (
         stream.writeStream.outputMode(mode).foreachBatch(write)
@@ -20,41 +21,49 @@ def _run(stream: DataFrame, path: str, mode: str, write) -> None:
     query.awaitTermination()
 
 
-def _append_batches(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
-    """Run the stream; the table of all micro-batches' rows with their ``batch`` number."""
+def _batches(stream: DataFrame, path: str, schema: str, rows_of) -> DataFrame:
+    """Run the stream; the table of what ``rows_of`` gives for each micro-batch, empty where none came."""
+    spark = stream.sparkSession
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/table/batch=-1")
+
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/table/batch={batch}")
+        rows_of(rows).write.mode("overwrite").parquet(f"{path}/table/batch={batch}")
 
-    _run(stream, path, mode, write)
-    return stream.sparkSession.read.schema(stream.schema.add("batch", "long")).parquet(f"{path}/table")
+    _run(stream, path, "append", write)
+    return spark.read.schema(schema).parquet(f"{path}/table")
 
 
-def docs_per_day(stream: DataFrame, path: str, lateness: str = "1 day") -> DataFrame:
-    """Documents per day. State is one count per day not yet closed by the watermark."""
-    days = stream.withWatermark("ts", lateness).groupBy(F.window("ts", "1 day")).agg(
-        F.count(F.lit(1)).alias("docs")).select(
-        F.date_format("window.start", "yyyyMMdd").cast("int").alias("day"), "docs")
-    # A micro-batch gives the new totals of the days it touched: the last one counts.
-    return _append_batches(days, path, "update").groupBy("day").agg(F.max_by("docs", "batch").alias("docs"))
+def docs_per_day(stream: DataFrame, path: str) -> DataFrame:
+    """Documents per day of a stream with a time ``ts``.
 
+    Counts add up, so each micro-batch writes its own and no state is kept: however late a row comes, it counts.
+    """
+    stored = _batches(stream, path, "day int, docs long", lambda rows: rows.groupBy(
+        F.date_format("ts", "yyyyMMdd").cast("int").alias("day")).agg(F.count(F.lit(1)).alias("docs")))
+    return stored.groupBy("day").agg(F.sum("docs").alias("docs"))
 
-def entities_per_day(items: DataFrame, path: str) -> DataFrame:
-    """Entity totals per day of a stream of corpus records.
 
-    Counts add up, so each micro-batch writes its own and no state is kept.
-    """
-    def write(rows: DataFrame, batch: int) -> None:
+def entities_per_day(items: DataFrame, path: str) -> DataFrame:
+    """Entity totals per day of a stream of corpus records; counted as :func:`docs_per_day`."""
+    def totals(rows: DataFrame) -> DataFrame:
         dated = rows.withColumn("day", day_key(F.col("stream_time.epoch_ticks")))
-        found = explode_map(doc_entity_map(dated, "day"))
-        found.groupBy("day", "entity").agg(F.sum("cnt").cast("long").alias("total")).write.mode("overwrite").parquet(
-            f"{path}/table/batch={batch}")
+        return explode_map(doc_entity_map(dated, "day")).groupBy("day", "entity").agg(
+            F.sum("cnt").cast("long").alias("total"))
 
-    _run(items, path, "append", write)
-    stored = items.sparkSession.read.schema("day int, entity string, total long").parquet(f"{path}/table")
+    stored = _batches(items, path, "day int, entity string, total long", totals)
     return stored.groupBy("day", "entity").agg(F.sum("total").alias("total"))
 
 
-def first_seen(stream: DataFrame, path: str, within: str = "1 day") -> DataFrame:
-    """Each ``stream_id`` once, when repeats arrive within the watermark."""
-    once = stream.withWatermark("ts", within).dropDuplicatesWithinWatermark(["stream_id"])
-    return _append_batches(once, path).drop("batch")
+def first_seen(stream: DataFrame, path: str) -> DataFrame:
+    """Each ``stream_id`` once, whenever it or its repeats arrive.
+
+    The state holds every id seen, on disk (RocksDB): with a watermark it would be smaller, and late records lost.
+    """
+    conf, key = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key)
+    conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+        return _batches(stream.dropDuplicates(["stream_id"]), path, schema, lambda rows: rows)
+    finally:
+        conf.set(key, before)
