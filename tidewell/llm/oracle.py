@@ -58,4 +58,42 @@ select page_id, host, path, rule, coalesce(v.said, b.said, 'allow') as verdict
 from v left join b on v.k = b.k and b.place = 1
 """
 
-ORACLE = {"op3_warc_revisit": WARC_REVISIT, "op9_url_rules": URL_RULES}
+_REACH = """, reach(id, other) as (
+  select id, id from nodes union select reach.id, links.b from reach join links on links.a = reach.other
+), roots as (select id, min(other) as component_id from reach group by id
+), counts as (select a as id, count(*) as n_links from links group by a)
+"""
+
+ROTATION_CODES = """
+with recursive nodes as (
+  select vec_id as id, label, cast(embedding as double[]) as e from embeddings
+), links as (
+  select x.id as a, y.id as b from nodes x join nodes y on x.label = y.label and x.id <> y.id
+  where list_cosine_similarity(x.e, y.e) >= 0.98
+)""" + _REACH + """
+select r.id as vec_id, coalesce(c.n_links, 0) as n_links, r.component_id, r.id = r.component_id as kept
+from roots r left join counts c on c.id = r.id
+"""
+
+NGRAM_JOIN = r"""
+with recursive nodes as (
+  select doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x09-\x0D\x20]+'), lambda x: x <> '') as w
+  from documents
+), grams as (
+  select distinct id, gram from (select id, unnest(
+    case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as gram from nodes)
+), sizes as (select id, count(*) as n from grams group by id
+), shared as (
+  select x.id as a, y.id as b, count(*) as k from grams x join grams y on x.gram = y.gram and x.id <> y.id group by all
+), links as (
+  select a, b from shared join sizes x on x.id = a join sizes y on y.id = b where 5 * k >= 4 * (x.n + y.n - k)
+)""" + _REACH + """
+select r.id as doc_id, coalesce(c.n_links, 0) as n_links, r.component_id, r.id = r.component_id as kept
+from roots r left join counts c on c.id = r.id
+"""
+
+ORACLE = {
+    "op3_warc_revisit": WARC_REVISIT, "op5_rotation_codes": ROTATION_CODES, "op6_ngram_join": NGRAM_JOIN,
+    "op9_url_rules": URL_RULES,
+}
