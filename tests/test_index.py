@@ -99,3 +99,14 @@ def test_stopword_file(spark, tmp_path):
     terms = spark.createDataFrame([("d", "the", 3), ("d", "The", 1), ("d", "car", 2)], "doc_id string, term string, tf int")
     left = index.remove_stopwords(terms, index.read_stopwords(spark, str(tmp_path / "stop.txt")))
     assert {r.term for r in left.collect()} == {"The", "car"}
+
+
+def test_a_stored_index_is_read_back(spark, corpus, tmp_path):
+    df = corpus(item("a", taggers={"serif": sentences("red car", "red")}), item("b", taggers={"serif": sentences("blue")}))
+    path = str(tmp_path / "i")
+    index.write_index(df, path)
+    stored = index.read_index(spark, path)
+    want = {(r.term, r.doc_id, r.tf, r.doc_len) for r in index.term_frequencies(df).collect()}
+    assert {(r.term, r.doc_id, r.tf, r.doc_len) for r in stored.frequencies().collect()} == want
+    assert {(r.term, r.doc_id, r.tf, r.doc_len) for r in stored.terms_of(df.filter("doc_id = 'a'")).collect()} == {w for w in want if w[1] == "a"}
+    assert {(r.doc_id, r.doc_len) for r in stored.lengths.collect()} == {(r.doc_id, r.doc_len) for r in index.doc_lengths(df).collect()}

@@ -6,6 +6,8 @@ the only shuffles are those by term, of one row per document and term.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -264,12 +266,40 @@ def vocab_conflate(words: DataFrame) -> DataFrame:
 
 
 def write_index(items: DataFrame, path: str, partitions: int | None = None, overwrite: bool = False) -> None:
-    """Write the index tables under ``path``; an existing index is an error unless ``overwrite``."""
+    """Write the index tables under ``path``; an existing index is an error unless ``overwrite``.
+
+    The text is read twice, for postings and for the direct index; lexicon and document table come from these.
+    """
+    read = items.sparkSession.read
     sink(by_letter(inverted_index(items)), f"{path}/inverted", by="letter", key="term",
          partitions=partitions, overwrite=overwrite)
-    postings = items.sparkSession.read.parquet(f"{path}/inverted")
-    sink(by_letter(lexicon(postings)), f"{path}/lexicon", by="letter", key="term",
+    sink(_counted(items).withColumnRenamed("groups", "terms"), f"{path}/direct", partitions=partitions, overwrite=overwrite)
+    sink(by_letter(lexicon(read.parquet(f"{path}/inverted"))), f"{path}/lexicon", by="letter", key="term",
          partitions=partitions, overwrite=overwrite)
-    sink(doc_lengths(items), f"{path}/document", partitions=partitions, overwrite=overwrite)
+    sink(read.parquet(f"{path}/direct").drop("terms"), f"{path}/document", partitions=partitions, overwrite=overwrite)
     sink(meta_index(items), f"{path}/meta", partitions=partitions, overwrite=overwrite)
 
+
+@dataclass(frozen=True)
+class Index:
+    """Tables of a stored index: postings by letter, lexicon by letter, terms and length per document, properties."""
+
+    postings: DataFrame
+    lexicon: DataFrame
+    direct: DataFrame
+    lengths: DataFrame
+    meta: DataFrame
+
+    def frequencies(self) -> DataFrame:
+        """Postings without positions."""
+        return self.postings.select("letter", "term", "stream_id", "doc_id", "doc_len", "tf")
+
+    def terms_of(self, docs: DataFrame) -> DataFrame:
+        """``(term, stream_id, doc_id, doc_len, tf)`` of the documents named in ``docs``."""
+        chosen = self.direct.join(docs.select("stream_id").distinct(), "stream_id", "left_semi")
+        return unnest(chosen, ["stream_id", "doc_id", "doc_len"], "terms", "term", "n").withColumnRenamed("n", "tf")
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    """The tables that :func:`write_index` wrote."""
+    return Index(*(spark.read.parquet(f"{path}/{name}") for name in ("inverted", "lexicon", "direct", "document", "meta")))

@@ -365,14 +365,35 @@ def topics(spark, sf_dir):
     return search.topic_terms(fx.topics(spark, sf_dir)).select("number", "place", "term")
 
 
-def _lengths(spark, sf_dir):
-    return index.doc_lengths(fx.items(spark, sf_dir))
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def _index(spark, sf_dir):
+    """The stored index of the documents, written once per session; retrieval reads no text."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        path = scratch_path(spark, "index")
+        index.write_index(fx.items(spark, sf_dir), path)
+        _INDEXES[key] = path
+    return index.read_index(spark, _INDEXES[key])
 
 
 def _scored(spark, sf_dir):
-    terms = _topic_terms(spark, sf_dir)
-    postings = search.matching(_frequencies(spark, sf_dir), terms)
-    return search.scores(postings, search.query_weights(terms), _lengths(spark, sf_dir))
+    terms, stored = _topic_terms(spark, sf_dir), _index(spark, sf_dir)
+    postings = search.matching(stored.frequencies(), terms)
+    return search.scores(postings, search.query_weights(terms), stored.lengths)
+
+
+@query
+def index_exists(spark, sf_dir):
+    """Writing an index where there is one is refused."""
+    stored = _index(spark, sf_dir)
+    try:
+        index.write_index(fx.items(spark, sf_dir), _INDEXES[spark.sparkContext.applicationId, sf_dir])
+        refused = False
+    except Exception as error:
+        refused = "already exists" in str(error)
+    return stored.lengths.select("doc_id", F.lit(refused).alias("refused"))
 
 
 RESULT = ["number", "doc_id", "rank", "score"]
@@ -385,7 +406,7 @@ def ranked_topk(spark, sf_dir):
 
 @query
 def ranked_site(spark, sf_dir):
-    scored = search.on_site(_scored(spark, sf_dir), index.meta_index(fx.items(spark, sf_dir)), SITE)
+    scored = search.on_site(_scored(spark, sf_dir), _index(spark, sf_dir).meta, SITE)
     return search.ranked(scored).select(RESULT)
 
 
@@ -397,18 +418,18 @@ def ranked_scope(spark, sf_dir):
 @query
 def ranked_decorated(spark, sf_dir):
     found = search.ranked(_scored(spark, sf_dir))
-    return search.decorate(found, index.meta_index(fx.items(spark, sf_dir))).select(*RESULT, "url", "type", "time")
+    return search.decorate(found, _index(spark, sf_dir).meta).select(*RESULT, "url", "type", "time")
 
 
 @query
 def ranked_qe(spark, sf_dir):
     terms = _topic_terms(spark, sf_dir)
     weights = search.query_weights(terms)
-    frequencies, lengths = _frequencies(spark, sf_dir), _lengths(spark, sf_dir)
+    stored = _index(spark, sf_dir)
+    frequencies, lengths = stored.frequencies(), stored.lengths
     scored = search.scores(search.matching(frequencies, terms), weights, lengths)
     feedback = materialize(search.feedback_docs(search.ranked(scored)))
-    named = feedback.select("stream_id").distinct()
-    pool = materialize(index.term_frequencies(fx.items(spark, sf_dir).join(named, "stream_id", "left_semi")))
+    pool = materialize(stored.terms_of(feedback))
     wider = materialize(search.expanded_weights(feedback, pool, weights, frequencies, lengths))
     return search.ranked(search.scores(search.matching(frequencies, wider), wider, lengths)).select(RESULT)
 
@@ -416,8 +437,9 @@ def ranked_qe(spark, sf_dir):
 @query
 def ranked_proximity(spark, sf_dir):
     terms = _topic_terms(spark, sf_dir)
-    lengths = _lengths(spark, sf_dir)
-    postings = search.matching(index.inverted_index(fx.items(spark, sf_dir), fields=()), terms)
+    stored = _index(spark, sf_dir)
+    lengths = stored.lengths
+    postings = search.matching(stored.postings, terms)
     pairs = search.adjacent_pairs(terms)
     single = search.scores(postings, search.query_weights(terms), lengths)
     phrases = materialize(search.pair_postings(postings, pairs))
@@ -428,9 +450,9 @@ def ranked_proximity(spark, sf_dir):
 @query
 def ranked_fields(spark, sf_dir):
     terms = _topic_terms(spark, sf_dir)
-    postings = search.matching(index.inverted_index(fx.items(spark, sf_dir), fields=tuple(FIELD_WEIGHTS)), terms)
-    scored = search.scores(
-        postings, search.query_weights(terms), _lengths(spark, sf_dir), search.weighted_tf(FIELD_WEIGHTS))
+    stored = _index(spark, sf_dir)
+    postings = search.matching(stored.postings, terms)
+    scored = search.scores(postings, search.query_weights(terms), stored.lengths, search.weighted_tf(FIELD_WEIGHTS))
     return search.ranked(scored).select(RESULT)
 
 

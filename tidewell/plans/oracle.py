@@ -354,6 +354,8 @@ SELECT c.doc_id, coalesce(string_agg(f.term || ':' || CAST(f.tf AS VARCHAR), ' '
 FROM corpus_rows c LEFT JOIN freq_rows f ON f.doc_id = c.doc_id GROUP BY c.doc_id
 """)
 
+oracle("index_exists", "SELECT doc_id, true AS refused FROM corpus_rows")
+
 # --- retrieval --------------------------------------------------------------
 
 part("topic_words", f"""
