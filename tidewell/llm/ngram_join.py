@@ -241,7 +241,8 @@ def _verify(source: DataFrame, groups: DataFrame, classes: DataFrame, limit: flo
             out["shingles"] = [s.tobytes() for s in sets]
             yield out[own]
 
-    texts = source.join(grouped, "member").select("member", "group", "size", "copies", "class", "text")
+    # By shuffle whatever the sizes: groups hold a share of the documents, so they grow with them.
+    texts = source.select("member", "text").join(grouped.hint("merge"), "member").select("member", "group", "size", "copies", "class", "text")
     full = texts.mapInPandas(run, "member long, group long, size long, copies long, shingles binary").dropDuplicates(["member"])
     pairs = common.block_pairs(full, F.col("size"), F.col("member")).drop("size")
 
