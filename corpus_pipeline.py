@@ -37,7 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     marked = docs.select(
         F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         ngram_join.text_key(F.col("text")).alias("text_key"))
-    return marked.join(dropped, ["doc_id", "text_key"], "left_anti").select("row.*")
+    # By shuffle whatever the sizes: what goes is a share of the documents, so it grows with them.
+    return marked.join(dropped.hint("merge"), ["doc_id", "text_key"], "left_anti").select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
