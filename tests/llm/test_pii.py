@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewell.llm import pii
@@ -91,3 +92,31 @@ def test_classifier_rejects_what_labelers_reject():
     base = pii.code_of(0, (1, 1, 1, 0, 1), 20)
     assert pii.accepted_codes(np.array([good, bad, base]), np.array([20, 30, 100])) == sorted([good, base])
     assert pii.accepted_codes(np.array([], int), np.array([], int)) == []
+
+
+@pytest.mark.parametrize("dot", [".", " dot ", "(dot)", " (dot) ", "[dot]", " [DOT] "])
+@pytest.mark.parametrize("at", [" at ", "(at)", " (at) ", "[at]", " [AT] "])
+def test_spelled_addresses_are_candidates_whatever_else_the_text_holds(at, dot):
+    address = f"jane{at}example{dot}com"
+    text = f"You may write to {address}, or not"
+    assert [text[a:b] for _, a, b, _, _ in pii.candidates(text)] == [address]
+
+
+def test_spelled_addresses_hide_nothing():
+    held = lambda text: [(k, text[a:b]) for k, a, b, _, _ in pii.candidates(text)]
+    assert held("reach me at jane.b at example.com now") == [(0, "jane.b at example.com")]
+    assert held("call me at 705.555.6638 today") == [(3, "705.555.6638")]
+    assert held("pay it at 4795.3260.1670.3902 today") == [(2, "4795.3260.1670.3902")]
+    assert held("it runs at 10.20.30.40 today") == [(1, "10.20.30.40")]
+    assert held("no sign at all. None") == []
+
+
+def test_spelled_addresses_are_redacted(spark):
+    """Labelers and the classifier take an address with a known ending, and leave one without."""
+    ways = ["jane at example.com", "jane at example [dot] com", "jane at example(dot)com"]
+    rows = [f"mail ana.b{i}@mail.example.com or +1 (375) 555-4393 now" for i in range(30)] + ["version 1234 5678 9012 3456 of it"] * 20
+    rows += [f"please write to {way} today" for way in ways] + ["we looked at page.nowhere yesterday"] * 20
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    got = dict(pii.find(docs).select("row.doc_id", pii.redact(F.col("row.text"), F.col("spans"))).collect())
+    assert [got[50 + i] for i in range(3)] == ["please write to [email] today"] * 3
+    assert {got[i] for i in range(53, 73)} == {"we looked at page.nowhere yesterday"}

@@ -11,6 +11,7 @@ thousand such numbers, whatever the size of the corpus.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -41,8 +42,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+#: Looked for at every word, as the local part of an address may end another hit ("me at jane.b at example.com").
 _SPELLED = re.compile(
-    r"(?<![\w.+-])[\w.+-]{1,64}(?: ?[(\[]at[)\]] ?| at )[\w-]{1,63}(?:(?: ?[(\[]dot[)\]] ?| dot |\.)[\w-]{1,63}){1,4}", re.I)
+    r"(?<![\w.+-])(?=([\w.+-]{1,64}(?: ?[(\[]at[)\]] ?| at )[\w-]{1,63}(?:(?: ?[(\[]dot[)\]] ?| dot |\.)[\w-]{1,63}){1,4}))", re.I)
 _IP6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")
 _CARD_PARTS = re.compile(r"(?<![0-9])(?:[0-9]{14,19}|[0-9]{4}(?:[ ./_-][0-9]{4}){3}|3[47][0-9]{2}[ ./_-][0-9]{6}[ ./_-][0-9]{5})(?![0-9])")
 _PHONE_PARTS = re.compile(
@@ -99,8 +101,8 @@ def loose_spans(text: str) -> list[tuple[int, int, int]]:
     """Candidates of the looser patterns: spelled-out addresses, long IP addresses, cards and numbers within longer runs."""
     spans = []
     low = text.lower()
-    if "(at)" in low or "[at]" in low or (" at " in low and " dot " in low):
-        spans += [(0, m.start(), m.end()) for m in _SPELLED.finditer(text)]
+    if " at " in low or "(at" in low or "[at" in low:
+        spans += [(0, m.start(1), m.end(1)) for m in _SPELLED.finditer(text)]
     if ":" in text:
         spans += [(1, m.start(), m.end()) for m in _IP6.finditer(text)]
     if _DIGIT.search(text):
@@ -109,14 +111,17 @@ def loose_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
+def _ending(span: str) -> str:
+    return re.split(r"[.\s(\[\])]+", span.strip(".)]"))[-1].lower()
+
+
 def votes(text: str, kind: int, start: int, stop: int, base: bool) -> tuple[int, ...]:
     """Votes of :data:`LABELERS` on a candidate: 1 for, -1 against, 0 abstains."""
     span = text[start:stop]
     digits = _digits(span)
     if kind == 0:
         check = 1 if "@" in span and ".." not in span else 0
-        ending = re.split(r"[.\s(\[\])]+", span.strip(".)]"))[-1].lower()
-        known = 1 if ending in ENDINGS else -1
+        known = 1 if _ending(span) in ENDINGS else -1
     elif kind == 1:
         check = 1 if ":" in span or len(span.split(".")) == 4 else -1
         known = -1 if span.startswith(("0.", "127.", "255.")) else 1 if "." in span else 0
@@ -150,19 +155,23 @@ def parts_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def candidates(text: str | None) -> list[tuple[int, int, int, bool, int]]:
-    """Base spans, and looser candidates that touch none of them nor each other, by place."""
+    """Base spans, and looser candidates that touch none of them nor each other, by place.
+
+    A spelled-out address of unknown ending gives way to any other: "me at 705.555.6638" hides no number.
+    """
     if not text:
         return []
     base = base_spans(text)
     taken = sorted((start, stop) for _, start, stop in base)
     out = [(kind, start, stop, True) for kind, start, stop in base]
-    extra, last = [], 0
-    for start, stop, kind in sorted((start, stop, kind) for kind, start, stop in loose_spans(text)):
-        if start >= last:
-            extra.append((kind, start, stop))
-            last = stop
+    extra: list[tuple[int, int, int]] = []
+    loose = [(kind == 0 and _ending(text[start:stop]) not in ENDINGS, start, stop, kind) for kind, start, stop in loose_spans(text)]
+    for _, start, stop, kind in sorted(loose):
+        at = bisect.bisect(extra, (start, stop, kind))
+        if (at == 0 or extra[at - 1][1] <= start) and (at == len(extra) or extra[at][0] >= stop):
+            extra.insert(at, (start, stop, kind))
     i = 0
-    for kind, start, stop in extra:
+    for start, stop, kind in extra:
         while i < len(taken) and taken[i][1] <= start:
             i += 1
         if i == len(taken) or taken[i][0] >= stop:
