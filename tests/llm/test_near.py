@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tidewell.llm import binary_codes, common, ngram_join
 
 
@@ -157,6 +158,42 @@ def test_documents_join_as_by_brute_force(spark):
     assert sorted(str((r.doc_id, r.n_links, r.component_id, r.kept)) for r in out) == want
 
 
+def test_ids_that_repeat_with_other_texts(spark):
+    draw = random.Random(12)
+    texts = [" ".join(str(draw.randrange(10 ** 6)) for _ in range(60)) for _ in range(6)]
+    near = [t + " more" for t in texts]
+    want = [  # id, text, links, component
+        (7, texts[0], 0, 7),
+        (7, texts[1], 1, 3), (3, near[1], 1, 3),
+        (7, texts[2], 1, 7), (9, near[2], 1, 7),
+        (7, texts[3], 3, 7), (7, texts[3], 3, 7), (7, texts[3].replace(" ", "  "), 3, 7), (9, near[3], 3, 7),
+        (8, texts[4], 1, 8), (8, near[4], 1, 8),
+        (8, texts[5], 1, 8), (11, texts[5], 1, 8),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in want], "doc_id long, text string").repartition(3)
+    keys = {r.k: r.text for r in docs.select("text", ngram_join.text_key(docs.text).alias("k")).collect()}
+    got = [(r.doc_id, keys[r.text_key], r.n_links, r.component_id, r.kept) for r in ngram_join.join(docs).collect()]
+    assert sorted(got) == sorted((*w, w[0] == w[3]) for w in want)
+    left = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(map(tuple, left)) == sorted(w[:2] for w in want if w[0] == w[3])
+
+
+def test_ids_that_repeat_with_other_vectors(spark):
+    draw = np.random.default_rng(5)
+    vectors = [[float(np.float32(x)) for x in v] for v in draw.standard_normal((5, 24))]
+    near = [[v[0] + 0.0625, *v[1:]] for v in vectors]
+    want = [
+        (7, vectors[0], 0, 7),
+        (7, vectors[1], 1, 3), (3, near[1], 1, 3),
+        (7, vectors[2], 2, 7), (7, vectors[2], 2, 7), (9, near[2], 2, 7),
+        (8, vectors[3], 1, 8), (8, near[3], 1, 8),
+        (8, vectors[4], 1, 8), (11, vectors[4], 1, 8),
+    ]
+    rows = spark.createDataFrame([(*w[:2], 1) for w in want], "vec_id long, embedding array<float>, label int").repartition(3)
+    got = [tuple(r) for r in binary_codes.link(rows).collect()]
+    assert sorted(got) == sorted((i, n, c, i == c) for i, _, n, c in want)
+
+
 def test_no_documents(spark):
     assert ngram_join.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

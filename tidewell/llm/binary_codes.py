@@ -113,13 +113,13 @@ def _codes(distinct: DataFrame, shape: Plan) -> DataFrame:
             packed = [np.asarray(v, "<f4").tobytes() for v in frame["embedding"]]
             bits, factors = coded(unit(np.array(packed, object), shape.dim), shape)
             yield pd.DataFrame({
-                "member": frame["member"], "label": frame["label"], "copies": frame["copies"], "vector": packed,
+                "node": frame["node"], "label": frame["label"], "copies": frame["copies"], "vector": packed,
                 "bits": [b.tobytes() for b in np.packbits(bits, axis=1)],
                 "factors": [f.tobytes() for f in factors.astype("<f4")], "bands": list(bands_of(bits, shape)),
             })
 
     return distinct.mapInPandas(
-        run, "member long, label string, copies long, vector binary, bits binary, factors binary, bands array<long>")
+        run, "node long, label string, copies long, vector binary, bits binary, factors binary, bands array<long>")
 
 
 def link(rows: DataFrame, limit: float = LIMIT, vec: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
@@ -139,16 +139,18 @@ def link(rows: DataFrame, limit: float = LIMIT, vec: str = "vec_id", embedding:
     ).withColumn("class", F.when(F.coalesce(usable, F.lit(False)), F.md5(F.concat_ws(
         ",", "label", F.col("embedding").cast("array<string>")))))
     classes = materialize(facts.filter("class is not null").groupBy("class", "label").agg(
-        F.first("embedding").alias("embedding"), F.min("vec_id").alias("member"), F.count(F.lit(1)).alias("copies")), "classes")
+        F.first("embedding").alias("embedding"), F.min("vec_id").alias("member"), F.count(F.lit(1)).alias("copies")).withColumn(
+            # An id may come with several vectors, so classes are told apart by a number of their own, stored with them.
+            "node", F.monotonically_increasing_id()), "classes")
     alone = facts.filter("class is null").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     shapes = classes.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()
     found = [_link_class(classes.filter(F.size("embedding") == s["dim"]), s["dim"], limit) for s in shapes]
     if not found:
         return alone
-    linked = functools.reduce(DataFrame.unionByName, found)
+    linked = common.least_members(functools.reduce(DataFrame.unionByName, found), classes)
     table = materialize(
-        classes.select("class", "member", "copies").join(linked, "member", "left").select(
+        classes.select("class", "node", "member", "copies").join(linked, "node", "left").select(
             "class", F.col("copies").alias("n"),
             (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("component", "member").alias("component_id")), "links")
@@ -158,30 +160,30 @@ def link(rows: DataFrame, limit: float = LIMIT, vec: str = "vec_id", embedding:
 
 
 def _link_class(classes: DataFrame, dim: int, limit: float) -> DataFrame:
-    """``member, others, component`` of the distinct vectors of one length that have links."""
+    """``node, others, component`` of the distinct vectors of one length that have links."""
     largest = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     shape = plan(largest, dim, limit)
-    codes = materialize(_codes(classes.select("member", "label", "copies", "embedding"), shape), "codes")
-    slim = codes.select("member", "label", F.explode("bands").alias("band")).select(
-        F.xxhash64("label", "band").alias("bucket"), "member")
-    payload = codes.select("member", "label", "copies", "vector", "bits", "factors")
-    met = common.block_pairs(common.shared_buckets(slim).join(payload, "member"), F.col("size"), F.col("member"))
+    codes = materialize(_codes(classes.select("node", "label", "copies", "embedding"), shape), "codes")
+    slim = codes.select("node", "label", F.explode("bands").alias("band")).select(
+        F.xxhash64("label", "band").alias("bucket"), "node")
+    payload = codes.select("node", "label", "copies", "vector", "bits", "factors")
+    met = common.block_pairs(common.shared_buckets(slim).join(payload, "node"), F.col("size"), F.col("node"))
 
     def edges(block: common.Arrays) -> common.Arrays | None:
         linked = links(block, shape, limit) & (block["label"][:, None] == block["label"][None, :])
-        a, b = common.stars(linked, block["member"])
+        a, b = common.stars(linked, block["node"])
         return {"a": a, "b": b} if len(a) else None
 
     found = materialize(common.sweep(met.drop("size", "copies"), ["bucket", "side_a", "side_b"], edges, "a long, b long"), "edges")
-    nodes = materialize(common.components(found).withColumnsRenamed({"node": "member"}), "components")
+    nodes = materialize(common.components(found), "components")
     sizes = materialize(
         nodes.groupBy("component").agg(F.count(F.lit(1)).alias("n")).withColumn("size", F.col("n")), "sizes")
     grouped = common.lookup_join(nodes, sizes, "component", "n")
-    pairs = common.block_pairs(grouped.join(payload, "member"), F.col("size"), F.col("member"))
+    pairs = common.block_pairs(grouped.join(payload, "node"), F.col("size"), F.col("node"))
 
     def counts(block: common.Arrays) -> common.Arrays | None:
         linked = links(block, shape, limit)
-        return {"member": block["member"], "others": linked.astype(np.int64) @ block["copies"]}
+        return {"node": block["node"], "others": linked.astype(np.int64) @ block["copies"]}
 
-    counted = common.sweep(pairs.drop("size", "label"), ["component", "side_a", "side_b"], counts, "member long, others long")
-    return counted.groupBy("member").agg(F.sum("others").alias("others")).join(nodes, "member")
+    counted = common.sweep(pairs.drop("size", "label"), ["component", "side_a", "side_b"], counts, "node long, others long")
+    return counted.groupBy("node").agg(F.sum("others").alias("others")).join(nodes, "node")

@@ -123,7 +123,7 @@ def stars(linked: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def shared_buckets(slim: DataFrame) -> DataFrame:
-    """Rows ``(bucket, member)`` of buckets with two members or more, with the bucket's ``size``."""
+    """Rows ``(bucket, node)`` of buckets with two nodes or more, with the bucket's ``size``."""
     sizes = materialize(
         slim.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").withColumn("n", F.col("size")),
         "buckets")
@@ -160,3 +160,14 @@ def components(edges: DataFrame) -> DataFrame:
         down = materialize(small, "small")
     return down.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         down.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def least_members(linked: DataFrame, classes: DataFrame) -> DataFrame:
+    """``linked`` with the least ``member`` of each ``component`` in the component's place; ``classes`` has the members of its nodes.
+
+    Members may repeat: nodes tell classes apart, members only name the component.
+    """
+    named = materialize(linked.join(classes.select("node", "member"), "node"), "named")
+    least = materialize(
+        named.groupBy("component").agg(F.min("member").alias("least"), F.count(F.lit(1)).alias("n")), "names")
+    return lookup_join(named.drop("member"), least, "component", "n").drop("component").withColumnRenamed("least", "component")

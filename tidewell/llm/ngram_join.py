@@ -197,25 +197,27 @@ def join(docs: DataFrame, limit: float = LIMIT, doc: str = "doc_id", text: str =
     source = docs.select(F.col(doc).cast("long").alias("member"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key"))
     signed = materialize(_signed(source, bands), "signed")
     facts = signed.filter("member is not null and class is not null")
+    # An id may come with several texts, so classes are told apart by a number of their own, stored with them.
     classes = materialize(facts.groupBy("class").agg(
-        F.min("member").alias("member"), F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
-    slim = classes.select("member", F.posexplode("bands").alias("band", "key")).select(
-        F.xxhash64("band", "key").alias("bucket"), "member")
-    payload = classes.select("member", "grams", "sketch")
-    met = common.block_pairs(common.shared_buckets(slim).join(payload, "member"), F.col("size"), F.col("member"))
+        F.min(F.struct("member", "text_key")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"),
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).select(
+            F.monotonically_increasing_id().alias("node"), "class", "least.*", "copies", "grams", "bands", "sketch"), "classes")
+    slim = classes.select("node", F.posexplode("bands").alias("band", "key")).select(
+        F.xxhash64("band", "key").alias("bucket"), "node")
+    payload = classes.select("node", "grams", "sketch")
+    met = common.block_pairs(common.shared_buckets(slim).join(payload, "node"), F.col("size"), F.col("node"))
 
     def candidates(block: common.Arrays) -> common.Arrays | None:
-        a, b = common.stars(likely(block, bands, limit), block["member"])
+        a, b = common.stars(likely(block, bands, limit), block["node"])
         return {"a": a, "b": b} if len(a) else None
 
     near = materialize(
         common.sweep(met.drop("size", "own"), ["bucket", "side_a", "side_b"], candidates, "a long, b long").distinct(), "candidates")
-    groups = common.components(near).withColumnsRenamed({"node": "member", "component": "group"})
-    groups = materialize(groups, "groups")
-    linked = _verify(source, groups, classes.select("member", "class", "copies"), limit)
+    groups = materialize(common.components(near).withColumnRenamed("component", "group"), "groups")
+    linked = _verify(source, groups, classes.select("node", "class", "member", "text_key", "copies"), limit)
+    linked = common.least_members(linked, classes)
     answer = materialize(
-        classes.select("class", "member", "copies").join(linked, "member", "left").select(
+        classes.select("class", "node", "member", "copies").join(linked, "node", "left").select(
             "class", F.col("copies").alias("n"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("component", "member").alias("component_id")), "answer")
     joined = common.lookup_join(facts.select("member", "text_key", "class"), answer, "class", "n").select(
@@ -228,33 +230,34 @@ def join(docs: DataFrame, limit: float = LIMIT, doc: str = "doc_id", text: str =
 
 
 def _verify(source: DataFrame, groups: DataFrame, classes: DataFrame, limit: float) -> DataFrame:
-    """``member, others, component`` of the classes in candidate groups, from all pairs within a group."""
+    """``node, others, component`` of the classes in candidate groups, from all pairs within a group."""
     sizes = materialize(groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).withColumn("size", F.col("n")), "sizes")
-    grouped = materialize(common.lookup_join(groups, sizes, "group", "n").join(classes, "member"), "grouped")
+    grouped = materialize(common.lookup_join(groups, sizes, "group", "n").join(classes, "node"), "grouped")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sets = [shingles(t) for t in frame["text"]]
-            # A repeated id may bring another text along: only the class's own set counts.
+            # Texts of an id may share a key: only the class's own set counts.
             own = [xxhash.xxh3_128_hexdigest(s.tobytes()) == c for s, c in zip(sets, frame["class"], strict=True)]
             out = frame.drop(columns=["text", "class"])
             out["shingles"] = [s.tobytes() for s in sets]
             yield out[own]
 
     # By shuffle whatever the sizes: groups hold a share of the documents, so they grow with them.
-    texts = source.select("member", "text").join(grouped.hint("merge"), "member").select("member", "group", "size", "copies", "class", "text")
-    full = texts.mapInPandas(run, "member long, group long, size long, copies long, shingles binary").dropDuplicates(["member"])
-    pairs = common.block_pairs(full, F.col("size"), F.col("member")).drop("size")
+    texts = source.join(grouped.hint("merge"), ["member", "text_key"]).select("node", "group", "size", "copies", "class", "text")
+    # Rows that repeat an id and text bring a class's set more than once; all of a node's sets are equal.
+    full = texts.mapInPandas(run, "node long, group long, size long, copies long, shingles binary").dropDuplicates(["node"])
+    pairs = common.block_pairs(full, F.col("size"), F.col("node")).drop("size")
 
     def check(block: common.Arrays) -> common.Arrays:
         linked = verified(block, limit)
-        a, b = common.stars(linked, block["member"])
+        a, b = common.stars(linked, block["node"])
         none = np.full(len(a), -1, np.int64)
         return {
-            "a": np.concatenate([block["member"], a]), "b": np.concatenate([block["member"], b]),
+            "a": np.concatenate([block["node"], a]), "b": np.concatenate([block["node"], b]),
             "others": np.concatenate([linked.astype(np.int64) @ block["copies"], none])}
 
     found = materialize(common.sweep(pairs, ["group", "side_a", "side_b"], check, "a long, b long, others long"), "verified")
-    nodes = common.components(found.filter("others < 0").select("a", "b")).withColumnsRenamed({"node": "member"})
-    others = found.filter("others >= 0").groupBy(F.col("a").alias("member")).agg(F.sum("others").alias("others"))
-    return others.join(nodes, "member", "left").select("member", "others", F.coalesce("component", "member").alias("component"))
+    nodes = common.components(found.filter("others < 0").select("a", "b"))
+    others = found.filter("others >= 0").groupBy(F.col("a").alias("node")).agg(F.sum("others").alias("others"))
+    return others.join(nodes, "node", "left").select("node", "others", F.coalesce("component", "node").alias("component"))
