@@ -28,7 +28,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id.
+    """One document of each group of near-duplicates: the one with the least id, with all rows that repeat this id.
 
     What goes is named by id and text, so a row without an id, or one that repeats an id with another text, is not
     taken for another row.
