@@ -93,7 +93,29 @@ select r.id as doc_id, coalesce(c.n_links, 0) as n_links, r.component_id, r.id =
 from roots r left join counts c on c.id = r.id
 """
 
+LEXICAL_SEARCH = r"""
+with doc_terms as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents where text is not null
+), item_terms as (
+  select item_id, term, count(*) as n from (select item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark where text is not null) group by all
+), tf as (select doc_id, term, count(*) as tf from doc_terms group by all
+), sizes as (select doc_id, sum(tf)::bigint as n from tf group by doc_id
+), totals as (select count(*) as nn, sum(n)::bigint as ll from sizes
+), df as (select term, count(*) as df from tf group by term
+), scores as (
+  select item_id, doc_id, sum(i.n * floor(1000 * ln((2 * nn + 2)::double / (2 * df + 1)::double))::bigint
+    * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * s.n * nn) // ll))))::bigint as score
+  from item_terms i join tf using (term) join df using (term) join sizes s using (doc_id) cross join totals group by item_id, doc_id
+)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0)
+where rank <= 10
+"""
+
 ORACLE = {
     "op3_warc_revisit": WARC_REVISIT, "op5_rotation_codes": ROTATION_CODES, "op6_ngram_join": NGRAM_JOIN,
-    "op9_url_rules": URL_RULES,
+    "op9_url_rules": URL_RULES, "op13_geometric_blocks": LEXICAL_SEARCH,
 }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import batched_bpe, binary_codes, ngram_join, packing, pairwise_quality, pii, quality_rules, token_counts, url_rules, warc
+from tidewell.llm import (
+    batched_bpe,
+    binary_codes,
+    lexical_search,
+    ngram_join,
+    packing,
+    pairwise_quality,
+    pii,
+    quality_rules,
+    sentencepieces,
+    token_counts,
+    url_rules,
+    warc,
+    whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +93,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op11_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepieces.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+        F.element_at("stops", -1).cast("long").alias("n_bytes"))
+
+
+def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(_table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mcd_quality": op2_mcd_quality,
@@ -90,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pairwise_quality": op8_pairwise_quality,
     "op9_url_rules": op9_url_rules,
     "op10_pii": op10_pii,
+    "op11_offset_pieces": op11_offset_pieces,
+    "op12_cholesky_whitening": op12_cholesky_whitening,
+    "op13_geometric_blocks": op13_geometric_blocks,
 }
 
 
