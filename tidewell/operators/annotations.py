@@ -41,20 +41,21 @@ def _for_all(texts: DataFrame, annotated: DataFrame, keys: list[str], *more: str
     return joined.withColumn("annotations", F.coalesce("annotations", F.array()))
 
 
-def _lines(texts: DataFrame, annotated: DataFrame, keys: list[str], *fields: str) -> DataFrame:
-    parts = F.transform("annotations", lambda a: F.concat_ws(",", *[a[f].cast("string") for f in fields]))
+def _lines(texts: DataFrame, annotated: DataFrame, keys: list[str], shown: str | None, *fields: str) -> DataFrame:
+    # A comma parts the fields, so one inside a field is written as in a URL.
+    parts = F.transform("annotations", lambda a: F.concat_ws(",", *[F.replace(a[f].cast("string"), F.lit(","), F.lit("%2C")) for f in fields]))
     return _for_all(texts, annotated, keys).select(*keys, F.concat_ws(
-        "\t", F.concat(F.array(*[F.col(k) for k in keys]), parts)).alias("line"))
+        "\t", F.concat(F.array(F.col(shown or keys[-1])), parts)).alias("line"))
 
 
-def annot_lines(texts: DataFrame, annotated: DataFrame, keys: list[str]) -> DataFrame:
-    """Line ``key TAB entity,score ...`` of every text."""
-    return _lines(texts, annotated, keys, "entity", "score")
+def annot_lines(texts: DataFrame, annotated: DataFrame, keys: list[str], shown: str | None = None) -> DataFrame:
+    """Line ``id TAB entity,score ...`` of every text; the id is the column ``shown``, or else the last of ``keys``."""
+    return _lines(texts, annotated, keys, shown, "entity", "score")
 
 
-def annot_mentions(texts: DataFrame, annotated: DataFrame, keys: list[str]) -> DataFrame:
-    """Line ``key TAB mention,start,entity,score ...`` of every text."""
-    return _lines(texts, annotated, keys, "spot", "start", "entity", "score")
+def annot_mentions(texts: DataFrame, annotated: DataFrame, keys: list[str], shown: str | None = None) -> DataFrame:
+    """Line ``id TAB mention,start,entity,score ...`` of every text, the id as in :func:`annot_lines`."""
+    return _lines(texts, annotated, keys, shown, "spot", "start", "entity", "score")
 
 
 def annot_render(texts: DataFrame, annotated: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.arrays import unnest
@@ -28,121 +30,182 @@ def link_degrees(graph: DataFrame) -> DataFrame:
     return incoming.unionByName(outgoing)
 
 
-def relatedness(pairs: DataFrame, graph: DataFrame, pages: DataFrame) -> DataFrame:
-    """``(a, b, shared, relatedness)`` of the distinct pairs ``a < b``, from their common linking pages.
+def related_pairs(graph: DataFrame, pages: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """``(a, b, shared, relatedness)`` of the pairs ``a < b`` that at least one page links to together.
 
-    Only the given pairs are worked out, and only the pages of the pair's less linked entity are
-    looked up among the other's. The pages of a much linked entity are spread over sub-keys.
+    The common pages are counted by joining the graph with itself on the page, so pairs without one never arise. With
+    ``among``, a table of distinct ``target``, only those are paired; their degrees are those of the whole graph.
     """
     degree = graph.groupBy("target").agg(F.count(F.lit(1)).alias("degree"))
-    known = lookup_join(pairs, degree.select(F.col("target").alias("a"), F.col("degree").alias("in_a")), "a", "left")
-    known = lookup_join(known, degree.select(F.col("target").alias("b"), F.col("degree").alias("in_b")), "b", "left")
-    known = known.na.fill(0, ["in_a", "in_b"])
-    few = F.col("in_a") <= F.col("in_b")
-    lookups = known.select(
-        "a", "b", F.when(few, F.col("a")).otherwise(F.col("b")).alias("target"),
-        F.when(few, F.col("b")).otherwise(F.col("a")).alias("other"))
-    reached = lookup_join(graph, lookups, "target").select("a", "b", "other", "page")
-    common = reached.join(graph.withColumnRenamed("target", "other"), ["other", "page"], "left_semi").groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("shared"))
-    total = pages.agg(F.count(F.lit(1)).alias("n"))
-    joined = known.join(common, ["a", "b"], "left").withColumn("_pages", total.scalar()).na.fill(0, ["shared"])
+    edges = graph if among is None else graph.join(among, "target", "left_semi")
+    common = edges.select("page", F.col("target").alias("a")).join(edges.select("page", F.col("target").alias("b")), "page").filter(
+        "a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    known = lookup_join(common, degree.select(F.col("target").alias("a"), F.col("degree").alias("in_a")), "a")
+    known = lookup_join(known, degree.select(F.col("target").alias("b"), F.col("degree").alias("in_b")), "b")
+    joined = known.withColumn("_pages", pages.agg(F.count(F.lit(1)).alias("n")).scalar())
     lo, hi = F.least("in_a", "in_b"), F.greatest("in_a", "in_b")
     far = (F.log(hi) - F.log("shared")) / (F.log("_pages") - F.log(lo))
     # Both entities on every page: nothing sets them apart.
-    value = F.when(F.col("shared") == 0, 0.0).when(lo == F.col("_pages"), 1.0).otherwise(F.greatest(F.lit(0.0), 1 - far))
+    value = F.when(lo == F.col("_pages"), 1.0).otherwise(F.greatest(F.lit(0.0), 1 - far))
     return joined.select("a", "b", "shared", value.alias("relatedness"))
 
 
-def _with_context(docs: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """Mention rows with ``context``, the spot ids of the mentions at most ``window`` away."""
-    read = docs.withColumn("_ids", F.col("mentions")["spot_id"]).select("*", F.posexplode_outer("mentions").alias("ord", "m"))
-    rows = read.filter(F.col("m").isNotNull())
-    place = F.col("ord")
-    context = F.concat(
-        F.slice("_ids", F.greatest(place - window, F.lit(0)) + 1, F.least(place, F.lit(window))),
-        F.slice("_ids", place + 2, F.lit(window)))
-    return rows.select(
-        *keys, "ord", *[F.col(f"m.{f}") for f in ("start", "end", "spot", "spot_id", "link_probability")],
-        context.alias("context"))
-
+def relatedness(pairs: DataFrame, graph: DataFrame, pages: DataFrame) -> DataFrame:
+    """``(a, b, shared, relatedness)`` of the given distinct pairs ``a < b``; zeros where no page links to both."""
+    among = pairs.select(F.col("a").alias("target")).unionByName(pairs.select(F.col("b").alias("target"))).distinct()
+    return pairs.join(related_pairs(graph, pages, among), ["a", "b"], "left").na.fill(0, ["shared"]).na.fill(0.0, ["relatedness"])
 
-def _spot_pairs(mentions: DataFrame) -> DataFrame:
-    """Distinct ``(spot_id, other_id)`` of spots in each other's context."""
-    rows = unnest(mentions.select("spot_id", F.array_distinct("context").alias("context")), ["spot_id"], "context")
-    return rows.toDF("spot_id", "other_id").distinct()
 
+# --- votes of the neighbours ---
 
-def _entity_pairs(spot_pairs: DataFrame, spots: DataFrame) -> DataFrame:
-    """Candidates in each other's context.
+#: Mentions of a text that are worked on together, besides those around them.
+PIECE = 512
 
-    ``(spot_id, other_id, entity, other_n, other_weight, other_entity, other_commonness)``
-    """
-    mine = spots.select("spot_id", F.col("candidates").alias("_mine"))
-    theirs = spots.select(
-        F.col("spot_id").alias("other_id"), F.col("link_probability").alias("other_weight"), F.col("candidates").alias("_theirs"))
-    both = lookup_join(lookup_join(spot_pairs, mine, "spot_id"), theirs, "other_id")
-    rows = unnest(both, ["spot_id", "other_id", "other_weight", "_theirs"], "_mine", "entity").withColumn(
-        "other_n", F.size("_theirs"))
-    keep = ["spot_id", "other_id", "entity", "other_n", "other_weight"]
-    return unnest(rows, keep, "_theirs").select(
-        *keep, F.col("item.entity").alias("other_entity"), F.col("item.commonness").alias("other_commonness"))
 
+def _candidate_rows(spots: DataFrame) -> DataFrame:
+    """``(spot_id, place, entity, commonness, n, weight)``; the weight is the spot's if it has one candidate, else 0."""
+    n = F.size("candidates")
+    known = spots.select("spot_id", n.alias("n"), F.when(n == 1, F.col("link_probability")).otherwise(0.0).alias("weight"), "candidates")
+    return unnest(known, ["spot_id", "n", "weight"], "candidates", "entity", "commonness", place="place")
 
-def _distinct_pairs(entity_pairs: DataFrame) -> DataFrame:
-    return entity_pairs.filter(F.col("entity") != F.col("other_entity")).select(
-        F.least("entity", "other_entity").alias("a"), F.greatest("entity", "other_entity").alias("b")).distinct()
 
+def vote_matrix(spots: DataFrame, graph: DataFrame, pages: DataFrame) -> DataFrame:
+    """``(spot_id, entries)``: what each other spot nearby gives to a spot's candidates, stored.
 
-def candidate_pairs(docs: DataFrame, spots: DataFrame, keys: list[str], window: int = VOTE_WINDOW) -> DataFrame:
-    """Distinct entity pairs ``a < b`` that are candidates in each other's context."""
-    return _distinct_pairs(_entity_pairs(_spot_pairs(_with_context(docs, keys, window)), spots))
+    A vote depends on the two spots alone, so this is a sparse product of candidates, relatedness and candidates. An
+    entry is ``struct(other, place, vote, related)`` for the candidate at ``place``: ``vote`` is the mean over the other
+    spot's candidates of relatedness times commonness; ``related`` is the relatedness to its only candidate times its
+    weight, and 0 if it has several. Entries of zero are left out.
+    """
+    rows = materialize(_candidate_rows(spots), "candidates")
+    among = materialize(rows.select(F.col("entity").alias("target")).distinct(), "entities")
+    pairs = materialize(related_pairs(graph, pages, among).filter(F.col("relatedness") > 0), "related").select("a", "b", "relatedness")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "relatedness")).unionByName(
+        among.select(F.col("target").alias("a"), F.col("target").alias("b"), F.lit(1.0).alias("relatedness")))
+    mine = rows.select("spot_id", "place", F.col("entity").alias("a"))
+    theirs = rows.select(F.col("spot_id").alias("other"), F.col("entity").alias("b"), "commonness", "n", "weight")
+    given = mine.join(both, "a").join(theirs, "b")
+    votes = given.groupBy("spot_id", "other", "place").agg(
+        (F.sum(F.col("relatedness") * F.col("commonness")) / F.max("n")).alias("vote"),
+        F.max(F.col("relatedness") * F.col("weight")).alias("related"))
+    return materialize(votes.groupBy("spot_id").agg(
+        F.sort_array(F.collect_list(F.struct("other", "place", "vote", "related"))).alias("entries")), "votes")
+
+
+def _pieces(docs: DataFrame, keys: list[str], window: int) -> DataFrame:
+    """Runs of at most :data:`PIECE` mentions of a text: ``(keys, first, lead, own, near)``.
+
+    ``near`` are the run's mentions and ``window`` more on each side, ``lead`` of them before the run.
+    """
+    first, before = F.col("first"), F.least(F.col("first"), F.lit(window))
+    starts = F.when(F.size("mentions") > 0, F.sequence(F.lit(0), F.size("mentions") - 1, F.lit(PIECE)))
+    runs = docs.select(*keys, "mentions", F.explode_outer(starts).alias("first")).filter(F.col("first").isNotNull())
+    return runs.select(
+        *keys, "first", before.alias("lead"), F.slice("mentions", first + 1, F.lit(PIECE)).alias("own"),
+        F.slice("mentions", first - before + 1, before + PIECE + window).alias("near"))
 
 
-def _votes(mentions: DataFrame, spots: DataFrame, graph: DataFrame, pages: DataFrame) -> DataFrame:
-    """``(spot_id, other_id, votes)``: what a neighbour's spot gives to a spot's candidates.
+def _counts(ids: np.ndarray, lead: int, own: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct spots, each mention's among them, and how often each is in the window around each own mention.
 
-    A vote depends on the two spots alone, so it is worked out once per pair of spots and not once
-    per place. An entry is ``struct(entity, vote, related)``; ``related`` is the relatedness to a
-    neighbour with one candidate, times its weight, and 0 for other neighbours.
+    Sliding sums: the running total at a window's end less that at its start, less the mention itself.
     """
-    pairs = materialize(_entity_pairs(_spot_pairs(mentions), spots))
-    related = materialize(relatedness(materialize(_distinct_pairs(pairs)), graph, pages).filter(F.col("relatedness") > 0))
-    keyed = pairs.withColumn("a", F.least("entity", "other_entity")).withColumn("b", F.greatest("entity", "other_entity"))
-    joined = lookup_join(keyed, related.select("a", "b", "relatedness"), ["a", "b"], "left")
-    value = F.when(F.col("entity") == F.col("other_entity"), 1.0).otherwise(F.coalesce("relatedness", F.lit(0.0)))
-    votes = joined.withColumn("_r", value).filter(F.col("_r") > 0).groupBy("spot_id", "other_id", "entity").agg(
-        (F.sum(F.col("_r") * F.col("other_commonness")) / F.max("other_n")).alias("vote"),
-        F.max(F.when(F.col("other_n") == 1, F.col("_r") * F.col("other_weight")).otherwise(0.0)).alias("related"))
-    return materialize(votes.groupBy("spot_id", "other_id").agg(
-        F.collect_list(F.struct("entity", "vote", "related")).alias("votes")))
-
-
-def _received(mentions: DataFrame, votes: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums of votes and of weighted relatedness per mention and candidate; candidates without any are left out."""
-    place = [*keys, "ord"]
-    neighbours = unnest(mentions.select(*place, "spot_id", "context"), [*place, "spot_id"], "context")
-    given = lookup_join(neighbours.withColumnRenamed("item", "other_id"), votes, ["spot_id", "other_id"])
-    rows = unnest(given, place, "votes", "entity", "vote", "related")
-    return rows.groupBy(*place, "entity").agg(F.sum("vote").alias("votes"), F.sum("related").alias("related"))
-
-
-def _with_received(mentions: DataFrame, votes: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
-    """Mention rows with ``received: array<struct<entity, commonness, votes, related>>``, best prior first."""
-    place = [*keys, "ord"]
-    sums = _received(mentions, votes, keys).groupBy(*place).agg(
-        F.collect_list(F.struct("entity", "votes", "related")).alias("_sums"))
-    joined = mentions.withColumn("n_context", F.size("context")).drop("context").join(sums, place, "left")
-    joined = lookup_join(joined, spots.select("spot_id", "candidates"), "spot_id")
-
-    def of(entity: Column, field: str) -> Column:
-        found = F.filter(F.coalesce("_sums", F.array()), lambda s: s["entity"] == entity)
-        return F.coalesce(F.get(found, 0)[field], F.lit(0.0))
-
-    return joined.withColumn("received", F.transform("candidates", lambda c: F.struct(
-        c["entity"].alias("entity"), c["commonness"].alias("commonness"),
-        of(c["entity"], "votes").alias("votes"), of(c["entity"], "related").alias("related"),
-    ))).drop("_sums")
+    distinct, at = np.unique(ids, return_inverse=True)
+    here = np.zeros((len(ids) + 1, len(distinct)), np.int32)
+    here[np.arange(1, len(ids) + 1), at] = 1
+    totals = here.cumsum(axis=0)
+    place = np.arange(lead, lead + own)
+    near = totals[np.minimum(place + window + 1, len(ids))] - totals[np.maximum(place - window, 0)] - here[place + 1]
+    return distinct, at, near
+
+
+_RECEIVED = "n_context array<int>, weight array<double>, votes array<array<double>>, related array<array<double>>"
+
+
+def _received(window: int):
+    """Per piece: sums over the window of each own mention, from the matrix rows of the piece's spots laid end to end."""
+
+    def one(ids, certain, sizes, lead, own, spots, entries, others, places, votes, related):
+        distinct, at, near = _counts(ids, lead, own, window)
+        weights = np.zeros(len(distinct))
+        weights[at] = certain
+        mine = at[lead:lead + own]
+        sums = [np.zeros((own, 2, 0))] * own
+        stop = 0
+        for spot, n in zip(spots, entries, strict=True):
+            start, stop = stop, stop + n
+            which = np.flatnonzero(mine == np.searchsorted(distinct, spot))
+            if len(which):
+                other = np.searchsorted(distinct, others[start:stop])
+                given = np.zeros((2, sizes[lead + which[0]], len(distinct)))
+                given[0, places[start:stop], other] = votes[start:stop]
+                given[1, places[start:stop], other] = related[start:stop]
+                got = np.einsum("ij,kpj->ikp", near[which], given, optimize=True)
+                for i, row in zip(which.tolist(), got, strict=True):
+                    sums[i] = row
+        return near.sum(axis=1), near @ weights, [row[0] for row in sums], [row[1] for row in sums]
+
+    def run(series: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in series:
+            done = [one(*row) for row in zip(*columns, strict=True)]
+            yield pd.DataFrame(done, columns=["n_context", "weight", "votes", "related"])
+
+    return F.pandas_udf(run, _RECEIVED)
+
+
+def _with_received(docs: DataFrame, matrix: DataFrame, spots: DataFrame, keys: list[str], window: int) -> DataFrame:
+    """One row per mention, with the size and weight of its context and what its candidates receive.
+
+    ``received`` is ``array<struct<entity, commonness, votes, related>>``, best prior first. A piece fetches the matrix
+    rows of its distinct spots, cut to the spots of the piece; a neighbour is never a row. A piece has at most
+    :data:`PIECE` mentions and their windows, however long its text.
+    """
+    pieces = _pieces(docs, keys, window)
+    place = [*keys, "first"]
+    wanted = unnest(pieces.select(*place, F.array_distinct(F.col("near")["spot_id"]).alias("_spots")), [*place, "_spots"], "_spots").withColumnRenamed(
+        "item", "spot_id")
+    cut = F.filter("entries", lambda e: F.array_contains("_spots", e["other"]))
+    rows = lookup_join(wanted, matrix, "spot_id").select(*place, "spot_id", cut.alias("entries")).groupBy(*place).agg(
+        F.collect_list(F.struct("spot_id", "entries")).alias("_rows"))
+    laid = lambda field: F.flatten(F.transform("_rows", lambda r: r["entries"][field]))
+    certain = F.transform("near", lambda m: F.when(m["n_candidates"] == 1, m["link_probability"]).otherwise(0.0))
+    got = pieces.join(rows, place).select(*place, "own", _received(window)(
+        F.col("near")["spot_id"], certain, F.col("near")["n_candidates"], "lead", F.size("own"), F.col("_rows")["spot_id"],
+        F.transform("_rows", lambda r: F.size(r["entries"])), laid("other"), laid("place"), laid("vote"), laid("related")).alias("_got"))
+    mentions = unnest(
+        got.select(*place, F.arrays_zip("own", "_got.n_context", "_got.weight", "_got.votes", "_got.related").alias("_all")),
+        place, "_all", "own", "n_context", "weight", "votes", "related")
+    named = lookup_join(mentions.withColumn("spot_id", F.col("own.spot_id")), spots.select("spot_id", "candidates"), "spot_id")
+    return named.select(
+        *keys, *[F.col(f"own.{f}").alias(f) for f in ("start", "end", "spot", "link_probability")], "n_context",
+        F.col("weight").alias("context_weight"), F.transform("candidates", lambda c, i: F.struct(
+            c["entity"].alias("entity"), c["commonness"].alias("commonness"),
+            F.get("votes", i).alias("votes"), F.get("related", i).alias("related"))).alias("received"))
+
+
+def context_pairs(docs: DataFrame, keys: list[str], window: int = VOTE_WINDOW) -> DataFrame:
+    """Distinct ``(spot_id, other_id)`` of spots at most ``window`` mentions from each other, in both orders."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for ids, lead, own in zip(frame["ids"], frame["lead"], frame["own"], strict=True):
+                distinct, at, near = _counts(ids, lead, own, window)
+                met = np.zeros((len(distinct), len(distinct)), bool)
+                np.logical_or.at(met, at[lead:lead + own], near > 0)
+                a, b = np.nonzero(met)
+                yield pd.DataFrame({"spot_id": distinct[a], "other_id": distinct[b]})
+
+    pieces = _pieces(docs, keys, window).select(F.col("near")["spot_id"].alias("ids"), "lead", F.size("own").alias("own"))
+    return pieces.mapInPandas(run, "spot_id int, other_id int").distinct()
+
+
+def related_in_context(docs: DataFrame, spots: DataFrame, graph: DataFrame, pages: DataFrame, keys: list[str], window: int = VOTE_WINDOW) -> DataFrame:
+    """:func:`related_pairs` of the entities that are candidates in each other's context."""
+    rows = materialize(_candidate_rows(spots), "candidates")
+    pairs = materialize(related_pairs(graph, pages, rows.select(F.col("entity").alias("target")).distinct()), "related")
+    near = pairs.select("a", "b").join(rows.select("spot_id", F.col("entity").alias("a")), "a").join(
+        rows.select(F.col("spot_id").alias("other_id"), F.col("entity").alias("b")), "b")
+    met = near.join(context_pairs(docs, keys, window), ["spot_id", "other_id"], "left_semi").select("a", "b").distinct()
+    return pairs.join(met, ["a", "b"], "left_semi")
 
 
 def _collected(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -160,17 +223,14 @@ def by_prior(docs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def by_votes(
-    docs: DataFrame, spots: DataFrame, graph: DataFrame, pages: DataFrame, keys: list[str],
-    window: int = VOTE_WINDOW, epsilon: float = VOTE_EPSILON,
+    docs: DataFrame, spots: DataFrame, matrix: DataFrame, keys: list[str], window: int = VOTE_WINDOW, epsilon: float = VOTE_EPSILON,
 ) -> DataFrame:
     """Collective choice: among the candidates near the most voted one, the most common.
 
     A neighbour's vote is the mean over its candidates of relatedness times commonness. The score is
     the mean of the link probability and of the chosen candidate's average vote.
     """
-    # Stored without the contexts, which are many times larger and quickly made.
-    mentions = _with_context(materialize(docs), keys, window)
-    received = _with_received(mentions, _votes(mentions, spots, graph, pages), spots, keys)
+    received = _with_received(materialize(docs, "mentions"), matrix, spots, keys, window)
     floor = F.array_max(F.transform("received", lambda c: c["votes"])) * F.lit(1 - epsilon)
     # Compared with six digits, so that equal sums in another order stay equal.
     chosen = received.withColumn("_floor", F.round(floor, 6)).withColumn(
@@ -181,18 +241,9 @@ def by_votes(
     return _collected(rows, keys)
 
 
-def link_features(
-    docs: DataFrame, spots: DataFrame, graph: DataFrame, pages: DataFrame, keys: list[str], window: int = VOTE_WINDOW,
-) -> DataFrame:
+def link_features(docs: DataFrame, spots: DataFrame, matrix: DataFrame, keys: list[str], window: int = VOTE_WINDOW) -> DataFrame:
     """Per mention and candidate: commonness, relatedness to the certain neighbours, and their weight."""
-    weighted = materialize(docs.withColumn("_weights", F.transform("mentions", lambda m, i: F.aggregate(
-        F.filter(
-            F.sequence(F.greatest(i - window, F.lit(0)), F.least(i + window, F.size("mentions") - 1)),
-            lambda j: (j != i) & (F.get(F.col("mentions"), j)["n_candidates"] == 1)),
-        F.lit(0.0), lambda total, j: total + F.get(F.col("mentions"), j)["link_probability"]))))
-    mentions = _with_context(weighted, [*keys, "_weights"], window).withColumn(
-        "context_weight", F.get("_weights", "ord")).drop("_weights")
-    received = _with_received(mentions, _votes(mentions, spots, graph, pages), spots, keys)
+    received = _with_received(materialize(docs, "mentions"), matrix, spots, keys, window)
     rows = unnest(received, [*keys, "start", "end", "spot", "link_probability", "context_weight"], "received",
                   "entity", "commonness", "related")
     return rows.select(
@@ -236,17 +287,20 @@ def by_score(features: DataFrame, score: Callable[[DataFrame], DataFrame], keys:
 
 def disambiguate(
     docs: DataFrame, keys: list[str], method: str = "tagme", *, spots: DataFrame | None = None,
-    graph: DataFrame | None = None, pages: DataFrame | None = None, model=None,
+    graph: DataFrame | None = None, pages: DataFrame | None = None, matrix: DataFrame | None = None, model=None,
 ) -> DataFrame:
     """Annotate with the method asked for: ``prior``, ``tagme`` (votes) or ``wikiminer`` (learned score).
 
-    ``model`` is a fitted pipeline or a function that adds ``score`` to the features.
+    ``matrix`` is the stored :func:`vote_matrix`, made from ``graph`` and ``pages`` where it is not given. ``model`` is a
+    fitted pipeline or a function that adds ``score`` to the features.
     """
     if method == "prior":
         return by_prior(docs, keys)
+    if method not in ("tagme", "wikiminer"):
+        raise ValueError(f"unknown disambiguation method {method!r}")
+    if matrix is None:
+        matrix = vote_matrix(spots, graph, pages)
     if method == "tagme":
-        return by_votes(docs, spots, graph, pages, keys)
-    if method == "wikiminer":
-        score = model if callable(model) else lambda f: scored_by(model, f)
-        return by_score(link_features(docs, spots, graph, pages, keys), score, keys)
-    raise ValueError(f"unknown disambiguation method {method!r}")
+        return by_votes(docs, spots, matrix, keys)
+    score = model if callable(model) else lambda f: scored_by(model, f)
+    return by_score(link_features(docs, spots, matrix, keys), score, keys)

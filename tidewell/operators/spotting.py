@@ -26,37 +26,49 @@ PLACE = ("tok", "n", "start", "end")
 MENTION = (*PLACE, "spot", "spot_id", "link_probability", "entity", "commonness", "n_candidates")
 
 
+def prefixes(spots: DataFrame) -> DataFrame:
+    """``(first, lengths)``: the first words of spots, and the numbers of words of the spots that begin with each."""
+    parts = F.split("spot", " ")
+    return spots.select(F.get(parts, 0).alias("first"), F.size(parts).alias("n")).groupBy("first").agg(
+        F.sort_array(F.collect_set("n")).alias("lengths"))
+
+
 def _with_words(texts: DataFrame, keys: list[str], longest_spot: Column) -> DataFrame:
-    """Keys, the text's ``_lower`` words, their ``_ends`` in the text, and ``_most`` words of a spot."""
+    """Keys, the text's ``_lower`` words, their ``_starts`` and ``_ends`` in the text, and ``_most`` words of a spot."""
     read = texts.select(*keys, words(F.col("text")).alias("_words"), F.split("text", r"\pL+").alias("_gaps"))
     # There is one gap more than words; the last total is not used.
     read = read.withColumn("_widths", F.zip_with(
         "_words", "_gaps", lambda w, g: F.coalesce(F.length(w), F.lit(0)) + F.length(g)))
     return running_totals(read, "_widths", "_ends").select(
-        *keys, F.transform("_words", F.lower).alias("_lower"), "_ends", F.coalesce(longest_spot, F.lit(0)).alias("_most"))
+        *keys, F.transform("_words", F.lower).alias("_lower"), "_ends",
+        F.zip_with("_words", "_ends", lambda w, e: e - F.length(w)).alias("_starts"), F.coalesce(longest_spot, F.lit(0)).alias("_most"))
 
 
-def _grams(read: DataFrame, keys: list[str]) -> DataFrame:
-    """``(keys, spot, tok, n, start, end)``: each word sequence of a text."""
-    at = read.select("*", F.posexplode_outer("_lower").alias("tok", "_word")).filter(F.col("_word").isNotNull())
-    rows = at.select("*", F.explode_outer(F.sequence(F.lit(1), F.col("_most"))).alias("n")).filter(
-        F.col("tok") + F.col("n") <= F.size("_lower"))
+def _grams(read: DataFrame, first_words: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, spot, tok, n, start, end)``: the word sequences of a text that a spot may be.
+
+    A word that begins no spot leaves the text without sequences, others only those of the lengths of its spots. So a
+    row holds at most the words of the longest spot, also where the first words are too many to be broadcast.
+    """
+    at = read.select(
+        *keys, "_most", "_lower", "_ends", "_starts", F.posexplode_outer("_lower").alias("tok", "first")).filter(F.col("first").isNotNull())
+    near = lambda name: F.slice(name, F.col("tok") + 1, F.col("_most"))
+    skinny = at.select(*keys, "tok", "first", F.get("_starts", F.col("tok")).alias("start"), near("_lower").alias("_near"), near("_ends").alias("_stops"))
+    known = lookup_join(skinny, first_words, "first")
+    rows = known.select("*", F.explode_outer("lengths").alias("n")).filter(F.col("n") <= F.size("_near"))
     return rows.select(
         *keys,
-        F.when(F.col("n") == 1, F.col("_word")).otherwise(
-            F.array_join(F.slice("_lower", F.col("tok") + 1, F.col("n")), " ")).alias("spot"),
-        "tok", "n",
-        (F.get(F.col("_ends"), F.col("tok")) - F.length("_word")).alias("start"),
-        F.get(F.col("_ends"), F.col("tok") + F.col("n") - 1).alias("end"))
+        F.when(F.col("n") == 1, F.col("first")).otherwise(F.array_join(F.slice("_near", F.lit(1), F.col("n")), " ")).alias("spot"),
+        "tok", "n", "start", F.get("_stops", F.col("n") - 1).alias("end"))
 
 
 def find_spots(texts: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
     """Mentions of the ``spots`` (unique, with any further columns): ``(keys, spot, ..., tok, n, start, end)``.
 
-    Word sequences that are not in the dictionary are dropped by the join as they come out of the text, in the
-    same task while the dictionary's bytes allow it to be broadcast.
+    The table of first words prunes the word sequences before they are looked up; both lookups happen in the text's
+    task while their bytes allow them to be broadcast.
     """
-    return lookup_join(_grams(_with_words(texts, keys, longest(spots)), keys), spots, "spot")
+    return lookup_join(_grams(_with_words(texts, keys, longest(spots)), prefixes(spots), keys), spots, "spot")
 
 
 def spot_frequency(texts: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
@@ -110,8 +122,8 @@ def dictionary(stats: DataFrame) -> DataFrame:
 def doc_mentions(texts: DataFrame, spots: DataFrame, keys: list[str]) -> DataFrame:
     """Keys and ``mentions``, all dictionary mentions of a text in order of place.
 
-    A mention (see :data:`MENTION`) has its spot's best candidate and number of candidates. Texts without a mention have no row. A text's mentions are grouped by its key and are at most as
-    many as it has word sequences.
+    A mention (see :data:`MENTION`) has its spot's best candidate and number of candidates. Texts without a mention
+    have no row. A text's mentions are grouped by its key and are at most as many as it has word sequences.
     """
     best = F.get("candidates", 0)
     slim = spots.select(

@@ -458,15 +458,30 @@ def ranked_fields(spark, sf_dir):
 
 # --- entity linking ---------------------------------------------------------
 
-KEY = ["doc_id"]
+# Two records may have one document id: work is by record, the id is what is put out.
+KEY = ["stream_id", "doc_id"]
+
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored(spark, sf_dir, name, build):
+    """A table made once per session and kept in the shared folder, as the index is."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = materialize(build(), name)
+    return _STORED[key]
+
+
+def _anchors(spark, sf_dir):
+    return _stored(spark, sf_dir, "anchors", lambda: fx.anchors(spark, sf_dir))
 
 
 def _stats(spark, sf_dir):
-    return spotting.spot_stats(fx.anchors(spark, sf_dir), fx.page_texts(spark, sf_dir), KEY)
+    return _stored(spark, sf_dir, "spots", lambda: spotting.spot_stats(_anchors(spark, sf_dir), fx.page_texts(spark, sf_dir), KEY))
 
 
 def _dictionary(spark, sf_dir):
-    return spotting.dictionary(_stats(spark, sf_dir))
+    return _stored(spark, sf_dir, "dictionary", lambda: spotting.dictionary(_stats(spark, sf_dir)))
 
 
 @query
@@ -486,63 +501,62 @@ def link_prior(spark, sf_dir):
         "spot", "target", F.round("commonness", 6).alias("commonness"), "rank")
 
 
-def _mentions(spark, sf_dir, spots):
-    return spotting.doc_mentions(fx.texts(spark, sf_dir), spots, KEY)
+def _mentions(spark, sf_dir):
+    return spotting.doc_mentions(fx.record_texts(spark, sf_dir), _dictionary(spark, sf_dir), KEY)
+
+
+def _clean_mentions(spark, sf_dir):
+    return spotting.without_overlaps(_mentions(spark, sf_dir))
 
 
 @query
 def spot_mentions(spark, sf_dir):
-    found = _mentions(spark, sf_dir, _dictionary(spark, sf_dir))
-    return spotting.mention_rows(found, KEY).select("doc_id", "spot", "start", "end")
+    return spotting.mention_rows(_mentions(spark, sf_dir), KEY).select("doc_id", "spot", "start", "end")
 
 
 @query
 def spot_overlap_filter(spark, sf_dir):
-    found = spotting.without_overlaps(_mentions(spark, sf_dir, _dictionary(spark, sf_dir)))
-    return spotting.mention_rows(found, KEY).select("doc_id", "spot", "start", "end")
+    return spotting.mention_rows(_clean_mentions(spark, sf_dir), KEY).select("doc_id", "spot", "start", "end")
 
 
 @query
 def candidates(spark, sf_dir):
-    spots = _dictionary(spark, sf_dir)
-    found = spotting.without_overlaps(_mentions(spark, sf_dir, spots))
-    return spotting.candidates(found, spots, KEY).withColumn("commonness", F.round("commonness", 6))
+    found = spotting.candidates(_clean_mentions(spark, sf_dir), _dictionary(spark, sf_dir), KEY)
+    return found.withColumn("commonness", F.round("commonness", 6)).drop("stream_id")
+
+
+def _graph(spark, sf_dir):
+    return _stored(spark, sf_dir, "graph", lambda: linking.link_graph(_anchors(spark, sf_dir)))
+
+
+def _pages(spark, sf_dir):
+    return fx.table(spark, sf_dir, "pages").select("page_id")
 
 
 @query
 def link_graph(spark, sf_dir):
-    return linking.link_graph(fx.anchors(spark, sf_dir))
+    return _graph(spark, sf_dir)
 
 
 @query
 def link_degrees(spark, sf_dir):
-    return linking.link_degrees(linking.link_graph(fx.anchors(spark, sf_dir)))
-
-
-def _graph(spark, sf_dir):
-    return materialize(linking.link_graph(fx.anchors(spark, sf_dir))), fx.table(spark, sf_dir, "pages").select("page_id")
+    return linking.link_degrees(_graph(spark, sf_dir))
 
 
 @query
 def relatedness(spark, sf_dir):
-    spots = _dictionary(spark, sf_dir)
-    found = spotting.without_overlaps(_mentions(spark, sf_dir, spots))
-    pairs = materialize(linking.candidate_pairs(found, spots, KEY))
-    return linking.relatedness(pairs, *_graph(spark, sf_dir)).withColumn("relatedness", F.round("relatedness", 6))
-
+    found = linking.related_in_context(
+        _clean_mentions(spark, sf_dir), _dictionary(spark, sf_dir), _graph(spark, sf_dir), _pages(spark, sf_dir), KEY)
+    return found.withColumn("relatedness", F.round("relatedness", 6))
 
-def _clean_mentions(spark, sf_dir, spots):
-    return spotting.without_overlaps(_mentions(spark, sf_dir, spots))
 
-
-def _annotated(spark, sf_dir):
-    found = _clean_mentions(spark, sf_dir, _dictionary(spark, sf_dir))
-    return annotations.top_annotations(linking.disambiguate(found, KEY, "prior"))
+def _annotated(spark, sf_dir, method="prior", **more):
+    return annotations.top_annotations(linking.disambiguate(_clean_mentions(spark, sf_dir), KEY, method, **more))
 
 
 @query
 def annot_topk(spark, sf_dir):
-    return annotations.annotation_rows(_annotated(spark, sf_dir), KEY)
+    return annotations.annotation_rows(_annotated(spark, sf_dir), KEY).drop("stream_id")
 
 
 @query
@@ -554,54 +568,66 @@ def annot_list(spark, sf_dir):
 
 @query
 def annot_lines(spark, sf_dir):
-    return annotations.annot_lines(fx.texts(spark, sf_dir), _annotated(spark, sf_dir), KEY)
+    return annotations.annot_lines(fx.record_texts(spark, sf_dir), _annotated(spark, sf_dir), KEY).select("doc_id", "line")
 
 
 @query
 def annot_mentions(spark, sf_dir):
-    return annotations.annot_mentions(fx.texts(spark, sf_dir), _annotated(spark, sf_dir), KEY)
+    return annotations.annot_mentions(fx.record_texts(spark, sf_dir), _annotated(spark, sf_dir), KEY).select("doc_id", "line")
 
 
 @query
 def annot_render(spark, sf_dir):
-    return annotations.annot_render(fx.texts(spark, sf_dir), _annotated(spark, sf_dir), KEY)
+    return annotations.annot_render(fx.record_texts(spark, sf_dir), _annotated(spark, sf_dir), KEY).select("doc_id", "rendered")
 
 
 @query
 def entity_label(spark, sf_dir):
     rows = annotations.annotation_rows(_annotated(spark, sf_dir), KEY)
-    labels = fx.entity_labels(fx.anchors(spark, sf_dir))
+    labels = fx.entity_labels(_anchors(spark, sf_dir))
     return annotations.entity_label(rows, labels).select("doc_id", "start", "entity", "label")
 
 
+def _votes(spark, sf_dir):
+    return _stored(spark, sf_dir, "votes", lambda: linking.vote_matrix(
+        _dictionary(spark, sf_dir), _graph(spark, sf_dir), _pages(spark, sf_dir)))
+
+
 @query
 def link_tagme(spark, sf_dir):
-    spots = _dictionary(spark, sf_dir)
-    graph, pages = _graph(spark, sf_dir)
     found = linking.disambiguate(
-        _clean_mentions(spark, sf_dir, spots), KEY, "tagme", spots=spots, graph=graph, pages=pages)
-    return annotations.annotation_rows(found, KEY)
+        _clean_mentions(spark, sf_dir), KEY, "tagme", spots=_dictionary(spark, sf_dir), matrix=_votes(spark, sf_dir))
+    return annotations.annotation_rows(found, KEY).drop("stream_id")
 
 
 @query
 def link_features(spark, sf_dir):
-    spots = _dictionary(spark, sf_dir)
-    rows = linking.link_features(_clean_mentions(spark, sf_dir, spots), spots, *_graph(spark, sf_dir), KEY)
+    rows = linking.link_features(_clean_mentions(spark, sf_dir), _dictionary(spark, sf_dir), _votes(spark, sf_dir), KEY)
     return rows.select("doc_id", "start", "end", "spot", "entity", *[F.round(c, 6).alias(c) for c in linking.FEATURES])
 
 
 SCORER = {"link_probability": 2.0, "commonness": 3.0, "context_relatedness": 1.5, "context_weight": 0.1}
 
 
+def _linker(spark, sf_dir):
+    """What the methods need; the learned scorer has given weights, fitting them is tested apart."""
+    return {"spots": _dictionary(spark, sf_dir), "matrix": _votes(spark, sf_dir),
+            "model": lambda features: linking.scored_with(SCORER, -3.0, features)}
+
+
 @query
 def link_mlscore(spark, sf_dir):
-    """The learned scorer with given weights; fitting them is tested apart."""
-    spots = _dictionary(spark, sf_dir)
-    graph, pages = _graph(spark, sf_dir)
-    found = linking.disambiguate(
-        _clean_mentions(spark, sf_dir, spots), KEY, "wikiminer", spots=spots, graph=graph, pages=pages,
-        model=lambda features: linking.scored_with(SCORER, -3.0, features))
-    return annotations.annotation_rows(annotations.top_annotations(found), KEY)
+    found = _annotated(spark, sf_dir, "wikiminer", **_linker(spark, sf_dir))
+    return annotations.annotation_rows(found, KEY).drop("stream_id")
+
+
+@query
+def link_choice(spark, sf_dir):
+    """The best annotations by each method there is to choose."""
+    rows = [
+        annotations.annotation_rows(_annotated(spark, sf_dir, method, **_linker(spark, sf_dir)), KEY).drop("stream_id").withColumn(
+            "method", F.lit(method)) for method in ("prior", "tagme", "wikiminer")]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 @query

@@ -135,6 +135,11 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.md5(F.col("doc_id").cast("string")).alias("doc_id"), "text")
 
 
+def record_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(stream_id, doc_id, text)`` of the corpus records; a document's id may come more than once, a record's does not."""
+    return timed_documents(spark, sf_dir).select("stream_id", "doc_id", "text")
+
+
 def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page, target, spot)`` of every link in the pages."""
     link = F.lit(r'(?is)<a href="([^"]*)"[^>]*>(.*?)</a>')
@@ -174,8 +179,8 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, text)`` of the pages' visible text."""
-    return page_items(spark, sf_dir).select("doc_id", F.col("body.clean_visible").alias("text"))
+    """``(stream_id, doc_id, text)`` of the pages' visible text."""
+    return page_items(spark, sf_dir).select("stream_id", "doc_id", F.col("body.clean_visible").alias("text"))
 
 
 def entity_labels(stats: DataFrame) -> DataFrame:

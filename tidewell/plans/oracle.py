@@ -546,7 +546,7 @@ oracle("annot_list", """
 SELECT doc_id, string_agg(entity || '=' || CAST(score AS VARCHAR), '|' ORDER BY place) AS entities FROM doc_best GROUP BY doc_id
 """)
 oracle("annot_lines", """
-SELECT d.doc_id, d.doc_id || coalesce(string_agg(chr(9) || b.entity || ',' || CAST(b.score AS VARCHAR), '' ORDER BY b.place), '') AS line
+SELECT d.doc_id, d.doc_id || coalesce(string_agg(chr(9) || replace(b.entity, ',', '%2C') || ',' || CAST(b.score AS VARCHAR), '' ORDER BY b.place), '') AS line
 FROM doc_rows d LEFT JOIN doc_best b ON b.doc_id = d.doc_id GROUP BY d.doc_id
 """)
 
@@ -554,7 +554,7 @@ FROM doc_rows d LEFT JOIN doc_best b ON b.doc_id = d.doc_id GROUP BY d.doc_id
 def _mention_lines(name: str, source: str, key: str) -> str:
     return f"""
 SELECT d.doc_id AS {key}, d.doc_id || coalesce(string_agg(
-         chr(9) || b.spot || ',' || CAST(CAST(b.c_start AS INTEGER) AS VARCHAR) || ',' || b.entity || ',' || CAST(b.score AS VARCHAR),
+         chr(9) || b.spot || ',' || CAST(CAST(b.c_start AS INTEGER) AS VARCHAR) || ',' || replace(b.entity, ',', '%2C') || ',' || CAST(b.score AS VARCHAR),
          '' ORDER BY b.place), '') AS line
 FROM {source} d LEFT JOIN {name}_best b ON b.doc_id = d.doc_id GROUP BY d.doc_id"""
 
@@ -596,7 +596,7 @@ LEFT JOIN (SELECT e.target AS a, f.target AS b, count(*) AS c FROM edge_rows e J
            GROUP BY 1, 2) s ON s.a = q.a AND s.b = q.b
 CROSS JOIN (SELECT count(*) AS n FROM pages) w
 """)
-oracle("relatedness", "SELECT a, b, CAST(shared AS BIGINT) AS shared, round(rel, 6) AS relatedness FROM related_rows")
+oracle("relatedness", "SELECT a, b, CAST(shared AS BIGINT) AS shared, round(rel, 6) AS relatedness FROM related_rows WHERE shared > 0")
 
 part("given_rows", """
 SELECT n.spot, n.other, n.entity, sum(v.rel * n.commonness) / max(n.n_cand) AS vote,
@@ -617,28 +617,41 @@ LEFT JOIN (SELECT n.doc_id, n.ord, g.entity, sum(g.vote) AS votes,
 LEFT JOIN (SELECT n.doc_id, n.ord, count(*) AS n_context, sum(CASE WHEN s.n_cand = 1 THEN n.other_lp ELSE 0 END) AS weight
            FROM near_rows n JOIN spot_rows s ON s.spot = n.other GROUP BY n.doc_id, n.ord) k ON k.doc_id = m.doc_id AND k.ord = m.ord
 """)
-oracle("link_tagme", f"""
-SELECT doc_id, {_PLACE}, spot, entity,
+part("vote_choice", """
+SELECT doc_id, c_start, c_end, spot, entity,
        round((lp + CASE WHEN n_context > 0 THEN votes / n_context ELSE 0 END) / 2, 6) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, ord ORDER BY commonness DESC, entity) AS place
       FROM (SELECT *, max(votes) OVER (PARTITION BY doc_id, ord) AS top FROM received_rows)
       WHERE round(votes, 6) >= round(top * (1 - 0.7::DOUBLE), 6))
 WHERE place = 1
 """)
+part("score_choice", """
+SELECT doc_id, c_start, c_end, spot, entity, score
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, ord ORDER BY score DESC, commonness DESC, entity DESC) AS best
+      FROM (SELECT *, round(1 / (1 + exp(-(-3.0 + 2.0 * round(lp, 6) + 3.0 * round(commonness, 6)
+                + 1.5 * round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 6) + 0.1 * round(weight, 6)))), 6) AS score
+            FROM received_rows)) WHERE best = 1
+""")
+
+
+def _best(name: str) -> str:
+    """The first 50 annotations of a text by score, and of those the confident ones."""
+    return f"""
+SELECT doc_id, {_PLACE}, spot, entity, score
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c_start, c_end) AS place FROM {name})
+WHERE place <= 50 AND score >= 0.1"""
+
+
+oracle("link_tagme", f"SELECT doc_id, {_PLACE}, spot, entity, score FROM vote_choice")
 oracle("link_features", f"""
 SELECT doc_id, {_PLACE}, spot, entity, round(lp, 6) AS link_probability, round(commonness, 6) AS commonness,
        round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 6) AS context_relatedness, round(weight, 6) AS context_weight
 FROM received_rows
 """)
-oracle("link_mlscore", f"""
-SELECT doc_id, {_PLACE}, spot, entity, score
-FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c_start, c_end) AS place
-      FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, ord ORDER BY score DESC, commonness DESC, entity DESC) AS best
-            FROM (SELECT *, round(1 / (1 + exp(-(-3.0 + 2.0 * round(lp, 6) + 3.0 * round(commonness, 6)
-                      + 1.5 * round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 6) + 0.1 * round(weight, 6)))), 6) AS score
-                  FROM received_rows)) WHERE best = 1)
-WHERE place <= 50 AND score >= 0.1
-""")
+oracle("link_mlscore", _best("score_choice"))
+oracle("link_choice", " UNION ALL ".join(
+    f"SELECT *, '{method}' AS method FROM ({_best(name)})"
+    for method, name in (("prior", "doc_prior"), ("tagme", "vote_choice"), ("wikiminer", "score_choice"))))
 oracle("annotate_hook", """
 SELECT doc_id, CAST(len(f) AS INTEGER) AS n, array_to_string(f, ' ') AS found
 FROM (SELECT doc_id, regexp_extract_all(tx, '[A-Za-z]{12,}') AS f FROM doc_rows) WHERE len(f) > 0
