@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -174,3 +175,42 @@ def test_fit_is_a_minimum_of_the_logistic_loss():
     assert raw(good).mean() > raw(bad).mean()
     assert (raw(good)[:, None] > raw(bad)[None, :]).mean() > 0.85
     assert 0 < model.quantile < 1
+
+
+def plain_features(text):
+    """The ten numbers, one character, word and line at a time."""
+    solid = [c for c in text if c not in " \t\n\x0b\f\r"]
+    words, word = [], ""
+    for c in text + " ":
+        if c in " \t\n\x0b\f\r":
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c
+    lines = [line for line in text.split("\n") if line.strip(" ")]
+    k, n = len(solid), len(words)
+    share = lambda part, whole: math.sqrt(part / (whole + 20))
+    among = lambda signs: share(sum(c in signs for c in solid), k)
+    return [
+        math.log((k + 100) / (n + 20)), among("#*$%&|<>{}[]=@^~_/\\"), among("!?"),
+        share(sum(unicodedata.category(c) == "Lu" for c in solid), k), among("0123456789"), among(".,;:"),
+        math.log(len(set(words)) + 1) / math.log(n + 2), share(sum(a == b for a, b in zip(words, words[1:])), n),
+        share(len(lines) - len(set(lines)), len(lines)), math.exp(-n / 10)]
+
+
+def test_features_equal_plain_ones(spark):
+    draw = random.Random(9)
+    texts = ["", " \n\t", "A A b\x0bB\x0cé É É Ω ß\xa0x\x1c!?", "a\n a\na\n\n \t\n", "x" * 40000, "🎉 𝐀 Ǆ Ǆ ǅ", *(
+        "".join(draw.choice("aAbBéÉ .,;:!?#*{}/\\019\n\t\r\x85𝐀") for _ in range(draw.randrange(200))) for _ in range(300))]
+    rows = spark.createDataFrame(list(enumerate([*texts, None])), "k int, t string")
+    got = [r.x for r in rows.select("k", pairwise_quality.features(F.col("t")).alias("x")).orderBy("k").collect()]
+    assert np.allclose(got, [plain_features(t) for t in [*texts, ""]], rtol=1e-12, atol=0)
+
+
+def test_repeated_ids_reach_the_driver_once(spark, monkeypatch):
+    rows = [(1, "Good words here and there.")] * 50 + [(1, "Another text.")] * 50 + [(3, "$$$ !!! ???")]
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(pairwise_quality, "fit_pairs", lambda good, bad: seen.append((len(good), len(bad))))
+    pairwise_quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert seen == [(1, 1)]
