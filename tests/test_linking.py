@@ -128,3 +128,71 @@ def test_learned_scorer_prefers_what_it_saw(spark):
         ["doc_id", "start", "end", "spot", "entity", *linking.FEATURES])
     best = linking.by_score(new, lambda f: linking.scored_by(model, f), KEY).first()
     assert [a.entity for a in best.annotations] == ["y"]
+
+
+def test_spot_of_ten_words_and_few_sequences(spark):
+    ten = " ".join("abcdefghij")
+    spots = spots_of(spark, ten, "a b", "a", "x")
+    texts = texts_of(spark, d="A b c d e f g h i j, a b; x " + "other words here " * 50, e="a b c d e f g h i", f="q w")
+    found = mentions(spotting.doc_mentions(texts, spots, KEY))
+    assert ("d", ten, 0, 19) in found and len(found) == 8 and not any(m[0] == "f" for m in found)
+    read = spotting._with_words(texts, KEY, spotting.longest(spots))
+    assert spotting._grams(read, spotting.prefixes(spots), KEY).count() <= 2 * len(found)
+
+
+def test_two_records_of_one_document_stay_apart(spark):
+    keys = ["stream_id", "doc_id"]
+    spots = spots_of(spark, "red car", "car park", "car")
+    texts = spark.createDataFrame([("1-d", "d", "a red car"), ("2-d", "d", "a car park"), ("3-d", "d", "")], "stream_id string, doc_id string, text string")
+    docs = spotting.without_overlaps(spotting.doc_mentions(texts, spots, keys))
+    rows = spotting.mention_rows(docs, keys)
+    assert {(r.stream_id, r.spot, r.start) for r in rows.collect()} == {("1-d", "red car", 2), ("2-d", "car park", 2)}
+    best = linking.disambiguate(docs, keys, "prior")
+    lines = {(r.stream_id, r.line) for r in annotations.annot_mentions(texts, best, keys, "doc_id").collect()}
+    assert lines == {("1-d", "d\tred car,2,/red car,0.5"), ("2-d", "d\tcar park,2,/car park,0.5"), ("3-d", "d")}
+    shown = {r.stream_id: r.rendered for r in annotations.annot_render(texts, best, keys).collect()}
+    assert shown["3-d"] == "" and shown["1-d"].startswith("a <a") and shown["2-d"].endswith("car park</a>")
+
+
+def test_commas_in_entities_do_not_part_fields(spark):
+    spots = spots_of(spark, "new", candidates={"new": [("/a,b", 1.0)]})
+    texts = texts_of(spark, a="new")
+    docs = linking.disambiguate(spotting.doc_mentions(texts, spots, KEY), KEY, "prior")
+    assert [r.line for r in annotations.annot_lines(texts, docs, KEY).collect()] == ["a\t/a%2Cb,0.5"]
+
+
+@pytest.mark.parametrize("piece", [7, 512])
+def test_sliding_votes_equal_a_loop_over_neighbours(spark, monkeypatch, piece):
+    """Long texts are cut to pieces; sums must be those of all neighbours within the window."""
+    monkeypatch.setattr(linking, "PIECE", piece)
+    draw, window = random.Random(8), 5
+    names = [f"s{c}" for c in "abcdefghi"]
+    spots = spots_of(spark, *names, candidates={n: [(f"/{n}{j}", 0.6 - 0.2 * j) for j in range(1 + i % 3)] for i, n in enumerate(names)})
+    entities = [c.entity for r in spots.collect() for c in r.candidates]
+    edges = {(f"p{draw.randrange(12)}", draw.choice(entities)) for _ in range(60)}
+    graph, pages = spark.createDataFrame(sorted(edges), "page string, target string"), spark.range(40)
+    texts = texts_of(spark, **{f"d{i}": " ".join(draw.choice([*names, "no"]) for _ in range(n)) for i, n in enumerate((0, 1, 2, 30, 90))})
+    docs = spotting.doc_mentions(texts, spots, KEY)
+
+    pairs = [(a, b) for a, b in itertools.combinations(sorted(entities), 2)]
+    related = {(r.a, r.b): r.relatedness for r in linking.relatedness(spark.createDataFrame(pairs, "a string, b string"), graph, pages).collect()}
+    assert {p for p, v in related.items() if v > 0} == {
+        (r.a, r.b) for r in linking.related_pairs(graph, pages).filter("relatedness > 0").collect()}
+    known = {r.spot: r for r in spots.collect()}
+    got = {(r.doc_id, r.start, r.entity): r for r in linking.link_features(docs, spots, linking.vote_matrix(spots, graph, pages), KEY, window).collect()}
+    want = 0
+    for text in docs.collect():
+        for i, m in enumerate(text.mentions):
+            near = [x for j, x in enumerate(text.mentions) if j != i and abs(i - j) <= window]
+            certain = [known[x.spot] for x in near if len(known[x.spot].candidates) == 1]
+            weight = sum(s.link_probability for s in certain)
+            for c in known[m.spot].candidates:
+                want += 1
+                rel = lambda e: 1.0 if e == c.entity else related.get((min(e, c.entity), max(e, c.entity)), 0.0)  # noqa: E731, B023
+                mean = sum(s.link_probability * rel(s.candidates[0].entity) for s in certain) / weight if weight else 0.0
+                row = got[(text.doc_id, m.start, c.entity)]
+                assert row.context_weight == pytest.approx(weight) and row.context_relatedness == pytest.approx(mean)
+    assert want == len(got) > 100
+    met = {(r.spot_id, r.other_id) for r in linking.context_pairs(docs, KEY, window).collect()}
+    assert met == {(a.spot_id, b.spot_id) for t in docs.collect() for i, a in enumerate(t.mentions)
+                   for j, b in enumerate(t.mentions) if i != j and abs(i - j) <= window}
