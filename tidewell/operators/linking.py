@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.arrays import unnest
+from tidewell.functions import urls
+from tidewell.functions.arrays import drop_null, let, unnest
 from tidewell.model import VOTE_EPSILON, VOTE_WINDOW
 from tidewell.operators.joins import lookup_join
 from tidewell.session import materialize
@@ -22,6 +23,17 @@ def link_graph(anchors: DataFrame) -> DataFrame:
     return anchors.select("page", "target").distinct()
 
 
+def url_graph(links: DataFrame) -> DataFrame:
+    """Distinct ``(page, target)`` edges from rows ``(url, href)``: references resolved, one form for equal URLs.
+
+    Pages and targets are nodes of one kind, so a page is also what other pages link to. References that are not to the
+    web are left out.
+    """
+    target = let(urls.resolve(F.trim("href"), F.col("url")), lambda t: F.when(urls.is_web(t), urls.canonical(t)))
+    edges = links.select(urls.canonical(F.col("url")).alias("page"), target.alias("target"))
+    return drop_null(edges, "target").distinct()
+
+
 def link_degrees(graph: DataFrame) -> DataFrame:
     """Both directions of the graph: ``(node, direction, degree)``."""
     one = F.count(F.lit(1)).alias("degree")

@@ -533,14 +533,19 @@ def _pages(spark, sf_dir):
     return fx.table(spark, sf_dir, "pages").select("page_id")
 
 
+def _url_graph(spark, sf_dir):
+    """The web's graph: pages and targets by their URLs."""
+    return _stored(spark, sf_dir, "url-graph", lambda: linking.url_graph(fx.page_links(spark, sf_dir)))
+
+
 @query
 def link_graph(spark, sf_dir):
-    return _graph(spark, sf_dir)
+    return _url_graph(spark, sf_dir)
 
 
 @query
 def link_degrees(spark, sf_dir):
-    return linking.link_degrees(_graph(spark, sf_dir))
+    return linking.link_degrees(_url_graph(spark, sf_dir))
 
 
 @query

@@ -140,17 +140,21 @@ def record_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed_documents(spark, sf_dir).select("stream_id", "doc_id", "text")
 
 
-def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(page, target, spot)`` of every link in the pages."""
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page, url, href, text)`` of every link in the pages."""
     link = F.lit(r'(?is)<a href="([^"]*)"[^>]*>(.*?)</a>')
     found = table(spark, sf_dir, "pages").select(
-        F.md5(F.col("page_id").cast("string")).alias("page"),
+        F.md5(F.col("page_id").cast("string")).alias("page"), "url",
         F.arrays_zip(
-            F.regexp_extract_all("html", link, F.lit(1)).alias("target"),
+            F.regexp_extract_all("html", link, F.lit(1)).alias("href"),
             F.regexp_extract_all("html", link, F.lit(2)).alias("text")).alias("links"))
+    return unnest(found, ["page", "url"], "links", "href", "text")
+
+
+def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page, target, spot)`` of every link in the pages that has a text."""
     spot = F.lower(F.trim(F.regexp_replace("text", r"[^\pL]+", " ")))
-    return unnest(found, ["page"], "links", "target", "text").select("page", "target", spot.alias("spot")).filter(
-        F.col("spot") != "")
+    return page_links(spark, sf_dir).select("page", F.col("href").alias("target"), spot.alias("spot")).filter(F.col("spot") != "")
 
 
 def kb_names(norms: DataFrame) -> DataFrame:

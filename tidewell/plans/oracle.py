@@ -536,10 +536,57 @@ oracle("candidates", f"""
 SELECT m.doc_id, {_PLACE}, m.spot, c.entity, round(c.commonness, 6) AS commonness
 FROM doc_clean m JOIN choice_rows c ON c.spot = m.spot
 """)
-oracle("link_graph", "SELECT DISTINCT page, target FROM link_rows")
+_URI = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?"
+
+
+def _dotless(path: str) -> str:
+    """A path without its dot segments."""
+    segments = f"string_split(CASE WHEN {path} LIKE '/%' THEN substr({path}, 2) ELSE {path} END, '/')"
+    kept = (f"list_reduce(list_transform({segments}, lambda s: [s]), lambda acc, x: CASE WHEN x[1] = '.' THEN acc "
+            "WHEN x[1] = '..' THEN acc[:len(acc) - 1] ELSE acc || x END, CAST([] AS VARCHAR[]))")
+    return (f"(CASE WHEN {path} LIKE '%/.%' OR {path} LIKE '.%' THEN CASE WHEN {path} LIKE '/%' THEN '/' ELSE '' END "
+            f"|| array_to_string({kept}, '/') || CASE WHEN {segments}[-1] IN ('.', '..') AND len({kept}) > 0 THEN '/' ELSE '' END ELSE {path} END)")
+
+
+def _uri_parts(url: str, name: str) -> str:
+    return ", ".join(f"regexp_extract({url}, '{_URI}', {g}) AS {name}_{part}" for part, g in (
+        ("scheme", 1), ("slashes", 2), ("path", 4), ("query", 5)))
+
+
+def _canonical(scheme: str, slashes: str, path: str, query: str) -> str:
+    """One form of an absolute web URL from its parts; hexadecimal digits of escapes are capital."""
+    authority = f"substr({slashes}, 3)"
+    host = f"lower(regexp_extract({authority}, '([^@]*)$', 1))"
+    named = (f"CASE lower({scheme}) WHEN 'http' THEN regexp_replace({host}, ':(80)?$', '') "
+             f"WHEN 'https' THEN regexp_replace({host}, ':(443)?$', '') ELSE regexp_replace({host}, ':$', '') END")
+    tail = f"(CASE WHEN {path} = '' THEN '/' ELSE {path} END || {query})"
+    escapes = f"array_to_string(list_transform(string_split({tail}, '%'), lambda s, i: CASE WHEN i = 1 THEN s ELSE upper(substr(s, 1, 2)) || substr(s, 3) END), '%')"
+    return f"lower({scheme}) || '://' || regexp_extract({authority}, '^(.*@)?', 0) || {named} || {escapes}"
+
+
+part("href_rows", f"""
+SELECT url, href, {_uri_parts("url", "b")}, {_uri_parts("href", "r")}
+FROM (SELECT url, trim(unnest(regexp_extract_all(html, '(?is)<a href="([^"]*)"[^>]*>(.*?)</a>', 1))) AS href FROM pages)
+""")
+part("resolved_rows", f"""
+SELECT b_scheme, b_slashes, {_dotless("b_path")} AS b_path, b_query,
+  CASE WHEN r_scheme <> '' THEN r_scheme ELSE b_scheme END AS t_scheme,
+  CASE WHEN r_scheme <> '' OR r_slashes <> '' THEN r_slashes ELSE b_slashes END AS t_slashes,
+  CASE WHEN r_scheme <> '' OR r_slashes <> '' THEN r_path WHEN r_path = '' THEN b_path WHEN r_path LIKE '/%' THEN r_path
+       WHEN b_path = '' THEN '/' || r_path ELSE regexp_extract(b_path, '^(.*/)?', 0) || r_path END AS t_raw,
+  CASE WHEN r_scheme = '' AND r_slashes = '' AND r_path = '' AND r_query = '' THEN b_query ELSE r_query END AS t_query
+FROM href_rows
+""")
+part("url_edges", f"""
+SELECT DISTINCT {_canonical("b_scheme", "b_slashes", "b_path", "b_query")} AS page,
+       {_canonical("t_scheme", "t_slashes", "t_path", "t_query")} AS target
+FROM (SELECT *, {_dotless("t_raw")} AS t_path FROM resolved_rows)
+WHERE t_scheme IN ('http', 'https') AND length(t_slashes) > 2
+""")
+oracle("link_graph", "SELECT page, target FROM url_edges")
 oracle("link_degrees", """
-SELECT target AS node, count(DISTINCT page) AS degree, 'in' AS direction FROM link_rows GROUP BY target
-UNION ALL SELECT page, count(DISTINCT target), 'out' FROM link_rows GROUP BY page
+SELECT target AS node, count(*) AS degree, 'in' AS direction FROM url_edges GROUP BY target
+UNION ALL SELECT page, count(*), 'out' FROM url_edges GROUP BY page
 """)
 oracle("annot_topk", f"SELECT doc_id, {_PLACE}, spot, entity, score FROM doc_best")
 oracle("annot_list", """
