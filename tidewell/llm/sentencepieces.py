@@ -11,10 +11,12 @@ before white space and line feeds, and each distinct cut part is worked out once
 from __future__ import annotations
 
 import functools
+import itertools
+import operator
 import re
 import struct
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,9 @@ LONGEST_KEPT = 64
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 CODED = "ids array<int>, starts array<int>, stops array<int>"
+#: A word of more characters is merged by itself, with a heap.
+LONG = 512
+NONE = 1 << 62
 _PARTS = re.compile("▁+[^▁\n]*|\n[^▁\n]*|[^▁\n]+")
 
 
@@ -59,6 +64,11 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+def _pair(left: int, right: int) -> int:
+    """One number for a pair; an unknown character, a negative number, is in none that is known."""
+    return (left << 21) ^ right
+
+
 class CharacterMap:
     """A compiled character map: a double-array trie over UTF-8 bytes, and the replacements its leaves point to."""
 
@@ -117,11 +127,31 @@ class Model:
         self.kinds = [kind for _, _, kind in pieces]
         self.byte_ids = [i for i, kind in enumerate(self.kinds) if kind == BYTE]
         self.ids = {text: i for i, (text, _, kind) in enumerate(pieces) if kind == NORMAL}
-        self.score = {text: score for text, score, kind in pieces if kind == NORMAL}
+        # Pairs of pieces that make a third, sorted by their key, with the third and its place by score (ties are equal).
+        order = {score: rank for rank, score in enumerate(sorted({score for _, score, kind in pieces if kind == NORMAL}, reverse=True))}
+        made = {}
+        for i, (text, score, kind) in enumerate(pieces):
+            for cut in range(1, len(text) if kind == NORMAL else 0):
+                left, right = self.ids.get(text[:cut]), self.ids.get(text[cut:])
+                if left is not None and right is not None:
+                    made[_pair(left, right)] = order[score], i
+        self.pairs = np.array(sorted(made), np.int64)
+        self.ranks, self.made = (np.array([made[key][field] for key in self.pairs.tolist()], np.int64) for field in (0, 1))
+        # Ids of single characters; characters that are no piece are negative, by their number.
+        self.signs = ~np.arange(0x110000, dtype=np.int64)
+        for text, i in self.ids.items():
+            if len(text) == 1:
+                self.signs[ord(text)] = i
         # Neighbouring characters that occur in a piece; a merge never spans other neighbours.
-        self.neighbours = {text[i:i + 2] for text in self.ids for i in range(len(text) - 1)}
-        self.apart = not any(pair[1] in "▁\n" and pair != SPACE * 2 for pair in self.neighbours)
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        neighbours = {text[i:i + 2] for text in self.ids for i in range(len(text) - 1)}
+        self.neighbours = np.array(sorted(_pair(*map(ord, pair)) for pair in neighbours), np.int64)
+        self.apart = not any(pair[1] in "▁\n" and pair != SPACE * 2 for pair in neighbours)
+        self.known: dict[str, bytes] = {}
+        # Bytes of the text that an id takes; those of a character's bytes are told by their neighbours.
+        self.sizes = np.array([len(text.encode()) for text, _, _ in pieces], np.int64)
+        self.sizes[self.byte_ids] = 1
+        self.sign_byte = np.full(len(pieces), -1)
+        self.sign_byte[self.byte_ids] = np.arange(256)
         text_of = [text.replace(SPACE, " ").encode() for text, _, _ in pieces]
         for byte, i in enumerate(self.byte_ids):
             text_of[i] = bytes([byte])
@@ -195,65 +225,125 @@ class Model:
 
     # --- merging ---
 
-    def merge(self, part: str) -> list[str]:
-        """Pieces of one part: the neighbours whose joined piece has the best score merge first, the leftmost of equals."""
-        signs = list(part)
-        n, score = len(signs), self.score
+    def _find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the table and rank of each pair; no rank for pairs that make no piece."""
+        keys = np.where((left >= 0) & (right >= 0), (left << 21) ^ right, -1)
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return at, np.where(self.pairs[at] == keys, self.ranks[at], NONE)
+
+    def merge(self, signs: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merge the words that lie one after the other; ``word`` numbers each sign's.
+
+        In each round each word merges one pair: that whose piece has the best score, the leftmost of equals. Ranks are
+        kept and only those beside a merge are looked up again; words without a pair left leave the arrays.
+        """
+        done_signs, done_words = [], []
+        at, rank = self._find(signs[:-1], signs[1:])
+        at, rank = np.append(at, 0), np.append(np.where(word[:-1] == word[1:], rank, NONE), NONE)
+        while len(signs):
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            best = np.minimum.reduceat(rank, first)
+            sizes = np.diff(np.append(first, len(signs)))
+            live = np.repeat(best != NONE, sizes)
+            if not live.all():
+                done_signs.append(signs[~live])
+                done_words.append(word[~live])
+                best, sizes = best[best != NONE], sizes[best != NONE]
+                signs, word, at, rank = signs[live], word[live], at[live], rank[live]
+                if not len(signs):
+                    break
+            place = np.flatnonzero(rank == np.repeat(best, sizes))
+            place = place[np.append(True, word[place[1:]] != word[place[:-1]])]
+            signs[place] = self.made[at[place]]
+            stays = np.ones(len(signs), bool)
+            stays[place + 1] = False
+            signs, word, at, rank = signs[stays], word[stays], at[stays], rank[stays]
+            place = place - np.arange(len(place))
+            for i in (place, place[place > 0] - 1):
+                right = np.minimum(i + 1, len(signs) - 1)
+                at[i], found = self._find(signs[i], signs[right])
+                rank[i] = np.where((i < right) & (word[i] == word[right]), found, NONE)
+        signs, word = np.concatenate([signs, *done_signs]), np.concatenate([word, *done_words])
+        by = np.argsort(word, kind="stable")
+        return signs[by], word[by]
+
+    def merge_long(self, signs: list[int]) -> list[int]:
+        """As :meth:`merge` for one long word, with a heap of its pairs and links to the neighbours that are left."""
+        n, pairs = len(signs), dict(zip(self.pairs.tolist(), zip(self.ranks.tolist(), self.made.tolist(), strict=True), strict=True))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(-score[pair], i, 2, pair) for i, pair in enumerate(map("".join, zip(signs, signs[1:], strict=False))) if pair in score]
-        heapify(heap)
+        rule: list[tuple[int, int] | None] = [None] * n
+        heap: list[tuple[int, int]] = []
+        gone = [False] * n
 
-        def offer(i: int, j: int) -> None:
-            joined = signs[i] + signs[j]
-            if joined in score:
-                heappush(heap, (-score[joined], i, len(joined), joined))
+        def renew(i: int) -> None:
+            j = after[i]
+            rule[i] = pairs.get(_pair(signs[i], signs[j])) if j < n and signs[i] >= 0 and signs[j] >= 0 else None
+            if rule[i]:
+                heappush(heap, (rule[i][0], i))
 
+        for i in range(n):
+            renew(i)
         while heap:
-            _, i, length, joined = heappop(heap)
-            j = after[i]
-            if not signs[i] or j >= n or len(signs[i]) + len(signs[j]) != length:
+            rank, i = heappop(heap)
+            if gone[i] or not rule[i] or rule[i][0] != rank:
                 continue
-            signs[i], signs[j] = joined, ""
-            k = after[i] = after[j]
-            if k < n:
-                before[k] = i
-                offer(i, k)
+            signs[i], gone[after[i]] = rule[i][1], True
+            after[i] = after[after[i]]
+            if after[i] < n:
+                before[after[i]] = i
+            renew(i)
             if before[i] >= 0:
-                offer(before[i], i)
-        return [s for s in signs if s]
-
-    def _code(self, part: str) -> tuple[bytes, bytes]:
-        """Ids of a part, and the bytes that each id takes of it; an unknown character's bytes are all its last id's."""
-        ids, sizes = [], []
-        for piece in self.merge(part):
-            known = self.ids.get(piece)
-            data = piece.encode()
-            if known is None:
-                ids += [self.byte_ids[b] for b in data]
-                sizes += [0] * (len(data) - 1) + [len(data)]
-            else:
-                ids.append(known)
-                sizes.append(len(data))
-        return np.array(ids, "<i4").tobytes(), np.array(sizes, "<i4").tobytes()
-
-    def _learn(self, parts: set[str]) -> None:
-        """Codes of all ``parts``, those not met before by way of their cuts between strangers."""
-        known = self.known
-        if len(known) > MEMORY:
-            known.clear()
-        for part in parts:
-            if part in known:
-                continue
-            cuts = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in self.neighbours]
-            coded = []
-            for start, stop in zip([0, *cuts], [*cuts, len(part)], strict=True):
-                inner = part[start:stop]
-                if inner not in known:
-                    code = self._code(inner)
-                    if len(inner) <= LONGEST_KEPT:
-                        known[inner] = code
-                coded.append(known[inner] if inner in known else code)
-            known[part] = b"".join(ids for ids, _ in coded), b"".join(sizes for _, sizes in coded)
+                renew(before[i])
+        return [sign for sign, out in zip(signs, gone, strict=True) if not out]
+
+    def _code(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part, as little-endian 32-bit numbers."""
+        if not parts:
+            return []
+        points = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").astype(np.int64)
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        keys = (points[:-1] << 21) ^ points[1:]
+        near = np.minimum(np.searchsorted(self.neighbours, keys), len(self.neighbours) - 1)
+        fresh = np.append(True, self.neighbours[near] != keys)
+        fresh[ends[:-1]] = True
+        word = np.cumsum(fresh) - 1
+        signs = self.signs[points]
+        owner = np.repeat(np.arange(len(parts)), np.diff(np.append(0, ends)))[fresh]
+        lengths = np.bincount(word)
+        long = lengths > LONG
+        if long.any():
+            starts = np.append(0, np.cumsum(lengths))
+            apart = {int(w): self.merge_long(signs[starts[w]:starts[w + 1]].tolist()) for w in np.flatnonzero(long)}
+            inside = ~long[word]
+            signs, word = self.merge(signs[inside], word[inside])
+            signs = np.concatenate([signs, *[np.array(x, np.int64) for x in apart.values()]])
+            word = np.concatenate([word, *[np.full(len(x), w) for w, x in apart.items()]])
+            by = np.argsort(word, kind="stable")
+            signs, word = signs[by], word[by]
+        else:
+            signs, word = self.merge(signs, word)
+        part = owner[word]
+        strange = np.flatnonzero(signs < 0)
+        if len(strange):
+            data = [chr(~x).encode() for x in signs[strange].tolist()]
+            widths = np.ones(len(signs), np.int64)
+            widths[strange] = [len(x) for x in data]
+            signs, part = np.repeat(signs, widths), np.repeat(part, widths)
+            signs[signs < 0] = [self.byte_ids[b] for x in data for b in x]
+        stops = np.cumsum(np.bincount(part, minlength=len(parts))) * 4
+        coded = signs.astype("<i4").tobytes()
+        return [coded[start:stop] for start, stop in zip([0, *stops.tolist()], stops.tolist(), strict=False)]
+
+    def _taken(self, ids: np.ndarray) -> np.ndarray:
+        """Bytes of the normalised text that each id takes; all of a character's bytes are its last byte id's."""
+        sizes, byte = self.sizes[ids], self.sign_byte[ids]
+        if (byte < 0x80).all():
+            return sizes
+        more = (byte >= 0x80) & (byte < 0xC0)
+        at = np.arange(len(ids))
+        lead = np.maximum.accumulate(np.where(byte >= 0xC0, at, -1))
+        last = more & ~np.append(more[1:], False)
+        return np.where(last, at - lead + 1, np.where(byte >= 0x80, 0, sizes))
 
     def parts(self, text: str) -> list[str]:
         """Parts of a normalised text that no merge crosses."""
@@ -270,23 +360,32 @@ class Model:
         """Ids of each text, and the original bytes ``[start, stop)`` each stands for."""
         normal = [self.normalise(text) for text in texts]
         split = [self.parts(text) for text, _ in normal]
-        self._learn(set().union(*split))
         known, out = self.known, []
-        for (_, align), parts in zip(normal, split, strict=True):
-            coded = [known[p] for p in parts]
-            ids = np.frombuffer(b"".join([c[0] for c in coded]), "<i4")
-            ends = np.cumsum(np.frombuffer(b"".join([c[1] for c in coded]), "<i4"), dtype=np.int64)
-            out.append((ids, align[np.append(0, ends[:-1])] if len(ids) else ids, align[ends] if len(ids) else ids))
-        for part in {p for parts in split for p in parts if len(p) > LONGEST_KEPT}:
-            known.pop(part, None)
+        if len(known) > MEMORY:
+            known.clear()
+        coded = [list(map(known.get, parts)) for parts in split]
+        holes = [list(itertools.compress(itertools.count(), map(operator.not_, row))) for row in coded]
+        unseen = list({parts[i] for parts, at in zip(split, holes, strict=True) for i in at})
+        known.update(zip(unseen, self._code(unseen), strict=True))
+        for row, parts, at, (_, align) in zip(coded, split, holes, normal, strict=True):
+            for i in at:
+                row[i] = known[parts[i]]
+            ids = np.frombuffer(b"".join(row), "<i4")
+            ends = np.append(0, np.cumsum(self._taken(ids)))
+            out.append((ids, align[ends[:-1]], align[ends[1:]]))
+        for part in unseen:
+            if len(part) > LONGEST_KEPT:
+                del known[part]
         return out
 
     # --- decoding ---
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Text of ids: marks become spaces, the first one falls away, byte pieces are joined to characters."""
-        ids = [i for i in ids if 0 <= i < len(self.kinds)]
-        data = b"".join([self.text_of[i] for i in ids])
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.kinds)):
+            ids = ids[(ids >= 0) & (ids < len(self.kinds))]
+        ids = ids.tolist()
+        data = b"".join(map(self.text_of.__getitem__, ids))
         if self.prefix or self.trim:
             first = next((i for i in ids if self.text_of[i]), None)
             if first is not None and self.kinds[first] == NORMAL and data.startswith(b" "):
@@ -349,7 +448,7 @@ def decode(ids: Column, path: str) -> Column:
     def texts(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = model(path)
         for rows in series:
-            yield pd.Series([None if row is None else known.decode(row.tolist()) for row in rows], dtype=object)
+            yield pd.Series([None if row is None else known.decode(row) for row in rows], dtype=object)
 
     return F.pandas_udf(texts, "string")(ids)
 
