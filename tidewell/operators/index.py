@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.arrays import group_sizes, group_sorted, unnest
+from tidewell.functions.stems import porter
 from tidewell.functions.text import shard_of
 from tidewell.model import FIELDS, META_LENGTHS, TAGGERS
 from tidewell.operators.corpus import doc_props, with_text
@@ -259,10 +260,42 @@ def stem(term: Column) -> Column:
     return F.regexp_replace(word, "([aeiouy].*)y$", "$1i")
 
 
-def vocab_conflate(words: DataFrame) -> DataFrame:
-    """Stem classes over the distinct vocabulary: number of forms, summed frequencies."""
-    return words.withColumn("stem", stem(F.col("term"))).groupBy("stem").agg(
-        F.count(F.lit(1)).alias("forms"), F.sum("df").alias("df_sum"), F.sum("cf").alias("cf_sum"))
+def term_pipeline(terms: DataFrame, stop: DataFrame | None = None) -> DataFrame:
+    """``(term, stem)`` of the distinct ``terms``: those whose lower case is no stop word, conflated by suffix.
+
+    The work is done once per different word of the vocabulary, never per posting.
+    """
+    words = terms.select("term", F.lower("term").alias("_word")).distinct()
+    known = words.select(F.col("_word").alias("term")).distinct()
+    if stop is not None:
+        known = remove_stopwords(known, stop)
+    stems = known.select(F.col("term").alias("_word"), porter(F.col("term")).alias("stem"))
+    return words.join(stems, "_word").select("term", "stem")
+
+
+def conflated(postings: DataFrame, stems: DataFrame) -> DataFrame:
+    """Posting lists ``(term, stream_id, doc_id, tf, positions)`` of stems, merged from those of their forms.
+
+    ``stems`` is a :func:`term_pipeline`; terms that it lacks are gone. A document is in a merged list once, with the
+    positions of all forms in order. Only forms of one stem in one document are grouped.
+    """
+    rows = lookup_join(postings.select("term", "stream_id", "doc_id", "tf", "positions"), stems, "term")
+    return rows.groupBy(F.col("stem").alias("term"), "stream_id", "doc_id").agg(
+        F.sum("tf").cast("int").alias("tf"), F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"))
+
+
+def conflated_lengths(lengths: DataFrame, merged: DataFrame) -> DataFrame:
+    """Lengths of the documents of ``lengths`` in terms that the pipeline let through, 0 where there are none."""
+    left = merged.groupBy("stream_id").agg(F.sum("tf").cast("int").alias("_left"))
+    return lengths.join(left, "stream_id", "left").select("stream_id", "doc_id", F.coalesce("_left", F.lit(0)).alias("doc_len"))
+
+
+def vocab_conflate(postings: DataFrame) -> DataFrame:
+    """Stem classes over the vocabulary of ``(term, stream_id, tf)``: forms, documents with any form, occurrences."""
+    stems = materialize(term_pipeline(postings.select("term")), "stems")
+    forms = stems.groupBy("stem").agg(F.count(F.lit(1)).alias("forms"))
+    merged = lookup_join(postings.select("term", "stream_id", "tf"), stems, "term").groupBy("stem", "stream_id").agg(F.sum("tf").alias("tf"))
+    return merged.groupBy("stem").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).join(forms, "stem")
 
 
 def write_index(items: DataFrame, path: str, partitions: int | None = None, overwrite: bool = False) -> None:

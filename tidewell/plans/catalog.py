@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -340,7 +341,7 @@ def index_merge(spark, sf_dir):
 
 @query
 def vocab_conflate(spark, sf_dir):
-    return index.vocab_conflate(index.vocabulary(_frequencies(spark, sf_dir)))
+    return index.vocab_conflate(_frequencies(spark, sf_dir))
 
 
 @query
@@ -384,6 +385,32 @@ def _scored(spark, sf_dir):
     return search.scores(postings, search.query_weights(terms), stored.lengths)
 
 
+def _conflated(spark, sf_dir):
+    """The stored index after stop words and suffixes, stored itself."""
+    stored = _index(spark, sf_dir)
+
+    def build():
+        stems = materialize(index.term_pipeline(stored.lexicon.select("term"), fx.stopwords(spark)), "stems")
+        return index.conflated(stored.postings, stems)
+
+    return _stored(spark, sf_dir, "conflated", build)
+
+
+@query
+def index_pipeline(spark, sf_dir):
+    return _conflated(spark, sf_dir).select(
+        "term", "doc_id", "tf", F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"))
+
+
+@query
+def ranked_pipeline(spark, sf_dir):
+    merged = _conflated(spark, sf_dir)
+    lengths = materialize(index.conflated_lengths(_index(spark, sf_dir).lengths, merged), "lengths")
+    terms = search.conflated_terms(search.topic_terms(fx.topics(spark, sf_dir)), fx.stopwords(spark))
+    postings = search.matching(merged.join(lengths.select("stream_id", "doc_len"), "stream_id"), terms)
+    return search.ranked(search.scores(postings, search.query_weights(terms), lengths)).select(RESULT)
+
+
 @query
 def index_exists(spark, sf_dir):
     """Writing an index where there is one is refused."""
@@ -391,8 +418,8 @@ def index_exists(spark, sf_dir):
     try:
         index.write_index(fx.items(spark, sf_dir), _INDEXES[spark.sparkContext.applicationId, sf_dir])
         refused = False
-    except Exception as error:
-        refused = "already exists" in str(error)
+    except AnalysisException as error:
+        refused = error.getCondition() == "PATH_ALREADY_EXISTS"
     return stored.lengths.select("doc_id", F.lit(refused).alias("refused"))
 
 

@@ -177,9 +177,8 @@ def stopwords(spark: SparkSession) -> DataFrame:
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topics ``(number, title)`` from all words of the benchmark passages."""
-    title = F.array_join(F.transform(words(F.col("text")), F.lower), " ")
-    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("number"), title.alias("title"))
+    """Topics ``(number, title)``, the benchmark passages as they are."""
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("number"), F.col("text").alias("title"))
 
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from tidewell.functions import stems
 from tidewell.plans import fixtures as fx
 
 PARTS: dict[str, str] = {}
@@ -339,15 +340,70 @@ SELECT CAST(('0x' || substr(md5(c.stream_id), 1, 4))::INTEGER % 4 AS INTEGER) AS
 FROM freq_rows f JOIN corpus_rows c ON c.doc_id = f.doc_id GROUP BY 1, 2
 """)
 oracle("index_merge", "SELECT term, df, cf, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab_rows")
+# Stems of the vocabulary, step by step; ``c`` has a v or c for each letter of ``s``.
+_CLASSES = ("list_reduce(string_split(s, ''), lambda acc, x: acc || CASE WHEN contains('aeiou', x) THEN 'v' "
+            "WHEN x = 'y' AND right(acc, 1) = 'c' THEN 'v' ELSE 'c' END, '')")
+
+
+def _less(text: str, n: str) -> str:
+    return f"substr({text}, 1, length({text}) - {n})"
+
+
+def _measure_of(classes: str) -> str:
+    return f"len(regexp_extract_all({classes}, 'vc'))"
+
+
+def _swap(rules: dict[str, str], least: int) -> str:
+    x = f"regexp_extract(s, '({'|'.join(rules)})$')"
+    cases = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in rules.items())
+    return (f"CASE WHEN {x} <> '' AND {_measure_of(_less('c', f'length({x})'))} > {least} "
+            f"THEN {_less('s', f'length({x})')} || CASE {x} {cases} END ELSE s END")
+
+
+_O = "(c LIKE '%cvc' AND NOT regexp_matches(s, '[wxy]$'))"
+_O_BEFORE_E = f"({_less('c', '1')} LIKE '%cvc' AND NOT regexp_matches({_less('s', '1')}, '[wxy]$'))"
+_FOURTH = f"regexp_extract(s, '({'|'.join(stems.STEP_4)})$')"
+_STEPS = (
+    (_swap(stems.STEP_1A, -1), "false"),
+    (f"CASE WHEN s LIKE '%eed' THEN CASE WHEN {_measure_of(_less('c', '3'))} > 0 THEN {_less('s', '1')} ELSE s END "
+     f"WHEN s LIKE '%ed' AND contains({_less('c', '2')}, 'v') THEN {_less('s', '2')} "
+     f"WHEN s LIKE '%ing' AND contains({_less('c', '3')}, 'v') THEN {_less('s', '3')} ELSE s END",
+     f"(s LIKE '%ed' AND s NOT LIKE '%eed' AND contains({_less('c', '2')}, 'v')) OR (s LIKE '%ing' AND contains({_less('c', '3')}, 'v'))"),
+    (f"CASE WHEN NOT cut THEN s WHEN regexp_matches(s, '(at|bl|iz)$') THEN s || 'e' "
+     f"WHEN c LIKE '%cc' AND s[-1] = s[-2] AND s[-1] NOT IN ('l', 's', 'z') THEN {_less('s', '1')} "
+     f"WHEN {_measure_of('c')} = 1 AND {_O} THEN s || 'e' ELSE s END", "false"),
+    (f"CASE WHEN s LIKE '%y' AND contains({_less('c', '1')}, 'v') THEN {_less('s', '1')} || 'i' ELSE s END", "false"),
+    (_swap(stems.STEP_2, 0), "false"),
+    (_swap(stems.STEP_3, 0), "false"),
+    (f"CASE WHEN {_FOURTH} <> '' AND {_measure_of(_less('c', f'length({_FOURTH})'))} > 1 "
+     f"AND ({_FOURTH} <> 'ion' OR regexp_matches(s, '[st]ion$')) THEN {_less('s', f'length({_FOURTH})')} ELSE s END", "false"),
+    (f"CASE WHEN s LIKE '%e' AND ({_measure_of(_less('c', '1'))} > 1 OR ({_measure_of(_less('c', '1'))} = 1 AND NOT {_O_BEFORE_E})) "
+     f"THEN {_less('s', '1')} ELSE s END", "false"),
+    (f"CASE WHEN s LIKE '%ll' AND {_measure_of('c')} > 1 THEN {_less('s', '1')} ELSE s END", "false"),
+)
+
+
+def _stem_parts(name: str, source: str) -> None:
+    """``(w, stem)`` of the distinct words of a table ``(w)``."""
+    part(f"{name}_0", f"SELECT DISTINCT w, w AS s, false AS cut FROM {source}")
+    for i, (value, cut) in enumerate(_STEPS, 1):
+        part(f"{name}_{i}", f"SELECT w, {value} AS s, {cut} AS cut FROM (SELECT w, s, cut, {_CLASSES} AS c FROM {name}_{i - 1})")
+    part(f"{name}_stems", f"SELECT w, CASE WHEN length(w) <= 2 THEN w ELSE s END AS stem FROM {name}_{len(_STEPS)}")
+
+
+part("low_rows", "SELECT lower(term) AS w FROM vocab_rows")
+_stem_parts("vocab", "low_rows")
 oracle("vocab_conflate", """
-SELECT regexp_replace(word, '([aeiouy].*)y$', '\\1i') AS stem, count(*) AS forms,
-       CAST(sum(df) AS BIGINT) AS df_sum, CAST(sum(cf) AS BIGINT) AS cf_sum
-FROM (SELECT df, cf, CASE WHEN regexp_matches(w, '[aeiouy].*ing$') THEN regexp_replace(w, '([aeiouy].*)ing$', '\\1')
-                          WHEN regexp_matches(w, '[aeiouy].*ed$') THEN regexp_replace(w, '([aeiouy].*)ed$', '\\1') ELSE w END AS word
-      FROM (SELECT df, cf, CASE WHEN l LIKE '%sses' THEN left(l, length(l) - 2) WHEN l LIKE '%ies' THEN left(l, length(l) - 2)
-                                WHEN regexp_matches(l, '[^s]s$') THEN left(l, length(l) - 1) ELSE l END AS w
-            FROM (SELECT lower(term) AS l, df, cf FROM vocab_rows)))
-GROUP BY 1
+SELECT s.stem, count(DISTINCT f.term) AS forms, count(DISTINCT f.doc_id) AS df, CAST(sum(f.tf) AS BIGINT) AS cf
+FROM freq_rows f JOIN vocab_stems s ON s.w = lower(f.term) GROUP BY s.stem
+""")
+part("piped_rows", f"""
+SELECT s.stem AS term, t.doc_id, t.pos FROM term_rows t JOIN vocab_stems s ON s.w = lower(t.term)
+WHERE lower(t.term) NOT IN ({_quoted(fx.STOPWORDS)})
+""")
+oracle("index_pipeline", """
+SELECT term, doc_id, CAST(count(*) AS INTEGER) AS tf, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions
+FROM piped_rows GROUP BY term, doc_id
 """)
 oracle("direct_index", """
 SELECT c.doc_id, coalesce(string_agg(f.term || ':' || CAST(f.tf AS VARCHAR), ' ' ORDER BY f.term), '') AS terms
@@ -370,14 +426,14 @@ part("weight_rows", "SELECT number, term, count(*) AS weight FROM topic_rows GRO
 part("totals", "SELECT count(*) AS n, avg(doc_len) AS mean FROM length_rows")
 
 
-def _bm25(weights: str, postings: str, tf: str, df: str) -> str:
+def _bm25(weights: str, postings: str, tf: str, df: str, lengths: str = "length_rows", totals: str = "totals") -> str:
     """Scored documents per topic from tables of weights, postings and document frequencies."""
     return f"""
 SELECT q.number, p.doc_id,
        round(sum(q.weight * ln((t.n - d.df + 0.5) / (d.df + 0.5) + 1) * {tf} * 2.2
                  / ({tf} + 1.2 * (0.25 + 0.75 * l.doc_len / t.mean))), 4) AS score
 FROM {weights} q JOIN {postings} p ON p.term = q.term JOIN {df} d ON d.term = q.term
-JOIN length_rows l ON l.doc_id = p.doc_id CROSS JOIN totals t GROUP BY q.number, p.doc_id"""
+JOIN {lengths} l ON l.doc_id = p.doc_id CROSS JOIN {totals} t GROUP BY q.number, p.doc_id"""
 
 
 def _top(scored: str, start: int = 0, end: int = 9) -> str:
@@ -390,6 +446,15 @@ WHERE place BETWEEN {start + 1} AND {end + 1}"""
 part("score_rows", _bm25("weight_rows", "freq_rows", "p.tf", "vocab_rows"))
 part("top_rows", _top("score_rows"))
 
+part("topic_low", f"SELECT lower(word) AS w FROM topic_words WHERE lower(word) NOT IN ({_quoted(fx.STOPWORDS)})")
+_stem_parts("topic", "topic_low")
+part("piped_weights", "SELECT t.number, s.stem AS term, count(*) AS weight FROM topic_rows t JOIN topic_stems s ON s.w = t.term GROUP BY 1, 2")
+part("piped_freq", "SELECT doc_id, term, count(*) AS tf FROM piped_rows GROUP BY doc_id, term")
+part("piped_df", "SELECT term, count(*) AS df FROM piped_freq GROUP BY term")
+part("piped_lengths", "SELECT c.doc_id, count(p.term) AS doc_len FROM corpus_rows c LEFT JOIN piped_rows p ON p.doc_id = c.doc_id GROUP BY c.doc_id")
+part("piped_totals", "SELECT count(*) AS n, avg(doc_len) AS mean FROM piped_lengths")
+part("piped_scores", _bm25("piped_weights", "piped_freq", "p.tf", "piped_df", "piped_lengths", "piped_totals"))
+oracle("ranked_pipeline", _top("piped_scores"))
 oracle("topics", "SELECT number, CAST(place AS INTEGER) AS place, lower(word) AS term FROM topic_words")
 oracle("ranked_topk", "SELECT * FROM top_rows")
 oracle("ranked_site", _top("(SELECT s.* FROM score_rows s JOIN corpus_rows c ON c.doc_id = s.doc_id WHERE c.schost LIKE '%7.example.com')"))
