@@ -214,3 +214,24 @@ def test_repeated_ids_reach_the_driver_once(spark, monkeypatch):
     monkeypatch.setattr(pairwise_quality, "fit_pairs", lambda good, bad: seen.append((len(good), len(bad))))
     pairwise_quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
     assert seen == [(1, 1)]
+
+
+def test_verdicts_change_smoothly_with_the_size_of_a_source(spark):
+    """A document's distance moves little when its source grows by one row, at any size."""
+    draw = random.Random(12)
+    text = lambda plain: " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randrange(2, 7) if plain else 12)) for _ in range(60))
+    common = [(text(True), "en", "big") for _ in range(400)]
+    small = [(text(True), "en", "small") for _ in range(202)]
+    odd = (text(False), "en", "small")
+
+    def distance(n):
+        frame = spark.createDataFrame([*enumerate_rows(common + small[:n - 1]), (9999, *odd)], "doc_id long, text string, lang string, source string")
+        return quality_rules.rate(frame, ["doc_id"]).filter("row.doc_id = 9999").first().distance
+
+    found = {n: distance(n) for n in (29, 30, 199, 200, 201)}
+    for a, b in ((29, 30), (199, 200), (200, 201)):
+        assert abs(found[a] - found[b]) < 0.15 * found[a], found
+
+
+def enumerate_rows(rows):
+    return [(i, *row) for i, row in enumerate(rows)]

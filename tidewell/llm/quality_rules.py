@@ -3,7 +3,9 @@
 Fixed limits reject first. The rest is judged by the minimum covariance determinant (MCD): per language and
 source, the mean and covariance of the ``SHARE`` of documents that lie closest together, found by C-steps
 from three starts (the one with the least determinant counts), and a document is rejected when its
-Mahalanobis distance is beyond a chi-square limit. DataFrame functions only.
+Mahalanobis distance is beyond a chi-square limit. The same is estimated per language and over all, and the distances
+are blended by weights that grow smoothly with the documents of a cell, so no size switches the verdict.
+DataFrame functions only.
 
 The covariance is mixed with a part of the identity (regularised MCD, Boudt et al. 2020), because most
 documents have no symbol and no repeated line at all.
@@ -26,8 +28,10 @@ SIGNS = "!?;:=_~^"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
 #: Share of a cell's documents that the estimate is made of.
 SHARE = 0.75
-#: Documents that a language and source needs for an estimate of its own; else those of its language are pooled.
-LEAST = 200
+#: Documents of a language and source at which its own estimate counts as much as its language's (and so on for all).
+HALF = 50.0
+#: Cell of all documents; other cells' names begin otherwise.
+ALL = "all"
 C_STEPS = 5
 #: Part of the identity in the covariance of the scaled statistics.
 RIDGE = 0.25
@@ -101,28 +105,36 @@ def base_statistics(
     )
 
 
-def _cells(stats: DataFrame) -> DataFrame:
-    """Add ``cell``: language and source, or the language, or all, the first with enough documents."""
+def _named(stats: DataFrame) -> DataFrame:
+    """Add the ``pair`` of language and source, and the language as ``one``."""
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null"))
-    keyed = stats.withColumn("pair", F.concat_ws("\x1f", name("lang"), name("source"))).withColumn("one", name("lang"))
-    pairs = materialize(keyed.groupBy("pair", "one").agg(F.count(F.lit(1)).alias("n")), "pairs")
-    langs = pairs.filter(F.col("n") < LEAST).groupBy("one").agg(F.sum("n").alias("pooled"))
-    cells = materialize(pairs.join(langs, "one", "left").select(
-        "pair", "n", F.when(F.col("n") >= LEAST, F.col("pair")).when(F.col("pooled") >= LEAST, F.col("one"))
-        .otherwise(F.lit("all")).alias("cell")), "cells")
-    return lookup_join(keyed.drop("one", "lang", "source"), cells, "pair", "n").drop("pair")
-
-
-def _scaled(passed: DataFrame) -> DataFrame:
-    """``z0 ..``: the statistics less their cell's median, in units of its quartile range."""
-    spread = materialize(passed.groupBy("cell").agg(
+    return stats.withColumn("pair", F.concat_ws("\x1f", name("lang"), name("source"))).withColumn("one", name("lang")).drop("lang", "source")
+
+
+def _levels(named: DataFrame) -> DataFrame:
+    """The statistics once for each ``cell`` a document is in: its language and source, its language, and all."""
+    return named.select(F.explode(F.array("pair", "one", F.lit(ALL))).alias("cell"), *STATISTICS)
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Per cell: documents ``n``, and medians ``mid`` and scales ``unit`` of the statistics."""
+    found = rows.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q_{x}") for x in STATISTICS],
-    ), "spread")
-    z = {f"z{i}": (F.col(x) - F.col(f"q_{x}")[1])
-         / F.greatest((F.col(f"q_{x}")[2] - F.col(f"q_{x}")[0]) / 1.349, F.lit(FLOORS[x]))
-         for i, x in enumerate(STATISTICS)}
-    return lookup_join(passed, spread, "cell", "n").withColumns(z).drop(*STATISTICS, *[f"q_{x}" for x in STATISTICS])
+        *[F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q_{x}") for x in STATISTICS])
+    return materialize(found.select(
+        "cell", "n", F.array(*[F.col(f"q_{x}")[1] for x in STATISTICS]).alias("mid"),
+        F.array(*[F.greatest((F.col(f"q_{x}")[2] - F.col(f"q_{x}")[0]) / 1.349, F.lit(FLOORS[x])) for x in STATISTICS]).alias("unit")), "spread")
+
+
+def _z(mid: Column, unit: Column) -> list[Column]:
+    """The statistics less their cell's median, in units of its quartile range."""
+    return [(F.col(x) - mid[i]) / unit[i] for i, x in enumerate(STATISTICS)]
+
+
+def _scaled(rows: DataFrame, spread: DataFrame) -> DataFrame:
+    """``cell`` and ``z0 ..``."""
+    return lookup_join(rows, spread, "cell", "n").select(
+        "cell", *[z.alias(f"z{i}") for i, z in enumerate(_z(F.col("mid"), F.col("unit")))])
 
 
 def _starts() -> Column:
@@ -135,13 +147,14 @@ def _starts() -> Column:
     )
 
 
-def _distance(center: Column, white: Column) -> Column:
-    """Squared Mahalanobis distance of ``z0 ..``."""
+def _distance(center: Column, white: Column, z: list[Column] | None = None) -> Column:
+    """Squared Mahalanobis distance of ``z``, by default ``z0 ..``."""
     total, at = F.lit(0.0), 0
+    z = z or [F.col(f"z{i}") for i in range(_P)]
     for i in range(_P):
         row = F.lit(0.0)
         for j in range(i + 1):
-            row = row + white[at] * (F.col(f"z{j}") - center[j])
+            row = row + white[at] * (z[j] - center[j])
             at += 1
         total = total + row * row
     return total
@@ -228,21 +241,45 @@ def chi_square(deviate: float) -> float:
     return _P * (1 - 2 / (9 * _P) + deviate * math.sqrt(2 / (9 * _P))) ** 3
 
 
+def _blended(passed: DataFrame, models: DataFrame) -> DataFrame:
+    """Per pair: its documents ``n``, and the models of the pair, of its language and of all, as structs."""
+    of = lambda name, key: models.select(F.col("cell").alias(key), F.struct("n", "mid", "unit", "center", "white", "typical").alias(name))
+    pairs = passed.groupBy("pair", "one").agg(F.count(F.lit(1)).alias("n")).withColumn("every", F.lit(ALL))
+    return materialize(pairs.join(of("m_pair", "pair"), "pair").join(of("m_one", "one"), "one").join(of("m_all", "every"), "every").drop(
+        "one", "every"), "blended")
+
+
+def _blend() -> Column:
+    """Distances of the three models; a model counts the more against the wider one, the more documents it has.
+
+    Where a cell's median distance is above that of chi-square, its distances are scaled down: the closest documents
+    understate the covariance.
+    """
+    def of(model: Column) -> Column:
+        return _distance(model["center"], model["white"], _z(model["mid"], model["unit"])) * chi_square(0.0) / F.greatest(
+            model["typical"], F.lit(chi_square(0.0)))
+
+    weight = lambda model: model["n"] / (model["n"] + F.lit(HALF))
+    one, pair = F.col("m_one"), F.col("m_pair")
+    wide = weight(one) * of(one) + (1 - weight(one)) * of(F.col("m_all"))
+    return weight(pair) * of(pair) + (1 - weight(pair)) * wide
+
+
 def rate(
     docs: DataFrame, carry: list[str] | None = None, tail: float = TAIL, text: str = "text", lang: str = "lang", source: str = "source",
 ) -> DataFrame:
     """``row`` (a struct of the ``carry`` columns, all by default), the base counts, ``base_failed``, ``distance`` and ``kept``, per input row.
 
-    ``distance`` is the squared Mahalanobis distance, scaled down where a cell's median is above that of
-    chi-square (the closest documents understate the covariance), and null where the fixed limits reject. A null text counts as empty and is rejected by them. A null
-    language or source is a value of its own. Equal rows get equal verdicts. An empty table gives no rows.
+    ``distance`` is the squared Mahalanobis distance, a mean of those from the language and source, the language and all
+    documents (:func:`_blend`), and null where the fixed limits reject. A null text counts as empty and is rejected by
+    them. A null language or source is a value of its own. Equal rows get equal verdicts. An empty table gives no rows.
     """
     stats = materialize(base_statistics(docs, carry, text, lang, source), "statistics")
-    celled = _cells(stats.filter(~F.col("base_failed")))
-    scaled = _scaled(celled)
-    models = estimates(materialize(scaled.select("cell", *[f"z{i}" for i in range(_P)]), "scaled"))
-    judged = lookup_join(scaled, models, "cell", "n").withColumn(
-        "distance", _distance(F.col("center"), F.col("white")) * chi_square(0.0) / F.greatest("typical", F.lit(chi_square(0.0))))
+    passed = _named(stats.filter(~F.col("base_failed")))
+    rows = _levels(passed)
+    spread = _spread(rows)
+    models = estimates(materialize(_scaled(rows, spread), "scaled")).join(spread.drop("n"), "cell")
+    judged = lookup_join(passed, _blended(passed, materialize(models, "models")), "pair", "n").withColumn("distance", _blend())
     columns = ["row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return judged.select(*columns, "distance", (F.col("distance") <= chi_square(tail)).alias("kept")).unionByName(
         stats.filter("base_failed").select(*columns, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept")))
