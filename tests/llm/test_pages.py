@@ -106,3 +106,24 @@ def test_nothing_labelled_is_allowed(spark):
     frame = spark.createDataFrame([(1, "http://a.example/x"), (None, None)], "page_id long, url string")
     assert [(r.rule, r.verdict) for r in url_rules.judge(frame).collect()] == [(None, "allow")] * 2
     assert url_rules.judge(frame.limit(0)).count() == 0
+
+
+def test_rules_of_any_length_decide_and_pruning_changes_nothing(spark):
+    rows = []
+    for i in range(120):  # only three tokens together tell the verdict
+        a, b, c = i % 2, i // 2 % 2, i // 4 % 2
+        rows.append((["t%d" % a, "u%d" % b, "v%d" % c], "block" if a and b and c else "allow"))
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    mined = url_rules.mine(labelled)
+    assert ["t1", "u1", "v1"] in [r.tokens for r in mined.collect() if r.verdict == "block"]
+    kept = url_rules.prune(mined).collect()
+    assert len(kept) < mined.count()
+
+    def decide(rules, tokens):
+        fits = [(-r.confidence, -r.support, r.tokens, r.verdict) for r in rules if set(r.tokens) <= set(tokens)]
+        return min(fits)[3] if fits else None
+
+    everything = mined.collect()
+    for tokens in itertools.product(("t0", "t1", "x"), ("u0", "u1", "x"), ("v0", "v1", "x")):
+        assert decide(kept, tokens) == decide(everything, tokens)
+    assert decide(kept, ["t1", "u1", "v1"]) == "block" and decide(kept, ["t1", "u0", "v1"]) == "allow"

@@ -13,7 +13,7 @@ from p left join o on p.html = o.html
 """
 
 URL_RULES = r"""
-with u as (
+with recursive u as (
   select page_id, coalesce(url, '') as url, instr(coalesce(url, ''), '://') as pos from pages
 ), s as (
   select page_id, url, pos, case when pos > 0 then substr(url, pos + 3) else '' end as rest from u
@@ -41,10 +41,12 @@ with u as (
     row_number() over () as k from r
 ), l as (select k, said, tokens from v where said is not null
 ), n as (select count(*) as n, ceil(0.005 * count(*)) as least from l
-), t as (select k, said, unnest(tokens) as t from l
+), e as (select k, said, unnest(tokens) as t from l
+), t as (
+  select k, said, t from e where t in (select t from e, n group by t, said, least having count(*) >= least)
 ), c as (
-  select k, said, [t] as tokens from t
-  union all select a.k, a.said, [a.t, b.t] from t a join t b on a.k = b.k and a.t < b.t
+  select k, said, [t] as tokens, t as last from t
+  union all select c.k, c.said, c.tokens || [t.t], t.t from c join t on c.k = t.k and t.t > c.last
 ), f as (
   select tokens, said, count(*) as together, sum(count(*)) over (partition by tokens) as one from c group by tokens, said
 ), m as (

@@ -21,9 +21,6 @@ from tidewell.session import materialize
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SUPPORT = 0.005
 CONFIDENCE = 0.9
-#: Tokens of a mined rule at most. With :data:`SUPPORT` this bounds the rules: a URL of t tokens holds
-#: t * (t + 1) / 2 combinations, so at most that many by 1 / SUPPORT can be frequent.
-LONGEST = 2
 LABEL = "verdict="
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,24 +61,38 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     ))).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, longest: int = LONGEST) -> DataFrame:
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """Association rules ``tokens, verdict, confidence, support`` from ``(tokens, verdict)`` rows.
 
-    A rule's support counts rows with all its tokens and the verdict, as a share of all rows.Tokens rarer
-    than the support are left out before mining, as FP-growth would drop them itself.
+    A rule's support counts rows with all its tokens and the verdict, as a share of all rows. Rules may have any number
+    of tokens; :func:`prune` drops those that never decide.
     """
     baskets = labelled.filter(F.size("tokens") > 0).select(
         F.concat("tokens", F.array(F.concat(F.lit(LABEL), "verdict"))).alias("items"))
     found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets).associationRules
     named = F.get("consequent", 0)
     return found.filter(
-        named.startswith(LABEL) & (F.size("antecedent") <= longest)
-        & ~F.exists("antecedent", lambda t: t.startswith(LABEL))
+        named.startswith(LABEL) & ~F.exists("antecedent", lambda t: t.startswith(LABEL))
     ).select(
         F.array_sort("antecedent").alias("tokens"), F.substring(named, len(LABEL) + 1, 100).alias("verdict"),
         "confidence", "support")
 
 
+def prune(rules: DataFrame) -> DataFrame:
+    """``rules`` less those that never decide: one token fewer gives the same verdict with at least the confidence.
+
+    The shorter rule fits wherever the longer does, with no less support, so it (or one that replaces it in turn)
+    comes first or says the same.
+    """
+    name = lambda tokens: F.concat_ws("\x1f", tokens)
+    shorter = rules.select(name("tokens").alias("short"), "verdict", F.col("confidence").alias("surer"))
+    keyed = rules.withColumn("rule", name("tokens"))
+    implied = keyed.filter(F.size("tokens") > 1).select(
+        "rule", "verdict", "confidence", F.explode(F.transform("tokens", lambda t: name(F.array_remove("tokens", t)))).alias("short"),
+    ).join(shorter, ["short", "verdict"]).filter("surer >= confidence").select("rule", "verdict").distinct()
+    return keyed.join(implied, ["rule", "verdict"], "left_anti").drop("rule")
+
+
 def index_rules(rules: DataFrame, labelled: DataFrame) -> DataFrame:
     """Rules with the token they are filed under: the one that fewest labelled rows have."""
     ranked = rules.withColumn("rule_id", F.concat_ws("\x1f", "tokens")).select(
@@ -118,9 +129,9 @@ def judge(
         mined = spark.createDataFrame(
             [], "rule_id string, verdict string, token string, rule_tokens array<string>, confidence double, support double")
     else:
-        mined = materialize(index_rules(mine(labelled, support, confidence), labelled), "rules")
-    # Rules are bounded by LONGEST and the support, whatever the number of pages.
-    filed = F.broadcast(mined.withColumnRenamed("verdict", "said"))
+        mined = materialize(index_rules(prune(materialize(mine(labelled, support, confidence), "mined")), labelled), "rules")
+    # No hint: Spark broadcasts the rules by their measured bytes, or splits the partitions of frequent tokens.
+    filed = mined.withColumnRenamed("verdict", "said")
     rest = read.filter("verdict is null").withColumn("row_key", F.monotonically_increasing_id())
     hits = rest.select("*", F.explode_outer("tokens").alias("token")).join(filed, "token", "left")
     fits = F.col("said").isNotNull() & F.forall("rule_tokens", lambda t: F.array_contains("tokens", t))
