@@ -3,7 +3,7 @@ from conftest import SF, item, sentences
 import pytest
 from pyspark.sql import functions as F
 
-from tidewell.operators import index, search
+from tidewell.operators import index, search, segments
 from tidewell.plans import fixtures as fx
 
 
@@ -110,3 +110,49 @@ def test_a_stored_index_is_read_back(spark, corpus, tmp_path):
     assert {(r.term, r.doc_id, r.tf, r.doc_len) for r in stored.frequencies().collect()} == want
     assert {(r.term, r.doc_id, r.tf, r.doc_len) for r in stored.terms_of(df.filter("doc_id = 'a'")).collect()} == {w for w in want if w[1] == "a"}
     assert {(r.doc_id, r.doc_len) for r in stored.lengths.collect()} == {(r.doc_id, r.doc_len) for r in index.doc_lengths(df).collect()}
+
+
+def test_segments_hold_the_newest_delivery(spark, corpus, tmp_path):
+    path, out = str(tmp_path / "s"), str(tmp_path / "one")
+    record = lambda stream, text: item("d", stream=stream, text=text, taggers={"serif": sentences(text)})
+    first, second = corpus(record("1", "red"), record("2", "red car")), corpus(record("1", "blue car"), record("3", "car"))
+    segments.add_segment(first, path, 0)
+    segments.add_segment(second, path, 1)
+    segments.add_segment(second.limit(0), path, 2)
+    with pytest.raises(Exception, match="(?i)exist"):
+        segments.add_segment(first, path, 1)
+    whole = corpus(record("1", "blue car"), record("2", "red car"), record("3", "car"))
+    want = {(r.term, r.stream_id, r.tf, tuple(r.positions)) for r in index.inverted_index(whole, fields=()).collect()}
+    assert {(r.term, r.stream_id, r.tf, tuple(r.positions)) for r in segments.read_postings(spark, path).collect()} == want
+    assert {(r.stream_id, r.segment) for r in segments.read_documents(spark, path).collect()} == {("1", 1), ("2", 0), ("3", 1)}
+    # A segment that broke off before its documents were written does not count.
+    spark.createDataFrame([("x", "9", "d", 1, [0])], "term string, stream_id string, doc_id string, tf int, positions array<int>").write.parquet(
+        f"{path}/postings/segment=7/letter=x")
+    segments.compact(spark, path, out)
+    lexicon = {r.term: (r.term_id, r.df, r.cf) for r in spark.read.parquet(f"{out}/lexicon").collect()}
+    assert lexicon == {"blue": (0, 1, 2), "car": (1, 3, 6), "red": (2, 1, 2)}
+    assert {(r.stream_id, r.doc_no) for r in spark.read.parquet(f"{out}/documents").collect()} == {("1", 0), ("2", 1), ("3", 2)}
+    got = {(r.term_id, r.doc_no, r.tf) for r in spark.read.parquet(f"{out}/postings").collect()}
+    assert got == {(0, 0, 2), (1, 0, 2), (1, 1, 2), (1, 2, 2), (2, 1, 2)}
+
+
+def test_pipeline_merges_forms(spark, corpus):
+    df = corpus(item("a", taggers={"serif": sentences("Cats cat the running")}), item("b", taggers={"serif": sentences("The runs")}))
+    postings = index.inverted_index(df, fields=())
+    stop = spark.createDataFrame([("the",)], "term string")
+    merged = index.conflated(postings, index.term_pipeline(postings.select("term"), stop))
+    got = {(r.term, r.doc_id): (r.tf, r.positions) for r in merged.collect()}
+    assert got == {("cat", "a"): (4, [0, 0, 1, 1]), ("run", "a"): (2, [3, 3]), ("run", "b"): (2, [1, 1])}
+    assert {(r.doc_id, r.doc_len) for r in index.conflated_lengths(index.doc_lengths(df), merged).collect()} == {("a", 6), ("b", 2)}
+    classes = {r.stem: (r.forms, r.df, r.cf) for r in index.vocab_conflate(index.term_frequencies(df)).collect()}
+    assert classes["run"] == (2, 2, 4) and classes["cat"] == (3, 1, 4) and classes["the"] == (2, 2, 4)
+
+
+def test_topic_file(spark, tmp_path):
+    (tmp_path / "topics").write_text(
+        "<top>\n<num> Number: 1\n<title> Topic: Red  CAR,\n parks\n<desc> Description:\nnot this\n<narr> nor this\n</top>\n"
+        "<top><num>2</num><title>one</title></top>\n")
+    topics = search.read_topics(spark, str(tmp_path / "topics"))
+    assert {(r.number, r.title) for r in topics.collect()} == {("1", "Red CAR, parks"), ("2", "one")}
+    terms = search.topic_terms(topics, spark.createDataFrame([("parks",)], "term string"))
+    assert {(r.number, r.place, r.term) for r in terms.collect()} == {("1", 0, "red"), ("1", 1, "car"), ("2", 0, "one")}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import urls
 from tidewell.functions.arrays import drop_null, let, unnest
+from tidewell.functions.text import shard_of
 from tidewell.model import VOTE_EPSILON, VOTE_WINDOW
 from tidewell.operators.joins import lookup_join
 from tidewell.session import materialize
@@ -264,6 +265,22 @@ def link_features(docs: DataFrame, spots: DataFrame, matrix: DataFrame, keys: li
         .alias("context_relatedness"), "context_weight")
 
 
+#: Parts that the pages are dealt to for training and testing.
+FOLDS = 5
+
+
+def training_rows(features: DataFrame, anchors: DataFrame, page: str, folds: int = FOLDS) -> DataFrame:
+    """``features`` of the mentions whose spot is a link on their own page, with ``label`` and ``fold``.
+
+    A candidate that the page links the spot to is an example for (1), the spot's other candidates are examples against
+    (0). ``fold`` is the same for all rows of a page, so what is learned on some pages can be tested on others.
+    """
+    linked = anchors.groupBy(F.col("page").alias(page), "spot").agg(F.collect_set("target").alias("_targets"))
+    known = features.join(linked, [page, "spot"])
+    return known.withColumn("label", F.array_contains("_targets", F.col("entity")).cast("int")).withColumn(
+        "fold", shard_of(F.col(page), folds)).drop("_targets")
+
+
 def fit_scorer(features: DataFrame, label: str = "label"):
     """Logistic regression over the features."""
     from pyspark.ml import Pipeline

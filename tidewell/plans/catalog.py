@@ -8,8 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.functions.text import shard_of
 from tidewell.model import FIELDS
-from tidewell.operators import annotations, blocks, corpus, entities, hooks, index, linking, search, spans, spotting
+from tidewell.operators import annotations, blocks, corpus, entities, hooks, index, linking, search, segments, spans, spotting
 from tidewell.plans import fixtures as fx
 from tidewell.session import materialize, prepare, scratch_path
 from tidewell.sources import chunks, manifest, scan, sinks, tsv
@@ -231,8 +232,7 @@ def doc_entity_norm(spark, sf_dir):
 @query
 def entity_kb_join(spark, sf_dir):
     norms = entities.doc_entity_norm(_retagged(spark, sf_dir))
-    kb = fx.kb_names(entities.entity_norm_distinct(_retagged(spark, sf_dir)))
-    return entities.entity_kb_join(norms, kb)
+    return entities.entity_kb_join(norms, fx.kb_names(_anchors(spark, sf_dir)))
 
 
 @query
@@ -344,6 +344,20 @@ def vocab_conflate(spark, sf_dir):
     return index.vocab_conflate(_frequencies(spark, sf_dir))
 
 
+@query
+def index_segments(spark, sf_dir):
+    """Four deliveries, the last with records of the first, which came cut off; made one index again."""
+    path, out = scratch_path(spark, "segments"), scratch_path(spark, "compacted")
+    flat = fx.timed_documents(spark, sf_dir).withColumn("shard", shard_of(F.col("stream_id"), SHARDS))
+    early = flat.filter("shard = 0").withColumn("text", F.substring("text", 1, 40))
+    for segment, part in enumerate((early, flat.filter("shard = 1"), flat.filter("shard > 1"), flat.filter("shard = 0"))):
+        segments.add_segment(fx.stream_items(part), path, segment)
+    segments.compact(spark, path, out)
+    return spark.read.parquet(f"{out}/postings").select(
+        "term", F.col("term_id").cast("long").alias("term_id"), F.col("doc_no").cast("long").alias("doc_no"), "doc_id", "tf",
+        F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"))
+
+
 @query
 def direct_index(spark, sf_dir):
     pairs = F.transform("terms", lambda t: F.concat_ws(":", t["term"], t["n"].cast("string")))
@@ -457,7 +471,7 @@ def ranked_qe(spark, sf_dir):
     scored = search.scores(search.matching(frequencies, terms), weights, lengths)
     feedback = materialize(search.feedback_docs(search.ranked(scored)))
     pool = materialize(stored.terms_of(feedback))
-    wider = materialize(search.expanded_weights(feedback, pool, weights, frequencies, lengths))
+    wider = materialize(search.expanded_weights(feedback, pool, weights, stored.lexicon, lengths))
     return search.ranked(search.scores(search.matching(frequencies, wider), wider, lengths)).select(RESULT)
 
 
@@ -662,6 +676,15 @@ def link_choice(spark, sf_dir):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+@query
+def link_training(spark, sf_dir):
+    """Examples for the learned scorer from the pages' own links."""
+    found = spotting.without_overlaps(spotting.doc_mentions(fx.page_texts(spark, sf_dir), _dictionary(spark, sf_dir), KEY))
+    features = linking.link_features(found, _dictionary(spark, sf_dir), _votes(spark, sf_dir), KEY)
+    rows = linking.training_rows(features, _anchors(spark, sf_dir), "doc_id")
+    return rows.select("doc_id", "start", "end", "spot", "entity", *[F.round(c, 6).alias(c) for c in linking.FEATURES], "label", "fold")
+
+
 @query
 def article_link(spark, sf_dir):
     articles = blocks.article_or_visible(fx.page_items(spark, sf_dir))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.arrays import unnest
-from tidewell.functions.text import host_of, words
+from tidewell.functions.text import host_of, norm_form, words
 from tidewell.model import TAGGERS
 from tidewell.operators.blocks import plain_text
 from tidewell.session import scratch_path
@@ -157,11 +157,10 @@ def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_links(spark, sf_dir).select("page", F.col("href").alias("target"), spot.alias("spot")).filter(F.col("spot") != "")
 
 
-def kb_names(norms: DataFrame) -> DataFrame:
-    """Knowledge-base names ``(kb_id, norm, score)``: normal forms whose md5 starts with 0-7."""
-    return norms.select("norm").distinct().filter(F.substring(F.md5("norm"), 1, 1) < "8").select(
-        F.concat(F.lit("kb:"), F.substring(F.md5("norm"), 1, 8)).alias("kb_id"), "norm",
-        F.length("norm").alias("score"))
+def kb_names(anchors: DataFrame) -> DataFrame:
+    """Knowledge-base names ``(kb_id, norm, score)``: normal forms of the link texts in the pages, scored by their links."""
+    named = anchors.groupBy(norm_form(F.col("spot")).alias("norm")).agg(F.count(F.lit(1)).cast("int").alias("score"))
+    return named.filter(F.col("norm") != "").select(F.concat(F.lit("kb:"), F.substring(F.md5("norm"), 1, 8)).alias("kb_id"), "norm", "score")
 
 
 def lemma_table(entities: DataFrame) -> DataFrame:
@@ -186,9 +185,11 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_items(spark, sf_dir).select("stream_id", "doc_id", F.col("body.clean_visible").alias("text"))
 
 
-def entity_labels(stats: DataFrame) -> DataFrame:
-    """``(entity, label)`` of every link target."""
-    return stats.select(F.col("target").alias("entity")).distinct().withColumn("label", F.concat(F.lit("Page "), "entity"))
+def entity_labels(anchors: DataFrame) -> DataFrame:
+    """``(entity, label)``: the text most links to a target have (of equals, the first); targets of one link have none."""
+    texts = anchors.groupBy("target", "spot").agg(F.count(F.lit(1)).alias("n"))
+    return texts.groupBy(F.col("target").alias("entity")).agg(
+        F.min_by("spot", F.struct(-F.col("n"), "spot")).alias("label"), F.sum("n").alias("_links")).filter(F.col("_links") > 1).drop("_links")
 
 
 EVENTS = "event_id long, ts timestamp_ntz"

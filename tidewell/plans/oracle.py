@@ -245,14 +245,6 @@ oracle("entity_total", "SELECT entity, CAST(sum(cnt) AS BIGINT) AS total FROM co
 oracle("entity_norm", f"SELECT doc_id, mention, {_norm('mention')} AS norm FROM mention_rows WHERE {_norm('mention')} <> ''")
 oracle("entity_norm_distinct", f"SELECT entity, min({_norm('entity')}) AS norm FROM count_rows WHERE {_norm('entity')} <> '' GROUP BY entity")
 oracle("doc_entity_norm", f"SELECT doc_id, entity, {_norm('entity')} AS norm, cnt FROM count_rows WHERE {_norm('entity')} <> ''")
-oracle("entity_kb_join", f"""
-SELECT k.norm, k.kb_id, k.score, d.doc_id, d.cnt
-FROM (SELECT doc_id, {_norm('entity')} AS norm, cnt FROM retag_names) d
-JOIN (SELECT DISTINCT 'kb:' || substr(md5({_norm('entity')}), 1, 8) AS kb_id, {_norm('entity')} AS norm,
-             CAST(length({_norm('entity')}) AS INTEGER) AS score
-      FROM retag_names WHERE substr(md5({_norm('entity')}), 1, 1) < '8') k ON k.norm = d.norm
-WHERE d.norm <> ''
-""")
 oracle("lemma_lookup", """
 SELECT w.entity, string_agg(CASE WHEN s.form IS NOT NULL THEN left(w.form, length(w.form) - 1) ELSE w.form END,
                             ' ' ORDER BY w.place) AS lemmatised
@@ -393,6 +385,12 @@ def _stem_parts(name: str, source: str) -> None:
 
 part("low_rows", "SELECT lower(term) AS w FROM vocab_rows")
 _stem_parts("vocab", "low_rows")
+oracle("index_segments", """
+SELECT t.term, v.term_id, c.doc_no, t.doc_id, CAST(count(*) AS INTEGER) AS tf, string_agg(CAST(t.pos AS VARCHAR), ',' ORDER BY t.pos) AS positions
+FROM term_rows t JOIN (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id FROM vocab_rows) v ON v.term = t.term
+JOIN (SELECT doc_id, row_number() OVER (ORDER BY stream_id) - 1 AS doc_no FROM corpus_rows) c ON c.doc_id = t.doc_id
+GROUP BY ALL
+""")
 oracle("vocab_conflate", """
 SELECT s.stem, count(DISTINCT f.term) AS forms, count(DISTINCT f.doc_id) AS df, CAST(sum(f.tf) AS BIGINT) AS cf
 FROM freq_rows f JOIN vocab_stems s ON s.w = lower(f.term) GROUP BY s.stem
@@ -513,6 +511,13 @@ SELECT page, target, spot FROM (
   FROM pages) WHERE spot <> ''
 """)
 
+oracle("entity_kb_join", f"""
+SELECT k.norm, 'kb:' || substr(md5(k.norm), 1, 8) AS kb_id, k.score, d.doc_id, d.cnt
+FROM (SELECT doc_id, {_norm('entity')} AS norm, cnt FROM retag_names) d
+JOIN (SELECT {_norm('spot')} AS norm, CAST(count(*) AS INTEGER) AS score FROM link_rows GROUP BY 1) k ON k.norm = d.norm
+WHERE d.norm <> ''
+""")
+
 MAX_WORDS = 8
 
 
@@ -584,6 +589,7 @@ WHERE place <= 50 AND score >= 0.1
 
 _link_parts("doc")
 _link_parts("article")
+_link_parts("visible")
 
 oracle("spot_stats", """
 SELECT spot, target, links, CAST(spot_links AS BIGINT) AS spot_links, link_docs, doc_freq, round(lp, 6) AS link_probability FROM stat_rows
@@ -683,52 +689,63 @@ FROM doc_rows d LEFT JOIN (
         FROM doc_best b JOIN doc_rows d ON d.doc_id = b.doc_id) GROUP BY doc_id) r ON r.doc_id = d.doc_id
 """)
 oracle("entity_label", """
-SELECT doc_id, CAST(c_start AS INTEGER) AS start, entity, 'Page ' || entity AS label FROM doc_best
+SELECT b.doc_id, CAST(b.c_start AS INTEGER) AS start, b.entity, l.label
+FROM doc_best b LEFT JOIN (
+  SELECT target, spot AS label FROM (
+    SELECT target, spot, sum(count(*)) OVER (PARTITION BY target) AS links,
+           row_number() OVER (PARTITION BY target ORDER BY count(*) DESC, spot) AS place FROM link_rows GROUP BY target, spot)
+  WHERE place = 1 AND links > 1) l ON l.target = b.entity
 """)
 
-part("near_rows", """
-SELECT a.doc_id, a.ord, a.spot, b.spot AS other, b.lp AS other_lp FROM doc_clean a JOIN doc_clean b
+part("edge_rows", "SELECT DISTINCT page, target FROM link_rows")
+part("in_rows", "SELECT target, count(*) AS n FROM edge_rows GROUP BY target")
+def _vote_parts(name: str, clean: str) -> None:
+    """What the candidates of a text's mentions receive from the mentions around them."""
+    part(f"{name}near_rows", f"""
+SELECT a.doc_id, a.ord, a.spot, b.spot AS other, b.lp AS other_lp FROM {clean}_clean a JOIN {clean}_clean b
   ON b.doc_id = a.doc_id AND b.ord BETWEEN a.ord - 30 AND a.ord + 30 AND b.ord <> a.ord
 """)
-part("near_choices", """
+    part(f"{name}near_choices", f"""
 SELECT p.spot, p.other, x.entity, y.entity AS other_entity, y.commonness, s.n_cand
-FROM (SELECT DISTINCT spot, other FROM near_rows) p JOIN choice_rows x ON x.spot = p.spot
+FROM (SELECT DISTINCT spot, other FROM {name}near_rows) p JOIN choice_rows x ON x.spot = p.spot
 JOIN choice_rows y ON y.spot = p.other JOIN spot_rows s ON s.spot = p.other
 """)
-part("edge_rows", "SELECT DISTINCT page, target FROM link_rows")
-part("in_rows", "SELECT target, count(*) AS n FROM edge_rows GROUP BY target")
-part("related_rows", """
+    part(f"{name}related_rows", f"""
 SELECT q.a, q.b, coalesce(s.c, 0) AS shared,
        CASE WHEN s.c IS NULL THEN 0.0 WHEN least(x.n, y.n) = w.n THEN 1.0
             ELSE greatest(0.0, 1 - (ln(greatest(x.n, y.n)) - ln(s.c)) / (ln(w.n) - ln(least(x.n, y.n)))) END AS rel
 FROM (SELECT DISTINCT least(entity, other_entity) AS a, greatest(entity, other_entity) AS b
-      FROM near_choices WHERE entity <> other_entity) q
+      FROM {name}near_choices WHERE entity <> other_entity) q
 JOIN in_rows x ON x.target = q.a JOIN in_rows y ON y.target = q.b
 LEFT JOIN (SELECT e.target AS a, f.target AS b, count(*) AS c FROM edge_rows e JOIN edge_rows f ON f.page = e.page AND e.target < f.target
            GROUP BY 1, 2) s ON s.a = q.a AND s.b = q.b
 CROSS JOIN (SELECT count(*) AS n FROM pages) w
 """)
-oracle("relatedness", "SELECT a, b, CAST(shared AS BIGINT) AS shared, round(rel, 6) AS relatedness FROM related_rows WHERE shared > 0")
-
-part("given_rows", """
+    part(f"{name}given_rows", f"""
 SELECT n.spot, n.other, n.entity, sum(v.rel * n.commonness) / max(n.n_cand) AS vote,
        max(v.rel) AS rel, max(n.n_cand) = 1 AS certain
-FROM near_choices n JOIN (SELECT a, b, rel FROM related_rows UNION ALL SELECT b, a, rel FROM related_rows
+FROM {name}near_choices n JOIN (SELECT a, b, rel FROM {name}related_rows UNION ALL SELECT b, a, rel FROM {name}related_rows
                           UNION ALL SELECT DISTINCT entity, entity, 1.0 FROM choice_rows) v
   ON v.a = n.entity AND v.b = n.other_entity GROUP BY n.spot, n.other, n.entity
 """)
-part("received_rows", """
+    part(f"{name}received_rows", f"""
 SELECT m.doc_id, m.ord, m.c_start, m.c_end, m.spot, m.lp, c.entity, c.commonness,
        coalesce(r.votes, 0) AS votes, coalesce(r.related, 0) AS related,
        coalesce(k.n_context, 0) AS n_context, coalesce(k.weight, 0) AS weight
-FROM doc_clean m JOIN choice_rows c ON c.spot = m.spot
+FROM {clean}_clean m JOIN choice_rows c ON c.spot = m.spot
 LEFT JOIN (SELECT n.doc_id, n.ord, g.entity, sum(g.vote) AS votes,
                   sum(CASE WHEN g.certain THEN g.rel * n.other_lp ELSE 0 END) AS related
-           FROM near_rows n JOIN given_rows g ON g.spot = n.spot AND g.other = n.other GROUP BY n.doc_id, n.ord, g.entity) r
+           FROM {name}near_rows n JOIN {name}given_rows g ON g.spot = n.spot AND g.other = n.other GROUP BY n.doc_id, n.ord, g.entity) r
   ON r.doc_id = m.doc_id AND r.ord = m.ord AND r.entity = c.entity
 LEFT JOIN (SELECT n.doc_id, n.ord, count(*) AS n_context, sum(CASE WHEN s.n_cand = 1 THEN n.other_lp ELSE 0 END) AS weight
-           FROM near_rows n JOIN spot_rows s ON s.spot = n.other GROUP BY n.doc_id, n.ord) k ON k.doc_id = m.doc_id AND k.ord = m.ord
+           FROM {name}near_rows n JOIN spot_rows s ON s.spot = n.other GROUP BY n.doc_id, n.ord) k ON k.doc_id = m.doc_id AND k.ord = m.ord
 """)
+
+
+_vote_parts("", "doc")
+_vote_parts("page_", "visible")
+oracle("relatedness", "SELECT a, b, CAST(shared AS BIGINT) AS shared, round(rel, 6) AS relatedness FROM related_rows WHERE shared > 0")
+
 part("vote_choice", """
 SELECT doc_id, c_start, c_end, spot, entity,
        round((lp + CASE WHEN n_context > 0 THEN votes / n_context ELSE 0 END) / 2, 6) AS score
@@ -760,6 +777,13 @@ SELECT doc_id, {_PLACE}, spot, entity, round(lp, 6) AS link_probability, round(c
        round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 6) AS context_relatedness, round(weight, 6) AS context_weight
 FROM received_rows
 """)
+oracle("link_training", f"""
+SELECT r.doc_id, {_PLACE}, r.spot, r.entity, round(lp, 6) AS link_probability, round(commonness, 6) AS commonness,
+       round(CASE WHEN weight > 0 THEN related / weight ELSE 0 END, 6) AS context_relatedness, round(weight, 6) AS context_weight,
+       CAST(list_contains(l.targets, r.entity) AS INTEGER) AS label, CAST(('0x' || substr(md5(r.doc_id), 1, 4))::INTEGER % 5 AS INTEGER) AS fold
+FROM page_received_rows r JOIN (SELECT page, spot, list(DISTINCT target) AS targets FROM link_rows GROUP BY page, spot) l
+  ON l.page = r.doc_id AND l.spot = r.spot
+""")
 oracle("link_mlscore", _best("score_choice"))
 oracle("link_choice", " UNION ALL ".join(
     f"SELECT *, '{method}' AS method FROM ({_best(name)})"
