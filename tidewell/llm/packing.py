@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
+from tidewell.llm.batched_bpe import PairTable, encode_parts
 from tidewell.llm.wordbpe import Remembered, parts, vocabulary
 from tidewell.session import materialize
 
@@ -35,26 +36,8 @@ _COLUMNS = ["doc", "start", "length", "ids", "doc_tokens", "sequence_id", "offse
 @functools.lru_cache(maxsize=2)
 def _memory(path: str) -> Remembered:
     words = vocabulary(path)
-    apart = words.special["<|endoftext|>"]
-
-    def encode(unseen: list[str]) -> list[bytes]:
-        """Ids by the library, many parts in one text with a special token between them."""
-        out: dict[str, bytes] = {}
-        plain = [part for part in unseen if "<|" not in part]
-        runs = [plain[i:i + 1000] for i in range(0, len(plain), 1000)]
-        for run, found in zip(runs, words.tokenizer.encode_batch_fast(
-                ["<|endoftext|>".join(run) for run in runs], add_special_tokens=False), strict=True):
-            data = memoryview(b"".join(i.to_bytes(4, "little") for i in found.ids))
-            stops = [4 * i for i, token in enumerate(found.ids) if token == apart]
-            out.update(zip(run, (
-                bytes(data[start:stop]) for start, stop in zip([0, *[s + 4 for s in stops]], [*stops, len(data)], strict=True)), strict=True))
-        for part in unseen:
-            if part not in out:
-                ids = words.tokenizer.encode(part, add_special_tokens=False).ids
-                out[part] = b"".join(i.to_bytes(4, "little") for i in ids)
-        return [out[part] for part in unseen]
-
-    return Remembered(encode)
+    table = PairTable(words.merges)
+    return Remembered(lambda unseen: encode_parts(unseen, words, table))
 
 
 class Windows:
@@ -123,12 +106,10 @@ def _place(docs: DataFrame, path: str, end: int, windows: int, size: int) -> Dat
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memory, open_windows = _memory(path), Windows(_base(0), windows, size)
         for frame in frames:
-            split = [parts(t) if t else [] for t in frame["text"]]
-            known = memory.learn(split)
+            found = memory.results([parts(t) if t else [] for t in frame["text"]])
             rows: list[tuple] = []
-            for doc, words in zip(frame["doc"], split, strict=True):
-                rows += open_windows.add(None if pd.isna(doc) else int(doc), b"".join(map(known.__getitem__, words)) + tail)
-            memory.forget(split)
+            for doc, ids in zip(frame["doc"], found, strict=True):
+                rows += open_windows.add(None if pd.isna(doc) else int(doc), b"".join(ids) + tail)
             yield _frame(rows)
         yield _frame(open_windows.rest())
 

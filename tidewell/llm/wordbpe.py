@@ -8,7 +8,9 @@ ASCII white space, one after the other, and each distinct part needs work only o
 from __future__ import annotations
 
 import functools
+import itertools
 import json
+import operator
 from collections.abc import Callable
 
 import numpy as np
@@ -68,6 +70,8 @@ class Vocabulary:
         return out + self._plain(part[at:])
 
     def _plain(self, part: str) -> list[bytes]:
+        if part.isascii() and part.isalpha():
+            return [part.lower().encode()]
         if _PLAIN.fullmatch(part):
             return [p.encode() for p in _PIECE.findall(part.lower())]
         # Anything else goes through the library's own normaliser and splitter.
@@ -86,12 +90,11 @@ def stem(part: str) -> tuple[str, str]:
     The sign is a piece of its own there, so words need not be worked out again for each sign behind them.
     Only parts of Latin-1 signs, and none that may hold a special token (matched before lower-casing).
     """
-    if part.isascii() or _PLAIN.fullmatch(part):
-        if part[-1] in ",." and part[-2:-1].isalpha() and "<|" not in part:
-            return part[:-1].lower(), part[-1]
-        if "<|" not in part:
-            return part.lower(), ""
-    return part, ""
+    if "<|" in part or not (part.isascii() or _PLAIN.fullmatch(part)):
+        return part, ""
+    if part[-1] in ",." and part[-2:-1].isalpha():
+        return part[:-1].lower(), part[-1]
+    return part.lower(), ""
 
 
 class Remembered:
@@ -116,6 +119,29 @@ class Remembered:
                 known[part] = known[base] + known[end] if end else known[base]
         return known
 
+    def results(self, texts: list[list[str]]) -> list[list]:
+        """Results of the parts of each text, in order; each part is looked up once, and long ones are not kept."""
+        known = self.known
+        if len(known) > MEMORY:
+            known.clear()
+        found = [list(map(known.get, words)) for words in texts]
+        holes = [list(itertools.compress(itertools.count(), map(operator.not_, row))) for row in found]
+        unseen = {words[i] for words, at in zip(texts, holes, strict=True) for i in at}
+        cut = {part: stem(part) for part in unseen if part not in known}
+        missing = [s for s in {s for both in cut.values() for s in both} if s and s not in known]
+        known.update(zip(missing, self.work(missing), strict=True))
+        for part, (base, end) in cut.items():
+            if part != base:
+                known[part] = known[base] + known[end] if end else known[base]
+        for row, words, at in zip(found, texts, holes, strict=True):
+            for i in at:
+                row[i] = known[words[i]]
+        for part, (base, _) in cut.items():
+            if len(part) > LONGEST_KEPT:
+                known.pop(part, None)
+                known.pop(base, None)
+        return found
+
     def forget(self, texts: list[list[str]]) -> None:
         """Drop long parts: they are hardly met again and would fill the memory."""
         for part in {p for text in texts for p in text if len(p) > LONGEST_KEPT}:
