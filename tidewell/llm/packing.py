@@ -135,7 +135,7 @@ def _merge(rest: DataFrame, tasks: int, round_number: int, last: bool, size: int
             yield _frame(out)
         yield _frame([(*row[:-1], last) for row in waiting])
 
-    dealt = rest.withColumn("task", F.pmod(_task(), F.lit(tasks)).cast("int")).repartition(tasks, "task").sortWithinPartitions("sequence_id", "offset")
+    dealt = rest.withColumn("task", F.pmod(_task(), F.lit(tasks)).cast("int")).repartitionById(tasks, "task").sortWithinPartitions("sequence_id", "offset")
     return dealt.drop("task").mapInPandas(run, PIECE)
 
 
