@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import itertools
 
@@ -127,3 +128,31 @@ def test_rules_of_any_length_decide_and_pruning_changes_nothing(spark):
     for tokens in itertools.product(("t0", "t1", "x"), ("u0", "u1", "x"), ("v0", "v1", "x")):
         assert decide(kept, tokens) == decide(everything, tokens)
     assert decide(kept, ["t1", "u1", "v1"]) == "block" and decide(kept, ["t1", "u0", "v1"]) == "allow"
+
+
+def record(page, body):
+    http = b"HTTP/1.1 200 OK\r\n\r\n" + body
+    head = (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <{warc.RECORD_ID}{page}>\r\n"
+            f"WARC-Payload-Digest: sha1:{hashlib.sha1(body).hexdigest()}\r\nContent-Length: {len(http)}\r\n\r\n")
+    return head.encode() + http + b"\r\n\r\n"
+
+
+def test_archives_of_many_members_and_a_large_page(spark, tmp_path):
+    bodies = [b"one", b"x" * (50 << 20), b"\r\n\r\nthree\r\n\r\n", b""]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(record(i, b), 1) for i, b in enumerate(bodies)))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(record(8, b"eight") + record(9, b"nine")))
+    got = {r.page_id: (r.stored_bytes, r.stored_digest) for r in warc.read_archives(spark, str(tmp_path), payload=False).collect()}
+    want = {**dict(enumerate(bodies)), 8: b"eight", 9: b"nine"}
+    assert got == {i: (len(b), hashlib.sha1(b).hexdigest()) for i, b in want.items()}
+    with pytest.raises(ValueError, match="breaks off"):
+        list(warc.records(warc.inflated(gzip.compress(record(1, b"abc"))[:-20])))
+    with pytest.raises(ValueError, match="breaks off"):
+        list(warc.records([record(1, b"abc")[:-6]]))
+
+
+def test_many_large_payloads_are_resolved(spark, tmp_path):
+    rows = [(2 * i + k, f"http://h/{i}", ("%04d" % i) * 6000) for i in range(300) for k in (0, 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in warc.archive(pages, str(tmp_path / "a"), payload=True).collect()}
+    assert len(got) == 600 and all(bytes(got[p].payload).decode() == html for p, _, html in rows)
+    assert all(got[2 * i].refers_to == 2 * i + 1 and got[2 * i + 1].refers_to is None for i in range(300))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +25,8 @@ from tidewell.session import materialize, scratch_path
 LEAST_BYTES = 1000
 #: Bytes an archive is meant to hold, before compression.
 ARCHIVE_BYTES = 32 * 1024 * 1024
+#: Payload bytes that leave a Python worker at a time, besides one record.
+FRAME_BYTES = 16 * 1024 * 1024
 CRLF = "\r\n"
 RECORD_ID = "urn:tidewell:page:"
 READ = (
@@ -80,17 +82,46 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES, date:
         "maxRecordsPerFile", max(1, int(ARCHIVE_BYTES // (size + 500)))).text(path)
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (lower-case names) and block of each record of an archive that is not compressed."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode("utf-8").split(CRLF)
+def inflated(content: bytes, piece: int = 1 << 20) -> Iterator[bytes]:
+    """Contents of a gzip file, all its members one after the other, about ``piece`` bytes at a time."""
+    waiting = memoryview(content)
+    while len(waiting):
+        member = zlib.decompressobj(31)
+        while not member.eof and (len(waiting) or member.unconsumed_tail):
+            # What a step leaves over is fed again; a small step keeps what is copied small.
+            step, waiting = (member.unconsumed_tail, waiting) if member.unconsumed_tail else (waiting[:piece], waiting[piece:])
+            yield member.decompress(step, piece)
+        if not member.eof:
+            raise ValueError("an archive breaks off within a member")
+        waiting = memoryview(content)[len(content) - len(waiting) - len(member.unused_data):]
+
+
+def records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (lower-case names) and block of each record of an archive; holds one record and one piece at a time."""
+    source, held = iter(pieces), bytearray()
+
+    def fill(n: int) -> None:
+        while len(held) < n:
+            held.extend(next(source))
+
+    while True:
+        while (stop := held.find(b"\r\n\r\n")) < 0:
+            more = next(source, None)
+            if more is None:
+                if held.strip():
+                    raise ValueError("an archive breaks off within a record")
+                return
+            held.extend(more)
+        lines = held[:stop].decode("utf-8").split(CRLF)
         header = {key.lower(): value for key, _, value in (line.partition(": ") for line in lines[1:])}
         start = stop + 4
         end = start + int(header["content-length"])
-        yield header, data[start:end]
-        at = end + 4
+        try:
+            fill(end + 4)
+        except StopIteration:
+            raise ValueError("an archive breaks off within a record") from None
+        yield header, bytes(held[start:end])
+        del held[:end + 4]
 
 
 def _page(name: str | None) -> int | None:
@@ -103,22 +134,24 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
     """Records of all archives under ``path``: headers, length and SHA-1 of the stored payload, and the payload.
 
     ``payload_digest`` is the one in the header; ``stored_*`` describe what the record holds itself, nothing for
-    a revisit. The result is stored; without ``payload`` that column is null. No archive gives no rows.
+    a revisit. The result is stored; without ``payload`` that column is null. No archive gives no rows. Archives may have
+    any number of gzip members and are inflated piece by piece; one that breaks off is an error.
     """
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for content in frame["content"]:
-                rows = []
-                for header, block in records(zlib.decompress(content, 31)):
+                rows, held = [], 0
+                for header, block in records(inflated(content)):
                     body = block[block.index(CRLF.encode() * 2) + 4:]
                     rows.append((
                         header["warc-type"], _page(header["warc-record-id"]), header.get("warc-target-uri"),
                         _page(header.get("warc-refers-to")), header["warc-payload-digest"].partition(":")[2], len(body),
                         hashlib.sha1(body).hexdigest(), body if payload else None))
-                    if len(rows) == 1000:
+                    held += len(body) if payload else 0
+                    if len(rows) == 1000 or held > FRAME_BYTES:
                         yield _frame(rows)
-                        rows = []
+                        rows, held = [], 0
                 yield _frame(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
@@ -131,20 +164,26 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
 
 
-def resolve(found: DataFrame) -> DataFrame:
+def resolve(found: DataFrame, payload: bool = True) -> DataFrame:
     """Records with ``payload_bytes``, ``payload_digest`` and ``payload`` of the full payload, as SHA-1 of what is stored.
 
-    A revisit takes them from the response that it refers to, by page and digest.
+    A revisit takes them from the response that it refers to, by page and digest. Only numbers are looked up by broadcast
+    of hot keys; payloads are joined by shuffle, in which a key that many revisits refer to is split.
     """
     key = F.concat_ws(":", "refers_to", "payload_digest")
     revisits = found.filter("record_type = 'revisit'").select("record_type", "page_id", "target_uri", "refers_to", key.alias("key"))
     counts = revisits.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    own = [F.col("stored_bytes").alias("payload_bytes"), F.col("stored_digest").alias("payload_digest"), "payload"]
+    own = [F.col("stored_bytes").alias("payload_bytes"), F.col("stored_digest").alias("payload_digest")]
     responses = found.filter("record_type = 'response'")
-    originals = responses.select(F.concat_ws(":", "page_id", "payload_digest").alias("key"), *own).join(counts, "key")
-    originals = materialize(originals.dropDuplicates(["key"]), "originals")
-    return responses.select("record_type", "page_id", "target_uri", "refers_to", *own).unionByName(
-        lookup_join(revisits, originals, "key", "n").drop("key"))
+    named = responses.select(F.concat_ws(":", "page_id", "payload_digest").alias("key"), *own, "payload").join(counts, "key")
+    originals = materialize(named.dropDuplicates(["key"]), "originals")
+    resolved = lookup_join(revisits, originals.drop("payload"), "key", "n")
+    if payload:
+        resolved = resolved.join(originals.select("key", "payload").hint("merge"), "key")
+    else:
+        resolved = resolved.withColumn("payload", F.lit(None).cast("binary"))
+    columns = ["record_type", "page_id", "target_uri", "refers_to", "payload_bytes", "payload_digest", "payload"]
+    return responses.select("record_type", "page_id", "target_uri", "refers_to", *own, "payload").unionByName(resolved.select(columns))
 
 
 def archive(pages: DataFrame, path: str | None = None, payload: bool = False) -> DataFrame:
@@ -152,4 +191,4 @@ def archive(pages: DataFrame, path: str | None = None, payload: bool = False) ->
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     write_archives(pages, path)
-    return resolve(read_archives(spark, path, payload))
+    return resolve(read_archives(spark, path, payload), payload)
