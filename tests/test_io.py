@@ -9,6 +9,7 @@ from tidewell.model import STREAM_ITEM
 from tidewell.operators import spans
 from tidewell.plans import fixtures as fx
 from tidewell.sources import chunks, manifest, scan, sinks, tsv
+from tidewell.streaming import counts
 
 
 def test_manifest_skips_comments_blanks_and_marks(spark, tmp_path):
@@ -78,7 +79,7 @@ def test_lines_without_a_record_are_reported(spark, tmp_path):
 
 def test_records_without_a_chunk_are_written(spark, tmp_path):
     df = spark.createDataFrame([("x", 1), (None, 2), (None, 3)], "c string, id long")
-    assert chunks.write_chunks(df, str(tmp_path / "c"), "c").agg({"lines": "sum"}).first()[0] == 3
+    chunks.save_chunks(df, str(tmp_path / "c"), "c")
     assert sorted(r.id for r in chunks.read_chunks(spark, str(tmp_path / "c"), "id long").collect()) == [1, 2, 3]
 
 
@@ -95,7 +96,8 @@ def test_a_key_is_whole_in_one_file_and_counts_are_kept(spark, tmp_path):
 
 def test_chunks_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("x", i, "é\n\"" * i) for i in range(50)] + [("y", 99, None)], "c string, id long, t string")
-    assert chunks.write_chunks(df, str(tmp_path / "c"), "c").agg({"lines": "sum"}).first()[0] == 51
+    chunks.save_chunks(df, str(tmp_path / "c"), "c")
+    assert glob.glob(str(tmp_path / "c" / "x-*.json.xz")) and glob.glob(str(tmp_path / "c" / "y-*.json.xz"))
     back = chunks.read_chunks(spark, str(tmp_path / "c"), "id long, t string")
     assert {(r.id, r.t) for r in back.collect()} == {(r.id, r.t) for r in df.collect()}
 
@@ -134,3 +136,25 @@ def test_unknown_codecs_are_errors(spark, tmp_path):
 
 def test_given_tables_pair_up(spark):
     assert fx.items(spark, SF).count() == fx.table(spark, SF, "documents").count()
+
+
+def test_only_committed_chunks_count(spark, tmp_path):
+    path = str(tmp_path / "c")
+    good = spark.createDataFrame([("x", 1), ("y", 2)], "c string, id long")
+    chunks.save_chunks(good, path, "c", compress=False)
+    failing = spark.range(0, 4, 1, 4).selectExpr("'z' c", "if(id = 3, cast(raise_error('no') as long), id) id")
+    with pytest.raises(Exception, match="no"):
+        chunks.save_chunks(failing, path, "c")
+    assert sorted(r.id for r in chunks.read_chunks(spark, path, "id long").collect()) == [1, 2]
+    chunks.save_chunks(good.filter("id = 2"), path, "c", overwrite=True)
+    assert [r.id for r in chunks.read_chunks(spark, path, "id long").collect()] == [2]
+    assert all(os.path.basename(f).startswith("y-") for f in glob.glob(path + "/*.json*"))
+
+
+def test_a_stream_takes_up_new_chunks(spark, tmp_path):
+    path, out = str(tmp_path / "c"), str(tmp_path / "out")
+    for ids in (range(5), range(5, 8), ()):
+        if ids:
+            chunks.save_chunks(spark.createDataFrame([("s", i, "t" * i) for i in ids], "c string, id long, text string"), path, "c")
+        counts.run_chunks(chunks.stream_chunks(spark, path, "id long, text string"), out)
+    assert [tuple(r) for r in counts.chunk_totals(spark, out).collect()] == [("s", 8, 28)]

@@ -64,7 +64,7 @@ def ingest_xz(spark, sf_dir):
     """Write the documents as xz chunks of JSON lines, one per source, and read them back."""
     path = scratch_path(spark, "chunks")
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    chunks.write_chunks(docs, path, "source").agg(F.sum("lines")).first()
+    chunks.save_chunks(docs, path, "source")
     stored = chunks.read_chunks(spark, path, "doc_id long, text string")
     return stored.select(F.substring_index("chunk", "-", 1).alias("source"), "doc_id", F.md5("text").alias("digest"))
 
@@ -719,6 +719,17 @@ def stream_entity_day(spark, sf_dir):
     return counts.entities_per_day(fx.stream_items(fx.timed_stream(spark, sf_dir)), scratch_path(spark, "stream-entities"))
 
 
+@query
+def stream_chunks(spark, sf_dir):
+    """Documents per source of a stream of xz chunks: one more delivery between two runs of the query."""
+    path, out = scratch_path(spark, "chunks"), scratch_path(spark, "stream-chunks")
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    for part in (0, 1):
+        chunks.save_chunks(docs.filter(F.pmod("doc_id", F.lit(2)) == part), path, "source")
+        counts.run_chunks(chunks.stream_chunks(spark, path, "doc_id long, text string"), out)
+    return counts.chunk_totals(spark, out)
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Every chunk is delivered twice."""

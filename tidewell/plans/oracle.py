@@ -800,4 +800,5 @@ oracle("stream_entity_day", """
 SELECT CAST(left(strftime(to_timestamp(c.ticks) AT TIME ZONE 'UTC', '%Y%m%d'), 8) AS INTEGER) AS day, r.entity, CAST(sum(r.cnt) AS BIGINT) AS total
 FROM count_rows r JOIN corpus_rows c ON c.doc_id = r.doc_id GROUP BY 1, 2
 """)
+oracle("stream_chunks", "SELECT source, count(*) AS docs, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents GROUP BY source")
 oracle("stream_dedup", "SELECT stream_id, doc_id FROM corpus_rows")

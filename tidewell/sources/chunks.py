@@ -2,41 +2,28 @@
 
 from __future__ import annotations
 
+import lzma
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH_LINES = 4096
+from tidewell.sources.chunk_source import BATCH_LINES, MOST_TASKS, file_lines, open_folder, register
+
 UNNAMED = "unnamed"
 
 
 def _lines(path: str):
-    """Lines of a chunk; a file named ``.xz`` is decompressed while it is read."""
-    import lzma
-
-    import pyarrow.fs as pafs
-
-    if "://" in path:
-        fs, inner = pafs.FileSystem.from_uri(path)
-    else:
-        fs, inner = pafs.LocalFileSystem(), path.removeprefix("file:")
-    with fs.open_input_stream(inner, compression=None) as raw:
-        source = lzma.open(raw, "rb") if path.endswith(".xz") else raw
-        tail = b""
-        while block := source.read(1 << 20):
-            *whole, tail = (tail + block).split(b"\n")
-            yield from whole
-        if tail:
-            yield tail
+    """Lines of a chunk."""
+    return file_lines(*open_folder(path))
 
 
 def _numbered(spark: SparkSession, path: str, strict: bool) -> DataFrame:
-    """``(chunk, number, line)`` of all lines under ``path``, numbered from 1.
+    """``(chunk, number, line)`` of all lines under ``path``, numbered from 1; not ``strict``, up to where a chunk breaks off."""
+    if strict:
+        return register(spark).read.format("chunks").load(path).filter(F.col("line") != "")
 
-    An xz file cannot be split, so a task reads whole files, as a stream in batches of lines.
-    """
     def read(batches):
         import pandas as pd
 
@@ -47,13 +34,12 @@ def _numbered(spark: SparkSession, path: str, strict: bool) -> DataFrame:
                 name = os.path.basename(file)
                 try:
                     for line in _lines(file):
-                        lines.append(line.decode("utf-8", errors="strict" if strict else "replace"))
+                        lines.append(line.decode("utf-8", errors="replace"))
                         if len(lines) == BATCH_LINES:
                             yield _frame(pd, name, first, lines)
                             first, lines = first + len(lines), []
-                except Exception as error:
-                    if strict:
-                        raise ValueError(f"chunk {name} cannot be read to its end; see broken_chunks") from error
+                except (EOFError, lzma.LZMAError):
+                    pass  # listed by broken_chunks
                 if lines:
                     yield _frame(pd, name, first, lines)
 
@@ -81,6 +67,13 @@ def read_chunks(spark: SparkSession, path: str, schema: T.StructType | str, stri
     return good.select("chunk", "r.*").drop("_bad")
 
 
+def stream_chunks(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """As :func:`read_chunks`, a stream that takes up chunk files as they arrive."""
+    lines = register(spark).readStream.format("chunks").load(path).filter(F.col("line") != "")
+    good = _parsed(lines, schema).filter("r._bad is null")
+    return good.select("chunk", "r.*").drop("_bad")
+
+
 def rejected_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """``(chunk, number, line)`` of the lines that hold no record of the schema."""
     return _parsed(_numbered(spark, path, False), schema).filter("r._bad is not null").select("chunk", "number", "line")
@@ -106,62 +99,21 @@ def broken_chunks(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path).mapInPandas(check, "chunk string, lines long, error string")
 
 
-#: Tasks that chunk files are dealt to, at most.
-MOST_TASKS = 10_000
-
-
 def _files(spark: SparkSession, path: str) -> DataFrame:
     """Paths under ``path``, one task each up to :data:`MOST_TASKS`; the contents are not loaded here."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
     return listing.repartition(max(1, min(len(listing.inputFiles()), MOST_TASKS)))
 
 
-def write_chunks(df: DataFrame, path: str, chunk: str, compress: bool = True) -> DataFrame:
-    """Write records as JSON-lines chunk files and return ``(chunk, part, lines)`` per written file.
+def save_chunks(df: DataFrame, path: str, chunk: str, compress: bool = True, overwrite: bool = False) -> None:
+    """Write records as JSON-lines chunk files, named by their ``chunk``.
 
-    Rows are put in order of ``chunk`` by range, so a large chunk is cut into several files instead
-    of going through one task. A file's name holds its task, so a repeated task overwrites its own. Records
-    without a chunk go to :data:`UNNAMED`.
+    Rows are put in order of ``chunk`` by range, so a large chunk is cut into several files instead of going through one
+    task. Files appear when the whole job has succeeded. Records without a chunk go to :data:`UNNAMED`.
     """
     fields = [c for c in df.columns if c != chunk]
-    lines = df.select(F.coalesce(F.col(chunk), F.lit(UNNAMED)).alias("chunk"), F.to_json(F.struct(*fields)).alias("line"))
-    ending = ".json.xz" if compress else ".json"
-
-    def write(batches):
-        import lzma
-
-        import pandas as pd
-        import pyarrow.fs as pafs
-        from pyspark import TaskContext
-
-        task = TaskContext.get().partitionId()
-        if "://" in path:
-            fs, root = pafs.FileSystem.from_uri(path)
-        else:
-            fs, root = pafs.LocalFileSystem(), path.removeprefix("file:")
-        fs.create_dir(root, recursive=True)
-        current, out, raw, done = None, None, None, []
-
-        def close():
-            if out is not None:
-                out.close()
-                if out is not raw:
-                    raw.close()
-
-        for batch in batches:
-            for name, group in batch.groupby("chunk", sort=False):
-                if name != current:
-                    close()
-                    current = name
-                    raw = fs.open_output_stream(f"{root}/{name}-{task:05d}{ending}")
-                    out = lzma.open(raw, "wb") if compress else raw
-                    done.append([name, task, 0])
-                out.write(("\n".join(group["line"]) + "\n").encode("utf-8"))
-                done[-1][2] += len(group)
-        close()
-        yield pd.DataFrame(done, columns=["chunk", "part", "lines"])
-
-    return (
-        lines.repartitionByRange(F.col("chunk"), F.xxhash64("line")).sortWithinPartitions("chunk")
-        .mapInPandas(write, "chunk string, part int, lines long")
-    )
+    name = F.coalesce(F.col(chunk), F.lit(UNNAMED)).alias("chunk")
+    lines = df.select(name, F.lit(0).cast("long").alias("number"), F.to_json(F.struct(*fields)).alias("line"))
+    register(df.sparkSession)
+    placed = lines.repartitionByRange(F.col("chunk"), F.xxhash64("line")).sortWithinPartitions("chunk")
+    placed.write.format("chunks").option("compress", str(compress).lower()).mode("overwrite" if overwrite else "append").save(path)

@@ -6,7 +6,7 @@ writes to a folder of its own number, so one that is repeated after a failure re
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import day_key
@@ -43,6 +43,25 @@ def docs_per_day(stream: DataFrame, path: str) -> DataFrame:
     return stored.groupBy("day").agg(F.sum("docs").alias("docs"))
 
 
+CHUNK_TOTAL = "source string, docs long, characters long"
+
+
+def run_chunks(stream: DataFrame, path: str) -> None:
+    """Add what has arrived since the last run to the totals of ``(chunk, text)`` records under ``path``."""
+    def write(rows: DataFrame, batch: int) -> None:
+        totals = rows.groupBy(F.substring_index("chunk", "-", 1).alias("source")).agg(
+            F.count(F.lit(1)).alias("docs"), F.sum(F.length("text")).cast("long").alias("characters"))
+        totals.write.mode("overwrite").parquet(f"{path}/table/batch={batch}")
+
+    _run(stream, path, "append", write)
+
+
+def chunk_totals(spark: SparkSession, path: str) -> DataFrame:
+    """``(source, docs, characters)`` of all runs."""
+    stored = spark.read.schema(CHUNK_TOTAL).parquet(f"{path}/table")
+    return stored.groupBy("source").agg(F.sum("docs").alias("docs"), F.sum("characters").alias("characters"))
+
+
 def entities_per_day(items: DataFrame, path: str) -> DataFrame:
     """Entity totals per day of a stream of corpus records; counted as :func:`docs_per_day`."""
     def totals(rows: DataFrame) -> DataFrame:
