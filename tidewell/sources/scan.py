@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,13 +21,3 @@ def read_items(spark: SparkSession, *paths: str, fmt: str = "parquet") -> DataFr
 def with_chunk(df: DataFrame) -> DataFrame:
     """Add ``chunk``, the base name of the file a record was read from."""
     return df.withColumn("chunk", F.col("_metadata.file_name"))
-
-
-def read_tolerant(spark: SparkSession, paths: Iterable[str], schema: str, fmt: str = "parquet") -> DataFrame:
-    """Read the listed files, going on when one is missing or cannot be read."""
-    return (
-        spark.read.schema(schema).format(fmt)
-        .option("ignoreMissingFiles", "true")
-        .option("ignoreCorruptFiles", "true")
-        .load(list(paths))
-    )
