@@ -15,7 +15,11 @@ from tidewell.session import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose pairwise quality score reaches the limit."""
+    """Documents whose pairwise quality score reaches the limit.
+
+    A null or empty text is scored as one without words; rows that repeat get equal scores and stay or go together; where
+    no labels of both kinds are known every document stays. All columns are kept, whatever their names.
+    """
     model = pairwise_quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
     scored = pairwise_quality.with_score(scored, model)
@@ -23,7 +27,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents within the limits and not an outlier of their language and source."""
+    """Documents within the limits and not an outlier of their language and source.
+
+    A null or empty text has no words and goes; a null language or source is a value of its own; rows that repeat stay or
+    go together. All columns are kept, whatever their names.
+    """
     return quality_rules.rate(docs).filter("kept").select("row.*")
 
 
@@ -53,7 +61,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences, as query ``op4_online_packing`` gives them."""
+    """Pieces of sequences, as query ``op4_online_packing`` gives them.
+
+    A null or empty text is its end id alone, rows that repeat are packed as often as they come, a null id stays null;
+    other columns are not read. No documents give no pieces.
+    """
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
