@@ -156,3 +156,29 @@ def test_topic_file(spark, tmp_path):
     assert {(r.number, r.title) for r in topics.collect()} == {("1", "Red CAR, parks"), ("2", "one")}
     terms = search.topic_terms(topics, spark.createDataFrame([("parks",)], "term string"))
     assert {(r.number, r.place, r.term) for r in terms.collect()} == {("1", 0, "red"), ("1", 1, "car"), ("2", 0, "one")}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_are_found_once_for_all_passes(spark):
+    for rows in (index.term_stream(fx.items(spark, SF)), index.inverted_index(fx.items(spark, SF)), index.term_frequencies(fx.items(spark, SF))):
+        plan = _plan(rows)
+        # Once in the title, once in the body; the terms are not sorted or grouped by expressions.
+        assert plan.count("[^\\pL]+") == 2
+        assert "sort_array" not in plan
+
+
+def test_terms_without_lemma_title_or_tokens(corpus):
+    tagged = sentences("Ab/PER i x")
+    tagged[0]["tokens"][2]["lemma"] = None
+    df = corpus(
+        item("a", taggers={"serif": tagged}), item("b", taggers={"lingpipecounter": sentences("q")}), item("c", taggers={}),
+        item("d", taggers=None), item("e", text="", taggers={"serif": sentences("no")}))
+    found = {(r.doc_id, r.term): (r.tf, r.tf_lemma, r.tf_body, r.tf_serif_per, r.positions) for r in index.inverted_index(df).collect()}
+    assert found == {
+        ("a", "Ab"): (1, 0, 1, 1, [0]), ("a", "ab"): (1, 1, 0, 0, [0]), ("a", "i"): (2, 1, 1, 0, [1, 1]),
+        ("a", "x"): (1, 0, 1, 0, [2]), ("b", "q"): (1, 0, 1, 0, [0])}
+    lengths = {r.doc_id: r.doc_len for r in index.doc_lengths(df).collect()}
+    assert lengths == {"a": 5, "b": 1, "c": 0, "d": 0}
