@@ -106,3 +106,13 @@ def test_runs_of_two_unknown_taggers_stay_apart(corpus):
 def test_sentences_without_tokens(corpus):
     df = corpus(item(taggers={"serif": [{"tokens": None}, {"tokens": []}, *sentences("Ann/PER x")]}))
     assert counts(df) == {("d", "Ann "): 1}
+
+
+def test_mentions_are_found_in_one_pass_over_the_tokens(corpus):
+    tagged = sentences("Ann/PER Lee/PER went/TIME", "x/MISC")
+    tagged[0]["tokens"][1]["token"] = None
+    df = corpus(item("a", taggers={"serif": tagged}), item("b", taggers={"serif": sentences("")}))
+    rows = spans.with_mentions(df, "doc_id")
+    assert "filter(sequence" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.doc_id: [(m.place, m.stop, m.is_end, m.mention) for m in r.mentions] for r in rows.collect()}
+    assert found == {"a": [(0, 2, False, "Ann "), (2, 3, True, "went "), (3, 4, True, "x ")], "b": []}

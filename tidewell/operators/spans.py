@@ -6,12 +6,17 @@ found, grouped and counted in its own row, and only mentions leave it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, fields
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.arrays import drop_null, group_sizes, group_sorted, indexes, part_of, unnest
+from tidewell.functions.arrays import drop_null, group_sizes, indexes, part_of, unnest
+from tidewell.functions.flat import field, group_sums, in_parts, laid, offsets, places, ranks, record_batches, starts_of
 from tidewell.model import MAX_MENTION, MENTION_TYPES, RETAGGED_CODES, RETAGGED_LENGTH, TAGGERS, TYPE_CODES
 
 
@@ -59,30 +64,88 @@ def tagger_order(tagger: Column) -> Column:
     return rank
 
 
-def flat_tokens(items: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` and the record's tokens as flat arrays, in the order tagger, sentence, token.
-
-    ``_tokens`` and ``_types`` hold a value for each token, ``_ranks`` and ``_sents`` its tagger's place
-    among the record's taggers, from 1, and its sentence's number. All are null for records without a
-    body or without sentences.
-    """
+def _taggers(items: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ``_taggers``, the record's taggers in order with their sentences; null without a body or sentences."""
     by_tagger = F.array_sort(F.transform(
-        F.map_entries("body.sentences"),
+        F.map_entries("_sentences"),
         lambda e: F.struct(tagger_order(e["key"]), e["key"].alias("tagger"), e["value"].alias("sentences"))))
-    taggers = items.select(*keep, F.when(F.size("body.sentences") > 0, by_tagger).alias("_taggers"))
+    read = items.select(*keep, F.col("body.sentences").alias("_sentences"))
+    return record_batches(read).select(*keep, F.when(F.size("_sentences") > 0, by_tagger).alias("_taggers"))
+
+
+@dataclass(frozen=True)
+class _Runs:
+    """Emitted runs of many records, a record's in reading order: an element per run."""
+
+    record: np.ndarray
+    tagger_rank: np.ndarray
+    sent_no: np.ndarray
+    place: np.ndarray
+    stop: np.ndarray
+    is_end: np.ndarray
+    entity_type: pa.Array
+    mention: pa.Array
+
+    def take(self, chosen: np.ndarray) -> _Runs:
+        at = pa.array(chosen)
+        return _Runs(*(x[chosen] if isinstance(x, np.ndarray) else x.take(at) for x in (getattr(self, f.name) for f in fields(self))))
+
+
+def _mention_texts(tokens: pa.Array, starts: np.ndarray) -> pa.Array:
+    """The runs' tokens, each followed by one space; missing tokens are left out, of one token alone the text is missing."""
+    spaced = pa.concat_arrays([pc.if_else(pc.is_valid(tokens), pc.binary_join_element_wise(tokens, " ", ""), "")])
+    _, ends, data = spaced.buffers()
+    at = np.frombuffer(ends, np.int32)[:len(spaced) + 1][np.append(starts, len(spaced))]
+    texts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(at.copy()), data)
+    if tokens.null_count:
+        known = group_sums(pc.is_valid(tokens).to_numpy(zero_copy_only=False).astype(np.int64), starts) > 0
+        alone = np.diff(np.append(starts, len(tokens))) == 1
+        texts = pc.if_else(pa.array(known), texts, pc.if_else(pa.array(alone), pa.scalar(None, pa.string()), " "))
+    return texts
+
+
+def _mention_runs(taggers: pa.Array) -> _Runs:
+    """The runs of equal types in the sentences of ``_taggers``, see :func:`with_mentions`."""
+    many, tagged = laid(taggers)
+    sentences_of, sentences = laid(field(tagged, "sentences"))
+    tokens_of, flat = laid(field(sentences, "tokens"))
+    spread = lambda x: np.repeat(np.repeat(x, sentences_of), tokens_of)
+    record, rank = spread(np.repeat(np.arange(len(taggers)), many)), spread(places(many) + 1)
+    sentence = np.repeat(places(sentences_of), tokens_of)
+    kinds = field(flat, "entity_type")
+    starts = starts_of(record, rank, sentence, kinds.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False))
+    following = np.append(starts[1:], 0)[:len(starts)]
+    is_end = (record[following] != record[starts]) | (rank[following] != rank[starts]) | (sentence[following] != sentence[starts])
+    is_end[-1:] = True
+    first = np.searchsorted(record, record[starts])
+    kind = kinds.take(pa.array(starts))
+    emitted = pc.is_valid(kind).to_numpy(zero_copy_only=False) & (
+        is_end | pc.is_in(kind, pa.array(MENTION_TYPES)).to_numpy(zero_copy_only=False))
+    runs = _Runs(
+        record[starts], rank[starts], sentence[starts], starts - first, np.append(starts, len(record))[1:] - first, is_end,
+        kind, _mention_texts(field(flat, "token"), starts))
+    return runs.take(np.flatnonzero(emitted))
+
+
+def _of_runs(items: DataFrame, keep: list[str], schema: str, work: Callable[[_Runs], tuple[np.ndarray, pa.Array]]) -> DataFrame:
+    """``keep`` and ``_got: array<schema>``: the elements, with their records, that ``work`` makes of the runs of many records.
+
+    Null for records without a body or without sentences.
+    """
+    def part(taggers: pa.Array) -> pa.Array:
+        owner, made = work(_mention_runs(taggers))
+        return pa.ListArray.from_arrays(offsets(owner, len(taggers)), made, mask=taggers.is_null())
 
-    def flat(value: Callable[[Column, Column, Column], Column]) -> Column:
-        return F.flatten(F.flatten(F.transform("_taggers", lambda g, place: F.transform(
-            F.coalesce(g["sentences"], F.array()),
-            lambda s, no: F.coalesce(value(place + 1, s["tokens"], no), F.array())))))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for taggers in batches:
+            many, tagged = laid(taggers)
+            sentences_of, sentences = laid(field(tagged, "sentences"))
+            tokens_of = np.repeat(np.arange(len(sentences_of)), sentences_of)
+            of_tagger = np.bincount(tokens_of, laid(field(sentences, "tokens"))[0], minlength=len(sentences_of))
+            sizes = np.bincount(np.repeat(np.arange(len(many)), many), of_tagger, minlength=len(many)).astype(np.int64)
+            yield in_parts((taggers,), sizes, part)
 
-    return taggers.select(
-        *keep,
-        flat(lambda rank, tokens, no: tokens["token"]).alias("_tokens"),
-        flat(lambda rank, tokens, no: tokens["entity_type"]).alias("_types"),
-        flat(lambda rank, tokens, no: F.array_repeat(rank, F.size(tokens))).alias("_ranks"),
-        flat(lambda rank, tokens, no: F.array_repeat(no, F.size(tokens))).alias("_sents"),
-    )
+    return _taggers(items, keep).select(*keep, F.arrow_udf(run, f"array<{schema}>")("_taggers").alias("_got"))
 
 
 def with_mentions(items: DataFrame, *keep: str) -> DataFrame:
@@ -91,16 +154,14 @@ def with_mentions(items: DataFrame, *keep: str) -> DataFrame:
     A run ended by another type needs a mention type, one ended by the sentence any type. ``mentions``
     is null for records without a body or without sentences.
     """
-    runs = _with_runs(
-        flat_tokens(items, list(keep)), "_types", ("_ranks", "_sents"),
-        lambda kind, end: kind.isNotNull() & (end | kind.isin(*MENTION_TYPES)))
-    return runs.select(*keep, F.transform("_runs", lambda r: F.struct(
-        F.get(F.col("_ranks"), r["start"]).alias("tagger_rank"),
-        F.get(F.col("_sents"), r["start"]).alias("sent_no"),
-        r["start"].alias("place"), r["stop"].alias("stop"), r["is_end"].alias("is_end"),
-        F.get(F.col("_types"), r["start"]).alias("entity_type"),
-        _joined(F.col("_tokens"), r).alias("mention"),
-    )).alias("mentions"))
+    def work(runs: _Runs) -> tuple[np.ndarray, pa.Array]:
+        ints = [pa.array(x, pa.int32()) for x in (runs.tagger_rank, runs.sent_no, runs.place, runs.stop)]
+        return runs.record, pa.StructArray.from_arrays(
+            [*ints, pa.array(runs.is_end), runs.entity_type, runs.mention],
+            ["tagger_rank", "sent_no", "place", "stop", "is_end", "entity_type", "mention"])
+
+    schema = "struct<tagger_rank: int, sent_no: int, place: int, stop: int, is_end: boolean, entity_type: string, mention: string>"
+    return _of_runs(items, list(keep), schema, work).withColumnRenamed("_got", "mentions")
 
 
 def ne_spans(items: DataFrame) -> DataFrame:
@@ -114,15 +175,27 @@ def mention_list(items: DataFrame) -> DataFrame:
     return unnest(with_mentions(items, "doc_id"), ["doc_id"], "mentions", "mention", "entity_type")
 
 
-def _mention_groups(items: DataFrame, *keep: str) -> DataFrame:
-    """Per record, its short mentions grouped by text, each group in reading order."""
-    short = with_mentions(items, "stream_id", "doc_id", *keep).select("stream_id", "doc_id", *keep, F.sort_array(F.transform(
-        F.filter("mentions", lambda m: F.length(m["mention"]) < MAX_MENTION),
-        lambda m: F.struct(
-            m["mention"].alias("entity"), m["place"].alias("place"), m["tagger_rank"].alias("tagger_rank"),
-            m["is_end"].alias("is_end"), m["entity_type"].alias("entity_type")),
-    )).alias("sorted"))
-    return group_sorted(short, "sorted", "entity", "groups").drop("sorted")
+def _mention_groups(
+    items: DataFrame, keep: list[str], body: Callable[[_Runs, np.ndarray], np.ndarray],
+) -> DataFrame:
+    """Per record, ``groups: array<struct<entity, value>>`` of its short mentions grouped by text.
+
+    ``body`` gets the mentions, in order of record and text and each group in reading order, and the groups' starts, and
+    gives each group's value; groups of value 0 are left out.
+    """
+    def work(runs: _Runs) -> tuple[np.ndarray, pa.Array]:
+        short = pc.fill_null(pc.less(pc.utf8_length(runs.mention), MAX_MENTION), False)
+        runs = runs.take(np.flatnonzero(short.to_numpy(zero_copy_only=False)))
+        rank, distinct = ranks(runs.mention)
+        key = runs.record * len(distinct) + rank
+        order = np.argsort(key, kind="stable")
+        runs, starts = runs.take(order), starts_of(key[order])
+        values = body(runs, starts)
+        starts, values = starts[values > 0], values[values > 0]
+        return runs.record[starts], pa.StructArray.from_arrays(
+            [runs.mention.take(pa.array(starts)), pa.array(values, pa.int32())], ["entity", "value"])
+
+    return _of_runs(items, keep, "struct<entity: string, value: int>", work).withColumnRenamed("_got", "groups")
 
 
 def _as_map(entries: Column) -> Column:
@@ -136,29 +209,28 @@ def doc_entity_map(items: DataFrame, *keep: str) -> DataFrame:
     time. One first seen later and in mid-sentence counts once there, and after that only at
     sentence ends.
     """
-    def count(group: Column) -> Column:
-        first = F.get(group["items"], 0)
-        ends = F.size(F.filter(group["items"], lambda m: m["is_end"]))
-        return F.when((first["tagger_rank"] == 1) | first["is_end"], F.size(group["items"])).otherwise(1 + ends)
+    def count(runs: _Runs, starts: np.ndarray) -> np.ndarray:
+        every_time = (runs.tagger_rank[starts] == 1) | runs.is_end[starts]
+        return np.where(every_time, np.diff(np.append(starts, len(runs.record))), 1 + group_sums(runs.is_end.astype(np.int64), starts))
 
-    return drop_null(_mention_groups(items, *keep).select("stream_id", "doc_id", *keep, _as_map(F.transform(
-        "groups", lambda g: F.struct(g["entity"].alias("entity"), count(g).alias("cnt")))).alias("entities")), "entities")
+    groups = _mention_groups(items, ["stream_id", "doc_id", *keep], count)
+    return drop_null(groups.select("stream_id", "doc_id", *keep, _as_map(F.col("groups")).alias("entities")), "entities")
 
 
 def doc_type_map(items: DataFrame) -> DataFrame:
     """As :func:`doc_entity_map`, with the code of the first coded type instead of a count."""
-    def code(kind: Column) -> Column:
-        value = F.lit(None).cast("int")
-        for name, number in TYPE_CODES.items():
-            value = F.when(kind == name, number).otherwise(value)
-        return value
-
-    coded = _mention_groups(items).select("stream_id", "doc_id", F.transform("groups", lambda g: F.struct(
-        g["entity"].alias("entity"),
-        F.get(F.filter(F.transform(g["items"], lambda m: code(m["entity_type"])), lambda c: c.isNotNull()), 0).alias("code"),
-    )).alias("coded"))
-    return drop_null(coded.select(
-        "stream_id", "doc_id", _as_map(F.filter("coded", lambda e: e["code"].isNotNull())).alias("entities")), "entities")
+    codes = np.array([*TYPE_CODES.values(), 0], np.int64)
+
+    def code(runs: _Runs, starts: np.ndarray) -> np.ndarray:
+        found = pc.fill_null(pc.index_in(runs.entity_type, pa.array(list(TYPE_CODES))), len(TYPE_CODES))
+        of_mention, out = codes[found.to_numpy(zero_copy_only=False)], np.zeros(len(starts), np.int64)
+        coded = np.flatnonzero(of_mention)
+        group, first = np.unique(np.searchsorted(starts, coded, side="right") - 1, return_index=True)
+        out[group] = of_mention[coded[first]]
+        return out
+
+    groups = _mention_groups(items, ["stream_id", "doc_id"], code)
+    return drop_null(groups.select("stream_id", "doc_id", _as_map(F.col("groups")).alias("entities")), "entities")
 
 
 def retagged_map(labelled: DataFrame) -> DataFrame:
