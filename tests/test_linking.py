@@ -196,3 +196,11 @@ def test_sliding_votes_equal_a_loop_over_neighbours(spark, monkeypatch, piece):
     met = {(r.spot_id, r.other_id) for r in linking.context_pairs(docs, KEY, window).collect()}
     assert met == {(a.spot_id, b.spot_id) for t in docs.collect() for i, a in enumerate(t.mentions)
                    for j, b in enumerate(t.mentions) if i != j and abs(i - j) <= window}
+
+
+def test_relatedness_in_context_has_pairs_without_a_common_page(spark):
+    spots = spots_of(spark, "java", "code", candidates={"java": [("/island", 0.6), ("/language", 0.4)], "code": [("/code", 1.0)]})
+    graph = spark.createDataFrame([("p1", "/language"), ("p1", "/code"), ("p2", "/island")], "page string, target string")
+    docs = spotting.doc_mentions(texts_of(spark, a="java code"), spots, KEY)
+    found = linking.related_in_context(docs, spots, graph, spark.range(4), KEY)
+    assert {(r.a, r.b): r.shared for r in found.collect()} == {("/code", "/language"): 1, ("/code", "/island"): 0}
