@@ -182,3 +182,25 @@ def test_terms_without_lemma_title_or_tokens(corpus):
         ("a", "x"): (1, 0, 1, 0, [2]), ("b", "q"): (1, 0, 1, 0, [0])}
     lengths = {r.doc_id: r.doc_len for r in index.doc_lengths(df).collect()}
     assert lengths == {"a": 5, "b": 1, "c": 0, "d": 0}
+
+
+def test_index_is_written_where_its_postings_arise(spark, tmp_path):
+    path = str(tmp_path / "index")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    index.write_index(fx.items(spark, SF).repartition(3), path)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    stored = index.read_index(spark, path).postings
+    want = {(r.letter, r.term, r.stream_id, r.tf) for r in index.by_letter(index.term_frequencies(fx.items(spark, SF))).collect()}
+    assert {(r.letter, r.term, r.stream_id, r.tf) for r in stored.collect()} == want
+    # A record's postings have stayed in one task: each task has written one file a letter.
+    files = stored.select("stream_id", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).alias("task")).distinct()
+    assert files.groupBy("stream_id").count().filter("count > 1").isEmpty()
+
+
+def test_scores_deal_postings_once_by_record(spark):
+    df = fx.items(spark, SF)
+    terms = search.topic_terms(spark.createDataFrame([("1", "the house"), ("2", "the water")], "number string, title string"))
+    postings = search.matching(index.inverted_index(df, fields=()), terms)
+    scored = search.scores(postings, search.query_weights(terms), index.doc_lengths(df))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(stream_id" in plan and "hashpartitioning(number" not in plan

@@ -46,7 +46,7 @@ def add_segment(items: DataFrame, path: str, segment: int) -> None:
     """
     spark = items.sparkSession
     postings = inverted_index(items, fields=()).select("term", "stream_id", "doc_id", "tf", "positions")
-    sink(by_letter(postings), f"{path}/postings/segment={segment}", by="letter", key="term")
+    sink(by_letter(postings), f"{path}/postings/segment={segment}", by="letter", key="term", stay=True)
     lengths = materialize(doc_lengths(items), "lengths")
     older = _read(spark, path, "documents", DOCUMENT).filter(F.col("segment") < segment).select("stream_id").distinct()
     lengths.select("stream_id").join(older, "stream_id", "left_semi").write.parquet(f"{path}/marks/segment={segment}")
@@ -79,4 +79,4 @@ def compact(spark: SparkSession, path: str, out: str, overwrite: bool = False) -
     sink(lexicon, f"{out}/lexicon", by="letter", key="term", overwrite=overwrite)
     numbered = lookup_join(postings, spark.read.parquet(f"{out}/lexicon").select("letter", "term", "term_id"), ["letter", "term"])
     numbered = lookup_join(numbered, spark.read.parquet(f"{out}/documents").select("stream_id", "doc_no"), "stream_id")
-    sink(numbered.drop("stream_id"), f"{out}/postings", by="letter", key="term_id", overwrite=overwrite)
+    sink(numbered.drop("stream_id"), f"{out}/postings", by="letter", key="term_id", overwrite=overwrite, stay=True)
