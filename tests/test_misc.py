@@ -120,6 +120,15 @@ def test_late_rows_are_counted_and_kept(spark, tmp_path):
     assert sorted(r.stream_id for r in got) == list("abcdef")
 
 
+def test_micro_batches_hold_only_what_is_counted(spark, tmp_path, monkeypatch):
+    """A micro-batch has all its columns worked out and, in a join, shuffled; texts must not be among them."""
+    seen, plain = [], counts._batches
+    monkeypatch.setattr(counts, "_batches", lambda stream, *more: seen.append(stream.columns) or plain(stream, *more))
+    QUERIES["stream_docs_per_day"](spark, SF)
+    QUERIES["stream_entity_day"](spark, SF)
+    assert seen == [["day"], ["stream_id", "doc_id", "body", "day"]]
+
+
 def test_an_empty_stream_gives_an_empty_table(spark, tmp_path):
     (tmp_path / "in").mkdir()
     stream = spark.readStream.schema("stream_id string, ts timestamp").parquet(str(tmp_path / "in"))

@@ -36,10 +36,11 @@ def _batches(stream: DataFrame, path: str, schema: str, rows_of) -> DataFrame:
 def docs_per_day(stream: DataFrame, path: str) -> DataFrame:
     """Documents per day of a stream with a time ``ts``.
 
-    Counts add up, so each micro-batch writes its own and no state is kept: however late a row comes, it counts.
+    Counts add up, so each micro-batch writes its own and no state is kept: however late a row comes, it counts. A
+    micro-batch has all columns of its stream worked out, so only the day goes into it.
     """
-    stored = _batches(stream, path, "day int, docs long", lambda rows: rows.groupBy(
-        F.date_format("ts", "yyyyMMdd").cast("int").alias("day")).agg(F.count(F.lit(1)).alias("docs")))
+    days = stream.select(F.date_format("ts", "yyyyMMdd").cast("int").alias("day"))
+    stored = _batches(days, path, "day int, docs long", lambda rows: rows.groupBy("day").agg(F.count(F.lit(1)).alias("docs")))
     return stored.groupBy("day").agg(F.sum("docs").alias("docs"))
 
 
@@ -64,12 +65,13 @@ def chunk_totals(spark: SparkSession, path: str) -> DataFrame:
 
 def entities_per_day(items: DataFrame, path: str) -> DataFrame:
     """Entity totals per day of a stream of corpus records; counted as :func:`docs_per_day`."""
+    dated = items.select("stream_id", "doc_id", "body", day_key(F.col("stream_time.epoch_ticks")).alias("day"))
+
     def totals(rows: DataFrame) -> DataFrame:
-        dated = rows.withColumn("day", day_key(F.col("stream_time.epoch_ticks")))
-        return explode_map(doc_entity_map(dated, "day")).groupBy("day", "entity").agg(
+        return explode_map(doc_entity_map(rows, "day")).groupBy("day", "entity").agg(
             F.sum("cnt").cast("long").alias("total"))
 
-    stored = _batches(items, path, "day int, entity string, total long", totals)
+    stored = _batches(dated, path, "day int, entity string, total long", totals)
     return stored.groupBy("day", "entity").agg(F.sum("total").alias("total"))
 
 
