@@ -235,3 +235,24 @@ def test_verdicts_change_smoothly_with_the_size_of_a_source(spark):
 
 def enumerate_rows(rows):
     return [(i, *row) for i, row in enumerate(rows)]
+
+
+def test_model_is_fitted_on_all_labelled_documents(spark):
+    """The documents that the first weights come from change nothing; the limit is that of a plain search."""
+    draw = random.Random(21)
+    word = lambda odd: "".join(draw.choice("abcdefg" if not odd else "AB#*!9") for _ in range(draw.randrange(2, 8)))
+    rows, marks = [], []
+    for i in range(500):
+        bad = draw.random() < 0.3
+        rows.append((i, " ".join(word(draw.random() < (0.6 if bad else 0.3)) for _ in range(draw.randrange(3, 30)))))
+        marks.append((i, int(not bad)))
+    frame, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int")
+    one, two = (pairwise_quality.train(frame, labels, n) for n in (5, 4000))
+    assert np.allclose(one.weights, two.weights, rtol=1e-6, atol=1e-9) and one.quantile == two.quantile
+    known = [(np.array(pairwise_quality.features_of(t)) @ one.weights, 1 - q) for (i, t), (_, q) in zip(rows, marks) if zlib.crc32(str(i).encode()) % 4 != 2]
+    known.sort()
+    n_bad = sum(b for _, b in known)
+    right = [sum(b for _, b in known[:k]) / n_bad + sum(1 - b for _, b in known[k:]) / (len(known) - n_bad) for k in range(len(known) + 1)]
+    best = [k for k, v in enumerate(right) if v >= max(right) - 1e-12]
+    k = best[len(best) // 2]
+    assert one.quantile == k / len(known) and math.isclose(one.limit, (known[k - 1][0] + known[k][0]) / 2, rel_tol=1e-9)

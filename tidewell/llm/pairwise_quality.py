@@ -3,6 +3,7 @@
 A document labelled good is preferred to one labelled bad. The log-odds of a preference is a weight vector
 times the difference of the two documents' features, fitted by logistic loss; the same weights give every
 document a score of its own. The limit is the quantile of the training scores that tells the labels apart best.
+Both are fitted on all labelled documents: sums over pairs and ranges of scores are worked out in the tasks.
 """
 
 from __future__ import annotations
@@ -16,18 +17,22 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
+from tidewell.operators.index import number_in_order
+from tidewell.session import materialize
 
-#: Labelled documents of each label that the model is fitted on, at most: those with the least hash.
-SAMPLE = 4000
-#: Preferred partners of each document of the other label.
+#: Labelled documents of each label that the first weights come from, at most; what is fitted on all does not depend on them.
+START = 4000
+#: Partners of each document of the label with more documents.
 PARTNERS = 8
 PENALTY = 1e-3
 #: Score at the limit.
 LIMIT = 0.7
+#: Scores in order that one task counts.
+_RANGE = 1 << 20
 _SPACES = np.frombuffer(b" \t\n\x0b\f\r", np.uint8)
 _SYMBOLS = np.frombuffer(b"#*$%&|<>{}[]=@^~_/\\", np.uint8)
 _MARKS = np.frombuffer(b"!?", np.uint8)
@@ -129,25 +134,123 @@ def held_out(doc: Column) -> Column:
     return F.coalesce(F.crc32(doc.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc: str = "doc_id", text: str = "text") -> Model:
-    """Fit on at most ``sample`` labelled documents of each label, of those that are not held out.
+def train(docs: DataFrame, labels: DataFrame, start: int = START, doc: str = "doc_id", text: str = "text") -> Model:
+    """Fit on all labelled documents that are not held out.
 
     An id with both labels is left out; labels that are null or neither 0 nor 1 are ignored. Of an id's rows the one
-    with the least text hash counts, so what reaches the driver is bounded by ``sample``, ids that repeat included.
+    with the least text hash counts. Newton steps begin at the weights of at most ``start`` documents of each label,
+    which are all that reaches the driver; they end at those of all pairs.
     """
     common.text_batches(docs)
     known = labels.select(F.col(doc).alias("id"), F.col("quality").alias("label")).filter(
         F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    one = known.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other")
-    drawn = [one.filter(F.col("label") == value).select("id", "label").orderBy(F.xxhash64("id"), "id").limit(sample)
-             for value in (0, 1)]
-    chosen = drawn[0].unionByName(drawn[1])
-    texts = docs.select(F.col(doc).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
-    rows = texts.select("id", "label", F.xxhash64("text").alias("hash"), features(F.col("text")).alias("x")).groupBy("id", "label").agg(
-        F.min(F.struct("hash", "x")).alias("least")).select("id", "label", "least.x").collect()
-    rows.sort(key=lambda r: (r["id"], r["x"]))
-    part = lambda value: np.array([r["x"] for r in rows if r["label"] == value], float).reshape(-1, len(FEATURES))
-    return fit_pairs(part(1), part(0))
+    one = known.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other")
+    # Features before the join: it moves ten numbers a document, not its text.
+    read = docs.filter(F.col(doc).isNotNull() & ~held_out(F.col(doc))).select(
+        F.col(doc).alias("id"), F.xxhash64(F.col(text)).alias("hash"), features(F.col(text)).alias("x"))
+    rows = materialize(read.join(one, "id").groupBy("id", "label").agg(F.min(F.struct("hash", "x")).alias("least")).select(
+        "id", F.col("label").cast("int").alias("label"), "least.x"), "labelled")
+    spread = [F.stddev_pop(F.get("x", F.lit(i))) for i in range(len(FEATURES))]
+    good, total, *deviations = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1)), *spread).first()
+    if not 0 < good < total:
+        return NEUTRAL
+    scale = np.maximum(np.array(deviations), 1e-6)
+    weights = _fit_all(_pairs(rows, int(good < total - good), min(good, total - good)), _first(rows, start) * scale, scale) / scale
+    # Nine digits, so that sums in another order give the same model.
+    weights = np.array([float(f"{w:.9g}") for w in weights])
+    limit, quantile = _limit(rows, weights, good, total - good)
+    return Model(tuple(map(float, weights)), limit, quantile)
+
+
+def _first(rows: DataFrame, start: int) -> np.ndarray:
+    """Weights of at most ``start`` documents of each label, those with the least hash."""
+    part = lambda value: np.array([r["x"] for r in rows.filter(F.col("label") == value).orderBy(
+        F.xxhash64("id"), "id").limit(start).collect()], float).reshape(-1, len(FEATURES))
+    return np.array((fit_pairs(part(1), part(0)) or NEUTRAL).weights)
+
+
+def _pairs(rows: DataFrame, fewer: int, count: int) -> DataFrame:
+    """``(label, x, partners)``: each document of the label with more, and the features of its partners laid end to end.
+
+    The ``count`` documents of the label with ``fewer`` are dealt to groups of :data:`PARTNERS` in order of their hash, and
+    the others to these groups in turn. So each document of either label is in a pair, and no group is larger.
+    """
+    hashed = rows.withColumn("key", F.struct(F.xxhash64("id").alias("hash"), "id")).drop("id")
+    few = number_in_order(hashed.filter(F.col("label") == fewer), "key", "n")
+    groups = few.groupBy(F.floor(F.col("n") / PARTNERS).alias("group")).agg(F.sort_array(F.collect_list(F.struct("n", "x"))).alias("all"))
+    many = number_in_order(hashed.filter(F.col("label") != fewer), "key", "n").select(
+        "label", "x", F.pmod("n", F.lit(-(-count // PARTNERS))).alias("group"))
+    return materialize(many.join(groups, "group").select("label", "x", F.flatten(F.col("all")["x"]).alias("partners")), "pairs")
+
+
+def _fit_all(pairs: DataFrame, w: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Newton steps from ``w`` on the scaled differences of all pairs; a task gives the sums of its pairs."""
+    p = len(scale)
+
+    def sums(w: np.ndarray):
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(2 + p + p * p)
+            for frame in frames:
+                if frame.empty:
+                    continue
+                others = np.concatenate(frame["partners"].to_numpy()).reshape(-1, p)
+                each = frame["partners"].map(len).to_numpy() // p
+                sign = np.where(frame["label"] == 1, 1.0, -1.0)
+                difference = np.repeat(sign, each)[:, None] * (np.repeat(np.stack(frame["x"].to_numpy()), each, axis=0) - others) / scale
+                margin = difference @ w
+                chance = 1 / (1 + np.exp(np.clip(margin, -30, 30)))
+                total[:2] += len(difference), np.logaddexp(0, -margin).sum()
+                total[2:2 + p] += difference.T @ chance
+                total[2 + p:] += ((difference * (chance * (1 - chance))[:, None]).T @ difference).reshape(-1)
+            yield pd.DataFrame({"total": [total]})
+
+        return run
+
+    # Without weights the loss is log 2; where a step makes it greater, half of the step is tried.
+    least, last = math.log(2), np.zeros(p)
+    for _ in range(60):
+        total = np.sum([r["total"] for r in pairs.mapInPandas(sums(w), "total array<double>").collect()], axis=0)
+        total, loss = total / total[0], total[1] / total[0] + PENALTY / 2 * (w @ w)
+        if loss > least + 1e-12:
+            w = (w + last) / 2
+            continue
+        step = np.linalg.solve(total[2 + p:].reshape(p, p) + PENALTY * np.eye(p), total[2:2 + p] - PENALTY * w)
+        least, last, w = loss, w, w + step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+def _limit(rows: DataFrame, weights: np.ndarray, good: int, bad: int) -> tuple[float, float]:
+    """Limit and quantile after the ``k`` lowest scores: bad ones below and good ones above it are right.
+
+    The rows are put in ranges of their scores; counts in a range go on from those of the ranges before. Of several best
+    places the middle one is taken.
+    """
+    def raw(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for x in series:
+            yield pd.Series((np.stack(x.to_numpy()) * weights).sum(axis=1) if len(x) else np.zeros(0))
+
+    scored = rows.select("id", (1 - F.col("label")).alias("bad"), F.pandas_udf(raw, "double")("x").alias("raw"))
+    key = F.struct("raw", "bad", "id").alias("key")
+    placed = number_in_order(scored.select(key), "key", "at").select(
+        (F.col("at") + 1).alias("k"), "key.raw", "key.bad", F.floor(F.col("at") / _RANGE).alias("range"))
+    placed = materialize(placed, "scores")
+    ranges = placed.groupBy("range").agg(F.sum("bad").alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("range").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    below = F.col("start") + F.sum("bad").over(inside)
+    # Whole numbers: shares of right ones times the documents of both labels. Place 0 has all bad ones wrong.
+    right = (below * F.lit(good) + (F.lit(good) - (F.col("k") - below)) * F.lit(bad)).cast("decimal(38,0)")
+    places = placed.join(F.broadcast(starts), "range").select("k", right.alias("right"))
+    places = materialize(places.unionByName(rows.sparkSession.range(1).select(
+        F.lit(0).cast("long").alias("k"), (F.lit(good).cast("decimal(19,0)") * F.lit(bad)).cast("decimal(38,0)").alias("right"))), "places")
+    best = places.join(F.broadcast(places.agg(F.max("right").alias("right"))), "right").select("k")
+    k = best.orderBy("k").offset(best.count() // 2).first()["k"]
+    ends = {r["k"]: r["raw"] for r in placed.filter(F.col("k").isin(k, k + 1)).collect()}
+    low, high = ends.get(k, ends.get(k + 1, 0.0) - 1), ends.get(k + 1, ends.get(k, 0.0) + 1)
+    return (low + high) / 2, k / (good + bad)
 
 
 def with_score(docs: DataFrame, model: Model, out: str = "score", text: str = "text") -> DataFrame:
