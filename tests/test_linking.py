@@ -204,3 +204,24 @@ def test_relatedness_in_context_has_pairs_without_a_common_page(spark):
     docs = spotting.doc_mentions(texts_of(spark, a="java code"), spots, KEY)
     found = linking.related_in_context(docs, spots, graph, spark.range(4), KEY)
     assert {(r.a, r.b): r.shared for r in found.collect()} == {("/code", "/language"): 1, ("/code", "/island"): 0}
+
+
+def test_votes_are_the_same_whatever_the_blocks_of_the_matrix(spark, monkeypatch):
+    """A piece is sent to each block of its spots; no row has the entries of a whole piece."""
+    draw = random.Random(4)
+    names = [f"s{c}" for c in "abcdefghi"]
+    spots = spots_of(spark, *names, candidates={n: [(f"/{n}{j}", 0.6 - 0.2 * j) for j in range(1 + i % 3)] for i, n in enumerate(names)})
+    entities = [c.entity for r in spots.collect() for c in r.candidates]
+    graph = spark.createDataFrame(sorted({(f"p{draw.randrange(12)}", draw.choice(entities)) for _ in range(60)}), "page string, target string")
+    docs = spotting.doc_mentions(texts_of(spark, **{f"d{i}": " ".join(draw.choice(names) for _ in range(5 * i)) for i in range(9)}), spots, KEY)
+    matrix = linking.vote_matrix(spots, graph, spark.range(40))
+
+    def found():
+        rows = linking.link_features(docs, spots, matrix, KEY).collect()
+        return sorted((r.doc_id, r.start, r.entity, round(r.context_relatedness, 9), round(r.context_weight, 9)) for r in rows)
+
+    whole = found()
+    for name, value in (("BLOCK_ENTRIES", 7), ("ROW_ENTRIES", 2), ("BLOCK_PIECES", 2), ("BLOCK_CANDIDATES", 2)):
+        monkeypatch.setattr(linking, name, value)
+    assert found() == whole and any(r[3] for r in whole)
+    assert linking._with_received(docs, matrix.limit(0), spots, KEY, 5).filter("exists(received, c -> c.votes > 0)").count() == 0
