@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewell.llm import batched_bpe, packing, token_counts
+from tidewell.llm.batched_bpe import PairTable
 from tidewell.llm.wordbpe import vocabulary
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -113,3 +114,17 @@ def test_windows_emit_the_fullest_when_none_fits():
     open_windows.add(4, piece(8))
     assert [r[0] for r in open_windows.add(5, piece(9))] == [4]
     assert sorted(r[0] for r in open_windows.rest()) == [1, 5]
+
+
+def test_a_pair_has_a_slot_of_its_own():
+    draw = np.random.default_rng(2)
+    merges = {(int(a) << 20) | int(b): (i, 5000 + i) for i, (a, b) in enumerate({tuple(p) for p in draw.integers(900, size=(4000, 2)).tolist()})}
+    table = PairTable(merges)
+    asked = np.array([*merges, *((draw.integers(900, size=5000) << 20) | draw.integers(900, size=5000)), (1 << 40) - 1])
+    at, rank = table.find(asked)
+    none = np.iinfo(np.int64).max
+    assert rank.tolist() == [merges[k][0] if k in merges else none for k in asked.tolist()]
+    assert all(table.merged[i] == merges[k][1] for k, i in zip(asked.tolist(), at.tolist()) if k in merges)
+    assert PairTable({}).find(asked[:3])[1].tolist() == [none] * 3
+    slots = [table.offset[k >> 20] + (k & 0xFFFFF) for k in merges]
+    assert len(set(slots)) == len(merges)

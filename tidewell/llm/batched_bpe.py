@@ -1,7 +1,7 @@
 """Byte-pair encoding of many words at a time in numpy, and decoding.
 
-The symbols of all words not met before lie in one flat array. A round looks up all neighbouring pairs by
-binary search in the sorted pair keys, takes each word's pair of lowest rank, and merges all its places,
+The symbols of all words not met before lie in one flat array. A round looks up all neighbouring pairs in the
+table of pairs, takes each word's pair of lowest rank, and merges all its places,
 from the left. As a merged symbol occurs only in pairs of higher rank, this gives the same symbols as
 merging one place at a time. Words without a pair left leave the array.
 """
@@ -20,21 +20,46 @@ from tidewell.llm import common
 from tidewell.llm.wordbpe import Remembered, Vocabulary, parts, vocabulary
 
 _NONE = np.iinfo(np.int64).max
+#: Bits of a symbol in a key.
+_SYMBOL = (1 << 20) - 1
 
 
 class PairTable:
-    """Merge rules as sorted keys (left symbol, right symbol), with rank and merged symbol."""
+    """Merge rules as sorted keys (left symbol, right symbol), with rank and merged symbol.
+
+    A rule's slot is its left symbol's offset plus its right symbol. Offsets are drawn until no two rules share a slot, so
+    a look into one slot tells whether there is a rule.
+    """
 
     def __init__(self, merges: dict[int, tuple[int, int]]) -> None:
         keys = np.fromiter(merges.keys(), np.int64, len(merges))
         order = np.argsort(keys)
         rules = np.array(list(merges.values()), np.int64).reshape(-1, 2)[order]
         self.keys, self.rank, self.merged = keys[order], rules[:, 0], rules[:, 1]
+        left, right = self.keys >> 20, self.keys & _SYMBOL
+        lefts, starts, sizes = np.unique(left, return_index=True, return_counts=True)
+        spread = 1 << max(10, (3 * len(keys)).bit_length())
+        self.offset = np.zeros(1 << 20, np.int32)
+        self.owner = np.full(spread + (1 << 20), -1, np.int32)
+        self.slot = np.zeros(spread + (1 << 20), np.int32)
+        draw = np.random.default_rng(1)
+        # The longest rows first, while there is most room.
+        for row in np.argsort(-sizes, kind="stable").tolist():
+            rules_of = np.arange(starts[row], starts[row] + sizes[row])
+            at = right[rules_of] + draw.integers(spread)
+            while (self.owner[at] >= 0).any():
+                at = right[rules_of] + draw.integers(spread)
+            self.offset[lefts[row]] = at[0] - right[rules_of[0]]
+            self.owner[at], self.slot[at] = lefts[row], rules_of
 
     def find(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in the table and rank of each pair, ``_NONE`` where there is no rule."""
-        at = np.minimum(np.searchsorted(self.keys, pairs), len(self.keys) - 1)
-        return at, np.where(self.keys[at] == pairs, self.rank[at], _NONE)
+        left = pairs >> 20
+        slots = self.offset[left] + (pairs & _SYMBOL)
+        at = self.slot[slots]
+        if not len(self.rank):
+            return at, np.full(len(pairs), _NONE)
+        return at, np.where(self.owner[slots] == left, self.rank[at], _NONE)
 
 
 def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:

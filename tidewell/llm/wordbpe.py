@@ -11,6 +11,7 @@ import functools
 import itertools
 import json
 import operator
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -20,7 +21,7 @@ from tokenizers import Tokenizer
 #: Parts kept in a worker's memory; a full memory starts anew.
 MEMORY = 1 << 20
 LONGEST_KEPT = 64
-_PLAIN = regex.compile(r"[!-~À-ÿ]+")
+_PLAIN = re.compile(r"[!-~À-ÿ]+")
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
@@ -70,7 +71,7 @@ class Vocabulary:
         return out + self._plain(part[at:])
 
     def _plain(self, part: str) -> list[bytes]:
-        if part.isascii() and part.isalpha():
+        if part.isalpha() and (part.isascii() or _PLAIN.fullmatch(part)):
             return [part.lower().encode()]
         if _PLAIN.fullmatch(part):
             return [p.encode() for p in _PIECE.findall(part.lower())]
