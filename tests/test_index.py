@@ -148,6 +148,23 @@ def test_pipeline_merges_forms(spark, corpus):
     assert classes["run"] == (2, 2, 4) and classes["cat"] == (3, 1, 4) and classes["the"] == (2, 2, 4)
 
 
+def test_pipeline_in_the_row_equals_the_merged_lists(spark, corpus):
+    twice = item("a", taggers={"serif": sentences("Cats cat the running", "Runs"), "lingpipecounter": sentences("RUNNING i")})
+    df = corpus(twice, twice, item("b", taggers={"serif": sentences("The runs")}), item("c", taggers={"serif": sentences("the")}))
+    stop = spark.createDataFrame([("the",), (None,)], "term string")
+    found = index.conflated_groups(df, stop)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    records = found.persist()
+    got = index.conflated_postings(records)
+    postings = index.inverted_index(df, fields=())
+    want = index.conflated(postings, index.term_pipeline(postings.select("term"), stop))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    lengths = index.conflated_lengths(records, records.select("stream_id", F.col("doc_len").alias("tf")))
+    assert sorted(map(tuple, lengths.collect())) == sorted(map(tuple, index.conflated_lengths(index.doc_lengths(df), want).collect()))
+    assert {r.doc_id for r in lengths.collect()} == {"a", "b", "c"}
+    records.unpersist()
+
+
 def test_topic_file(spark, tmp_path):
     (tmp_path / "topics").write_text(
         "<top>\n<num> Number: 1\n<title> Topic: Red  CAR,\n parks\n<desc> Description:\nnot this\n<narr> nor this\n</top>\n"
