@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -128,3 +129,19 @@ def test_a_pair_has_a_slot_of_its_own():
     assert PairTable({}).find(asked[:3])[1].tolist() == [none] * 3
     slots = [table.offset[k >> 20] + (k & 0xFFFFF) for k in merges]
     assert len(set(slots)) == len(merges)
+
+
+def test_texts_of_a_batch_are_encoded_together(texts, library, monkeypatch):
+    encoder = batched_bpe.BatchEncoder(PATH)
+    more = [*texts, "Word, WORD. word wOrd,. été, ÉTÉ. ßa, x" + "y" * 99 + ".", " a,\tb.\x0b\x0c\r\nc\x1cd ", "12, (a) <|endoftext|>, ,"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in more]
+    for memory in (batched_bpe.MEMORY, 10):
+        monkeypatch.setattr(batched_bpe, "MEMORY", memory)
+        for first in (0, 5, 0, len(more)):
+            counts, ids = encoder.encode(pa.array(more[first:], pa.string()))
+            assert counts.tolist() == [len(w) for w in want[first:]]
+            assert ids.tolist() == [i for w in want[first:] for i in w]
+    # A word is merged once, whatever its case and the sign behind it; long words and other parts are not kept.
+    encoder = batched_bpe.BatchEncoder(PATH)
+    encoder.encode(pa.array(["Word, WORD. word " + "y" * 99 + " (a) 12"]))
+    assert list(encoder.known) == ["word"] and encoder.count == 2

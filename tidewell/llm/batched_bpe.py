@@ -9,15 +9,18 @@ merging one place at a time. Words without a pair left leave the array.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
-from tidewell.llm.wordbpe import Remembered, Vocabulary, parts, vocabulary
+from tidewell.llm.wordbpe import LONGEST_KEPT, MEMORY, Remembered, Vocabulary, parts, vocabulary
 
 _NONE = np.iinfo(np.int64).max
 #: Bits of a symbol in a key.
@@ -92,16 +95,21 @@ def merge_words(symbols: np.ndarray, lengths: np.ndarray, table: PairTable) -> t
     return out[order], np.bincount(words, minlength=len(lengths))
 
 
-def encode_pieces(pieces: list[bytes], words: Vocabulary, table: PairTable) -> list[bytes]:
-    """Ids of each piece as little-endian unsigned 32-bit numbers."""
-    if not pieces:
-        return []
+def merge_pieces(pieces: list[bytes], words: Vocabulary, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pieces end to end, and how many each has."""
     flat = np.frombuffer(b"".join(pieces), np.uint8)
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     ends = np.cumsum(lengths)
     symbols = words.inner[flat]
     symbols[ends - 1] = words.final[flat[ends - 1]]
-    merged, sizes = merge_words(symbols, lengths, table)
+    return merge_words(symbols, lengths, table)
+
+
+def encode_pieces(pieces: list[bytes], words: Vocabulary, table: PairTable) -> list[bytes]:
+    """Ids of each piece as little-endian unsigned 32-bit numbers."""
+    if not pieces:
+        return []
+    merged, sizes = merge_pieces(pieces, words, table)
     data, stops = merged.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
     return [data[start:stop] for start, stop in zip([0, *stops], stops, strict=False)]
 
@@ -121,6 +129,102 @@ def _memory(path: str) -> Remembered:
     return Remembered(lambda unseen: encode_parts(unseen, words, table))
 
 
+#: Words of Latin-1 letters, perhaps with a comma or full stop, which is a piece of its own.
+_WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[,.]?$"
+
+
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+class BatchEncoder:
+    """Ids of many texts at a time.
+
+    The texts are split, and words told apart, lower-cased and freed of a sign behind them, in Arrow; only a batch's
+    distinct words are looked up among those met before. The ids of all words met are in one array, of which a text's
+    ids are taken in numpy; a word met for the second time is a number, never bytes of its own.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.words = vocabulary(path)
+        self.table = PairTable(self.words.merges)
+        self.others = Remembered(lambda unseen: encode_parts(unseen, self.words, self.table))
+        self.signs = np.array([0, self.words.final[ord(",")], self.words.final[ord(".")]], "<u4")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.count, self.start, self.size = 0, np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.used, self.store = 0, np.zeros(1 << 16, "<u4")
+
+    def _hold(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of new words, whose ids lie end to end."""
+        count, used = self.count + len(sizes), self.used + len(ids)
+        if count > len(self.size):
+            self.start, self.size = np.resize(self.start, 2 * count), np.resize(self.size, 2 * count)
+        if used >= len(self.store):
+            self.store = np.resize(self.store, 2 * used)
+        self.store[self.used:used] = ids
+        self.start[self.count:count] = self.used + np.cumsum(sizes) - sizes
+        self.size[self.count:count] = sizes
+        numbers = np.arange(self.count, count)
+        self.count, self.used = count, used
+        return numbers
+
+    def _lower(self, words: list[str]) -> np.ndarray:
+        """Numbers of distinct lower-case words of letters; long ones are not met again."""
+        found = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        holes = np.flatnonzero(found < 0)
+        if len(holes):
+            unseen = [words[i] for i in holes.tolist()]
+            found[holes] = self._hold(*merge_pieces([word.encode() for word in unseen], self.words, self.table))
+            self.known.update((w, n) for w, n in zip(unseen, found[holes].tolist(), strict=True) if len(w) <= LONGEST_KEPT)
+        return found
+
+    def _distinct(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each of the distinct parts, without the sign behind it, and that sign; what follows ``kept`` is of this batch."""
+        plain = pc.match_substring_regex(parts, _WORD)
+        words, rest = parts.filter(plain), parts.filter(pc.invert(plain))
+        base = pc.utf8_lower(pc.utf8_rtrim(words, ",.")).dictionary_encode()
+        number, sign = np.empty(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        mask = plain.to_numpy(zero_copy_only=False)
+        number[mask] = self._lower(_strings(base.dictionary))[base.indices.to_numpy(zero_copy_only=False)]
+        sign[mask] = sum(k * pc.ends_with(words, s).to_numpy(zero_copy_only=False).astype(np.int64) for k, s in ((1, ","), (2, ".")))
+        self.kept = self.count, self.used
+        ids = self.others.results([_strings(rest)])[0]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        number[~mask] = self._hold(np.frombuffer(b"".join(ids), "<u4"), sizes)
+        return number, sign
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each text, and all ids end to end as little-endian unsigned 32-bit numbers."""
+        if len(self.known) > MEMORY or self.used > 16 * MEMORY:
+            self._forget()
+        split = pc.ascii_split_whitespace(texts)
+        found = split.flatten()
+        owner = np.repeat(np.arange(len(texts)), pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False))
+        given = pc.not_equal(found, "")
+        owner = owner[given.to_numpy(zero_copy_only=False)]
+        coded = found.filter(given).dictionary_encode()
+        number, sign = self._distinct(coded.dictionary)
+        place = coded.indices.to_numpy(zero_copy_only=False)
+        counts = (self.size[number] + (sign > 0))[place]
+        ends = np.cumsum(counts)
+        at = np.repeat(self.start[number][place] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+        # What is read one behind a word is its sign's place.
+        ids, sign = self.store[at], sign[place]
+        signed = np.flatnonzero(sign)
+        ids[ends[signed] - 1] = self.signs[sign[signed]]
+        self.count, self.used = self.kept
+        return np.bincount(owner, weights=counts, minlength=len(texts)).astype(np.int64), ids
+
+
+@functools.lru_cache(maxsize=2)
+def batch_encoder(path: str) -> BatchEncoder:
+    """One for each Python worker."""
+    return BatchEncoder(path)
+
+
 def encode(text: Column, path: str) -> Column:
     """Token ids (``array<int>``) of the whole text; none for a null or empty text."""
 

@@ -13,14 +13,15 @@ import itertools
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
-from tidewell.llm.batched_bpe import PairTable, encode_parts
-from tidewell.llm.wordbpe import Remembered, parts, vocabulary
+from tidewell.llm.batched_bpe import batch_encoder
 from tidewell.session import materialize
 
 SEQUENCE = 4096
@@ -31,13 +32,7 @@ WINDOWS = 256
 MERGE = 8
 PIECE = "doc long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, done boolean"
 _COLUMNS = ["doc", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "done"]
-
-
-@functools.lru_cache(maxsize=2)
-def _memory(path: str) -> Remembered:
-    words = vocabulary(path)
-    table = PairTable(words.merges)
-    return Remembered(lambda unseen: encode_parts(unseen, words, table))
+_ARROW = pa.schema([(name, {"ids": pa.binary(), "done": pa.bool_()}.get(name, pa.int64())) for name in _COLUMNS])
 
 
 class Windows:
@@ -100,20 +95,26 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return frame.astype({"doc": "Int64"})
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(_COLUMNS)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
+
+
 def _place(docs: DataFrame, path: str, end: int, windows: int, size: int) -> DataFrame:
     tail = end.to_bytes(4, "little")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memory, open_windows = _memory(path), Windows(_base(0), windows, size)
-        for frame in frames:
-            found = memory.results([parts(t) if t else [] for t in frame["text"]])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, open_windows = batch_encoder(path), Windows(_base(0), windows, size)
+        for batch in batches:
+            counts, ids = encoder.encode(batch["text"])
+            data, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
             rows: list[tuple] = []
-            for doc, ids in zip(frame["doc"], found, strict=True):
-                rows += open_windows.add(None if pd.isna(doc) else int(doc), b"".join(ids) + tail)
-            yield _frame(rows)
-        yield _frame(open_windows.rest())
+            for doc, start, stop in zip(batch["doc"].to_pylist(), [0, *ends], ends, strict=False):
+                rows += open_windows.add(doc, data[start:stop] + tail)
+            yield _batch(rows)
+        yield _batch(open_windows.rest())
 
-    return docs.mapInPandas(run, PIECE)
+    return docs.mapInArrow(run, PIECE)
 
 
 def _merge(rest: DataFrame, tasks: int, round_number: int, last: bool, size: int) -> DataFrame:
