@@ -145,3 +145,23 @@ def test_texts_of_a_batch_are_encoded_together(texts, library, monkeypatch):
     encoder = batched_bpe.BatchEncoder(PATH)
     encoder.encode(pa.array(["Word, WORD. word " + "y" * 99 + " (a) 12"]))
     assert list(encoder.known) == ["word"] and encoder.count == 2
+
+
+def test_an_encoders_memory_does_not_grow_with_the_texts(library, monkeypatch):
+    encoder = batched_bpe.BatchEncoder(PATH)
+    letters = "abcdefghijklmnopqrst"
+    word = lambda i: "".join(letters[i // 20**k % 20] for k in range(5))
+    for first in range(0, 248_000, 31_000):
+        encoder.encode(pa.array([" ".join(word(i) + end for i in range(first, first + 31_000) for end in ("", "-"))]))
+        assert len(encoder.known) <= (1 << 17) + 31_000 and len(encoder.others.known) <= (1 << 17) + 70_000
+    assert encoder.used < 1 << 20
+    # Words that a second batch had outlast a full memory, and still have their ids.
+    monkeypatch.setattr(batched_bpe, "MEMORY", 10)
+    encoder = batched_bpe.BatchEncoder(PATH)
+    for i, text in enumerate(["often alsooften once", "Often, alsooften " + " ".join(map(word, range(20))), "OFTEN. twice alsooften wanted"]):
+        if i == 2:
+            encoder._forget()
+            assert list(encoder.known) == ["often", "alsooften"]
+        counts, ids = encoder.encode(pa.array([text]))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and counts.tolist() == [len(ids)]
+    assert "once" not in encoder.known and encoder.count == len(encoder.known) == 4

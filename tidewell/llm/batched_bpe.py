@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm import common
-from tidewell.llm.wordbpe import LONGEST_KEPT, MEMORY, Remembered, Vocabulary, parts, vocabulary
+from tidewell.llm.wordbpe import LONGEST_KEPT, Remembered, Vocabulary, parts, vocabulary
 
 _NONE = np.iinfo(np.int64).max
 #: Bits of a symbol in a key.
 _SYMBOL = (1 << 20) - 1
+#: Words, and other parts, that a :class:`BatchEncoder` keeps, some 25 MB each.
+MEMORY = 1 << 17
 
 
 class PairTable:
@@ -142,31 +144,49 @@ class BatchEncoder:
 
     The texts are split, and words told apart, lower-cased and freed of a sign behind them, in Arrow; only a batch's
     distinct words are looked up among those met before. The ids of all words met are in one array, of which a text's
-    ids are taken in numpy; a word met for the second time is a number, never bytes of its own.
+    ids are taken in numpy; a word met for the second time is a number, never bytes of its own. Out of a full memory only
+    the words go that no later batch had.
     """
 
     def __init__(self, path: str) -> None:
         self.words = vocabulary(path)
         self.table = PairTable(self.words.merges)
-        self.others = Remembered(lambda unseen: encode_parts(unseen, self.words, self.table))
+        self.others = Remembered(lambda unseen: encode_parts(unseen, self.words, self.table), MEMORY)
         self.signs = np.array([0, self.words.final[ord(",")], self.words.final[ord(".")]], "<u4")
-        self._forget()
+        self._clear()
 
-    def _forget(self) -> None:
+    def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.count, self.start, self.size = 0, np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.again = np.zeros(1 << 12, bool)
         self.used, self.store = 0, np.zeros(1 << 16, "<u4")
 
+    def _take(self, number: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """So many ids from where each numbered word begins, end to end."""
+        ends = np.cumsum(counts)
+        return self.store[np.repeat(self.start[number] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _forget(self) -> None:
+        """Keep the words that a second batch had since the last time, or none where these fill half of the memory."""
+        stay = {word: n for word, n in self.known.items() if self.again[n]}
+        number = np.fromiter(stay.values(), np.int64, len(stay))
+        sizes = self.size[number]
+        ids = self._take(number, sizes)
+        self._clear()
+        if len(stay) <= MEMORY // 2 and len(ids) <= 8 * MEMORY:
+            self.known = dict(zip(stay, self._hold(ids, sizes).tolist(), strict=True))
+
     def _hold(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Numbers of new words, whose ids lie end to end."""
         count, used = self.count + len(sizes), self.used + len(ids)
         if count > len(self.size):
-            self.start, self.size = np.resize(self.start, 2 * count), np.resize(self.size, 2 * count)
+            self.start, self.size, self.again = (np.resize(a, 2 * count) for a in (self.start, self.size, self.again))
         if used >= len(self.store):
             self.store = np.resize(self.store, 2 * used)
         self.store[self.used:used] = ids
         self.start[self.count:count] = self.used + np.cumsum(sizes) - sizes
         self.size[self.count:count] = sizes
+        self.again[self.count:count] = False
         numbers = np.arange(self.count, count)
         self.count, self.used = count, used
         return numbers
@@ -174,6 +194,7 @@ class BatchEncoder:
     def _lower(self, words: list[str]) -> np.ndarray:
         """Numbers of distinct lower-case words of letters; long ones are not met again."""
         found = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        self.again[found[found >= 0]] = True
         holes = np.flatnonzero(found < 0)
         if len(holes):
             unseen = [words[i] for i in holes.tolist()]
@@ -209,10 +230,8 @@ class BatchEncoder:
         number, sign = self._distinct(coded.dictionary)
         place = coded.indices.to_numpy(zero_copy_only=False)
         counts = (self.size[number] + (sign > 0))[place]
-        ends = np.cumsum(counts)
-        at = np.repeat(self.start[number][place] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
         # What is read one behind a word is its sign's place.
-        ids, sign = self.store[at], sign[place]
+        ids, sign, ends = self._take(number[place], counts), sign[place], np.cumsum(counts)
         signed = np.flatnonzero(sign)
         ids[ends[signed] - 1] = self.signs[sign[signed]]
         self.count, self.used = self.kept

@@ -18,7 +18,7 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Parts kept in a worker's memory; a full memory starts anew.
+#: Parts kept in a worker's memory, where no limit is given; a full memory starts anew.
 MEMORY = 1 << 20
 LONGEST_KEPT = 64
 _PLAIN = re.compile(r"[!-~À-ÿ]+")
@@ -101,16 +101,17 @@ def stem(part: str) -> tuple[str, str]:
 class Remembered:
     """Results per part, worked out in batches for the parts not seen before in this Python worker.
 
-    ``work`` gives the results of a list of parts; ``+`` joins the results of neighbouring parts.
+    ``work`` gives the results of a list of parts; ``+`` joins the results of neighbouring parts. Beyond ``limit`` parts
+    the memory starts anew.
     """
 
-    def __init__(self, work: Callable[[list[str]], list]) -> None:
-        self.work, self.known = work, {}
+    def __init__(self, work: Callable[[list[str]], list], limit: int = MEMORY) -> None:
+        self.work, self.known, self.limit = work, {}, limit
 
     def learn(self, texts: list[list[str]]) -> dict:
         """Results of all parts of ``texts``, at least."""
         known = self.known
-        if len(known) > MEMORY:
+        if len(known) > self.limit:
             known.clear()
         cut = {part: stem(part) for part in set().union(*texts).difference(known)}
         missing = [s for s in {s for both in cut.values() for s in both} if s and s not in known]
@@ -123,7 +124,7 @@ class Remembered:
     def results(self, texts: list[list[str]]) -> list[list]:
         """Results of the parts of each text, in order; each part is looked up once, and long ones are not kept."""
         known = self.known
-        if len(known) > MEMORY:
+        if len(known) > self.limit:
             known.clear()
         found = [list(map(known.get, words)) for words in texts]
         holes = [list(itertools.compress(itertools.count(), map(operator.not_, row))) for row in found]
