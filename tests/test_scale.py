@@ -1,6 +1,6 @@
 """What keeps disk, memory and time in proportion to the input."""
 
-from conftest import SF
+from conftest import SF, item, sentences
 from pyspark.sql import functions as F
 
 from tidewell.functions import flat
@@ -22,3 +22,14 @@ def test_postings_by_letter_hold_an_id_once_a_record(spark, monkeypatch):
     found = lists.select("block", "term", F.col("p.places").alias("place"), "p.tf").join(records, ["block", "place"])
     want = index.term_frequencies(fx.items(spark, SF))
     assert sorted(map(tuple, found.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_stem_classes_shuffle_no_posting(spark, corpus):
+    twice = item("a", taggers={"serif": sentences("Cats cat the running", "Runs")})
+    records = [item("b", taggers={"serif": sentences("The runs")}), item("c", taggers={"serif": sentences("the I")}), item("e", taggers={})]
+    for df in (corpus(twice, *records), corpus(twice, twice, *records), corpus(twice, {**twice, "doc_id": "z"})):
+        want = index.vocab_conflate(index.term_frequencies(df))
+        got = index.conflated_vocabulary(df)
+        assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = index.conflated_vocabulary(corpus(twice, *records))._jdf.queryExecution().executedPlan().toString()
+    assert "stream_id" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
