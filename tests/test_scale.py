@@ -1,10 +1,12 @@
 """What keeps disk, memory and time in proportion to the input."""
 
+import random
+
 from conftest import SF, item, sentences
 from pyspark.sql import functions as F
 
 from tidewell.functions import flat
-from tidewell.operators import index
+from tidewell.operators import index, linking
 from tidewell.plans import catalog, fixtures as fx
 
 
@@ -33,3 +35,22 @@ def test_stem_classes_shuffle_no_posting(spark, corpus):
         assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     plan = index.conflated_vocabulary(corpus(twice, *records))._jdf.queryExecution().executedPlan().toString()
     assert "stream_id" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_a_learned_score_shuffles_lists_of_best_candidates(spark, monkeypatch):
+    monkeypatch.setattr(linking, "RUN_ROWS", 3)
+    draw = random.Random(3)
+    rows = [(f"{d}-x", "x", p, p + 1, f"s{p}", f"e{e}", round(draw.random(), 1), draw.choice([0.1, 0.2, None]))
+            for d in range(4) for p in range(5) for e in range(draw.randrange(1, 4))]
+    rows += [row for row in rows if row[0] == "1-x"]
+    features = spark.createDataFrame(rows, "stream_id string, doc_id string, start int, end int, spot string, entity string, score double, commonness double")
+    found = linking.by_score(features, lambda f: f, ["stream_id", "doc_id"])
+    want = {}
+    for key, _, start, end, spot, entity, score, commonness in rows:
+        here = want.setdefault(key, {})
+        here[start, end, spot] = max(here.get((start, end, spot), (-1.0, -1.0, "")), (score, -1.0 if commonness is None else commonness, entity))
+    got = {r.stream_id: [tuple(a) for a in r.annotations] for r in found.collect()}
+    assert got == {key: sorted((*m, best[2], best[0]) for m, best in here.items()) for key, here in want.items()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert final.count("Exchange hashpartitioning") == 1
