@@ -54,3 +54,10 @@ def test_a_learned_score_shuffles_lists_of_best_candidates(spark, monkeypatch):
     plan = found._jdf.queryExecution().executedPlan().toString()
     final = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
     assert final.count("Exchange hashpartitioning") == 1
+
+
+def test_choosing_by_each_method_finds_the_mentions_once(spark, monkeypatch):
+    calls, found = [], catalog.spotting.without_overlaps
+    monkeypatch.setattr(catalog.spotting, "without_overlaps", lambda docs: (calls.append(1), found(docs))[1])
+    rows = catalog.QUERIES["link_choice"](spark, SF)
+    assert len(calls) == 1 and {r.method for r in rows.select("method").distinct().collect()} == {"prior", "tagme", "wikiminer"}
