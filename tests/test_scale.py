@@ -2,10 +2,12 @@
 
 import random
 
+import pyarrow.parquet as pq
 from conftest import SF, item, sentences
 from pyspark.sql import functions as F
 
 from tidewell.functions import flat
+from tidewell.llm import lexical_search
 from tidewell.operators import index, linking
 from tidewell.plans import catalog, fixtures as fx
 
@@ -61,3 +63,11 @@ def test_choosing_by_each_method_finds_the_mentions_once(spark, monkeypatch):
     monkeypatch.setattr(catalog.spotting, "without_overlaps", lambda docs: (calls.append(1), found(docs))[1])
     rows = catalog.QUERIES["link_choice"](spark, SF)
     assert len(calls) == 1 and {r.method for r in rows.select("method").distinct().collect()} == {"prior", "tagme", "wikiminer"}
+
+
+def test_a_row_group_holds_few_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lexical_search, "scratch_path", lambda session, name: str(tmp_path / name))
+    rows = spark.range(0, 40, 1, 1).select(F.expr("transform(sequence(1, 250000), i -> xxhash64(id, i))").alias("docs"))
+    lexical_search._written(rows, "shards")
+    file = pq.ParquetFile(next((tmp_path / "shards").glob("*.parquet"))).metadata
+    assert max(file.row_group(i).num_rows for i in range(file.num_row_groups)) < 20

@@ -153,9 +153,14 @@ class Index:
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
-    """Stored with small row groups, as a shard is a row of some MB."""
+    """Stored with small row groups, as a shard is a row of some MB.
+
+    A writer looks at the size of a row group only every so many rows, at first after 100, so it is told to look at each:
+    else it holds up to 100 shards, and a reader gets them all at once.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("parquet.block.size", 1 << 24).parquet(path)
+    df.write.options(**{
+        "parquet.block.size": 1 << 24, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -179,7 +184,7 @@ def build_index(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Ind
 
     counts = stored.select(F.explode(F.arrays_zip("vocabulary", "df")).alias("e")).groupBy(F.col("e.vocabulary").alias("term")).agg(
         F.sum("e.df").alias("df"))
-    with common.batches(docs.sparkSession, 4):
+    with common.batches(docs.sparkSession, 1):
         index = _written(stored.mapInPandas(run, INDEX), "index")
     return Index(index, materialize(counts, "terms"), documents, total)
 
@@ -320,7 +325,7 @@ def search(
     out = []
     for part in _batches(queries, batch_terms):
         sent = [(r["query"], [(t["term"], t["weight"]) for t in r["terms"]]) for r in part.select("query", "terms").collect()]
-        with common.batches(items.sparkSession, 4):
+        with common.batches(items.sparkSession, 1):
             out.append(materialize(_search(index, sent), "found"))
     if not out:
         return items.sparkSession.createDataFrame([], f"item_id {kind}, rank int, doc_id long, score long")
