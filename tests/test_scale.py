@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import flat
 from tidewell.llm import lexical_search
-from tidewell.operators import index, linking
+from tidewell.operators import index, linking, segments
 from tidewell.plans import catalog, fixtures as fx
 
 
@@ -71,3 +71,15 @@ def test_a_row_group_holds_few_shards(spark, tmp_path, monkeypatch):
     lexical_search._written(rows, "shards")
     file = pq.ParquetFile(next((tmp_path / "shards").glob("*.parquet"))).metadata
     assert max(file.row_group(i).num_rows for i in range(file.num_row_groups)) < 20
+
+
+def test_compacted_postings_hold_numbers(spark, corpus, tmp_path):
+    path, out = str(tmp_path / "s"), str(tmp_path / "one")
+    record = lambda stream, text: item("d" + stream, stream=stream, text=text, taggers={"serif": sentences(text)})
+    segments.add_segment(corpus(record("1", "red"), record("2", "red car")), path, 0)
+    segments.add_segment(corpus(record("1", "blue car")), path, 1)
+    segments.compact(spark, path, out)
+    stored = spark.read.parquet(f"{out}/postings")
+    assert sorted(stored.columns) == ["doc_no", "letter", "positions", "term", "term_id", "tf"]
+    ids = stored.join(spark.read.parquet(f"{out}/documents"), "doc_no")
+    assert {(r.term, r.doc_id, r.tf) for r in ids.collect()} == {("blue", "d1", 2), ("car", "d1", 2), ("car", "d2", 2), ("red", "d2", 2)}

@@ -46,7 +46,7 @@ def add_segment(items: DataFrame, path: str, segment: int) -> None:
     """
     spark = items.sparkSession
     postings = inverted_index(items, fields=()).select("term", "stream_id", "doc_id", "tf", "positions")
-    sink(by_letter(postings), f"{path}/postings/segment={segment}", by="letter", key="term", stay=True)
+    sink(by_letter(postings), f"{path}/postings/segment={segment}", by="letter", key="term", stay=True, compression="zstd")
     lengths = materialize(doc_lengths(items), "lengths")
     older = _read(spark, path, "documents", DOCUMENT).filter(F.col("segment") < segment).select("stream_id").distinct()
     lengths.select("stream_id").join(older, "stream_id", "left_semi").write.parquet(f"{path}/marks/segment={segment}")
@@ -69,14 +69,19 @@ def compact(spark: SparkSession, path: str, out: str, overwrite: bool = False) -
     """Write the records that count as one index under ``out``, with dense numbers for terms and documents.
 
     ``lexicon`` has the terms in order with df and cf, ``documents`` the records in order of their id, ``postings`` both
-    numbers. The old segments stay for readers at work; delete their folder when there are none.
+    numbers and no id. The old segments stay for readers at work; delete their folder when there are none.
+
+    A posting meets its record first and loses the ids there, while those of a record still stand together; what is
+    shuffled by term has numbers only.
     """
     mode = "overwrite" if overwrite else "errorifexists"
-    documents = number_in_order(read_documents(spark, path).drop("segment"), "stream_id", "doc_no")
-    documents.write.mode(mode).parquet(f"{out}/documents")
-    postings = materialize(read_postings(spark, path), "alive")
-    lexicon = by_letter(number_in_order(vocabulary(postings), "term", "term_id"))
+    documents = number_in_order(read_documents(spark, path), "stream_id", "doc_no")
+    documents.drop("segment").write.mode(mode).option("compression", "zstd").parquet(f"{out}/documents")
+    lexicon = by_letter(number_in_order(vocabulary(read_postings(spark, path)), "term", "term_id"))
     sink(lexicon, f"{out}/lexicon", by="letter", key="term", overwrite=overwrite)
-    numbered = lookup_join(postings, spark.read.parquet(f"{out}/lexicon").select("letter", "term", "term_id"), ["letter", "term"])
-    numbered = lookup_join(numbered, spark.read.parquet(f"{out}/documents").select("stream_id", "doc_no"), "stream_id")
-    sink(numbered.drop("stream_id"), f"{out}/postings", by="letter", key="term_id", overwrite=overwrite, stay=True)
+    # Those of older deliveries have no number.
+    postings = _read(spark, path, "postings", POSTING).drop("doc_id")
+    numbered = lookup_join(postings, documents.select("stream_id", "segment", "doc_no"), ["stream_id", "segment"])
+    numbered = materialize(numbered.drop("stream_id", "segment"), "numbered")
+    numbered = lookup_join(numbered, spark.read.parquet(f"{out}/lexicon").select("letter", "term", "term_id"), ["letter", "term"])
+    sink(numbered, f"{out}/postings", by="letter", key="term_id", overwrite=overwrite, stay=True, compression="zstd")
